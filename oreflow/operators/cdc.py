@@ -72,8 +72,21 @@ def split_changes(changes: DataFrame, rules: ChangeRules) -> tuple[DataFrame, Da
     return changes.where(usable_change(rules)), rejected
 
 
+def stored_columns(changes: DataFrame, rules: ChangeRules) -> DataFrame:
+    """Change rows without the excepted columns, which keys, sequence and delete flag have been made of by now.
+
+    Keys stay until the target is read, even if excepted.
+    """
+    keys = {k.lower() for k in rules.keys}
+    return changes.drop(*[c for c in rules.except_columns if c.lower() not in keys])
+
+
 def latest_changes(changes: DataFrame, rules: ChangeRules) -> DataFrame:
-    """One change row per key: the greatest sequence; on a tie a delete wins, then the greater row hash."""
+    """One change row per key: the greatest sequence; on a tie a delete wins, then the greater row hash.
+
+    Excepted columns go first, so that they are neither hashed nor shuffled nor, if nothing else needs them, read.
+    """
+    changes = stored_columns(changes, rules)
     order = [F.col(SEQUENCE).desc(), F.col(DELETED).desc(), row_hash(changes, (SEQUENCE, DELETED)).desc()]
     return latest_by(changes, list(rules.keys), order)
 
@@ -98,7 +111,8 @@ def apply_changes(df: DataFrame, rules: ChangeRules) -> DataFrame:
 
 def merge_changes(state: DataFrame, changes: DataFrame, rules: ChangeRules) -> DataFrame:
     """State after ``changes`` (both change rows): union and reduce, one shuffle of both sides."""
-    return latest_changes(state.unionByName(changes, allowMissingColumns=True), rules)
+    changes = stored_columns(changes, rules)
+    return latest_changes(stored_columns(state, rules).unionByName(changes, allowMissingColumns=True), rules)
 
 
 def overlay_changes(state: DataFrame, changes: DataFrame, rules: ChangeRules) -> DataFrame:
@@ -109,6 +123,7 @@ def overlay_changes(state: DataFrame, changes: DataFrame, rules: ChangeRules) ->
     columns only. A batch too large for that falls back to shuffled joins, where ``merge_changes`` is cheaper.
     """
     keys = list(rules.keys)
+    state, changes = stored_columns(state, rules), stored_columns(changes, rules)
     columns = [*state.columns, *[c for c in changes.columns if c not in state.columns]]
     state = state.unionByName(changes.limit(0), allowMissingColumns=True).select(*columns)
     latest = latest_changes(changes, rules).unionByName(state.limit(0), allowMissingColumns=True).select(*columns)

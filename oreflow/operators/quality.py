@@ -88,7 +88,7 @@ def metrics(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             F.struct(F.lit(r.name).alias("rule"), F.lit(r.action).alias("action"), F.col(f"f{i}").alias("failed"))
             for i, r in enumerate(rules)
         ]
-    )
+    ).cast("array<struct<rule:string,action:string,failed:bigint>>")
     return counts.select("total", F.inline(entries)).select(
         "rule", "action", (F.col("total") - F.col("failed")).alias("passed"), "failed", "total"
     )

@@ -36,9 +36,13 @@ def record_count(df: DataFrame) -> DataFrame:
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Null rows per listed column, in one pass; columns that do not exist are skipped."""
     present = _present(df, columns)
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in present])
-    entries = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("null_count")) for c in present]
-    return counts.select(F.inline(F.array(*entries)))
+    counts = df.agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(present)]
+    )
+    entries = F.array(
+        *[F.struct(F.lit(c).alias("column_name"), F.col(f"_null_{i}").alias("null_count")) for i, c in enumerate(present)]
+    )
+    return counts.select(F.inline(entries.cast("array<struct<column_name:string,null_count:bigint>>")))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -49,10 +49,10 @@ class Workspace:
 
     def next_generation(self, dataflow_id: str, layer: str) -> int:
         number = self.generation(dataflow_id, layer) + 1
-        row = self.spark.createDataFrame(
-            [(dataflow_id, layer, number)], "dataflow_id string, layer string, generation int"
+        row = self.spark.range(0, 1, 1, 1).select(
+            F.lit(dataflow_id).alias("dataflow_id"), F.lit(layer).alias("layer"), F.lit(number).alias("generation")
         )
-        row.coalesce(1).write.mode("append").parquet(self.metadata("generations"))
+        row.write.mode("append").parquet(self.metadata("generations"))
         return number
 
     def layer_path(self, flow: BronzeFlow | SilverFlow, layer: str) -> str:

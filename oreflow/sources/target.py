@@ -21,12 +21,16 @@ from oreflow.operators.cdc import (
     split_changes,
 )
 from oreflow.sources.readers import open_table
-from oreflow.sources.sinks import clustered
 
 BATCH = "_batch"
 
 
 class ChangeTarget:
+    """Layout below ``path``: ``changes/_batch=N`` and ``base/upto=N`` hold change rows, ``log`` the finished ones.
+
+    Readers see only what the log names, and an entry is logged after its files are complete. One writer at a time.
+    """
+
     def __init__(self, spark: SparkSession, path: str, rules: ChangeRules):
         self.spark = spark
         self.path = path.rstrip("/")
@@ -39,50 +43,57 @@ class ChangeTarget:
 
     def append_reduced(self, latest: DataFrame, batch_id: int) -> None:
         latest.write.mode("overwrite").parquet(f"{self.path}/changes/{BATCH}={batch_id}")
-
-    def _folded(self) -> int | None:
-        """The last batch that the current base contains; the pointer moves only after a base is complete."""
-        pointer = open_table(self.spark, f"{self.path}/pointer")
-        return None if pointer is None else pointer.agg(F.max("upto")).first()[0]
-
-    def batches(self) -> DataFrame | None:
-        return open_table(self.spark, f"{self.path}/changes", mergeSchema="true")
-
-    def last_batch(self) -> int | None:
-        held = self.batches()
-        return None if held is None else held.agg(F.max(BATCH)).first()[0]
+        self._log("changes", batch_id)
+
+    def _log(self, kind: str, batch_id: int) -> None:
+        entry = self.spark.range(0, 1, 1, 1).select(F.lit(kind).alias("kind"), F.lit(batch_id).cast("long").alias("batch"))
+        entry.write.mode("append").parquet(f"{self.path}/log")
+
+    def _logged(self) -> tuple[int | None, int | None]:
+        """(last batch that the base contains, last batch written); two numbers from a table of few rows."""
+        log = open_table(self.spark, f"{self.path}/log")
+        if log is None:
+            return None, None
+        row = log.agg(
+            F.max(F.when(F.col("kind") == "base", F.col("batch"))),
+            F.max(F.when(F.col("kind") == "changes", F.col("batch"))),
+        ).first()
+        return row[0], row[1]
 
     def state(self, small_batches: bool = False) -> DataFrame | None:
         """Change rows, one per key, tombstones included; None when nothing was ever written.
 
         ``small_batches`` chooses the merge that leaves the base unshuffled while the batches can be broadcast.
         """
-        upto, pending = self._folded(), self.batches()
-        base = None if upto is None else self.spark.read.parquet(f"{self.path}/base/upto={upto}")
-        if pending is not None and upto is not None:
-            pending = pending.where(F.col(BATCH) > upto)
-        if pending is not None:
-            pending = pending.drop(BATCH)
-        if base is None:
-            return None if pending is None else latest_changes(pending, self.rules)
-        if pending is None or self.last_batch() <= upto:
+        folded, last = self._logged()
+        if last is None:
+            return None
+        base = None if folded is None else self.spark.read.parquet(f"{self.path}/base/upto={folded}")
+        if base is not None and folded >= last:
             return base
+        pending = self.spark.read.option("mergeSchema", "true").parquet(f"{self.path}/changes")
+        pending = pending.where(F.col(BATCH) <= last)
+        if base is None:
+            return latest_changes(pending.drop(BATCH), self.rules)
+        pending = pending.where(F.col(BATCH) > folded).drop(BATCH)
         merge = overlay_changes if small_batches else merge_changes
         return merge(base, pending, self.rules)
 
     def current(self, small_batches: bool = False) -> DataFrame | None:
-        """The rows readers see."""
+        """The rows readers see. Directly after a compaction this is a plain scan."""
         state = self.state(small_batches)
         return None if state is None else live_rows(state, self.rules)
 
     def compact(self, small_batches: bool = False) -> int | None:
-        """Fold all batches into a new base, clustered by key, and move the pointer. Old files stay in place
-        for readers that still use them."""
-        last, upto = self.last_batch(), self._folded()
-        if last is None or (upto is not None and last <= upto):
-            return upto
-        base = clustered(self.state(small_batches), list(self.rules.keys))
+        """Fold all batches into a new base and return the last batch it holds.
+
+        Rows are sorted by key within each file, which the merge has done already, so that row groups can be
+        skipped on key lookups without another shuffle. Old files stay for readers that still use them.
+        """
+        folded, last = self._logged()
+        if last is None or folded == last:
+            return folded
+        base = self.state(small_batches).sortWithinPartitions(*self.rules.keys)
         base.write.mode("overwrite").parquet(f"{self.path}/base/upto={last}")
-        pointer = self.spark.range(1).select(F.lit(last).cast("long").alias("upto"))
-        pointer.coalesce(1).write.mode("append").parquet(f"{self.path}/pointer")
+        self._log("base", last)
         return last

@@ -1,0 +1,229 @@
+import datetime as dt
+import json
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from oreflow.operators import cdc
+from oreflow.operators.cdc import ChangeRules
+from oreflow.plans import run as rn
+from oreflow.plans import spec as sp
+from oreflow.sources.target import ChangeTarget
+from oreflow.streaming import flows as st
+
+AT = dt.datetime(2024, 1, 31, 6, 0)
+LOG = "seq bigint, key bigint, op string, at timestamp"
+
+
+def document(root, cursor="2024-01-01", **silver):
+    return {
+        "dataflow_id": "items", "dataflow_group": "g1", "description": "d",
+        "source": {
+            "type": "files", "connection": {"connection_name": "shop"},
+            "extraction": {
+                "log": f"{root}/in/log", "master": f"{root}/in/master", "log_key": "key", "master_key": "id",
+                "cursor_column": "at", "parameters": {"start_date": {"default": cursor}},
+            },
+        },
+        "raw_bronze": {
+            "catalog": "c", "schema": "s", "table": "raw", "write_mode": "append",
+            "metadata_columns": {"ingest_dt": "${trigger_time.isoformat()}", "_source_system": "shop", "_dataflow_id": "${dataflow_id}"},
+        },
+        "bronze": {
+            "catalog": "c", "schema": "s", "table": "bronze",
+            "transformations": [
+                {"type": "filter", "condition": "key IN (SELECT k FROM allowed_keys)"},
+                {"type": "add_column", "columns": {"process_timestamp": "current_timestamp()"}},
+            ],
+        },
+        "silver": {
+            "catalog": "c", "schema": "s", "table": "silver",
+            "transformations": {
+                "select_expressions": ["id", "key", "name", "price", "seq", "op", "ingest_dt", "CASE WHEN op = 'D' THEN 'Y' ELSE 'N' END AS is_del"],
+                "where_clauses": ["(op IN ('I', 'U') AND id IS NOT NULL) OR (op = 'D' AND id IS NULL)"],
+            },
+            "string_transformations": {"rtrim": True},
+            "cdc_apply_changes": {
+                "keys": ["id"], "key_fallback": {"id": "key"}, "sequence_by": "seq", "scd_type": "1",
+                "apply_as_deletes": "is_del = 'Y'", "except_column_list": ["seq", "op", "key", "ingest_dt", "is_del"],
+            },
+            "data_quality": {"expectations": [
+                {"name": "has_id", "constraint": "id IS NOT NULL", "action": "fail"},
+                {"name": "cheap", "constraint": "op = 'D' OR price < 100", "action": "quarantine"},
+                {"name": "named", "constraint": "name IS NOT NULL", "action": "warn"},
+            ]},
+            **silver,
+        },
+    }
+
+
+class World:
+    """Source files of one dataflow and a way to run it."""
+
+    def __init__(self, spark, root, **silver):
+        self.spark, self.root, self.silver = spark, str(root), silver
+        spark.range(1, 10).select(F.col("id").alias("k")).createOrReplaceTempView("allowed_keys")
+
+    def sources(self, log, master):
+        self.spark.createDataFrame(log, LOG).write.mode("overwrite").parquet(f"{self.root}/in/log")
+        self.spark.createDataFrame(master, "id bigint, name string, price double").write.mode("overwrite").parquet(f"{self.root}/in/master")
+
+    def run(self, cursor="2024-01-01", **kwargs):
+        spec = sp.specs_frame(self.spark, [document(self.root, cursor, **self.silver)]).first()
+        return rn.run_dataflow(self.spark, spec, f"{self.root}/lake", AT, **kwargs)
+
+    def silver_rows(self):
+        specs = sp.specs_frame(self.spark, [document(self.root, **self.silver)])
+        flow = rn.silver_flow_of(sp.silver_specs(specs).first())
+        rows = rn.Workspace(self.spark, f"{self.root}/lake").table(flow, "silver").collect()
+        return {(r["id"], r["name"], r["price"]) for r in rows}
+
+    def metadata(self, name):
+        return self.spark.read.parquet(f"{self.root}/lake/metadata/{name}")
+
+
+def day(n):
+    return dt.datetime(2024, 1, n)
+
+
+def test_dataflow_end_to_end(spark, tmp_path):
+    world = World(spark, tmp_path)
+    world.sources(
+        [(1, 1, "I", day(1)), (2, 2, "I", day(1)), (3, 3, "I", day(1)), (4, 50, "I", day(1)), (0, 1, "I", dt.datetime(2023, 1, 1))],
+        [(1, "one  ", 1.0), (2, "two", 2.0), (3, None, 500.0), (50, "outside", 1.0)],
+    )
+    first = world.run()
+    assert first.rows == {"rdb_ingestion": 4, "bronze": 4, "silver": 2}
+    assert world.silver_rows() == {(1, "one", 1.0), (2, "two", 2.0)}
+    quality = {m["rule"]: m["failed"] for m in first.quality}
+    assert quality == {"has_id": 0, "cheap": 1, "named": 1}
+    held = spark.read.parquet(f"{tmp_path}/lake/c/s/silver/g0_quarantine").collect()
+    assert [(r["id"], r["failed_rules"]) for r in held] == [(3, ["cheap"])]
+    assert {r["status"] for r in first.validation.collect()} == {"PASSED"}
+
+    # The second run brings an update, a delete (its master row is gone) and a late, older change.
+    world.sources(
+        [(7, 1, "U", day(5)), (9, 2, "D", day(5)), (6, 2, "U", day(5)), (8, 4, "I", day(5))],
+        [(1, "uno", 1.5), (4, "four", 4.0)],
+    )
+    second = world.run(cursor="2024-01-05")
+    assert second.rows["rdb_ingestion"] == 4 and second.rows["bronze"] == 4
+    assert world.silver_rows() == {(1, "uno", 1.5), (4, "four", 4.0)}
+
+    history = {(r["stage"], r["status"]): r["rows_processed"] for r in world.metadata("pipeline_execution_history").collect()}
+    assert set(history) == {("rdb_ingestion", "success"), ("bronze", "success"), ("silver", "success")}
+    assert world.metadata("pipeline_execution_history").count() == 6
+    assert world.metadata("data_lineage").count() == 6
+    assert world.metadata("metadata_versions").count() == 2
+    events = world.metadata("event_log").collect()
+    assert len(events) == 6 and json.loads(events[0]["details"])["flow_progress"]
+
+    # A full refresh rebuilds bronze and silver from all raw rows and gives the same table.
+    world.sources([], [])
+    third = world.run(cursor="2024-02-01", full_refresh=True)
+    assert third.rows == {"rdb_ingestion": 0, "bronze": 8, "silver": 6}
+    assert world.silver_rows() == {(1, "uno", 1.5), (4, "four", 4.0)}
+
+
+def test_failed_expectation_stops_before_writing_and_is_recorded(spark, tmp_path):
+    rules = {"expectations": [{"name": "cheap", "constraint": "price < 100", "action": "fail"}]}
+    world = World(spark, tmp_path, data_quality=rules)
+    world.sources([(1, 1, "I", day(1)), (2, 2, "I", day(1))], [(1, "one", 1.0), (2, "two", 200.0)])
+    with pytest.raises(StreamingQueryException, match="cheap"):
+        world.run()
+    rows = {r["stage"]: r for r in world.metadata("pipeline_execution_history").collect()}
+    assert rows["silver"]["status"] == "failed" and "cheap (1 rows)" in rows["silver"]["error_message"]
+    assert rows["bronze"]["status"] == "success"
+    flow = rn.silver_flow_of(sp.silver_specs(sp.specs_frame(spark, [document(tmp_path, data_quality=rules)])).first())
+    assert rn.Workspace(spark, f"{tmp_path}/lake").table(flow, "silver") is None
+
+
+def test_missing_source_is_recorded_as_failure(spark, tmp_path):
+    world = World(spark, tmp_path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        world.run()
+    assert [r["status"] for r in world.metadata("pipeline_execution_history").collect()] == ["failed"]
+
+
+def test_run_layer_from_spec_tables(spark, tmp_path):
+    world = World(spark, tmp_path)
+    world.sources([(1, 1, "I", day(1))], [(1, "one", 1.0)])
+    world.run()
+    world.sources([(2, 2, "I", day(2))], [(2, "two", 2.0)])
+    specs = sp.specs_frame(spark, [document(tmp_path)])
+    ws = rn.Workspace(spark, f"{tmp_path}/lake")
+    rn.run_ingestion(ws, specs.first(), AT, rn.RunResult("items"))
+    tables = {"bronze": sp.bronze_specs(specs), "silver": sp.silver_specs(specs)}
+    results = rn.run_layer(spark, f"{tmp_path}/lake", "bronze_silver", "g1", **tables)
+    assert results[0].rows == {"bronze": 1, "silver": 1}
+    assert rn.run_layer(spark, f"{tmp_path}/lake", "bronze", "other", **tables) == []
+    assert world.silver_rows() == {(1, "one", 1.0), (2, "two", 2.0)}
+    for layer in (None, "gold"):
+        with pytest.raises(ValueError):
+            rn.run_layer(spark, f"{tmp_path}/lake", layer, **tables)
+    with pytest.raises(ValueError):
+        rn.run_layer(spark, f"{tmp_path}/lake", "silver")
+
+
+def test_stream_in_many_batches_equals_one_pass(spark, tmp_path):
+    rules = ChangeRules(keys=["k"], sequence_by="seq", delete_when="op = 'D'", except_columns=["op"])
+    rows = spark.range(400).select(
+        (F.col("id") % 23).alias("k"), ((F.col("id") * 7919) % 401).alias("seq"),
+        F.when(F.col("id") % 5 == 0, "D").otherwise("U").alias("op"), F.col("id").alias("v"),
+    )
+    rows.repartition(4).write.parquet(f"{tmp_path}/in")
+    target = ChangeTarget(spark, f"{tmp_path}/target", rules)
+
+    def feed():
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        query = st.apply_changes_stream(stream, target, f"{tmp_path}/checkpoint")
+        query.awaitTermination()
+        return query
+
+    feed()
+    assert target._logged() == (None, 3)
+    expected = set(map(tuple, cdc.apply_changes(rows, rules).collect()))
+    assert set(map(tuple, target.current().collect())) == expected
+    more = rows.limit(5).withColumn("seq", F.col("seq") + 1000).withColumn("op", F.lit("U"))
+    more.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    feed()
+    both = cdc.apply_changes(spark.read.parquet(f"{tmp_path}/in"), rules)
+    assert set(map(tuple, target.current().collect())) == set(map(tuple, both.collect()))
+
+
+def test_rows_without_a_key_join_the_quarantine(spark, tmp_path):
+    from oreflow.operators.quality import Rule
+    from oreflow.plans import flows
+
+    flow = flows.SilverFlow(
+        source={}, target={}, rules=[Rule("v_set", "v IS NOT NULL", "quarantine")],
+        changes=ChangeRules(keys=["k"], sequence_by="seq"),
+    )
+    rows = spark.createDataFrame([(1, 1, "a"), (None, 2, "b"), (3, None, "c"), (4, 4, None)], "k int, seq int, v string")
+    result = flows.silver_changes(rows, flow)
+    expected = {("b", "null key: k"), ("c", "null sequence"), (None, "v_set")}
+    assert {(r["v"], r["failed_rules"][0]) for r in result.quarantined.collect()} == expected
+    assert [r["v"] for r in result.changes.collect()] == ["a"]
+    target = ChangeTarget(spark, f"{tmp_path}/t", flow.changes)
+    batches = st.SilverBatches(flow, target, f"{tmp_path}/q")
+    batches(rows, 0)
+    batches(rows, 0)
+    held = spark.read.parquet(f"{tmp_path}/q").collect()
+    assert {(r["v"], r["failed_rules"][0]) for r in held} == expected and len(held) == 3
+
+
+def test_deduplication_and_clause_parameters(spark):
+    from oreflow.plans import flows
+
+    rows = spark.createDataFrame(
+        [(1, "U", 5, day(31)), (1, "D", 2, day(31)), (1, "I", 9, day(30)), (2, "U", 1, day(31))], "k int, op string, seq int, at timestamp"
+    )
+    flow = flows.SilverFlow(
+        source={}, target={}, where=["at >= '${current_date()}'"],
+        deduplication={"enabled": True, "partition_by": ["k"], "order_by": ["op", "seq DESC"], "row_number": 1},
+    )
+    found = {(r["k"], r["op"]) for r in flows.silver(rows, flow, as_of=AT).collect()}
+    assert found == {(1, "D"), (2, "U")}
+    with pytest.raises(ValueError):
+        flows.bronze(rows, flows.BronzeFlow(source={}, target={}, transformations=[{"type": "odd"}]))
