@@ -19,7 +19,7 @@ from oreflow.plans.spec import SPEC_SCHEMA, bronze_specs, silver_specs
 from oreflow.sources.readers import open_table, read_jdbc, read_source
 from oreflow.sources.sinks import read_merged, write_table
 from oreflow.sources.target import ChangeTarget
-from oreflow.streaming.flows import SilverBatches, bronze_stream, counted, observed_rows, silver_stream
+from oreflow.streaming.flows import SilverBatches, bronze_stream, observed_rows, silver_stream
 
 LAYERS = {"bronze": ("bronze",), "silver": ("silver",), "bronze_silver": ("bronze", "silver")}
 REQUIRED_LOAD_COLUMNS = ("ingest_dt", "_source_system", "_dataflow_id")
@@ -141,11 +141,9 @@ def run_bronze(ws: Workspace, flow: BronzeFlow, result: RunResult, group: str =
         # Files appended later may have more columns; the stream takes the merged schema of all of them.
         schema = read_merged(ws.spark, source).schema
         raw = read_source(ws.spark, source, options=flow.reader_options, schema=schema, stream=True)
-        query = bronze_stream(
-            counted(raw, "read"), flow, ws.layer_path(flow, "bronze"), ws.checkpoint(flow, "bronze")
-        )
+        query = bronze_stream(raw, flow, ws.layer_path(flow, "bronze"), ws.checkpoint(flow, "bronze"))
         query.awaitTermination()
-        run.rows = observed_rows(query, "read")
+        run.rows = observed_rows(query)
 
 
 def run_silver(

@@ -177,23 +177,20 @@ def rules_by_action(expectations: Column) -> Column:
     Works inside the row, without exploding or grouping. Unknown actions count as warnings, the last of equal
     names wins, and actions without rules are null.
     """
-    known = F.transform(
-        F.coalesce(expectations, F.array().cast("array<struct<name:string,constraint:string,action:string>>")),
-        lambda r: F.struct(
-            F.coalesce(r["name"], F.lit("unnamed")).alias("name"),
-            F.coalesce(r["constraint"], F.lit("true")).alias("constraint"),
-            F.when(F.lower(r["action"]).isin("fail", "drop", "quarantine"), F.lower(r["action"]))
-            .otherwise("warn").alias("action"),
-        ),
-    )
+    def action_of(rule: Column) -> Column:
+        named = F.lower(rule["action"])
+        return F.when(named.isin("fail", "drop", "quarantine"), named).otherwise("warn")
 
     def bucket(action: str) -> Column:
-        mine = F.filter(known, lambda r: r["action"] == action)
-        last = F.filter(mine, lambda r, i: ~F.exists(
-            F.slice(mine, i + 2, F.greatest(F.size(mine), F.lit(1))), lambda later: later["name"] == r["name"]
-        ))
-        named = F.map_from_entries(F.transform(last, lambda r: F.struct(r["name"], r["constraint"])))
-        return F.when(F.size(mine) > 0, named)
+        mine = F.filter(expectations, lambda rule: action_of(rule) == action)
+
+        def put(rules: Column, rule: Column) -> Column:
+            name = F.coalesce(rule["name"], F.lit("unnamed"))
+            others = F.map_filter(rules, lambda known, _: known != name)
+            return F.map_concat(others, F.create_map(name, F.coalesce(rule["constraint"], F.lit("true"))))
+
+        rules = F.aggregate(mine, _empty_map(), put)
+        return F.when(F.exists(expectations, lambda rule: action_of(rule) == action), rules)
 
     return F.struct(*[bucket(action).alias(key) for action, key in ACTION_KEYS.items()])
 

@@ -31,12 +31,15 @@ def read_source(
     return reader.load(location)
 
 
-def open_table(spark: SparkSession, location: str, fmt: str = "parquet", **options: str) -> DataFrame | None:
+def open_table(
+    spark: SparkSession, location: str, fmt: str = "parquet", schema: T.StructType | None = None, **options: str
+) -> DataFrame | None:
     """The table, or None when there is none at that name or path."""
     if "/" not in location:
         return spark.table(location) if spark.catalog.tableExists(location) else None
+    reader = spark.read.format(fmt).options(**options)
     try:
-        return spark.read.format(fmt).options(**options).load(location)
+        return (reader.schema(schema) if schema else reader).load(location)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None

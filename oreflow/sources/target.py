@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oreflow.functions.schema import struct
 from oreflow.operators.cdc import (
     ChangeRules,
     change_rows,
@@ -23,6 +24,7 @@ from oreflow.operators.cdc import (
 from oreflow.sources.readers import open_table
 
 BATCH = "_batch"
+LOG_SCHEMA = struct({"kind": "string", "batch": "bigint"})
 
 
 class ChangeTarget:
@@ -51,7 +53,7 @@ class ChangeTarget:
 
     def _logged(self) -> tuple[int | None, int | None]:
         """(last batch that the base contains, last batch written); two numbers from a table of few rows."""
-        log = open_table(self.spark, f"{self.path}/log")
+        log = open_table(self.spark, f"{self.path}/log", schema=LOG_SCHEMA)
         if log is None:
             return None, None
         row = log.agg(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -41,8 +41,24 @@ def apply_changes_stream(
     return batch_stream(stream, lambda batch, n: target.append(batch, first_batch + n), checkpoint)
 
 
+WRITTEN = "rows_written"
+
+
 def bronze_stream(raw: DataFrame, flow: BronzeFlow, path: str, checkpoint: str) -> StreamingQuery:
-    return append_stream(bronze(raw, flow), path, checkpoint)
+    """Raw → bronze as a stream; ``observed_rows`` tells afterwards how many rows were written."""
+    rows = bronze(raw, flow).observe(WRITTEN, F.count(F.lit(1)).alias("rows"))
+    return append_stream(rows, path, checkpoint)
+
+
+def observed_rows(query: StreamingQuery) -> int | None:
+    """Rows that the micro-batches of a finished bronze stream wrote; None when the session, which keeps a limited
+    number of progress reports, may have dropped some of them."""
+    reports = query.recentProgress
+    kept = int(SparkSession.active().conf.get("spark.sql.streaming.numRecentProgressUpdates", "100"))
+    if len(reports) >= kept:
+        return None
+    seen = [(report["observedMetrics"] or {}).get(WRITTEN) for report in reports]
+    return sum(row["rows"] for row in seen if row)
 
 
 class SilverBatches:
@@ -91,20 +107,7 @@ def silver_stream(bronze_rows: DataFrame, batches: SilverBatches, checkpoint: st
     return batch_stream(bronze_rows, batches, checkpoint)
 
 
-def observed_rows(query: StreamingQuery, name: str) -> int:
-    """Rows counted by ``df.observe(name, count as rows)`` over the micro-batches of a finished query."""
-    total = 0
-    for progress in query.recentProgress:
-        seen = (progress["observedMetrics"] or {}).get(name)
-        total += seen["rows"] if seen else 0
-    return total
-
-
-def counted(stream: DataFrame, name: str) -> DataFrame:
-    return stream.observe(name, F.count(F.lit(1)).alias("rows"))
-
-
 __all__ = [
     "SilverBatches", "append_stream", "apply_changes_stream", "batch_stream", "bronze_stream",
-    "counted", "observed_rows", "silver_stream",
+    "observed_rows", "silver_stream",
 ]
