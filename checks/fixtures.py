@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from oreflow.operators.cdc import ChangeRules
 from oreflow.operators.quality import Rule
@@ -103,49 +106,21 @@ def lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _shaped(dtype: T.DataType, value: Any) -> Column:
+    """A value in the shape of the spec schema: dicts fill structs, what they leave out is null."""
+    if isinstance(value, dict):
+        return F.struct(*[_shaped(f.dataType, value.get(f.name)).alias(f.name) for f in dtype.fields])
+    return (value if isinstance(value, Column) else F.lit(value)).cast(dtype)
+
+
 def specs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested dataflow document per customer."""
     key = F.col("c_custkey")
-    text = key.cast("string")
-    parts: dict[str, Column] = {
-        "dataflow_id": F.concat(F.lit("flow_"), text),
-        "dataflow_group": F.concat(F.lit("grp_"), F.col("c_nationkey").cast("string")),
-        "description": F.col("c_name"),
-        "enabled": F.when(key % 5 == 0, False).when(key % 5 == 1, F.lit(None)).otherwise(True),
-        "schedule": F.create_map(F.lit("cron"), F.lit("0 6 * * *"), F.lit("enabled"), F.lit("true")),
-    }
-    document = F.to_json(F.struct(
-        *[value.alias(name) for name, value in parts.items()],
-        F.struct(
-            F.lit("files").alias("type"),
-            F.create_map(
-                F.lit("connection_name"), F.concat(F.lit("sys_"), F.col("c_nationkey").cast("string")),
-                F.lit("jdbc_url"), F.concat(F.lit("jdbc:prod/"), text),
-                F.lit("source_table"), F.concat(F.lit("src."), F.col("c_name")),
-            ).alias("connection"),
-        ).alias("source"),
-        _stage("raw_bronze", text, "_raw"),
-        _stage("bronze", text, "_bronze"),
-        _silver(key, text),
-    ))
-    return table(spark, sf_dir, "customer").select(
-        F.from_json(document, SPEC_SCHEMA).alias("spec")
-    ).select("spec.*")
-
+    text, nation = key.cast("string"), F.col("c_nationkey").cast("string")
 
-def _place(text: Column, suffix: str) -> list[Column]:
-    return [
-        F.lit("base").alias("catalog"), F.lit("lake").alias("schema"),
-        F.concat(F.lit("t"), text, F.lit(suffix)).alias("table"),
-    ]
+    def place(suffix: str) -> dict[str, Any]:
+        return {"catalog": "base", "schema": "lake", "table": F.concat(F.lit("t"), text, F.lit(suffix))}
 
-
-def _stage(name: str, text: Column, suffix: str) -> Column:
-    extra = [F.array(F.lit("item_key")).alias("cluster_by")] if name == "bronze" else []
-    return F.struct(*_place(text, suffix), *extra).alias(name)
-
-
-def _silver(key: Column, text: Column) -> Column:
     def rule(name: str, constraint: str, action: str) -> Column:
         return F.struct(
             F.lit(name).alias("name"), F.lit(constraint).alias("constraint"), F.lit(action).alias("action")
@@ -158,16 +133,37 @@ def _silver(key: Column, text: Column) -> Column:
         F.when(key % 4 == 0, rule("label_set", "label <> ''", "QUARANTINE")),
         F.when(key % 7 == 0, rule("has_group", "item_group > 0", "warn")),
     ))
-    changes = F.struct(
-        F.array(F.lit("item_key")).alias("keys"), F.lit("seq").alias("sequence_by"), F.lit("1").alias("scd_type"),
-        F.lit("is_del = 'Y'").alias("apply_as_deletes"), F.array(F.lit("seq")).alias("except_column_list"),
-    )
-    transformations = F.struct(
-        F.array(F.lit("item_key"), F.lit("price")).alias("select_expressions"),
-        F.array(F.lit("item_key IS NOT NULL")).alias("where_clauses"),
+    by_key = F.array(F.lit("item_key"))
+    document = {
+        "dataflow_id": F.concat(F.lit("flow_"), text),
+        "dataflow_group": F.concat(F.lit("grp_"), nation),
+        "description": F.col("c_name"),
+        "enabled": F.when(key % 5 == 0, False).when(key % 5 == 1, F.lit(None)).otherwise(True),
+        "schedule": F.create_map(F.lit("cron"), F.lit("0 6 * * *"), F.lit("enabled"), F.lit("true")),
+        "source": {
+            "type": "files",
+            "connection": F.create_map(
+                F.lit("connection_name"), F.concat(F.lit("sys_"), nation),
+                F.lit("jdbc_url"), F.concat(F.lit("jdbc:prod/"), text),
+                F.lit("source_table"), F.concat(F.lit("src."), F.col("c_name")),
+            ),
+        },
+        "raw_bronze": place("_raw"),
+        "bronze": {**place("_bronze"), "cluster_by": by_key},
+        "silver": {
+            **place("_silver"),
+            "transformations": {
+                "select_expressions": F.array(F.lit("item_key"), F.lit("price")),
+                "where_clauses": F.array(F.lit("item_key IS NOT NULL")),
+            },
+            "cdc_apply_changes": {
+                "keys": by_key, "sequence_by": "seq", "scd_type": "1", "apply_as_deletes": "is_del = 'Y'",
+                "except_column_list": F.array(F.lit("seq")),
+            },
+            "cluster_by": by_key,
+            "data_quality": {"expectations": rules},
+        },
+    }
+    return table(spark, sf_dir, "customer").select(
+        *[_shaped(f.dataType, document.get(f.name)).alias(f.name) for f in SPEC_SCHEMA.fields]
     )
-    return F.struct(
-        *_place(text, "_silver"), transformations.alias("transformations"), changes.alias("cdc_apply_changes"),
-        F.array(F.lit("item_key")).alias("cluster_by"),
-        F.struct(rules.alias("expectations")).alias("data_quality"),
-    ).alias("silver")

@@ -54,9 +54,9 @@ def change_rows(df: DataFrame, rules: ChangeRules) -> DataFrame:
     return df.withColumns({SEQUENCE: F.expr(rules.sequence_by), DELETED: deleted})
 
 
-def usable_change(rules: ChangeRules) -> Column:
+def usable_change(rules: ChangeRules, sequence: Column | None = None) -> Column:
     """A change row has all its keys and a sequence."""
-    usable = F.col(SEQUENCE).isNotNull()
+    usable = (F.col(SEQUENCE) if sequence is None else sequence).isNotNull()
     for key in rules.keys:
         usable = usable & F.col(key).isNotNull()
     return usable

@@ -28,6 +28,7 @@ def semi_join_allowlist(
 ) -> DataFrame:
     """Rows whose ``column`` is listed and in use.
 
+    List values that do not fit the type of the column match nothing.
     The list may grow with the data, so no broadcast is forced: adaptive execution broadcasts it when its
     measured size allows and otherwise shuffles both sides.
     """
@@ -36,7 +37,7 @@ def semi_join_allowlist(
     if type_column and type_value is not None:
         allow = allow.where(F.col(type_column) == type_value)
     dtype = df.select(column).schema[0].dataType
-    listed = allow.select(F.col(value_column).cast(dtype).alias("_listed"))
+    listed = allow.select(F.col(value_column).try_cast(dtype).alias("_listed"))
     return df.join(listed, df[column] == listed["_listed"], "left_semi")
 
 

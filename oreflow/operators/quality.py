@@ -6,7 +6,7 @@ import json
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Spec key of each action.
@@ -78,35 +78,31 @@ def failed_rules(rules: Sequence[Rule]) -> Column:
     return F.array_compact(F.array(*[F.when(~r.holds, F.lit(r.name)) for r in rules]))
 
 
-def metrics(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Passed and failed rows per rule, all rules in one pass over the columns they use."""
+def metrics(
+    df: DataFrame, rules: Sequence[Rule], within: Column | None = None, extra: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """Passed and failed rows per rule, all rules in one pass over the columns they use.
+
+    ``extra`` conditions, named by their action, are counted in the same pass among the rows that meet ``within``.
+    """
+    every = F.lit(True)
+    counted = [(r.name, r.action, every, r.holds) for r in rules]
+    counted += [(name, name, every if within is None else within, holds) for name, holds in (extra or {}).items()]
     counts = df.agg(
-        F.count(F.lit(1)).alias("total"), *[F.count_if(~r.holds).alias(f"f{i}") for i, r in enumerate(rules)]
+        F.count(F.lit(1)).alias("total"),
+        *[F.count_if(among & ~holds).alias(f"f{i}") for i, (_, _, among, holds) in enumerate(counted)],
+        *[F.count_if(among & holds).alias(f"p{i}") for i, (_, _, among, holds) in enumerate(counted)],
     )
     entries = F.array(
         *[
-            F.struct(F.lit(r.name).alias("rule"), F.lit(r.action).alias("action"), F.col(f"f{i}").alias("failed"))
-            for i, r in enumerate(rules)
+            F.struct(
+                F.lit(name).alias("rule"), F.lit(action).alias("action"), F.col(f"p{i}").alias("passed"),
+                F.col(f"f{i}").alias("failed"),
+            )
+            for i, (name, action, _, _) in enumerate(counted)
         ]
-    ).cast("array<struct<rule:string,action:string,failed:bigint>>")
-    return counts.select("total", F.inline(entries)).select(
-        "rule", "action", (F.col("total") - F.col("failed")).alias("passed"), "failed", "total"
-    )
-
-
-def observed_metrics(rules: Sequence[Rule]) -> list[Column]:
-    """The same counts as observable metrics, for taking them along with a write."""
-    return [F.count(F.lit(1)).alias("total"), *[F.count_if(~r.holds).alias(f"f{i}") for i, r in enumerate(rules)]]
-
-
-def metrics_of(observation: Observation, rules: Sequence[Rule]) -> list[dict]:
-    """Observed counts as rows like those of ``metrics``."""
-    seen = observation.get
-    return [
-        {"rule": r.name, "action": r.action, "passed": seen["total"] - seen[f"f{i}"], "failed": seen[f"f{i}"],
-         "total": seen["total"]}
-        for i, r in enumerate(rules)
-    ]
+    ).cast("array<struct<rule:string,action:string,passed:bigint,failed:bigint>>")
+    return counts.select("total", F.inline(entries)).select("rule", "action", "passed", "failed", "total")
 
 
 def violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -115,17 +111,27 @@ def violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return metrics(df, gate).where(F.col("failed") > 0).select("rule", "failed")
 
 
+def raise_offenders(metric_rows: Iterable[Mapping]) -> None:
+    """Raise ``QualityError`` when collected metrics show a violated fail rule."""
+    offenders = {row["rule"]: row["failed"] for row in metric_rows if row["action"] == "fail" and row["failed"]}
+    if offenders:
+        raise QualityError(offenders)
+
+
 def fail_gate(df: DataFrame, rules: Sequence[Rule]) -> None:
     """Raise ``QualityError`` when a fail rule is violated. Runs before anything is written."""
-    if _with_action(rules, "fail"):
-        offenders = {row["rule"]: row["failed"] for row in violations(df, rules).collect()}
-        if offenders:
-            raise QualityError(offenders)
+    gate = _with_action(rules, "fail")
+    if gate:
+        raise_offenders(row.asDict() for row in metrics(df, gate).collect())
+
+
+def keep_condition(rules: Sequence[Rule]) -> Column:
+    return _all_hold(_with_action(rules, "drop", "quarantine"))
 
 
 def keep(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows that no drop rule and no quarantine rule rejects."""
-    return df.where(_all_hold(_with_action(rules, "drop", "quarantine")))
+    return df.where(keep_condition(rules))
 
 
 def quarantine(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

@@ -13,12 +13,20 @@ from pyspark.sql import functions as F
 
 from oreflow.functions.clock import AsOf, moment
 from oreflow.functions.params import render
-from oreflow.operators.cdc import DELETED, SEQUENCE, ChangeRules, apply_changes, change_rows, split_changes
+from oreflow.operators.cdc import (
+    DELETED,
+    SEQUENCE,
+    ChangeRules,
+    apply_changes,
+    change_rows,
+    split_changes,
+    usable_change,
+)
 from oreflow.operators.dedup import latest_by
 from oreflow.operators.filters import since
 from oreflow.operators.joins import join_master
 from oreflow.operators.project import add_metadata_columns, rtrim_strings, select_where
-from oreflow.operators.quality import Rule, fail_gate, keep, metrics, quarantine, rules_from_json
+from oreflow.operators.quality import Rule, fail_gate, keep, keep_condition, metrics, quarantine, rules_from_json
 
 
 @dataclass(frozen=True)
@@ -141,6 +149,10 @@ def checked_rows(rows: DataFrame, flow: SilverFlow) -> tuple[DataFrame, Sequence
     return rows, flow.rules
 
 
+# Action of the metric that counts applicable rows; it is not an expectation.
+REJECT = "reject"
+
+
 @dataclass(frozen=True)
 class SilverResult:
     changes: DataFrame
@@ -148,23 +160,33 @@ class SilverResult:
     metrics: DataFrame
 
 
+def split_silver(rows: DataFrame, rules: Sequence[Rule], changes: ChangeRules | None) -> SilverResult:
+    """Checked rows split by their rules, and all counts in one pass.
+
+    Rows without key or sequence cannot be applied and join the quarantine. The last metric, with action
+    ``REJECT``, tells how many of the kept rows can be applied.
+    """
+    kept, held = keep(rows, rules), quarantine(rows, rules)
+    usable = F.lit(True)
+    if changes:
+        marked = change_rows(kept, changes)
+        applied, rejected = split_changes(marked, changes)
+        held = held.unionByName(rejected.select(*held.columns))
+        kept = applied.drop(SEQUENCE, DELETED)
+        usable = usable_change(changes, F.expr(changes.sequence_by))
+    counts = metrics(rows, [*rules], within=keep_condition(rules), extra={REJECT: usable})
+    return SilverResult(kept, held, counts)
+
+
 def silver_changes(
     bronze_rows: DataFrame, flow: SilverFlow, as_of: dt.datetime | None = None, gate: bool = True
 ) -> SilverResult:
-    """Business rows that passed the expectations, the rows that did not, and the counts.
-
-    Rows without key or sequence cannot be applied and join the quarantine.
-    """
+    """Business rows that passed the expectations, the rows that did not, and the counts."""
     rows, rules = checked_rows(silver_rows(bronze_rows, flow, as_of), flow)
     if gate:
         fail_gate(rows, rules)
-    kept, held = keep(rows, rules), quarantine(rows, rules)
-    if flow.changes:
-        marked = change_rows(kept, flow.changes)
-        usable, rejected = split_changes(marked, flow.changes)
-        kept = usable.drop(SEQUENCE, DELETED)
-        held = held.unionByName(rejected.drop(SEQUENCE, DELETED).select(*held.columns))
-    return SilverResult(kept, held, metrics(rows, rules))
+    result = split_silver(rows, rules, flow.changes)
+    return SilverResult(result.changes, result.quarantined, result.metrics.where(F.col("action") != REJECT))
 
 
 def silver(bronze_rows: DataFrame, flow: SilverFlow, as_of: dt.datetime | None = None, gate: bool = False) -> DataFrame:
@@ -175,5 +197,5 @@ def silver(bronze_rows: DataFrame, flow: SilverFlow, as_of: dt.datetime | None =
 
 __all__ = [
     "BronzeFlow", "SilverFlow", "SilverResult", "bronze", "bronze_flow_of", "change_rules_of",
-    "checked_rows", "ingest", "silver", "silver_changes", "silver_flow_of", "silver_rows",
+    "REJECT", "checked_rows", "ingest", "silver", "silver_changes", "silver_flow_of", "silver_rows", "split_silver",
 ]

@@ -159,15 +159,16 @@ def metadata_versions(
 
 
 def with_active_flag(versions: DataFrame) -> DataFrame:
-    """Mark the newest version of each dataflow. All rows stay, so the newest is found by a pre-aggregated group
-    and joined back; a window would bring all versions of a dataflow into one task."""
-    order = F.struct("created_at", "version_id")
-    newest = versions.groupBy("dataflow_id").agg(F.max(order).alias("_newest"))
-    return (
-        versions.join(newest, "dataflow_id")
-        .withColumn("is_active", order == F.col("_newest"))
-        .select(*versions.columns)
-    )
+    """Mark the newest version of each dataflow.
+
+    All rows stay, so the newest is found first, cut down before its shuffle, and joined back. The join key is the
+    whole identity of a version, which spreads the versions of a busy dataflow over all tasks; a window over all
+    rows, or a join on the dataflow alone, would bring them into one.
+    """
+    identity = ["dataflow_id", "created_at", "version_id"]
+    newest = latest_by(versions.select(*identity), identity[:1], ["created_at DESC", "version_id DESC"])
+    marked = versions.join(newest.withColumn("_active", F.lit(True)), identity, "left")
+    return marked.withColumn("is_active", F.coalesce("_active", F.lit(False))).select(*versions.columns)
 
 
 def active_versions(versions: DataFrame) -> DataFrame:

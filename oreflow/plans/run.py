@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -13,12 +14,14 @@ from oreflow.functions.clock import moment
 from oreflow.functions.params import query_values, render
 from oreflow.operators.quality import event_log
 from oreflow.operators.validation import TableChecks, validate
+from oreflow.plans.alerts import at_level, chat_payloads, monitoring_history, monitoring_status, run_checks
 from oreflow.plans.flows import BronzeFlow, SilverFlow, bronze_flow_of, ingest, silver_flow_of
 from oreflow.plans.history import StageRun, lineage_edges, metadata_versions
+from oreflow.plans.monitor import Thresholds
 from oreflow.plans.spec import SPEC_SCHEMA, bronze_specs, silver_specs
 from oreflow.sources.readers import open_table, read_jdbc, read_source
 from oreflow.sources.sinks import read_merged, write_table
-from oreflow.sources.target import ChangeTarget
+from oreflow.sources.target import BATCH, ChangeTarget
 from oreflow.streaming.flows import SilverBatches, bronze_stream, observed_rows, silver_stream
 
 LAYERS = {"bronze": ("bronze",), "silver": ("silver",), "bronze_silver": ("bronze", "silver")}
@@ -61,16 +64,17 @@ class Workspace:
     def checkpoint(self, flow: BronzeFlow | SilverFlow, layer: str) -> str:
         return f"{self.root}/checkpoints/{flow.dataflow_id}/{layer}/g{self.generation(flow.dataflow_id, layer)}"
 
-    def silver_target(self, flow: SilverFlow) -> ChangeTarget:
-        if flow.changes is None:
-            raise ValueError(f"silver flow {flow.dataflow_id!r} has no change rules")
-        return ChangeTarget(self.spark, self.layer_path(flow, "silver"), flow.changes)
+    def silver_target(self, flow: SilverFlow) -> ChangeTarget | str:
+        """The change target of a silver table; without change rules just the path that batches are appended to."""
+        path = self.layer_path(flow, "silver")
+        return ChangeTarget(self.spark, path, flow.changes) if flow.changes else path
 
     def table(self, flow: BronzeFlow | SilverFlow, layer: str) -> DataFrame | None:
         """The current rows of a layer, None before its first run."""
-        if layer == "silver":
+        if layer == "silver" and flow.changes:
             return self.silver_target(flow).current()
-        return open_table(self.spark, self.layer_path(flow, layer))
+        held = open_table(self.spark, self.layer_path(flow, layer), mergeSchema="true")
+        return held.drop(BATCH) if held is not None and layer == "silver" else held
 
 
 @dataclass
@@ -157,7 +161,7 @@ def run_silver(
         schema = read_merged(ws.spark, source).schema
         rows = read_source(ws.spark, source, schema=schema, stream=True)
         target = ws.silver_target(flow)
-        batches = SilverBatches(flow, target, f"{target.path}_quarantine", as_of)
+        batches = SilverBatches(flow, target, f"{ws.layer_path(flow, 'silver')}_quarantine", as_of)
         silver_stream(rows, batches, ws.checkpoint(flow, "silver")).awaitTermination()
         run.rows = batches.rows
         result.quality = list(batches.metrics.values())
@@ -207,6 +211,31 @@ def record_metadata(ws: Workspace, specs: DataFrame, execution_id: str, author:
     versions.write.mode("append").parquet(ws.metadata("metadata_versions"))
 
 
+@dataclass(frozen=True)
+class MonitoringRun:
+    alerts: DataFrame
+    payloads: DataFrame
+    status: DataFrame
+
+
+def run_monitoring(
+    spark: SparkSession, root: str, as_of: dt.datetime | None = None, t: Thresholds = Thresholds(), level: str = "all"
+) -> MonitoringRun:
+    """Check the run history of a workspace and append the outcome to the monitoring history.
+
+    The alerts of this run are stored first, so that nothing below computes the checks again. The level limits the
+    payloads only; history and status count all alerts.
+    """
+    ws = Workspace(spark, root)
+    history = open_table(spark, ws.metadata("pipeline_execution_history"))
+    if history is None:
+        raise ValueError(f"no run history below {root}")
+    found = run_checks(history, f"{ws.metadata('alerts')}/run={uuid.uuid4().hex}", as_of, t)
+    rows = monitoring_history(found, as_of, t.window_hours)
+    write_table(rows, ws.metadata("monitoring_history"), "append", ["monitoring_date"])
+    return MonitoringRun(found, chat_payloads(at_level(found, level)), monitoring_status(found, as_of))
+
+
 def run_dataflow(
     spark: SparkSession, spec: Row, root: str, trigger_time: dt.datetime, full_refresh: bool = False,
     credentials: Mapping[str, str] | None = None, as_of: dt.datetime | None = None,

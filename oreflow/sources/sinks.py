@@ -32,14 +32,15 @@ def write_table(
 ) -> int:
     """Write and return the number of rows, counted during the write itself.
 
-    A partitioned overwrite replaces only the partitions it writes to.
+    A partitioned overwrite replaces only the partitions it writes to. Counting comes after the last shuffle: a
+    stage before it may run again when an executor is lost, and would count twice.
     """
-    written = Observation()
-    df = df.observe(written, F.count(F.lit(1)).alias("rows"))
     if cluster_by:
         df = clustered(df, cluster_by)
     elif balance:
         df = balanced(df, partition_by)
+    written = Observation()
+    df = df.observe(written, F.count(F.lit(1)).alias("rows"))
     writer = df.write.format(fmt).mode(mode).options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)

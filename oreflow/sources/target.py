@@ -39,10 +39,18 @@ class ChangeTarget:
         self.rules = rules
 
     def append(self, changes: DataFrame, batch_id: int) -> None:
-        """Apply a batch of business rows. The same batch id again replaces the batch."""
-        usable, _ = split_changes(change_rows(changes, self.rules), self.rules)
+        """Apply a batch of business rows. The same batch id again replaces the batch.
+
+        Rows without key or sequence cannot be applied; they are kept, with the reason, under ``rejected``.
+        """
+        usable, rejected = split_changes(change_rows(changes, self.rules), self.rules)
+        rejected.write.mode("overwrite").parquet(f"{self.path}/rejected/{BATCH}={batch_id}")
         self.append_reduced(latest_changes(usable, self.rules), batch_id)
 
+    def rejected(self) -> DataFrame | None:
+        """Rows that ``append`` could not apply."""
+        return open_table(self.spark, f"{self.path}/rejected", mergeSchema="true")
+
     def append_reduced(self, latest: DataFrame, batch_id: int) -> None:
         latest.write.mode("overwrite").parquet(f"{self.path}/changes/{BATCH}={batch_id}")
         self._log("changes", batch_id)

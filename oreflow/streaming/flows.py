@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from oreflow.operators.cdc import change_rows, latest_changes, split_changes, usable_change
-from oreflow.operators.quality import fail_gate, keep, metrics_of, observed_metrics, quarantine
-from oreflow.plans.flows import BronzeFlow, SilverFlow, bronze, checked_rows, silver_rows
-from oreflow.sources.target import ChangeTarget
+from oreflow.operators.cdc import change_rows, latest_changes
+from oreflow.operators.quality import raise_offenders
+from oreflow.plans.flows import REJECT, BronzeFlow, SilverFlow, bronze, checked_rows, silver_rows, split_silver
+from oreflow.sources.sinks import read_merged
+from oreflow.sources.target import BATCH, ChangeTarget
 
 
 def append_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -41,6 +42,23 @@ def apply_changes_stream(
     return batch_stream(stream, lambda batch, n: target.append(batch, first_batch + n), checkpoint)
 
 
+def append_flow_streams(sources: Mapping[str, DataFrame], path: str, checkpoint: str) -> list[StreamingQuery]:
+    """Several streams into one table, each with a checkpoint of its own.
+
+    A file sink takes one query only, so every flow writes below its own folder; ``read_flows`` reads them as one.
+    """
+    def writer(name: str) -> Callable[[DataFrame, int], None]:
+        return lambda batch, n: batch.write.mode("overwrite").parquet(f"{path}/{FLOW}={name}/{BATCH}={n}")
+
+    return [batch_stream(stream, writer(name), f"{checkpoint}/{name}") for name, stream in sources.items()]
+
+
+def read_flows(spark: SparkSession, path: str) -> DataFrame:
+    """The table that ``append_flow_streams`` writes; columns that a flow lacks are null."""
+    return read_merged(spark, path).drop(FLOW, BATCH)
+
+
+FLOW = "_flow"
 WRITTEN = "rows_written"
 
 
@@ -62,42 +80,41 @@ def observed_rows(query: StreamingQuery) -> int | None:
 
 
 class SilverBatches:
-    """Micro-batches of a silver flow: expectations, quarantine, then the target.
+    """Micro-batches of a silver flow: expectations, quarantine, then the target or, without change rules, a plain
+    table at ``path``.
 
-    Every output of a batch goes to a folder named by the batch id, so a repeated batch replaces itself. The fail
-    rules are counted before anything is written; all other counts ride along with the write. They also tell
-    whether there is anything to quarantine, so a clean batch is not read again for it.
+    One narrow pass counts everything before anything is written: the fail rules decide whether the batch may be
+    written, and the other counts whether there is anything to quarantine. Counting apart from the write keeps the
+    numbers exact when a stage of the write has to run again. Every output of a batch goes to a folder named by
+    the batch id, so a repeated batch replaces itself.
     """
 
     def __init__(
-        self, flow: SilverFlow, target: ChangeTarget, quarantine_path: str, as_of: dt.datetime | None = None
+        self, flow: SilverFlow, target: ChangeTarget | str, quarantine_path: str, as_of: dt.datetime | None = None
     ):
         self.flow, self.target, self.quarantine_path, self.as_of = flow, target, quarantine_path, as_of
         self.rows = 0
         self.metrics: dict[str, dict] = {}
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        flow, changes = self.flow, self.target.rules
-        rows, rules = checked_rows(silver_rows(batch, flow, self.as_of), flow)
-        fail_gate(rows, rules)
-        checked, passed = Observation(), Observation()
-        kept = keep(rows.observe(checked, *observed_metrics(rules)), rules)
-        marked = change_rows(kept, changes).observe(
-            passed, F.count(F.lit(1)).alias("rows"), F.count_if(~usable_change(changes)).alias("unusable")
-        )
-        usable, _ = split_changes(marked, changes)
-        self.target.append_reduced(latest_changes(usable, changes), batch_id)
-        counts = metrics_of(checked, rules)
-        self._count(counts, passed.get["rows"])
-        if passed.get["unusable"] or any(c["failed"] for c in counts if c["action"] == "quarantine"):
-            _, rejected = split_changes(change_rows(keep(rows, rules), changes), changes)
-            held = quarantine(rows, rules)
-            held = held.unionByName(rejected.select(*held.columns))
-            held.write.mode("overwrite").parquet(f"{self.quarantine_path}/_batch={batch_id}")
-
-    def _count(self, rows: list[dict], total: int) -> None:
-        self.rows += total
-        for row in rows:
+        changes = self.flow.changes
+        rows, rules = checked_rows(silver_rows(batch, self.flow, self.as_of), self.flow)
+        result = split_silver(rows, rules, changes)
+        counts = [row.asDict() for row in result.metrics.collect()]
+        raise_offenders(counts)
+        if isinstance(self.target, ChangeTarget):
+            self.target.append_reduced(latest_changes(change_rows(result.changes, changes), changes), batch_id)
+        else:
+            result.changes.write.mode("overwrite").parquet(f"{self.target}/{BATCH}={batch_id}")
+        if any(c["failed"] for c in counts if c["action"] in ("quarantine", REJECT)):
+            result.quarantined.write.mode("overwrite").parquet(f"{self.quarantine_path}/{BATCH}={batch_id}")
+        self._count(counts)
+
+    def _count(self, counts: list[dict]) -> None:
+        for row in counts:
+            if row["action"] == REJECT:
+                self.rows += row["passed"]
+                continue
             known = self.metrics.setdefault(row["rule"], {**row, "passed": 0, "failed": 0, "total": 0})
             for name in ("passed", "failed", "total"):
                 known[name] += row[name]
@@ -108,6 +125,6 @@ def silver_stream(bronze_rows: DataFrame, batches: SilverBatches, checkpoint: st
 
 
 __all__ = [
-    "SilverBatches", "append_stream", "apply_changes_stream", "batch_stream", "bronze_stream",
-    "observed_rows", "silver_stream",
+    "SilverBatches", "append_flow_streams", "append_stream", "apply_changes_stream", "batch_stream", "bronze_stream",
+    "observed_rows", "read_flows", "silver_stream",
 ]

@@ -226,6 +226,12 @@ class TestChangeTarget:
             target.append(batches[number], number)
         assert live(target.current()) == state_of(rows)
 
+    def test_rows_that_cannot_be_applied_are_kept_aside(self, spark, tmp_path):
+        target = ChangeTarget(spark, f"{tmp_path}/t", RULES)
+        assert target.rejected() is None
+        target.append(spark.createDataFrame([(1, 1, "I", "a"), (None, 2, "I", "b")], SCHEMA), 0)
+        assert [(r["v"], r["failed_rules"]) for r in target.rejected().collect()] == [("b", ["null key: k"])]
+
     def test_an_unfinished_batch_is_not_read(self, spark, tmp_path):
         rows, batches = self.batches(spark)
         target = ChangeTarget(spark, f"{tmp_path}/t", RULES)

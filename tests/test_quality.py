@@ -80,14 +80,6 @@ def test_event_log_round_trip(spark, rows):
     assert {(r["rule"], r["passed"], r["failed"]) for r in back} == {("id_set", 3, 1), ("mail", 2, 2), ("positive", 2, 2)}
 
 
-def test_metrics_ride_along_with_a_write(spark, rows, tmp_path):
-    from pyspark.sql import Observation
-
-    seen = Observation()
-    rows.observe(seen, *q.observed_metrics(RULES)).write.parquet(f"{tmp_path}/out")
-    assert [(m["rule"], m["failed"]) for m in q.metrics_of(seen, RULES)] == [("id_set", 1), ("mail", 2), ("positive", 2)]
-
-
 def results(df):
     return {(r["table"], r["check"]): (r["status"], r["message"]) for r in df.collect()}
 

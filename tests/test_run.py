@@ -227,3 +227,42 @@ def test_deduplication_and_clause_parameters(spark):
     assert found == {(1, "D"), (2, "U")}
     with pytest.raises(ValueError):
         flows.bronze(rows, flows.BronzeFlow(source={}, target={}, transformations=[{"type": "odd"}]))
+
+
+def test_silver_without_change_rules_appends(spark, tmp_path):
+    world = World(spark, tmp_path, cdc_apply_changes=None)
+    world.sources([(1, 1, "I", day(1)), (2, 1, "U", day(1))], [(1, "one", 1.0)])
+    assert world.run().rows["silver"] == 2
+    assert world.run(cursor="2025-01-01").rows["silver"] == 0
+    specs = sp.specs_frame(spark, [document(tmp_path, cdc_apply_changes=None)])
+    table = rn.Workspace(spark, f"{tmp_path}/lake").table(rn.silver_flow_of(sp.silver_specs(specs).first()), "silver")
+    assert sorted(r["seq"] for r in table.collect()) == [1, 2] and "_batch" not in table.columns
+
+
+def test_monitoring_run(spark, tmp_path):
+    world = World(spark, tmp_path)
+    with pytest.raises(ValueError):
+        rn.run_monitoring(spark, f"{tmp_path}/lake")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        world.run()
+    run = rn.run_monitoring(spark, f"{tmp_path}/lake", level="critical")
+    assert [r["alert_type"] for r in run.alerts.collect()] == ["Pipeline Failure"]
+    assert run.payloads.count() == 1 and run.status.first()["status"] == "warning"
+    rn.run_monitoring(spark, f"{tmp_path}/lake")
+    rows = world.metadata("monitoring_history").collect()
+    assert [(r["alert_count"], r["critical_count"]) for r in rows] == [(1, 1), (1, 1)]
+
+
+def test_several_streams_into_one_table(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/a")
+    spark.range(2).withColumn("name", F.lit("x")).write.parquet(f"{tmp_path}/b")
+
+    def feed():
+        streams = {n: rn.read_source(spark, f"{tmp_path}/{n}", stream=True) for n in "ab"}
+        for query in st.append_flow_streams(streams, f"{tmp_path}/out", f"{tmp_path}/checkpoint"):
+            query.awaitTermination()
+        return sorted((r["id"], r["name"] or "") for r in st.read_flows(spark, f"{tmp_path}/out").collect())
+
+    assert feed() == [(0, ""), (0, "x"), (1, ""), (1, "x"), (2, "")]
+    spark.range(7, 8).write.mode("append").parquet(f"{tmp_path}/a")
+    assert len(feed()) == 6
