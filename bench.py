@@ -15,7 +15,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from checks.queries import QUERIES  # noqa: E402
+from oreflow_checks.queries import QUERIES  # noqa: E402
 from oreflow.session import build_session  # noqa: E402
 
 HEADLINE = [

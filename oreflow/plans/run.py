@@ -5,7 +5,9 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +23,8 @@ from oreflow.plans.monitor import Thresholds
 from oreflow.plans.spec import SPEC_SCHEMA, bronze_specs, silver_specs
 from oreflow.sources.readers import open_table, read_jdbc, read_source
 from oreflow.sources.sinks import read_merged, write_table
-from oreflow.sources.target import BATCH, ChangeTarget
-from oreflow.streaming.flows import SilverBatches, bronze_stream, observed_rows, silver_stream
+from oreflow.sources.target import BATCH, SOURCE, ChangeTarget
+from oreflow.streaming.flows import FLOW, SilverBatches, bronze_stream, observed_rows, silver_stream
 
 LAYERS = {"bronze": ("bronze",), "silver": ("silver",), "bronze_silver": ("bronze", "silver")}
 REQUIRED_LOAD_COLUMNS = ("ingest_dt", "_source_system", "_dataflow_id")
@@ -40,29 +42,47 @@ class Workspace:
     def path(self, details: Mapping[str, str]) -> str:
         return "/".join([self.root, details["catalog"], details["database"], details["table"]])
 
-    def metadata(self, name: str) -> str:
-        return f"{self.root}/metadata/{name}"
+    def metadata(self, name: str, dataflow_id: str | None = None) -> str:
+        """Folder of a metadata table, or the part of it that one dataflow writes to.
+
+        Two jobs that append to the same folder can remove each other's unfinished files, so dataflows that run
+        side by side keep to folders of their own.
+        """
+        base = f"{self.root}/metadata/{name}"
+        return base if dataflow_id is None else f"{base}/{FLOW}={quote(dataflow_id, safe='')}"
+
+    def read_metadata(self, name: str) -> DataFrame | None:
+        """A metadata table over all dataflows."""
+        held = open_table(self.spark, self.metadata(name), mergeSchema="true")
+        return None if held is None else held.drop(FLOW)
 
     def generation(self, dataflow_id: str, layer: str) -> int:
-        known = open_table(self.spark, self.metadata("generations"))
+        known = open_table(self.spark, self.metadata("generations", dataflow_id))
         if known is None:
             return 0
-        mine = known.where((F.col("dataflow_id") == dataflow_id) & (F.col("layer") == layer))
-        return mine.agg(F.max("generation")).first()[0] or 0
+        return known.where(F.col("layer") == layer).agg(F.max("generation")).first()[0] or 0
 
     def next_generation(self, dataflow_id: str, layer: str) -> int:
         number = self.generation(dataflow_id, layer) + 1
         row = self.spark.range(0, 1, 1, 1).select(
             F.lit(dataflow_id).alias("dataflow_id"), F.lit(layer).alias("layer"), F.lit(number).alias("generation")
         )
-        row.write.mode("append").parquet(self.metadata("generations"))
+        row.write.mode("append").parquet(self.metadata("generations", dataflow_id))
         return number
 
+    def _version(self, flow: BronzeFlow | SilverFlow, layer: str) -> str:
+        """A silver table that only appends cannot take the rows of a rebuilt bronze table a second time, so it
+        starts anew with it; applying changes twice does no harm."""
+        version = f"g{self.generation(flow.dataflow_id, layer)}"
+        if isinstance(flow, SilverFlow) and flow.changes is None:
+            version += f"-{self.generation(flow.dataflow_id, 'bronze')}"
+        return version
+
     def layer_path(self, flow: BronzeFlow | SilverFlow, layer: str) -> str:
-        return f"{self.path(flow.target)}/g{self.generation(flow.dataflow_id, layer)}"
+        return f"{self.path(flow.target)}/{self._version(flow, layer)}"
 
     def checkpoint(self, flow: BronzeFlow | SilverFlow, layer: str) -> str:
-        return f"{self.root}/checkpoints/{flow.dataflow_id}/{layer}/g{self.generation(flow.dataflow_id, layer)}"
+        return f"{self.root}/checkpoints/{quote(flow.dataflow_id, safe='')}/{layer}/{self._version(flow, layer)}"
 
     def silver_target(self, flow: SilverFlow) -> ChangeTarget | str:
         """The change target of a silver table; without change rules just the path that batches are appended to."""
@@ -74,7 +94,7 @@ class Workspace:
         if layer == "silver" and flow.changes:
             return self.silver_target(flow).current()
         held = open_table(self.spark, self.layer_path(flow, layer), mergeSchema="true")
-        return held.drop(BATCH) if held is not None and layer == "silver" else held
+        return held.drop(SOURCE, BATCH) if held is not None and layer == "silver" else held
 
 
 @dataclass
@@ -170,11 +190,11 @@ def run_silver(
                 result.quality, "rule string, action string, passed bigint, failed bigint, total bigint"
             )
             log = event_log(seen, flow.dataflow_id, moment(as_of))
-            log.coalesce(1).write.mode("append").parquet(ws.metadata("event_log"))
+            log.coalesce(1).write.mode("append").parquet(ws.metadata("event_log", flow.dataflow_id))
 
 
 def _stage(ws: Workspace, dataflow_id: str, group: str, stage: str, result: RunResult) -> StageRun:
-    run = _RecordedStage(ws.spark, ws.metadata("pipeline_execution_history"), dataflow_id, stage, group or "")
+    run = _RecordedStage(ws.spark, ws.metadata("pipeline_execution_history", dataflow_id), dataflow_id, stage, group or "")
     run.result = result
     result.executions[stage] = run.execution_id
     return run
@@ -201,14 +221,14 @@ def layer_checks(ws: Workspace, spec: Row, bronze_flow: BronzeFlow, silver_flow:
     }
 
 
-def record_metadata(ws: Workspace, specs: DataFrame, execution_id: str, author: str = "oreflow") -> None:
+def record_metadata(ws: Workspace, dataflow_id: str, specs: DataFrame, execution_id: str, author: str = "oreflow") -> None:
     """Append the lineage of a run, and a metadata version where the metadata is new."""
-    lineage_edges(specs, execution_id).write.mode("append").parquet(ws.metadata("data_lineage"))
+    lineage_edges(specs, execution_id).write.mode("append").parquet(ws.metadata("data_lineage", dataflow_id))
     versions = metadata_versions(specs, author)
-    known = open_table(ws.spark, ws.metadata("metadata_versions"))
+    known = open_table(ws.spark, ws.metadata("metadata_versions", dataflow_id))
     if known is not None:
         versions = versions.join(known.select("version_id"), "version_id", "left_anti").select(*versions.columns)
-    versions.write.mode("append").parquet(ws.metadata("metadata_versions"))
+    versions.write.mode("append").parquet(ws.metadata("metadata_versions", dataflow_id))
 
 
 @dataclass(frozen=True)
@@ -227,7 +247,7 @@ def run_monitoring(
     payloads only; history and status count all alerts.
     """
     ws = Workspace(spark, root)
-    history = open_table(spark, ws.metadata("pipeline_execution_history"))
+    history = ws.read_metadata("pipeline_execution_history")
     if history is None:
         raise ValueError(f"no run history below {root}")
     found = run_checks(history, f"{ws.metadata('alerts')}/run={uuid.uuid4().hex}", as_of, t)
@@ -249,11 +269,29 @@ def run_dataflow(
     run_ingestion(ws, spec, trigger_time, result, credentials)
     run_bronze(ws, bronze_flow, result, group, full_refresh)
     run_silver(ws, silver_flow, result, group, full_refresh, as_of)
-    record_metadata(ws, specs, result.executions["silver"])
+    record_metadata(ws, result.dataflow_id, specs, result.executions["silver"])
     result.validation = validate(spark, layer_checks(ws, spec, bronze_flow, silver_flow))
     return result
 
 
+def run_dataflows(
+    spark: SparkSession, specs: DataFrame, root: str, trigger_time: dt.datetime, parallel: int = 1, **options
+) -> list[RunResult]:
+    """Run several dataflows, ``parallel`` of them at a time. One that fails does not stop the others; the errors
+    are raised together at the end."""
+    results, errors = [], []
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        runs = [pool.submit(run_dataflow, spark, row, root, trigger_time, **options) for row in specs.collect()]
+        for run in runs:
+            try:
+                results.append(run.result())
+            except Exception as error:
+                errors.append(error)
+    if errors:
+        raise ExceptionGroup("dataflows failed", errors)
+    return results
+
+
 def run_layer(
     spark: SparkSession, root: str, layer: str | None, group: str | None = None,
     bronze: DataFrame | None = None, silver: DataFrame | None = None, full_refresh: bool = False,

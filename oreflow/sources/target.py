@@ -8,7 +8,7 @@ batches into a new base from time to time. Because merging change rows may be re
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.functions.schema import struct
@@ -23,14 +23,17 @@ from oreflow.operators.cdc import (
 )
 from oreflow.sources.readers import open_table
 
-BATCH = "_batch"
-LOG_SCHEMA = struct({"kind": "string", "batch": "bigint"})
+SOURCE, BATCH = "_source", "_batch"
+LOG_SCHEMA = struct({"number": "bigint", "kind": "string", "source": "string", "batch": "bigint"})
 
 
 class ChangeTarget:
-    """Layout below ``path``: ``changes/_batch=N`` and ``base/upto=N`` hold change rows, ``log`` the finished ones.
+    """Layout below ``path``: ``changes/_source=S/_batch=N`` and ``base/upto=M`` hold change rows, ``log`` numbers the
+    finished ones. A base holds everything up to its number.
 
-    Readers see only what the log names, and an entry is logged after its files are complete. One writer at a time.
+    A batch is known by its source and id, so batches of another stream, or of the same stream after it lost its
+    checkpoint, never replace each other. Readers see only what the log names, and an entry is logged after its
+    files are complete. One writer at a time.
     """
 
     def __init__(self, spark: SparkSession, path: str, rules: ChangeRules):
@@ -38,54 +41,60 @@ class ChangeTarget:
         self.path = path.rstrip("/")
         self.rules = rules
 
-    def append(self, changes: DataFrame, batch_id: int) -> None:
-        """Apply a batch of business rows. The same batch id again replaces the batch.
+    def append(self, changes: DataFrame, batch_id: int, source: str = "batch") -> None:
+        """Apply a batch of business rows. The same batch of the same source again replaces the first.
 
         Rows without key or sequence cannot be applied; they are kept, with the reason, under ``rejected``.
         """
         usable, rejected = split_changes(change_rows(changes, self.rules), self.rules)
-        rejected.write.mode("overwrite").parquet(f"{self.path}/rejected/{BATCH}={batch_id}")
-        self.append_reduced(latest_changes(usable, self.rules), batch_id)
+        rejected.write.mode("overwrite").parquet(f"{self.path}/rejected/{self._place(source, batch_id)}")
+        self.append_reduced(latest_changes(usable, self.rules), batch_id, source)
+
+    def append_reduced(self, latest: DataFrame, batch_id: int, source: str = "batch") -> None:
+        latest.write.mode("overwrite").parquet(f"{self.path}/changes/{self._place(source, batch_id)}")
+        folded, entries = self._pending()
+        self._log(max([folded or 0, *[e["number"] for e in entries]]) + 1, "changes", source, batch_id)
 
     def rejected(self) -> DataFrame | None:
         """Rows that ``append`` could not apply."""
-        return open_table(self.spark, f"{self.path}/rejected", mergeSchema="true")
-
-    def append_reduced(self, latest: DataFrame, batch_id: int) -> None:
-        latest.write.mode("overwrite").parquet(f"{self.path}/changes/{BATCH}={batch_id}")
-        self._log("changes", batch_id)
-
-    def _log(self, kind: str, batch_id: int) -> None:
-        entry = self.spark.range(0, 1, 1, 1).select(F.lit(kind).alias("kind"), F.lit(batch_id).cast("long").alias("batch"))
+        held = open_table(self.spark, f"{self.path}/rejected", mergeSchema="true")
+        return None if held is None else held.drop(SOURCE, BATCH)
+
+    @staticmethod
+    def _place(source: str, batch_id: int) -> str:
+        return f"{SOURCE}={source}/{BATCH}={batch_id}"
+
+    def _log(self, number: int, kind: str, source: str | None = None, batch_id: int | None = None) -> None:
+        values = {"number": number, "kind": kind, "source": source, "batch": batch_id}
+        entry = self.spark.range(0, 1, 1, 1).select(
+            *[F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in LOG_SCHEMA.fields]
+        )
         entry.write.mode("append").parquet(f"{self.path}/log")
 
-    def _logged(self) -> tuple[int | None, int | None]:
-        """(last batch that the base contains, last batch written); two numbers from a table of few rows."""
+    def _pending(self) -> tuple[int | None, list[Row]]:
+        """(number the base holds, batches logged since); as many rows as there are uncompacted batches."""
         log = open_table(self.spark, f"{self.path}/log", schema=LOG_SCHEMA)
         if log is None:
-            return None, None
-        row = log.agg(
-            F.max(F.when(F.col("kind") == "base", F.col("batch"))),
-            F.max(F.when(F.col("kind") == "changes", F.col("batch"))),
-        ).first()
-        return row[0], row[1]
+            return None, []
+        folded = log.where(F.col("kind") == "base").agg(F.max("number")).first()[0]
+        entries = log.where((F.col("kind") == "changes") & (F.col("number") > (folded or 0)))
+        return folded, entries.orderBy("number").collect()
 
     def state(self, small_batches: bool = False) -> DataFrame | None:
         """Change rows, one per key, tombstones included; None when nothing was ever written.
 
         ``small_batches`` chooses the merge that leaves the base unshuffled while the batches can be broadcast.
         """
-        folded, last = self._logged()
-        if last is None:
-            return None
+        return self._state(*self._pending(), small_batches)
+
+    def _state(self, folded: int | None, entries: list[Row], small_batches: bool) -> DataFrame | None:
         base = None if folded is None else self.spark.read.parquet(f"{self.path}/base/upto={folded}")
-        if base is not None and folded >= last:
+        if not entries:
             return base
-        pending = self.spark.read.option("mergeSchema", "true").parquet(f"{self.path}/changes")
-        pending = pending.where(F.col(BATCH) <= last)
+        places = dict.fromkeys(f"{self.path}/changes/{self._place(e['source'], e['batch'])}" for e in entries)
+        pending = self.spark.read.option("mergeSchema", "true").parquet(*places)
         if base is None:
-            return latest_changes(pending.drop(BATCH), self.rules)
-        pending = pending.where(F.col(BATCH) > folded).drop(BATCH)
+            return latest_changes(pending, self.rules)
         merge = overlay_changes if small_batches else merge_changes
         return merge(base, pending, self.rules)
 
@@ -95,15 +104,16 @@ class ChangeTarget:
         return None if state is None else live_rows(state, self.rules)
 
     def compact(self, small_batches: bool = False) -> int | None:
-        """Fold all batches into a new base and return the last batch it holds.
+        """Fold all batches into a new base and return the number it holds.
 
         Rows are sorted by key within each file, which the merge has done already, so that row groups can be
         skipped on key lookups without another shuffle. Old files stay for readers that still use them.
         """
-        folded, last = self._logged()
-        if last is None or folded == last:
+        folded, entries = self._pending()
+        if not entries:
             return folded
-        base = self.state(small_batches).sortWithinPartitions(*self.rules.keys)
+        last = entries[-1]["number"]
+        base = self._state(folded, entries, small_batches).sortWithinPartitions(*self.rules.keys)
         base.write.mode("overwrite").parquet(f"{self.path}/base/upto={last}")
-        self._log("base", last)
+        self._log(last, "base")
         return last

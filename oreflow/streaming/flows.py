@@ -13,7 +13,7 @@ from oreflow.operators.cdc import change_rows, latest_changes
 from oreflow.operators.quality import raise_offenders
 from oreflow.plans.flows import REJECT, BronzeFlow, SilverFlow, bronze, checked_rows, silver_rows, split_silver
 from oreflow.sources.sinks import read_merged
-from oreflow.sources.target import BATCH, ChangeTarget
+from oreflow.sources.target import BATCH, SOURCE, ChangeTarget
 
 
 def append_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -35,11 +35,14 @@ def batch_stream(
     )
 
 
-def apply_changes_stream(
-    stream: DataFrame, target: ChangeTarget, checkpoint: str, first_batch: int = 0
-) -> StreamingQuery:
+def stream_id(batch: DataFrame) -> str:
+    """The identity of the stream that a micro-batch belongs to; it lives as long as the checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
+def apply_changes_stream(stream: DataFrame, target: ChangeTarget, checkpoint: str) -> StreamingQuery:
     """Type-1 changes from a stream of business rows into a target."""
-    return batch_stream(stream, lambda batch, n: target.append(batch, first_batch + n), checkpoint)
+    return batch_stream(stream, lambda batch, n: target.append(batch, n, stream_id(batch)), checkpoint)
 
 
 def append_flow_streams(sources: Mapping[str, DataFrame], path: str, checkpoint: str) -> list[StreamingQuery]:
@@ -86,7 +89,7 @@ class SilverBatches:
     One narrow pass counts everything before anything is written: the fail rules decide whether the batch may be
     written, and the other counts whether there is anything to quarantine. Counting apart from the write keeps the
     numbers exact when a stage of the write has to run again. Every output of a batch goes to a folder named by
-    the batch id, so a repeated batch replaces itself.
+    its stream and id, so a repeated batch replaces itself.
     """
 
     def __init__(
@@ -102,12 +105,15 @@ class SilverBatches:
         result = split_silver(rows, rules, changes)
         counts = [row.asDict() for row in result.metrics.collect()]
         raise_offenders(counts)
+        source = stream_id(batch)
+        place = f"{SOURCE}={source}/{BATCH}={batch_id}"
         if isinstance(self.target, ChangeTarget):
-            self.target.append_reduced(latest_changes(change_rows(result.changes, changes), changes), batch_id)
+            latest = latest_changes(change_rows(result.changes, changes), changes)
+            self.target.append_reduced(latest, batch_id, source)
         else:
-            result.changes.write.mode("overwrite").parquet(f"{self.target}/{BATCH}={batch_id}")
+            result.changes.write.mode("overwrite").parquet(f"{self.target}/{place}")
         if any(c["failed"] for c in counts if c["action"] in ("quarantine", REJECT)):
-            result.quarantined.write.mode("overwrite").parquet(f"{self.quarantine_path}/{BATCH}={batch_id}")
+            result.quarantined.write.mode("overwrite").parquet(f"{self.quarantine_path}/{place}")
         self._count(counts)
 
     def _count(self, counts: list[dict]) -> None:

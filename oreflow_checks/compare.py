@@ -1,4 +1,4 @@
-"""Run registered queries against their SQL counterparts: ``python -m checks.compare [sf_dir] [query ...]``."""
+"""Run registered queries against their SQL counterparts: ``python -m oreflow_checks.compare [sf_dir] [query ...]``."""
 
 from __future__ import annotations
 
@@ -10,8 +10,8 @@ from pathlib import Path
 import duckdb
 from pyspark.sql import SparkSession
 
-from checks.oracle import ORACLE
-from checks.queries import QUERIES
+from oreflow_checks.oracle import ORACLE
+from oreflow_checks.queries import QUERIES
 from oreflow.session import build_session
 
 TABLES = (
@@ -56,7 +56,7 @@ def difference(spark: SparkSession, connection, name: str, sf_dir: str) -> str |
 def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(QUERIES)
-    spark = build_session("checks", "local[8]", **{"spark.sql.shuffle.partitions": "8"})
+    spark = build_session("oreflow-checks", "local[8]", **{"spark.sql.shuffle.partitions": "8"})
     spark.sparkContext.setLogLevel("ERROR")
     connection, bad = oracle_connection(sf_dir), 0
     for name in names:

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks import fixtures as fx
+from oreflow_checks import fixtures as fx
 from oreflow.functions.clock import moment
 from oreflow.functions.params import bind
 from oreflow.functions.text import detail_lines

@@ -210,11 +210,11 @@ class TestChangeTarget:
         assert target.current() is None and target.compact() is None
         target.append(batches[2], 0)
         target.append(batches[0], 1)
-        assert target.compact() == 1
-        assert target.compact() == 1
+        assert target.compact() == 2
+        assert target.compact() == 2
         target.append(batches[1], 2)
         assert live(target.current(small)) == state_of(rows)
-        assert target.compact(small) == 2
+        assert target.compact(small) == 3
         again = ChangeTarget(spark, f"{tmp_path}/t", RULES)
         assert live(again.current()) == state_of(rows)
         assert "Exchange" not in plan_of(again.current())
@@ -225,6 +225,18 @@ class TestChangeTarget:
         for number in (0, 1, 1, 2, 0):
             target.append(batches[number], number)
         assert live(target.current()) == state_of(rows)
+        target.compact()
+        target.append(batches[1], 1)
+        assert live(target.current()) == state_of(rows)
+
+    def test_a_stream_that_lost_its_checkpoint_replaces_nothing(self, spark, tmp_path):
+        rows, batches = self.batches(spark)
+        target = ChangeTarget(spark, f"{tmp_path}/t", RULES)
+        target.append(batches[0], 0, "first")
+        target.append(batches[1], 0, "second")
+        target.compact()
+        target.append(batches[2], 0, "third")
+        assert live(target.current()) == state_of(rows)
 
     def test_rows_that_cannot_be_applied_are_kept_aside(self, spark, tmp_path):
         target = ChangeTarget(spark, f"{tmp_path}/t", RULES)
@@ -237,7 +249,7 @@ class TestChangeTarget:
         target = ChangeTarget(spark, f"{tmp_path}/t", RULES)
         target.append(batches[0], 0)
         latest = spark.createDataFrame([(1, "ghost", 10**9, False)], f"k bigint, v string, {cdc.SEQUENCE} bigint, {cdc.DELETED} boolean")
-        latest.write.parquet(f"{tmp_path}/t/changes/_batch=1")
+        latest.write.parquet(f"{tmp_path}/t/changes/_source=batch/_batch=1")
         assert (1, "ghost") not in live(target.current())
 
     def test_a_base_that_was_not_logged_is_ignored(self, spark, tmp_path):
@@ -245,7 +257,7 @@ class TestChangeTarget:
         target = ChangeTarget(spark, f"{tmp_path}/t", RULES)
         for number, batch in enumerate(batches):
             target.append(batch, number)
-        spark.range(3).write.parquet(f"{tmp_path}/t/base/upto=2")
+        spark.range(3).write.parquet(f"{tmp_path}/t/base/upto=3")
         assert live(target.current()) == state_of(rows)
 
     def test_schema_growth_over_batches(self, spark, tmp_path):

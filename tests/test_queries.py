@@ -5,9 +5,9 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
-from checks.compare import difference, oracle_connection
-from checks.oracle import ORACLE
-from checks.queries import QUERIES
+from oreflow_checks.compare import difference, oracle_connection
+from oreflow_checks.oracle import ORACLE
+from oreflow_checks.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables are not there")

@@ -182,7 +182,9 @@ def test_stream_in_many_batches_equals_one_pass(spark, tmp_path):
         return query
 
     feed()
-    assert target._logged() == (None, 3)
+    entries = target._pending()[1]
+    assert [e["batch"] for e in entries] == [0, 1, 2, 3] and len({e["source"] for e in entries}) == 1
+    assert entries[0]["source"] != "batch"
     expected = set(map(tuple, cdc.apply_changes(rows, rules).collect()))
     assert set(map(tuple, target.current().collect())) == expected
     more = rows.limit(5).withColumn("seq", F.col("seq") + 1000).withColumn("op", F.lit("U"))
@@ -266,3 +268,38 @@ def test_several_streams_into_one_table(spark, tmp_path):
     assert feed() == [(0, ""), (0, "x"), (1, ""), (1, "x"), (2, "")]
     spark.range(7, 8).write.mode("append").parquet(f"{tmp_path}/a")
     assert len(feed()) == 6
+
+
+def test_dataflows_side_by_side(spark, tmp_path):
+    world = World(spark, tmp_path)
+    world.sources([(1, 1, "I", day(1))], [(1, "one", 1.0)])
+
+    def flow(number, **source):
+        doc = document(tmp_path)
+        doc["dataflow_id"] = f"flow/{number}"
+        for layer in ("raw_bronze", "bronze", "silver"):
+            doc[layer]["table"] += str(number)
+        doc["source"]["extraction"].update(source)
+        return doc
+
+    specs = sp.specs_frame(spark, [flow(1), flow(2), flow(3, log=f"{tmp_path}/nowhere")])
+    with pytest.raises(ExceptionGroup) as caught:
+        rn.run_dataflows(spark, specs, f"{tmp_path}/lake", AT, parallel=3)
+    assert len(caught.value.exceptions) == 1
+    history = rn.Workspace(spark, f"{tmp_path}/lake").read_metadata("pipeline_execution_history")
+    found = history.groupBy("dataflow_id", "status").count().collect()
+    assert {(r["dataflow_id"], r["status"], r["count"]) for r in found} == {
+        ("flow/1", "success", 3), ("flow/2", "success", 3), ("flow/3", "failed", 1),
+    }
+
+
+def test_appending_silver_starts_anew_with_a_rebuilt_bronze(spark, tmp_path):
+    world = World(spark, tmp_path, cdc_apply_changes=None)
+    world.sources([(1, 1, "I", day(1))], [(1, "one", 1.0)])
+    world.run()
+    specs = sp.specs_frame(spark, [document(tmp_path, cdc_apply_changes=None)])
+    tables = {"bronze": sp.bronze_specs(specs), "silver": sp.silver_specs(specs)}
+    rn.run_layer(spark, f"{tmp_path}/lake", "bronze", full_refresh=True, **tables)
+    rn.run_layer(spark, f"{tmp_path}/lake", "silver", **tables)
+    flow = rn.silver_flow_of(tables["silver"].first())
+    assert rn.Workspace(spark, f"{tmp_path}/lake").table(flow, "silver").count() == 1
