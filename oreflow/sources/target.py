@@ -8,6 +8,8 @@ batches into a new base from time to time. Because merging change rows may be re
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,10 +38,13 @@ class ChangeTarget:
     files are complete. One writer at a time.
     """
 
-    def __init__(self, spark: SparkSession, path: str, rules: ChangeRules):
+    def __init__(self, spark: SparkSession, path: str, rules: ChangeRules, buckets: int | None = None):
+        """With ``buckets`` the base is a bucketed external table of the session catalog: merging shuffles the
+        batches only, to the buckets of the base, whatever their size. The number of buckets stays for good."""
         self.spark = spark
         self.path = path.rstrip("/")
         self.rules = rules
+        self.buckets = buckets
 
     def append(self, changes: DataFrame, batch_id: int, source: str = "batch") -> None:
         """Apply a batch of business rows. The same batch of the same source again replaces the first.
@@ -52,8 +57,9 @@ class ChangeTarget:
 
     def append_reduced(self, latest: DataFrame, batch_id: int, source: str = "batch") -> None:
         latest.write.mode("overwrite").parquet(f"{self.path}/changes/{self._place(source, batch_id)}")
-        folded, entries = self._pending()
-        self._log(max([folded or 0, *[e["number"] for e in entries]]) + 1, "changes", source, batch_id)
+        log = self._read_log()
+        last = log.agg(F.max("number")).first()[0] if log is not None else None
+        self._log((last or 0) + 1, "changes", source, batch_id)
 
     def rejected(self) -> DataFrame | None:
         """Rows that ``append`` could not apply."""
@@ -71,9 +77,12 @@ class ChangeTarget:
         )
         entry.write.mode("append").parquet(f"{self.path}/log")
 
+    def _read_log(self) -> DataFrame | None:
+        return open_table(self.spark, f"{self.path}/log", schema=LOG_SCHEMA)
+
     def _pending(self) -> tuple[int | None, list[Row]]:
         """(number the base holds, batches logged since); as many rows as there are uncompacted batches."""
-        log = open_table(self.spark, f"{self.path}/log", schema=LOG_SCHEMA)
+        log = self._read_log()
         if log is None:
             return None, []
         folded = log.where(F.col("kind") == "base").agg(F.max("number")).first()[0]
@@ -87,15 +96,33 @@ class ChangeTarget:
         """
         return self._state(*self._pending(), small_batches)
 
+    def _base_table(self, number: int) -> str:
+        """Catalog name of a bucketed base; it depends on the location only."""
+        return f"oreflow_{hashlib.sha256(self.path.encode()).hexdigest()[:16]}_{number}"
+
+    def _base(self, number: int) -> DataFrame:
+        location = f"{self.path}/base/upto={number}"
+        base = self.spark.read.parquet(location)
+        if self.buckets is None:
+            return base
+        name, keys = self._base_table(number), ", ".join(f"`{k}`" for k in self.rules.keys)
+        if not self.spark.catalog.tableExists(name):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+                f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{location}'"
+            )
+        return self.spark.table(name)
+
     def _state(self, folded: int | None, entries: list[Row], small_batches: bool) -> DataFrame | None:
-        base = None if folded is None else self.spark.read.parquet(f"{self.path}/base/upto={folded}")
+        base = None if folded is None else self._base(folded)
         if not entries:
             return base
         places = dict.fromkeys(f"{self.path}/changes/{self._place(e['source'], e['batch'])}" for e in entries)
         pending = self.spark.read.option("mergeSchema", "true").parquet(*places)
         if base is None:
             return latest_changes(pending, self.rules)
-        merge = overlay_changes if small_batches else merge_changes
+        merge = overlay_changes if small_batches or self.buckets else merge_changes
         return merge(base, pending, self.rules)
 
     def current(self, small_batches: bool = False) -> DataFrame | None:
@@ -113,7 +140,15 @@ class ChangeTarget:
         if not entries:
             return folded
         last = entries[-1]["number"]
-        base = self._state(folded, entries, small_batches).sortWithinPartitions(*self.rules.keys)
-        base.write.mode("overwrite").parquet(f"{self.path}/base/upto={last}")
+        state, keys = self._state(folded, entries, small_batches), list(self.rules.keys)
+        location = f"{self.path}/base/upto={last}"
+        if self.buckets is None:
+            state.sortWithinPartitions(*keys).write.mode("overwrite").parquet(location)
+        else:
+            if folded is None:
+                # Later bases inherit the buckets of the one before; the first is dealt out once, one task each.
+                state = state.repartition(self.buckets, *keys)
+            bucketed = state.write.format("parquet").bucketBy(self.buckets, *keys).sortBy(*keys)
+            bucketed.mode("overwrite").option("path", location).saveAsTable(self._base_table(last))
         self._log(last, "base")
         return last

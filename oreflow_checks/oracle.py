@@ -297,6 +297,7 @@ ORACLE: dict[str, str] = {
     "scd1_incremental": SCD1,
     "scd1_overlay": SCD1,
     "scd1_stored": SCD1,
+    "scd1_bucketed": SCD1,
     "scd1_stream": SCD1,
     "scd1_from_snapshot": SCD1,
     "scd1_soft_delete": f"""WITH {SILVER}

@@ -74,6 +74,17 @@ def scd1_stored(spark, sf_dir):
     return target.current()
 
 
+@query
+def scd1_bucketed(spark, sf_dir):
+    """A stored target with a bucketed base: the second merge shuffles the new batch only."""
+    feed = fx.silver_input(spark, sf_dir)
+    target = ChangeTarget(spark, fresh_dir(spark, "scd1-bucketed"), fx.RULES, buckets=16)
+    target.append(feed.where(F.col("seq") % 2 == 1), 0)
+    target.compact()
+    target.append(feed.where(F.col("seq") % 2 == 0), 1)
+    return target.current()
+
+
 @query
 def scd1_stream(spark, sf_dir):
     # A pattern, because a stream takes a plain path for a folder and the table may be a single file.
@@ -508,13 +519,13 @@ def val_report(spark, sf_dir):
 @query
 def mon_failures(spark, sf_dir):
     found = monitor.recent_failures(fx.run_history(spark, sf_dir), fx.AS_OF, DAY)
-    return found.orderBy(F.col("start_time").desc())
+    return found.orderBy(F.col("start_time").desc(), "execution_id")
 
 
 @query
 def mon_anomalies(spark, sf_dir):
     found = monitor.row_anomalies(fx.run_history(spark, sf_dir), fx.AS_OF, DAY)
-    return found.orderBy(F.abs("z_score").desc())
+    return found.orderBy(F.abs("z_score").desc(), "dataflow_id", "stage")
 
 
 @query
@@ -527,19 +538,19 @@ def mon_anomalies_sensitive(spark, sf_dir):
 @query
 def mon_sla(spark, sf_dir):
     found = monitor.limit_breaches(fx.run_history(spark, sf_dir), fx.AS_OF, DAY)
-    return found.orderBy(F.col("duration_seconds").desc())
+    return found.orderBy(F.col("duration_seconds").desc(), "execution_id")
 
 
 @query
 def mon_success_rate(spark, sf_dir):
     found = monitor.low_success_rates(fx.run_history(spark, sf_dir), fx.AS_OF, DAY)
-    return found.orderBy("success_rate_pct")
+    return found.orderBy("success_rate_pct", "dataflow_id", "stage")
 
 
 @query
 def mon_freshness(spark, sf_dir):
     found = monitor.stale_pipelines(fx.run_history(spark, sf_dir), fx.AS_OF, DAY)
-    return found.orderBy(F.col("hours_since_last_run").desc())
+    return found.orderBy(F.col("hours_since_last_run").desc(), "dataflow_id", "stage")
 
 
 @query
@@ -594,7 +605,9 @@ def mon_history_row(spark, sf_dir):
 @query
 def dash_run_status(spark, sf_dir):
     rows = reports.run_status(fx.run_history(spark, sf_dir), fx.AS_OF)
-    return rows.withColumn("avg_duration", F.round("avg_duration", 4)).orderBy(F.col("last_run").desc())
+    return rows.withColumn("avg_duration", F.round("avg_duration", 4)).orderBy(
+        F.col("last_run").desc(), "dataflow_id", "stage"
+    )
 
 
 @query

@@ -268,3 +268,42 @@ class TestChangeTarget:
         for small in (False, True):
             found = {(r["k"], r["v"], r["extra"]) for r in target.current(small).collect()}
             assert found == {(1, "c", 5), (2, "b", None)}
+
+    def test_bucketed_base_is_never_shuffled(self, spark, tmp_path):
+        rows, batches = self.batches(spark)
+        target = ChangeTarget(spark, f"{tmp_path}/t", RULES, buckets=8)
+        threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            target.append(batches[2], 0)
+            target.compact()
+            target.append(batches[0], 1)
+            assert exchanges_above(plan_of(target.state()), "Bucketed: true") == [0, 0]
+            target.compact()
+            target.append(batches[1], 2)
+            # Another session knows the files only; the table is declared again from them.
+            for name in (r["tableName"] for r in spark.sql("SHOW TABLES LIKE 'oreflow_*'").collect()):
+                spark.sql(f"DROP TABLE {name}")
+            again = ChangeTarget(spark, f"{tmp_path}/t", RULES, buckets=8)
+            assert live(again.current()) == state_of(rows)
+            assert exchanges_above(plan_of(again.state()), "Bucketed: true") == [0, 0]
+            again.compact()
+            assert live(ChangeTarget(spark, f"{tmp_path}/t", RULES).current()) == state_of(rows)
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def exchanges_above(plan: str, scan: str) -> list[int]:
+    """Per matching scan of a physical plan, the exchanges on the way up from it."""
+    lines = [line for line in plan.split("\n") if "- " in line]
+    depth = [line.index("- ") for line in lines]
+    found = []
+    for i, line in enumerate(lines):
+        if scan in line:
+            count, level = 0, depth[i]
+            for j in range(i, -1, -1):
+                if depth[j] < level:
+                    level = depth[j]
+                    count += "Exchange" in lines[j]
+            found.append(count)
+    return found

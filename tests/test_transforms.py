@@ -98,3 +98,28 @@ def test_append_flows_fills_missing_columns(spark):
     a = spark.createDataFrame([(1, "x")], "i int, s string")
     b = spark.createDataFrame([(2.5, 2)], "d double, i int")
     assert [(r["i"], r["s"], r["d"]) for r in append_flows([a, b]).orderBy("i").collect()] == [(1, "x", None), (2, None, 2.5)]
+
+
+def test_a_heavy_log_key_is_split(spark, tmp_path):
+    """With a third of the log on one key, adaptive execution splits that partition and joins its parts apart."""
+    log = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).alias("key"), F.sha2(F.col("id").cast("string"), 256).alias("v")
+    )
+    log.write.parquet(f"{tmp_path}/log")
+    spark.range(5000).withColumnRenamed("id", "k").withColumn("name", F.sha2(F.col("k").cast("string"), 256)).write.parquet(f"{tmp_path}/master")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        joined = join_master(spark.read.parquet(f"{tmp_path}/log"), spark.read.parquet(f"{tmp_path}/master"), "key", "k")
+        assert len(joined.collect()) == 60_000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
