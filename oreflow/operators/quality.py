@@ -85,24 +85,23 @@ def metrics(
 
     ``extra`` conditions, named by their action, are counted in the same pass among the rows that meet ``within``.
     """
-    every = F.lit(True)
-    counted = [(r.name, r.action, every, r.holds) for r in rules]
-    counted += [(name, name, every if within is None else within, holds) for name, holds in (extra or {}).items()]
-    counts = df.agg(
-        F.count(F.lit(1)).alias("total"),
-        *[F.count_if(among & ~holds).alias(f"f{i}") for i, (_, _, among, holds) in enumerate(counted)],
-        *[F.count_if(among & holds).alias(f"p{i}") for i, (_, _, among, holds) in enumerate(counted)],
-    )
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("rule"), F.lit(action).alias("action"), F.col(f"p{i}").alias("passed"),
-                F.col(f"f{i}").alias("failed"),
-            )
-            for i, (name, action, _, _) in enumerate(counted)
-        ]
-    ).cast("array<struct<rule:string,action:string,passed:bigint,failed:bigint>>")
-    return counts.select("total", F.inline(entries)).select("rule", "action", "passed", "failed", "total")
+    among = F.lit(True) if within is None else within
+    extra = extra or {}
+    total = F.count(F.lit(1)).alias("total")
+    failed = [F.count_if(~r.holds) for r in rules] + [F.count_if(among & ~holds) for holds in extra.values()]
+    passed = [F.count_if(among & holds).alias(f"p{i}") for i, holds in enumerate(extra.values())]
+    counts = df.agg(total, *[count.alias(f"f{i}") for i, count in enumerate(failed)], *passed)
+
+    def entry(name: str, action: str, passed: Column, number: int) -> Column:
+        return F.struct(
+            F.lit(name).alias("rule"), F.lit(action).alias("action"), passed.alias("passed"),
+            F.col(f"f{number}").alias("failed"),
+        )
+
+    entries = [entry(r.name, r.action, F.col("total") - F.col(f"f{i}"), i) for i, r in enumerate(rules)]
+    entries += [entry(name, name, F.col(f"p{i}"), len(rules) + i) for i, name in enumerate(extra)]
+    listed = F.array(*entries).cast("array<struct<rule:string,action:string,passed:bigint,failed:bigint>>")
+    return counts.select("total", F.inline(listed)).select("rule", "action", "passed", "failed", "total")
 
 
 def violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

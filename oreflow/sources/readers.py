@@ -7,7 +7,6 @@ from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -123,12 +122,3 @@ def read_jdbc(
         **source, partition_column=partition_column, bounds=bounds, num_partitions=num_partitions
     )
     return spark.read.format("jdbc").options(**options).load()
-
-
-def with_fields(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The columns of ``schema`` in its order and types; missing ones are null."""
-    have = {c.lower() for c in df.columns}
-    return df.select(*[
-        (F.col(f.name) if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in schema.fields
-    ])

@@ -339,7 +339,9 @@ broken AS (SELECT seq, src_key, op, CASE WHEN src_key % 10 <> 0 THEN item_key EN
 SELECT * FROM broken
 WHERE (op IN ('I', 'U') AND item_key IS NOT NULL) OR (op = 'D' AND item_key IS NULL)""",
     "allowlist_semi_join": f"""WITH {FEED} SELECT seq, item_key, op FROM feed
-WHERE item_key IN (SELECT c_custkey FROM customer WHERE upper(CASE c_mktsegment WHEN 'BUILDING' THEN 'y' ELSE 'N' END) = 'Y')""",
+WHERE item_key IN (
+  SELECT c_custkey FROM customer WHERE upper(CASE c_mktsegment WHEN 'BUILDING' THEN 'y' ELSE 'N' END) = 'Y'
+)""",
     "dedup_row_number": f"""WITH {FEED} SELECT src_key, op, seq FROM feed
 QUALIFY row_number() OVER (PARTITION BY src_key ORDER BY op, seq DESC) = 1""",
     "dedup_second_row": f"""WITH {FEED} SELECT src_key, op, seq FROM feed

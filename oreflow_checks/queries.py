@@ -307,7 +307,8 @@ def _versions(spark, sf_dir):
     return fx.table(spark, sf_dir, "orders").select(
         F.sha2(F.concat(F.col("o_orderkey").cast("string"), content), 256).alias("version_id"),
         F.concat(F.lit("flow_"), F.col("o_custkey").cast("string")).alias("dataflow_id"),
-        content.alias("metadata_content"), F.col("o_orderdate").alias("created_at"), F.lit(None).cast("boolean").alias("is_active"),
+        content.alias("metadata_content"), F.col("o_orderdate").alias("created_at"),
+        F.lit(None).cast("boolean").alias("is_active"),
     )
 
 

@@ -46,6 +46,12 @@ class TestSpecs:
         path.write_text(json.dumps(METADATA))
         assert [r["dataflow_id"] for r in sp.load_specs(spark, path).collect()] == ["items", "bare"]
 
+    def test_yaml_files_are_read(self, tmp_path):
+        yaml = pytest.importorskip("yaml")
+        path = tmp_path / "meta.yml"
+        path.write_text(yaml.safe_dump(METADATA))
+        assert sp.load_metadata(path) == METADATA
+
     def test_environment_override(self, spark):
         rows = {r["dataflow_id"]: r for r in sp.load_specs(spark, METADATA, "dev").collect()}
         items, bare = rows["items"], rows["bare"]
