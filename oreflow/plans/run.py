@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from oreflow.functions.clock import moment
 from oreflow.functions.params import query_values, render
-from oreflow.operators.quality import event_log
+from oreflow.operators.quality import QualityResult, event_log, raise_offenders, reprocess
 from oreflow.operators.validation import TableChecks, validate
 from oreflow.plans.alerts import at_level, chat_payloads, monitoring_history, monitoring_status, run_checks
 from oreflow.plans.flows import BronzeFlow, SilverFlow, bronze_flow_of, ingest, silver_flow_of
@@ -34,10 +34,13 @@ class Workspace:
     """Where the tables of a set of dataflows live: one folder that all executors share.
 
     A full refresh never deletes: it moves a layer to its next generation, a fresh table with a fresh checkpoint.
+    Silver tables with change rules are compacted after ``compact_every`` batches; ``buckets`` gives them bucketed
+    bases (see ``ChangeTarget``).
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, compact_every: int = 10, buckets: int | None = None):
         self.spark, self.root = spark, root.rstrip("/")
+        self.compact_every, self.buckets = compact_every, buckets
 
     def path(self, details: Mapping[str, str]) -> str:
         return "/".join([self.root, details["catalog"], details["database"], details["table"]])
@@ -87,7 +90,10 @@ class Workspace:
     def silver_target(self, flow: SilverFlow) -> ChangeTarget | str:
         """The change target of a silver table; without change rules just the path that batches are appended to."""
         path = self.layer_path(flow, "silver")
-        return ChangeTarget(self.spark, path, flow.changes) if flow.changes else path
+        return ChangeTarget(self.spark, path, flow.changes, self.buckets) if flow.changes else path
+
+    def quarantine_path(self, flow: SilverFlow) -> str:
+        return f"{self.layer_path(flow, 'silver')}_quarantine"
 
     def table(self, flow: BronzeFlow | SilverFlow, layer: str) -> DataFrame | None:
         """The current rows of a layer, None before its first run."""
@@ -181,8 +187,10 @@ def run_silver(
         schema = read_merged(ws.spark, source).schema
         rows = read_source(ws.spark, source, schema=schema, stream=True)
         target = ws.silver_target(flow)
-        batches = SilverBatches(flow, target, f"{ws.layer_path(flow, 'silver')}_quarantine", as_of)
+        batches = SilverBatches(flow, target, ws.quarantine_path(flow), as_of)
         silver_stream(rows, batches, ws.checkpoint(flow, "silver")).awaitTermination()
+        if isinstance(target, ChangeTarget) and target.pending_batches() >= ws.compact_every:
+            target.compact()
         run.rows = batches.rows
         result.quality = list(batches.metrics.values())
         if result.quality:
@@ -193,6 +201,27 @@ def run_silver(
             log.coalesce(1).write.mode("append").parquet(ws.metadata("event_log", flow.dataflow_id))
 
 
+def reprocess_quarantine(
+    ws: Workspace, flow: SilverFlow, corrections: Mapping[str, str], batch_id: int
+) -> QualityResult | None:
+    """Correct the quarantined rows of a silver flow with SQL expressions and apply those that pass its rules now.
+
+    Corrected rows keep their sequence, so a later change of the same key still wins, and doing this twice changes
+    nothing. The quarantine itself stays as a record. Returns the split rows, None without a quarantine.
+    """
+    held = open_table(ws.spark, ws.quarantine_path(flow), mergeSchema="true")
+    if held is None:
+        return None
+    result = reprocess(held.drop(SOURCE, BATCH), corrections, flow.rules)
+    raise_offenders(row.asDict() for row in result.metrics.collect())
+    target = ws.silver_target(flow)
+    if isinstance(target, ChangeTarget):
+        target.append(result.kept, batch_id, "reprocessed")
+    else:
+        result.kept.write.mode("overwrite").parquet(f"{target}/{SOURCE}=reprocessed/{BATCH}={batch_id}")
+    return result
+
+
 def _stage(ws: Workspace, dataflow_id: str, group: str, stage: str, result: RunResult) -> StageRun:
     run = _RecordedStage(ws.spark, ws.metadata("pipeline_execution_history", dataflow_id), dataflow_id, stage, group or "")
     run.result = result
@@ -258,10 +287,13 @@ def run_monitoring(
 
 def run_dataflow(
     spark: SparkSession, spec: Row, root: str, trigger_time: dt.datetime, full_refresh: bool = False,
-    credentials: Mapping[str, str] | None = None, as_of: dt.datetime | None = None,
+    credentials: Mapping[str, str] | None = None, as_of: dt.datetime | None = None, **workspace,
 ) -> RunResult:
-    """All stages of one dataflow, in order. A stage that fails is recorded, and the error is raised."""
-    ws, result = Workspace(spark, root), RunResult(spec["dataflow_id"])
+    """All stages of one dataflow, in order. A stage that fails is recorded, and the error is raised.
+
+    ``workspace`` takes the options of ``Workspace``.
+    """
+    ws, result = Workspace(spark, root, **workspace), RunResult(spec["dataflow_id"])
     specs = spark.createDataFrame([spec], SPEC_SCHEMA)
     bronze_flow = bronze_flow_of(bronze_specs(specs).first())
     silver_flow = silver_flow_of(silver_specs(specs).first())
@@ -294,7 +326,7 @@ def run_dataflows(
 
 def run_layer(
     spark: SparkSession, root: str, layer: str | None, group: str | None = None,
-    bronze: DataFrame | None = None, silver: DataFrame | None = None, full_refresh: bool = False,
+    bronze: DataFrame | None = None, silver: DataFrame | None = None, full_refresh: bool = False, **workspace,
 ) -> list[RunResult]:
     """Run the flows of a layer (bronze, silver or bronze_silver) from the spec tables, one group or all.
 
@@ -302,7 +334,7 @@ def run_layer(
     """
     if layer not in LAYERS:
         raise ValueError(f"layer must be one of {', '.join(LAYERS)}; got {layer!r}")
-    ws, results = Workspace(spark, root), {}
+    ws, results = Workspace(spark, root, **workspace), {}
     tables = {"bronze": (bronze, bronze_flow_of, run_bronze), "silver": (silver, silver_flow_of, run_silver)}
     for name in LAYERS[layer]:
         specs, parse, run = tables[name]

@@ -89,6 +89,10 @@ class ChangeTarget:
         entries = log.where((F.col("kind") == "changes") & (F.col("number") > (folded or 0)))
         return folded, entries.orderBy("number").collect()
 
+    def pending_batches(self) -> int:
+        """Batches that the next compaction would fold."""
+        return len(self._pending()[1])
+
     def state(self, small_batches: bool = False) -> DataFrame | None:
         """Change rows, one per key, tombstones included; None when nothing was ever written.
 

@@ -126,6 +126,33 @@ def test_dataflow_end_to_end(spark, tmp_path):
     assert world.silver_rows() == {(1, "uno", 1.5), (4, "four", 4.0)}
 
 
+def test_corrected_quarantine_rows_are_applied(spark, tmp_path):
+    world = World(spark, tmp_path)
+    world.sources([(1, 1, "I", day(1)), (2, 2, "I", day(1)), (3, 3, "I", day(1))], [(1, "one", 1.0), (2, "two", 200.0), (3, "three", 300.0)])
+    world.run()
+    specs = sp.specs_frame(spark, [document(tmp_path)])
+    flow, ws = rn.silver_flow_of(sp.silver_specs(specs).first()), rn.Workspace(spark, f"{tmp_path}/lake")
+    assert world.silver_rows() == {(1, "one", 1.0)}
+    world.sources([(9, 3, "U", day(2))], [(3, "newer", 3.0)])
+    world.run(cursor="2024-01-02")
+    for _ in range(2):
+        result = rn.reprocess_quarantine(ws, flow, {"price": "CASE WHEN price < 1000 THEN price / 10 END"}, 0)
+        assert result.kept.count() == 2 and result.quarantined.count() == 0
+        assert world.silver_rows() == {(1, "one", 1.0), (2, "two", 20.0), (3, "newer", 3.0)}
+
+
+def test_batches_are_compacted(spark, tmp_path):
+    world = World(spark, tmp_path)
+    for number in (1, 2, 3):
+        world.sources([(number, number, "I", day(number))], [(number, f"n{number}", 1.0)])
+        world.run(cursor=f"2024-01-0{number}", compact_every=2, buckets=4)
+    specs = sp.specs_frame(spark, [document(tmp_path)])
+    flow = rn.silver_flow_of(sp.silver_specs(specs).first())
+    target = rn.Workspace(spark, f"{tmp_path}/lake", buckets=4).silver_target(flow)
+    assert target._pending()[0] == 2 and target.pending_batches() == 1
+    assert world.silver_rows() == {(1, "n1", 1.0), (2, "n2", 1.0), (3, "n3", 1.0)}
+
+
 def test_failed_expectation_stops_before_writing_and_is_recorded(spark, tmp_path):
     rules = {"expectations": [{"name": "cheap", "constraint": "price < 100", "action": "fail"}]}
     world = World(spark, tmp_path, data_quality=rules)
