@@ -115,18 +115,23 @@ def merge_changes(state: DataFrame, changes: DataFrame, rules: ChangeRules) -> D
     return latest_changes(stored_columns(state, rules).unionByName(changes, allowMissingColumns=True), rules)
 
 
-def overlay_changes(state: DataFrame, changes: DataFrame, rules: ChangeRules) -> DataFrame:
+def overlay_changes(
+    state: DataFrame, changes: DataFrame, rules: ChangeRules, reduced: bool = False, colocated: bool = False
+) -> DataFrame:
     """Same result as ``merge_changes`` for a batch that is small against the state.
 
-    The batch is reduced first and joined to the state twice. Adaptive execution broadcasts it when its
-    measured size allows, and then the state is scanned without being shuffled; the second scan reads the key
-    columns only. A batch too large for that falls back to shuffled joins, where ``merge_changes`` is cheaper.
+    The batch is reduced first, unless it is known to be, and joined to the state twice. Adaptive execution
+    broadcasts it when its measured size allows, and then the state is scanned without being shuffled; the second
+    scan reads the key columns only. A batch too large for that falls back to shuffled joins, where
+    ``merge_changes`` is cheaper. A state that is ``colocated``, bucketed by its keys, needs no shuffle for a batch
+    of any size.
     """
     keys = list(rules.keys)
     state, changes = stored_columns(state, rules), stored_columns(changes, rules)
     columns = [*state.columns, *[c for c in changes.columns if c not in state.columns]]
     state = state.unionByName(changes.limit(0), allowMissingColumns=True).select(*columns)
-    latest = latest_changes(changes, rules).unionByName(state.limit(0), allowMissingColumns=True).select(*columns)
+    latest = changes if reduced else latest_changes(changes.dropna(subset=keys), rules)
+    latest = latest.unionByName(state.limit(0), allowMissingColumns=True).select(*columns)
 
     def order(frame: DataFrame) -> Column:
         return F.struct(F.col(SEQUENCE), F.col(DELETED), row_hash(frame, (SEQUENCE, DELETED)).alias("_hash"))
@@ -137,7 +142,10 @@ def overlay_changes(state: DataFrame, changes: DataFrame, rules: ChangeRules) ->
     kept = held.join(given, keys, "left").select(
         F.when(F.coalesce(newer, F.lit(False)), F.col("_given")).otherwise(F.col("_held")).alias("_row")
     )
-    known = state.select(*keys).join(latest.select(*keys), keys, "left_semi")
+    known = state.select(*keys)
+    if not colocated:
+        # Only the right side of an anti join can be broadcast, so the state's keys are cut to those of the batch.
+        known = known.join(latest.select(*keys), keys, "left_semi")
     added = latest.join(known, keys, "left_anti").select(*columns)
     return kept.select("_row.*").unionByName(added)
 

@@ -124,10 +124,12 @@ class ChangeTarget:
             return base
         places = dict.fromkeys(f"{self.path}/changes/{self._place(e['source'], e['batch'])}" for e in entries)
         pending = self.spark.read.option("mergeSchema", "true").parquet(*places)
+        reduced = len(places) == 1
         if base is None:
-            return latest_changes(pending, self.rules)
-        merge = overlay_changes if small_batches or self.buckets else merge_changes
-        return merge(base, pending, self.rules)
+            return pending if reduced else latest_changes(pending, self.rules)
+        if small_batches or self.buckets:
+            return overlay_changes(base, pending, self.rules, reduced, colocated=self.buckets is not None)
+        return merge_changes(base, pending, self.rules)
 
     def current(self, small_batches: bool = False) -> DataFrame | None:
         """The rows readers see. Directly after a compaction this is a plain scan."""
