@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from oreflow.llm import bpe, url_rules
+from oreflow.llm import bpe, exact_dedup, suffix_dedup, url_rules
 from oreflow.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -27,6 +27,26 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents have equal texts, and which of them stay."""
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents")).drop("n_chunks")
+
+
+EXACT_SQL = """
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS i, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       row_number() OVER w = 1 AS kept, sha256(t) AS text_sha256
+FROM d WINDOW w AS (PARTITION BY t ORDER BY doc_id NULLS LAST, i)
+"""
+
+
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without the strings of 200 bytes that stand anywhere else too."""
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), 200)
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, deciding rule and verdict of every page."""
     judged = url_rules.judge(table(spark, sf_dir, "pages"), url_rule_list())
@@ -58,5 +78,10 @@ FROM q LEFT JOIN fit USING (i) LEFT JOIN bad USING (i)
 """
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op8_url_filters": op8_url_filters}
-ORACLE = {"op8_url_filters": _url_sql()}
+QUERIES = {
+    "op1_bpe": op1_bpe,
+    "op3_exact_dedup": op3_exact_dedup,
+    "op7_suffix_dedup": op7_suffix_dedup,
+    "op8_url_filters": op8_url_filters,
+}
+ORACLE = {"op3_exact_dedup": EXACT_SQL, "op8_url_filters": _url_sql()}
