@@ -45,6 +45,13 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def keyed(documents: DataFrame, key: str, text: str) -> DataFrame:
+    """Rows with (d, t): the id, or for a null id a number from the text; and the text's checksum, as ids may repeat."""
+    raw = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
+    number = F.coalesce(F.col(key).cast("long"), F.lit(-1) - F.shiftrightunsigned(F.xxhash64(raw), 2))
+    return documents.select(F.col(key).alias("key"), number.alias("d"), F.crc32(raw).alias("t"), raw.alias("text"))
+
+
 def words(text: bytes) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; ``bytes.lower`` and ``bytes.split`` do exactly that."""
     return text.lower().split()

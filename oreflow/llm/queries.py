@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from oreflow.llm import bpe, exact_dedup, suffix_dedup, url_rules
+from oreflow.llm import bpe, exact_dedup, ngram_join, suffix_dedup, url_rules
 from oreflow.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -27,6 +27,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of each document's set of 3-word shingles, and its component by links of Jaccard 0.9 or more."""
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"), 3, 90)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which documents have equal texts, and which of them stay."""
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents")).drop("n_chunks")
@@ -80,6 +85,7 @@ FROM q LEFT JOIN fit USING (i) LEFT JOIN bad USING (i)
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_ngram_join": op2_ngram_join,
     "op3_exact_dedup": op3_exact_dedup,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_url_filters": op8_url_filters,

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import as_bytes, mix, signed, stored
+from oreflow.llm.common import as_bytes, keyed, mix, signed, stored
 
 #: Bytes of an anchor; windows hashed at a time; bytes of fragments that are sorted together.
 ANCHOR, BLOCK, TOGETHER = 40, 1 << 17, 1 << 20
@@ -253,13 +253,6 @@ def _remove(length: int):
     return run
 
 
-def _keyed(documents: DataFrame, key: str, text: str) -> DataFrame:
-    """Rows with (d, t): the id, or for a null id a number from the text; and the text's checksum, as ids may repeat."""
-    raw = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
-    number = F.coalesce(F.col(key).cast("long"), F.lit(-1) - F.shiftrightunsigned(F.xxhash64(raw), 2))
-    return documents.select(F.col(key).alias("key"), number.alias("d"), F.crc32(raw).alias("t"), raw.alias("text"))
-
-
 def remove_repeats(
     documents: DataFrame, length: int = 200, key: str = "doc_id", text: str = "text", most_variants: int = MOST_VARIANTS,
     with_kept: bool = False,
@@ -272,7 +265,7 @@ def remove_repeats(
     """
     if length <= ANCHOR:
         raise ValueError(f"the length must exceed {ANCHOR} bytes")
-    source = _keyed(documents, key, text)
+    source = keyed(documents, key, text)
     schema = "h long, v long, d long, t long, at long"
     entries = source.select("d", "t", "text").mapInArrow(_entries(length), schema)
     anchors = entries.groupBy("h").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
