@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from oreflow.llm import bpe, exact_dedup, ngram_join, suffix_dedup, url_rules
+from oreflow.llm import bpe, exact_dedup, ngram_join, pivot_index, suffix_dedup, url_rules
 from oreflow.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -47,6 +47,11 @@ FROM d WINDOW w AS (PARTITION BY t ORDER BY doc_id NULLS LAST, i)
 """
 
 
+def op5_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and staying row of every vector, at a cosine of 0.98 or more within its label."""
+    return pivot_index.near_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of each document without the strings of 200 bytes that stand anywhere else too."""
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), 200)
@@ -87,6 +92,7 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_ngram_join": op2_ngram_join,
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_pivot_index": op5_pivot_index,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_url_filters": op8_url_filters,
 }
