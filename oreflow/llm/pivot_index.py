@@ -19,6 +19,8 @@ from oreflow.llm.common import components, stored
 #: Reference points (the sample the index is fitted on), length of a description, how many of its pivots have the
 #: vector in their lists, shared pivots that make a candidate, and vectors of a block.
 PIVOTS, DESCRIBED, LISTED, SHARED, BLOCK = 1024, 16, 12, 3, 256
+#: Vectors drawn for each pivot that is sought, and the cosine that two pivots must stay below.
+SAMPLE, APART = 4, 0.8
 #: Rows gathered before whole groups of them are worked through.
 GATHER = 4096
 
@@ -30,13 +32,23 @@ def usable(label: Column, vector: Column) -> Column:
 
 
 def choose_pivots(nodes: DataFrame, count: int) -> np.ndarray:
-    """The vectors of lowest hash, as unit rows; a bounded sample that does not depend on partitions."""
-    rows = nodes.select("vec").orderBy(F.xxhash64("vec"), "vec").limit(count).collect()
+    """Unit rows from a bounded sample, the SAMPLE * count vectors of lowest hash, none close to another.
+
+    Were a dense family to give many pivots, its members would be described by small differences among these.
+    """
+    rows = nodes.select("vec").orderBy(F.xxhash64("vec"), "vec").limit(SAMPLE * count).collect()
     width = max((len(r["vec"]) for r in rows), default=0)
     found = np.zeros((len(rows), width))
     for i, r in enumerate(rows):
         found[i, : len(r["vec"])] = r["vec"]
-    return found / np.maximum(np.linalg.norm(found, axis=1, keepdims=True), np.finfo(float).tiny)
+    found /= np.maximum(np.linalg.norm(found, axis=1, keepdims=True), np.finfo(float).tiny)
+    kept = np.zeros((min(count, len(rows)), width))
+    n = 0
+    for v in found:
+        if n < len(kept) and (n == 0 or (kept[:n] @ v).max() < APART):
+            kept[n] = v
+            n += 1
+    return kept[:n]
 
 
 def _vectors(column: pa.Array) -> list[np.ndarray]:
