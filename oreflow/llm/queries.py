@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from oreflow.llm import bpe, exact_dedup, ngram_join, pivot_index, suffix_dedup, url_rules
+from oreflow.llm import bpe, exact_dedup, hmm_lm, ngram_join, pivot_index, suffix_dedup, url_rules
 from oreflow.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -63,6 +63,11 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "matched")
 
 
+def op10_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Likelihood of every document under a hidden Markov model of the training part, and under single words."""
+    return hmm_lm.hmm_scores(table(spark, sf_dir, "documents"))
+
+
 def _url_sql() -> str:
     rules = " UNION ALL ".join(f"SELECT '{r}' AS r, '{v}' AS v" for r, v in HOST_RULES)
     words = " UNION ALL ".join(f"SELECT '{w}' AS w" for w in HOST_WORDS)
@@ -95,5 +100,6 @@ QUERIES = {
     "op5_pivot_index": op5_pivot_index,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_url_filters": op8_url_filters,
+    "op10_hmm": op10_hmm,
 }
 ORACLE = {"op3_exact_dedup": EXACT_SQL, "op8_url_filters": _url_sql()}
