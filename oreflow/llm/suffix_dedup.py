@@ -269,7 +269,8 @@ def remove_repeats(
     schema = "h long, v long, d long, t long, at long"
     entries = source.select("d", "t", "text").mapInArrow(_entries(length), schema)
     anchors = entries.groupBy("h").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
-    anchors = anchors.filter("n > 1").select("h", (F.col("low") != F.col("high")).alias("many"))
+    # Written, so that both sides of the join are dealt by it alone and adaptive execution can split a hot anchor.
+    anchors = stored(anchors.filter("n > 1").select("h", (F.col("low") != F.col("high")).alias("many")), "anchors")
     shared = stored(entries.join(anchors, "h"), "shared")
 
     variants = shared.filter("many").groupBy("h", "v").agg(
