@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from oreflow.llm import bpe, exact_dedup, hmm_lm, ngram_join, pivot_index, suffix_dedup, url_rules
+from oreflow.llm import bpe, exact_dedup, hmm_lm, ngram_join, pivot_index, quality_lm, suffix_dedup, url_rules
 from oreflow.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -47,6 +47,11 @@ FROM d WINDOW w AS (PARTITION BY t ORDER BY doc_id NULLS LAST, i)
 """
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document under the model of trusted text, and whether its language's threshold keeps it."""
+    return quality_lm.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links, component and staying row of every vector, at a cosine of 0.98 or more within its label."""
     return pivot_index.near_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
@@ -97,6 +102,7 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_ngram_join": op2_ngram_join,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_quality": op4_quality,
     "op5_pivot_index": op5_pivot_index,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_url_filters": op8_url_filters,
