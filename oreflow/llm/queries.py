@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from oreflow.llm import bpe, exact_dedup, hmm_lm, ngram_join, pivot_index, quality_lm, suffix_dedup, url_rules
+from oreflow.llm import bpe, exact_dedup, hmm_lm, mixing, ngram_join, pivot_index, quality_lm, suffix_dedup, url_rules
 from oreflow.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -68,6 +68,15 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "matched")
 
 
+#: Shares of all tokens that the mix aims at.
+MIX = {"good": 0.94, "low": 0.05, "toxic": 0.01}
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domain posteriors of every document and the rate at which the mix takes it."""
+    return mixing.soft_mix(table(spark, sf_dir, "documents"), mixing.label_domains(table(spark, sf_dir, "labels")), MIX)
+
+
 def op10_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Likelihood of every document under a hidden Markov model of the training part, and under single words."""
     return hmm_lm.hmm_scores(table(spark, sf_dir, "documents"))
@@ -106,6 +115,7 @@ QUERIES = {
     "op5_pivot_index": op5_pivot_index,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_url_filters": op8_url_filters,
+    "op9_mixing": op9_mixing,
     "op10_hmm": op10_hmm,
 }
 ORACLE = {"op3_exact_dedup": EXACT_SQL, "op8_url_filters": _url_sql()}
