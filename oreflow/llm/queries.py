@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from oreflow.llm import bpe, exact_dedup, hmm_lm, mixing, ngram_join, pivot_index, quality_lm, suffix_dedup, url_rules
+from oreflow.llm import bpe, exact_dedup, fixity, hmm_lm, mixing, ngram_join, pivot_index, quality_lm, suffix_dedup, url_rules
 from oreflow.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -57,6 +58,56 @@ def op5_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_index.near_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
 
 
+def op6_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit of the archived pages against a replica with damage.
+
+    The replica is derived: by the first byte of the url's digest, records have a byte changed (00), are lost (01), are
+    longer (02), or are as they were.
+    """
+    pages = fixity.archived(table(spark, sf_dir, "pages"))
+    kind = F.substring(F.md5(F.coalesce("url", F.lit(""))), 1, 2)
+    html = F.coalesce("payload", F.lit(""))
+    spoilt = F.when(kind == "00", F.concat(F.lit("#"), F.substring(html, 2, 1 << 30))).when(kind == "02", F.concat(html, F.lit("!"))).otherwise(html)
+    damaged = fixity.warc_record(F.col("record_id"), F.col("url"), spoilt)
+    rows = pages.select(
+        "key", "record_id", (kind == "01").alias("lost"), F.struct(*fixity.fingerprint(F.col("record"))).alias("a"),
+        F.struct(*fixity.fingerprint(damaged)).alias("b"))
+    rows = fixity.numbered(rows, ["key", "record_id"]).withColumn("segment", F.expr(f"at div {fixity.SEGMENT}"))
+    a = rows.select("segment", "at", "record_id", "a.*")
+    b = rows.filter("not lost").select("segment", "at", "record_id", "b.*")
+    return fixity.audit(a, b)
+
+
+FIXITY_SQL = f"""
+WITH p AS (
+  SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html, substr(md5(coalesce(url, '')), 1, 2) AS kind,
+         md5(coalesce(page_id::varchar, 'null') || ' ' || coalesce(url, 'null')) AS record_id
+  FROM pages
+), q AS (
+  SELECT *, CASE kind WHEN '00' THEN '#' || substr(html, 2) WHEN '02' THEN html || '!' ELSE html END AS spoilt,
+         row_number() OVER (ORDER BY page_id NULLS FIRST, record_id) - 1 AS place
+  FROM p
+), r AS (
+  SELECT *, place // {fixity.SEGMENT} AS segment, chr(13) || chr(10) AS nl,
+         'WARC/1.1' || nl || 'WARC-Type: resource' || nl || 'WARC-Record-ID: <urn:md5:' || record_id || '>' || nl
+         || 'WARC-Target-URI: ' || url || nl || 'Content-Type: text/html' || nl || 'Content-Length: ' AS head
+  FROM q
+), s AS (
+  SELECT *, head || strlen(html) || nl || nl || html || nl || nl AS a, head || strlen(spoilt) || nl || nl || spoilt || nl || nl AS b
+  FROM r
+), t AS (
+  SELECT segment, record_id, kind, strlen(a) AS length, sha256(a) AS digest, sha256(b) AS other,
+         sum(strlen(a)) OVER w - strlen(a) AS start,
+         sum(CASE WHEN kind = '01' THEN 0 ELSE strlen(b) END) OVER w - CASE WHEN kind = '01' THEN 0 ELSE strlen(b) END AS there,
+         row_number() OVER (PARTITION BY segment, record_id ORDER BY place) AS copy
+  FROM s WINDOW w AS (PARTITION BY segment ORDER BY place)
+)
+SELECT segment, record_id, copy, start::bigint AS start, length, digest,
+       CASE WHEN kind = '01' THEN 'missing' WHEN digest <> other THEN 'altered' WHEN start <> there THEN 'moved' ELSE 'intact' END AS status
+FROM t
+"""
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of each document without the strings of 200 bytes that stand anywhere else too."""
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), 200)
@@ -113,9 +164,10 @@ QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_quality": op4_quality,
     "op5_pivot_index": op5_pivot_index,
+    "op6_fixity": op6_fixity,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_url_filters": op8_url_filters,
     "op9_mixing": op9_mixing,
     "op10_hmm": op10_hmm,
 }
-ORACLE = {"op3_exact_dedup": EXACT_SQL, "op8_url_filters": _url_sql()}
+ORACLE = {"op3_exact_dedup": EXACT_SQL, "op6_fixity": FIXITY_SQL, "op8_url_filters": _url_sql()}
