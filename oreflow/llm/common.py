@@ -9,6 +9,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,6 +84,31 @@ def list_column(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> p
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], least: int = 4096):
+    """Of rows that come sorted by `keys`: batches of at least `least` rows with the bounds of their groups, none cut."""
+    def bounds(rows: pa.RecordBatch) -> list[tuple[int, int]]:
+        new = np.zeros(rows.num_rows, bool)
+        for name in keys:
+            c = rows.column(name)
+            new[1:] |= pc.not_equal(c.slice(1), c.slice(0, rows.num_rows - 1)).to_numpy(zero_copy_only=False)
+        starts = [0, *np.flatnonzero(new).tolist()]
+        return list(zip(starts, [*starts[1:], rows.num_rows]))
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(b.num_rows for b in held) >= least:
+            rows = pa.concat_batches(held)
+            found = bounds(rows)
+            held = [rows.slice(found[-1][0])]
+            if len(found) > 1:
+                yield rows, found[:-1]
+    if held:
+        rows = pa.concat_batches(held)
+        yield rows, bounds(rows)
+
+
 def _lowest_neighbour(links: DataFrame) -> DataFrame:
     return links.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
 

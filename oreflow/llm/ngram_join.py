@@ -15,42 +15,84 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import as_bytes, components, keyed, mix, signed, stored, words
+from oreflow.llm.common import as_bytes, components, keyed, mix, signed, stored, whole_groups
 
-#: Word hashes and set numbers that a Python worker remembers before it starts anew.
-MEMORY = 400_000
+#: Set numbers that a task remembers before it starts anew; bytes of texts hashed at once; sets of a block of a tile.
+MEMORY, TOGETHER, BLOCK = 400_000, 1 << 20, 2048
 #: Bits of a bitmap: the next power of two above the set's size, within these.
 LEAST_BITS, MOST_BITS = 64, 4096
 #: Set numbers that two sets share; more than this would mean that the digest is broken.
 MOST_CLASHES = 100_000
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMORY:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_BLANK = np.zeros(256, bool)
+_BLANK[[32, 9, 10, 11, 12, 13]] = True
+_BASE = 0x9DDFEA08EB382D69
+_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-_hash_of = _WordHashes()
+def _powers_to(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse, kept for the longest text so far."""
+    if len(_powers[0]) < n:
+        size = 1 << int(n).bit_length()
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            row = np.full(size, base, np.uint64)
+            row[0] = 1
+            _powers[i] = np.multiply.accumulate(row)
+    return _powers
 
 
-def ngram_set(text: bytes, n: int) -> np.ndarray:
-    """Sorted distinct hashes of the n-word shingles; of the whole sequence if there are fewer words; empty without any."""
-    tokens = words(text)
-    if not tokens:
-        return np.zeros(0, np.uint64)
-    hashed = np.fromiter(map(_hash_of.__getitem__, tokens), np.uint64, len(tokens))
-    width = min(n, len(tokens))
-    total = np.full(len(tokens) - width + 1, width, np.uint64)
+def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and 64-bit hash of each word of the bytes, A-Z lower-cased: a polynomial by prefix sums, then mixed."""
+    blank = np.concatenate(([True], _BLANK[data], [True]))
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    up, down = _powers_to(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
+    return starts, mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def _shingles(hashed: np.ndarray, width: int) -> np.ndarray:
+    total = np.full(max(0, len(hashed) - width + 1), width, np.uint64)
     for i in range(width):
-        total = mix(total + hashed[i : len(hashed) - width + 1 + i])
-    return np.unique(total)
+        total = mix(total + hashed[i : len(total) + i])
+    return total
+
+
+def _distinct(hashes: np.ndarray) -> np.ndarray:
+    hashes = np.sort(hashes)
+    return hashes[np.concatenate(([True], hashes[1:] != hashes[:-1]))] if len(hashes) else hashes
+
+
+def ngram_sets(texts: list[bytes], n: int) -> Iterator[np.ndarray]:
+    """For each text the sorted distinct hashes of its n-word shingles, worked out for TOGETHER bytes of texts at once.
+
+    With fewer words the whole sequence is the one shingle; without any the set is empty.
+    """
+    first = 0
+    while first < len(texts):
+        last, size = first, 0
+        while last < len(texts) and (last == first or size + len(texts[last]) < TOGETHER):
+            size += len(texts[last]) + 1
+            last += 1
+        some = texts[first:last]
+        starts, hashed = word_hashes(np.frombuffer(b"\n".join(some), np.uint8))
+        begins = np.cumsum([0, *(len(t) + 1 for t in some)])
+        bounds = np.searchsorted(starts, begins).tolist()
+        whole = _shingles(hashed, n)
+        for lo, hi in zip(bounds, bounds[1:]):
+            yield _distinct(whole[lo : hi - n + 1] if hi - lo >= n else _shingles(hashed[lo:hi], hi - lo) if hi > lo else whole[:0])
+        first = last
+
+
+def ngram_set(text: bytes, n: int) -> np.ndarray:
+    return next(ngram_sets([text], n))
 
 
 @lru_cache(64)
@@ -123,8 +165,7 @@ def _profiles(n: int):
     def run(batches):
         for batch in batches:
             rows = []
-            for text in as_bytes(batch.column(2)):
-                found = ngram_set(text, n)
+            for found in ngram_sets(list(as_bytes(batch.column(2))), n):
                 rows.append((len(found), *_set_numbers(found), bitmap(found) if len(found) else b""))
             kinds = pa.int64(), pa.int64(), pa.int64(), pa.binary()
             columns = [pa.array(x, k) for x, k in zip(zip(*rows) if rows else [()] * 4, kinds)]
@@ -138,8 +179,7 @@ def _entries(n: int, percent: int, clashes: frozenset[int]):
         seen: set[int] = set()
         for batch in batches:
             out, nodes, lengths = [], [], []
-            for text in as_bytes(batch.column(0)):
-                found = ngram_set(text, n)
+            for found in ngram_sets(list(as_bytes(batch.column(0))), n):
                 node, other = _set_numbers(found)
                 node = other if node in clashes else node
                 if node in seen or not len(found):
@@ -169,6 +209,49 @@ def _bitmap_filter(percent: int):
     return run
 
 
+def _folded(bits: list[bytes]) -> np.ndarray:
+    """Bitmaps of one size, the smallest: halves of a parity bitmap folded onto each other are that of the half size."""
+    least, rows = min(map(len, bits)), []
+    for size in sorted(set(map(len, bits))):
+        where = [i for i, x in enumerate(bits) if len(x) == size]
+        found = np.frombuffer(b"".join(bits[i] for i in where), np.uint64).reshape(len(where), -1)
+        while found.shape[1] * 8 > least:
+            half = found.shape[1] // 2
+            found = found[:, :half] ^ found[:, half:]
+        rows.append((where, found))
+    out = np.empty((len(bits), least // 8), np.uint64)
+    for where, found in rows:
+        out[where] = found
+    return out
+
+
+def _compare_blocks(percent: int):
+    def group(rows: pa.RecordBatch):
+        node, root, n, block = (rows.column(c).to_numpy() for c in ("node", "root", "n", "block"))
+        if (root == root[0]).all():
+            return None
+        bits = _folded(rows.column("bits").to_pylist())
+        one, two = rows.column("b1")[0].as_py(), rows.column("b2")[0].as_py()
+        left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
+        found, step = [], max(1, (1 << 21) // max(1, len(right) * bits.shape[1]))
+        for lo in range(0, len(left), step):
+            x = left[lo : lo + step, None]
+            differ = np.bitwise_count(bits[x[:, 0]][:, None, :] ^ bits[right][None, :, :]).sum(axis=2, dtype=np.int64)
+            both = n[x] + n[right]
+            fits = ((100 + percent) * (both - differ) >= 2 * percent * both) & (np.minimum(n[x], n[right]) * 100 >= percent * np.maximum(n[x], n[right]))
+            i, j = np.nonzero(fits & (root[x] < root[right]) if one == two else fits & (root[x] != root[right]))
+            found.append((node[x[i, 0]], node[right[j]]))
+        a, b = (np.concatenate(x) for x in zip(*found))
+        return (np.minimum(a, b), np.maximum(a, b)) if len(a) else None
+
+    def run(batches):
+        for rows, bounds in whole_groups(batches, ["tile", "b1", "b2"]):
+            found = [x for lo, hi in bounds if hi - lo > 1 and (x := group(rows.slice(lo, hi - lo)))]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], ["a", "b"])
+    return run
+
+
 def _verify(n: int, percent: int):
     def run(batches):
         held: tuple[int | None, np.ndarray] = (None, np.zeros(0, np.uint64))
@@ -211,6 +294,24 @@ class _Join:
         both = pairs.join(a, "a").join(b, "b").select("a", "b", "n_a", "bits_a", "n_b", "bits_b")
         return stored(both.mapInArrow(_bitmap_filter(self.percent), "a long, b long"), "likely")
 
+    def within(self, members: DataFrame) -> DataFrame:
+        """Pairs of (tile, node, root, size) in one tile but apart that the bitmaps let through.
+
+        A tile is cut into blocks, and every pair of its blocks is compared in one go, in a task of its own if need
+        be; only what passes leaves the task.
+        """
+        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+        placed = members.join(self.sets.select("node", "n", "bits"), "node").withColumn("blocks", blocks)
+        placed = placed.withColumn("block", F.pmod(F.hash("node"), "blocks"))
+        whole = placed.filter("blocks = 1").select("tile", F.lit(0).alias("b1"), F.lit(0).alias("b2"), "block", "node", "root", "n", "bits")
+        cut = placed.filter("blocks > 1").withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+            "tile", F.least("block", "with").alias("b1"), F.greatest("block", "with").alias("b2"), "block", "node", "root", "n", "bits")
+        parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        unit = ["tile", "b1", "b2"]
+        found = whole.unionByName(cut).repartition(parts, *unit).sortWithinPartitions(*unit).mapInArrow(
+            _compare_blocks(self.percent), "a long, b long")
+        return stored(found.distinct(), "within")
+
     def texts_of(self, pairs: DataFrame) -> DataFrame:
         """(node, text), one text for each set that stands in a pair."""
         nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
@@ -251,12 +352,10 @@ class _Join:
             roots = components(links, "a", "b")
         # Last the pairs in a tile of which neither is its lowest, again only across what is still apart.
         others = tiled.filter("node <> lo").join(roots, "node", "left").select("tile", "node", F.coalesce("root", "node").alias("root"))
-        split = others.groupBy("tile").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("tile")
-        others = stored(others.join(split, "tile"), "apart")
-        if not others.isEmpty():
-            a, b = (others.select("tile", F.col("node").alias(x), F.col("root").alias(f"root_{x}")) for x in "ab")
-            pairs = a.join(b, "tile").filter("root_a < root_b").select("a", "b").distinct()
-            more = self.likely(pairs)
+        split = others.groupBy("tile").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"))
+        split = stored(split.filter("low <> high").select("tile", "size"), "apart")
+        if not split.isEmpty():
+            more = self.within(others.join(split, "tile"))
             if not more.isEmpty():
                 links = links.unionByName(self.verified(more, self.texts_of(more)))
                 roots = components(links, "a", "b")

@@ -10,19 +10,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import components, stored
+from oreflow.llm.common import components, stored, whole_groups
 
 #: Reference points (the sample the index is fitted on), length of a description, how many of its pivots have the
 #: vector in their lists, shared pivots that make a candidate, and vectors of a block.
 PIVOTS, DESCRIBED, LISTED, SHARED, BLOCK = 1024, 16, 12, 3, 256
 #: Vectors drawn for each pivot that is sought, and the cosine that two pivots must stay below.
 SAMPLE, APART = 4, 0.8
-#: Rows gathered before whole groups of them are worked through.
-GATHER = 4096
 
 
 def usable(label: Column, vector: Column) -> Column:
@@ -143,31 +140,10 @@ def _compare(kind: str, pivots: int, listed: int, shared: int, least: float):
         return node[some], links[some].astype(np.int64), node[root[some]]
 
     def run(batches):
-        held: list[pa.RecordBatch] = []
-        def work(rows: pa.RecordBatch, last: bool):
-            """Results of the whole groups, and the rows of the group that may go on."""
-            new = np.zeros(rows.num_rows, bool)
-            for name in ("lab", "size", "pivot", "b1", "b2"):
-                c = rows.column(name)
-                new[1:] |= pc.not_equal(c.slice(1), c.slice(0, rows.num_rows - 1)).to_numpy(zero_copy_only=False)
-            starts = [0, *np.flatnonzero(new).tolist()]
-            ends = [*starts[1:], rows.num_rows]
-            found = [group(rows.slice(a, b - a)) for a, b in list(zip(starts, ends))[: None if last else -1] if b - a > 1]
-            return [x for x in found if x], rows.slice(starts[-1])
-        def answer(found):
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], ["node", "links", "peer"])
-        for batch in batches:
-            if batch.num_rows:
-                held.append(batch)
-            if sum(b.num_rows for b in held) >= GATHER:
-                found, rest = work(pa.concat_batches(held), False)
-                held = [rest]
-                if found:
-                    yield answer(found)
-        if held:
-            found, _ = work(pa.concat_batches(held), True)
+        for rows, bounds in whole_groups(batches, ["lab", "size", "pivot", "b1", "b2"]):
+            found = [x for lo, hi in bounds if hi - lo > 1 and (x := group(rows.slice(lo, hi - lo)))]
             if found:
-                yield answer(found)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], ["node", "links", "peer"])
     return run
 
 
