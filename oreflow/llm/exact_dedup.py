@@ -135,7 +135,8 @@ def exact_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "tex
     recipes = stored(recipes.withColumn("row", F.monotonically_increasing_id()), "recipes")
     repeated = recipes.groupBy("recipe_key").count().filter("count > 1").select("recipe_key")
     wanted = recipes.join(repeated, "recipe_key").select(F.col("id").alias("wanted")).distinct()
-    texts = source.join(wanted, source["id"].eqNullSafe(wanted["wanted"]), "left_semi").select("text")
+    # The ids of repeated recipes grow with the corpus, so texts meet them by a merge at every size.
+    texts = source.join(wanted.hint("merge"), source["id"].eqNullSafe(wanted["wanted"]), "left_semi").select("text")
     numbers = _collision_numbers(texts, hash_bits)
     if numbers is None:
         recipes = recipes.withColumn("numbers", F.array().cast("array<struct<seq:int,rank:int>>"))
