@@ -46,6 +46,18 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def lowest_hash(frame: DataFrame, columns: list[str], most: int) -> DataFrame:
+    """At most `most` rows, those of lowest hash: a bounded sample that does not depend on partitions or on size.
+
+    Rows far above the limit are dropped where they are read, so that what tasks send grows with `most` alone.
+    """
+    order, total = F.xxhash64(*columns), frame.count()
+    share = 4 * max(most, 100) / max(1, total)
+    if share < 1:
+        frame = frame.filter(order < int(-(1 << 63) + share * (1 << 64)))
+    return frame.orderBy(order, *columns).limit(most)
+
+
 def keyed(documents: DataFrame, key: str, text: str) -> DataFrame:
     """Rows with (d, t): the id, or for a null id a number from the text; and the text's checksum, as ids may repeat."""
     raw = F.coalesce(F.col(text).cast("binary"), F.lit(b""))

@@ -71,7 +71,7 @@ class Vocabulary:
         total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
         self.tokens, self.distinct = total["n"] or 0, total["v"]
         end = _seen[END][0]
-        top = counts.filter(F.col("word") != end).orderBy(F.desc("c"), "word").limit(head).collect()
+        top = self._frequent(counts.filter(F.col("word") != end), head)
         ended = counts.filter(F.col("word") == end).first()
         self.symbol = {end: 0} | {r["word"]: i for i, r in enumerate(top, 1)}
         self.head = np.array([ended["c"] if ended else 0, *(r["c"] for r in top)], np.float64)
@@ -86,6 +86,20 @@ class Vocabulary:
         self.overall = weight / weight.sum()
 
 
+    @staticmethod
+    def _frequent(counts: DataFrame, most: int) -> list:
+        """The most frequent words, as many whole steps of frequency as fit into `most`; the driver sees no others."""
+        step = F.floor(F.log2("c") * 16).cast("int")
+        sizes = {r["step"]: r["n"] for r in counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()}
+        room, lowest = most, None
+        for s in sorted(sizes, reverse=True):
+            room -= sizes[s]
+            if room < 0:
+                break
+            lowest = s
+        return [] if lowest is None else sorted(counts.filter(step >= lowest).collect(), key=lambda r: (-r["c"], r["word"]))
+
+
 def _code(vocabulary: Vocabulary):
     """Texts as symbols, with what the frequent words give to the sums, and the other words with their numbers."""
     symbol, first_class = vocabulary.symbol, len(vocabulary.head)

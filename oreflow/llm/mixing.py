@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oreflow.llm.common import as_bytes, stored, words
+from oreflow.llm.common import as_bytes, lowest_hash, stored, words
 
 #: Labelled documents drawn per domain at most, words that are features, and in how many of the sample they must stand.
 LABELLED, FEATURES, LEAST = 4_000, 4_096, 8
@@ -84,7 +84,9 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, size: int
         new = ahead - rate * (slope + RIDGE * ahead)
         ahead, weights = new + step / (step + 3) * (new - weights), new
     drawn = np.bincount(labels, minlength=domains) / len(labels)
-    weights[-1] += np.log(np.maximum(shares, 1e-9)) - np.log(np.maximum(drawn, 1e-9))
+    seen = (drawn > 0) & (shares > 0)
+    weights[-1, seen] += np.log(shares[seen] / drawn[seen])
+    weights[-1, ~seen] -= 30  # a domain without a document here
     return weights
 
 
@@ -110,7 +112,7 @@ def train(documents: DataFrame, labels: DataFrame, domains: list[str], most: int
     counts = {r["domain"]: r["count"] for r in labels.groupBy("domain").count().collect()}
     drawn = None
     for number, name in enumerate(domains):
-        some = labels.filter(F.col("domain") == name).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+        some = lowest_hash(labels.filter(F.col("domain") == name), ["doc_id", "domain"], most)
         some = some.select(F.col("doc_id").alias("t_id"), F.lit(number).alias("domain"))
         drawn = some if drawn is None else drawn.unionByName(some)
     sample = documents.join(F.broadcast(drawn), F.col("key") == F.col("t_id"))  # bounded by `most`
@@ -122,8 +124,11 @@ def train(documents: DataFrame, labels: DataFrame, domains: list[str], most: int
     if table.num_rows == 0:
         return Classifier(features, np.zeros((features.size + 1, len(domains))))
     rows = [(np.array(n), np.array(v, np.float64)) for n, v in zip(table.column("numbers").to_pylist(), table.column("values").to_pylist())]
-    shares = np.array([counts.get(d, 0) for d in domains], float)
-    return Classifier(features, fit(rows, table.column("domain").to_numpy(), features.size, shares / shares.sum()))
+    # Of the labelled documents of a domain, as large a part is taken to be here as of those drawn.
+    number = table.column("domain").to_numpy()
+    labelled = np.array([counts.get(d, 0) for d in domains], float)
+    shares = labelled * np.bincount(number, minlength=len(domains)) / np.maximum(1, np.minimum(labelled, most))
+    return Classifier(features, fit(rows, number, features.size, shares / shares.sum()))
 
 
 def with_posteriors(frame: DataFrame, classifier: Classifier, text: str) -> DataFrame:

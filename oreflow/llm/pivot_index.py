@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import components, stored, whole_groups
+from oreflow.llm.common import components, lowest_hash, stored, whole_groups
 
 #: Reference points (the sample the index is fitted on), length of a description, how many of its pivots have the
 #: vector in their lists, shared pivots that make a candidate, and vectors of a block.
@@ -33,7 +33,7 @@ def choose_pivots(nodes: DataFrame, count: int) -> np.ndarray:
 
     Were a dense family to give many pivots, its members would be described by small differences among these.
     """
-    rows = nodes.select("vec").orderBy(F.xxhash64("vec"), "vec").limit(SAMPLE * count).collect()
+    rows = lowest_hash(nodes.select("vec"), ["vec"], SAMPLE * count).collect()
     width = max((len(r["vec"]) for r in rows), default=0)
     found = np.zeros((len(rows), width))
     for i, r in enumerate(rows):

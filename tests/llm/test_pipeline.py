@@ -20,7 +20,7 @@ def sf_dir(tmp_path_factory):
     rows += [(300 + i, prose(i, 80, 500), "en") for i in range(10)]  # copies
     rows += [(400 + i, prose(20 + i, 80, 500).replace(" w", " w1", 1), "en") for i in range(10)]  # near copies
     rows += [(500 + i, "".join(chr(33 + (i * 7 + j * j) % 90) for j in range(300)), "en") for i in range(10)]  # junk
-    rows += [(600 + i, prose(600 + i, 70, 500) + " w777 w888 w777 w888", "en") for i in range(40)]
+    rows += [(600 + i, prose(600 + i, 70, 500) + " w300 w311 w322 w333 w344", "en") for i in range(40)]
     rows += [(700, None, "en"), (701, "", None), (1, prose(1, 80, 500), "en")]
     pq.write_table(pa.table({"doc_id": [r[0] for r in rows], "text": [r[1] for r in rows], "lang": [r[2] for r in rows], "source": ["s"] * len(rows),
                              "n_chars": pa.array([len(r[1] or "") for r in rows], pa.int64())}), f"{place}/documents.parquet")
