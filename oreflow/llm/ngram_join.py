@@ -22,8 +22,9 @@ from oreflow.llm.common import as_bytes, components, keyed, mix, signed, stored,
 
 #: Set numbers that a task remembers before it starts anew; bytes of texts hashed at once; sets of a block of a tile.
 MEMORY, TOGETHER, BLOCK = 400_000, 1 << 20, 2048
-#: Bits of a bitmap: the next power of two above the set's size, within these.
-LEAST_BITS, MOST_BITS = 64, 4096
+#: Bits of a bitmap: the next power of two above four times the set's size, within these. With fewer, differing
+#: n-grams often fall on one bit and cancel out, and sets just below the threshold pass.
+LEAST_BITS, MOST_BITS = 64, 16384
 #: Set numbers that two sets share; more than this would mean that the digest is broken.
 MOST_CLASHES = 100_000
 
@@ -132,7 +133,7 @@ def tiles(ngrams: np.ndarray, percent: int) -> np.ndarray:
 
 def bitmap(ngrams: np.ndarray) -> bytes:
     """Bit i tells whether an odd number of n-grams falls on i."""
-    bits = min(MOST_BITS, max(LEAST_BITS, 1 << int(len(ngrams) - 1).bit_length()))
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << int(4 * len(ngrams) - 1).bit_length()))
     odd = np.bincount((ngrams & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
