@@ -12,6 +12,7 @@ from typing import Any
 
 _SHIFT = re.compile(r"^trigger_time\s*([+-])\s*timedelta\((days|hours|minutes)\s*=\s*(\d+)\)$")
 _PLACEHOLDER = re.compile(r"\$\{([^{}]*)\}")
+_LITERAL_OR_REST = re.compile(r"'(?:[^']|'')*'|[^']+")
 
 
 def sql_text(value: Any) -> str:
@@ -81,13 +82,14 @@ def bind(
 ) -> tuple[str, dict[str, str]]:
     """Query and arguments for ``spark.sql(query, args)``: each ``${...}``, quoted or not, becomes a marker.
 
-    Values travel as typed arguments, so text in them can never become SQL.
+    Values travel as typed arguments, so text in them can never become SQL. A literal that holds more than a
+    placeholder becomes the concatenation of its parts. Quotes inside a literal are doubled.
     """
     values = query_values(trigger_time, parameters)
     args: dict[str, str] = {}
 
-    def marker(match: re.Match) -> str:
-        inner = match.group("inner").strip()
+    def marker(inner: str) -> str:
+        inner = inner.strip()
         if inner in values:
             name, value = inner, values[inner]
         else:
@@ -96,6 +98,14 @@ def bind(
         args[name] = value
         return f":{name}"
 
-    bound = re.sub(r"'\$\{(?P<inner>[^{}]*)\}'", marker, query)
-    bound = re.sub(r"\$\{(?P<inner>[^{}]*)\}", marker, bound)
-    return bound, args
+    def piece(match: re.Match) -> str:
+        text = match.group()
+        if not text.startswith("'"):
+            return _PLACEHOLDER.sub(lambda m: marker(m.group(1)), text)
+        parts = _PLACEHOLDER.split(text[1:-1])  # text, inner, text, inner, ..., text
+        if len(parts) == 1:
+            return text
+        values = [marker(x) if i % 2 else f"'{x}'" for i, x in enumerate(parts) if i % 2 or x]
+        return values[0] if len(values) == 1 else f"concat({', '.join(values)})"
+
+    return _LITERAL_OR_REST.sub(piece, query), args

@@ -26,15 +26,3 @@ def escape_html(column: Column) -> Column:
     for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
         column = F.replace(column, F.lit(char), F.lit(entity))
     return column
-
-
-def detail_list_html(details: Column) -> Column:
-    """Map entries as an HTML list with a heading; empty text for an empty map."""
-    items = F.transform(
-        F.map_entries(details),
-        lambda e: F.concat(
-            F.lit("<li><strong>"), escape_html(e.key), F.lit(":</strong> "), escape_html(e.value), F.lit("</li>")
-        ),
-    )
-    html = F.concat(F.lit("<h4>Details:</h4><ul>"), F.array_join(items, ""), F.lit("</ul>"))
-    return F.when(F.size(details) > 0, html).otherwise(F.lit(""))

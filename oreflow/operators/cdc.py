@@ -20,14 +20,18 @@ from oreflow.operators.dedup import latest_by
 SEQUENCE = "_sequence"
 DELETED = "_deleted"
 CHANGE_TYPE = "_change_type"
+LAST = "_last"
 
 
 @dataclass(frozen=True)
 class ChangeRules:
     """How changes are applied.
 
-    ``key_fallback`` names, per key column, a column that supplies the key where it is null: a delete has lost
-    its master row, and with it the key, but the change log still knows which key it was.
+    ``key_fallback`` names, per key column, a column that supplies the key of a delete where it is null: a delete
+    has lost its master row, and with it the key, but the change log still knows which key it was.
+
+    With ``soft_delete`` a deleted row stays, flagged in ``soft_delete_column``, with the values of the last insert
+    or update; of the delete it takes the columns in ``delete_columns`` (the time of the delete, say).
     """
 
     keys: Sequence[str]
@@ -37,6 +41,7 @@ class ChangeRules:
     key_fallback: Mapping[str, str] = field(default_factory=dict)
     soft_delete: bool = False
     soft_delete_column: str = "is_del"
+    delete_columns: Sequence[str] = ()
     scd_type: str = "1"
 
     def __post_init__(self) -> None:
@@ -46,22 +51,41 @@ class ChangeRules:
             raise ValueError("at least one key column is needed")
 
 
+def is_delete(rules: ChangeRules) -> Column:
+    """Whether a business row deletes its key."""
+    return F.coalesce(F.expr(rules.delete_when), F.lit(False)) if rules.delete_when else F.lit(False)
+
+
 def change_rows(df: DataFrame, rules: ChangeRules) -> DataFrame:
-    """Business rows as change rows: keys filled, sequence and delete flag evaluated."""
-    if rules.key_fallback:
-        df = df.withColumns({k: F.coalesce(F.col(k), F.col(other)) for k, other in rules.key_fallback.items()})
-    deleted = F.coalesce(F.expr(rules.delete_when), F.lit(False)) if rules.delete_when else F.lit(False)
-    return df.withColumns({SEQUENCE: F.expr(rules.sequence_by), DELETED: deleted})
+    """Business rows as change rows: sequence and delete flag evaluated, and the keys of deletes filled.
+
+    An insert or update that has lost its key keeps none, so that it is rejected instead of applied.
+    """
+    df = df.withColumns({SEQUENCE: F.expr(rules.sequence_by), DELETED: is_delete(rules)})
+    return df.withColumns({
+        k: F.when(F.col(DELETED), F.coalesce(F.col(k), F.col(other))).otherwise(F.col(k))
+        for k, other in rules.key_fallback.items()
+    }) if rules.key_fallback else df
 
 
-def usable_change(rules: ChangeRules, sequence: Column | None = None) -> Column:
+def usable_change(rules: ChangeRules) -> Column:
     """A change row has all its keys and a sequence."""
-    usable = (F.col(SEQUENCE) if sequence is None else sequence).isNotNull()
+    usable = F.col(SEQUENCE).isNotNull()
     for key in rules.keys:
         usable = usable & F.col(key).isNotNull()
     return usable
 
 
+def usable_row(rules: ChangeRules) -> Column:
+    """The same of a business row, before its keys are filled."""
+    usable = F.expr(rules.sequence_by).isNotNull()
+    for key in rules.keys:
+        other = rules.key_fallback.get(key)
+        filled = F.col(key).isNotNull()
+        usable = usable & (filled if other is None else filled | (is_delete(rules) & F.col(other).isNotNull()))
+    return usable
+
+
 def split_changes(changes: DataFrame, rules: ChangeRules) -> tuple[DataFrame, DataFrame]:
     """(usable, rejected): rows without key or sequence cannot be ordered and are set apart with a reason."""
     reasons = [F.when(F.col(k).isNull(), F.lit(f"null key: {k}")) for k in rules.keys]
@@ -87,15 +111,40 @@ def latest_changes(changes: DataFrame, rules: ChangeRules) -> DataFrame:
     Excepted columns go first, so that they are neither hashed nor shuffled nor, if nothing else needs them, read.
     """
     changes = stored_columns(changes, rules)
-    order = [F.col(SEQUENCE).desc(), F.col(DELETED).desc(), row_hash(changes, (SEQUENCE, DELETED)).desc()]
+    if rules.soft_delete:
+        changes = with_last_values(changes, rules)
+    order = [F.col(SEQUENCE).desc(), F.col(DELETED).desc(), row_hash(changes, (SEQUENCE, DELETED, LAST)).desc()]
     return latest_by(changes, list(rules.keys), order)
 
 
+def with_last_values(changes: DataFrame, rules: ChangeRules) -> DataFrame:
+    """Change rows with ``_last``: sequence and values of the last insert or update of their key, as far as known.
+
+    They ride along with the state, because the delete itself may carry nothing but its key. The greatest of a key is
+    an aggregation that is partial before its shuffle, so a busy key costs one row per task.
+    """
+    keys = list(rules.keys)
+    values = [c for c in changes.columns if c not in (*keys, SEQUENCE, DELETED, LAST)]
+    own = F.struct(F.col(SEQUENCE).alias("at"), row_hash(changes, (SEQUENCE, DELETED, LAST)).alias("hash"), F.struct(*values).alias("row"))
+    own = F.when(~F.col(DELETED), own)
+    if LAST in changes.columns:
+        own = F.coalesce(own, F.col(LAST))  # of a stored delete, what it was given when it was merged
+    last = changes.select(*keys, own.alias(LAST)).where(F.col(LAST).isNotNull())
+    ranked = latest_by(last, keys, [F.col(f"{LAST}.at").desc(), F.col(f"{LAST}.hash").desc()])
+    return changes.drop(LAST).join(ranked, keys, "left")
+
+
 def live_rows(state: DataFrame, rules: ChangeRules) -> DataFrame:
     """The target table seen by readers: no tombstones, no bookkeeping, no excepted columns."""
     dropped = [SEQUENCE, DELETED, *rules.except_columns]
     if rules.soft_delete:
         flag = rules.soft_delete_column
+        own = {c.lower() for c in (*rules.keys, *rules.delete_columns, SEQUENCE, DELETED, LAST)}
+        last = {f.name for f in state.schema[LAST].dataType["row"].dataType.fields} if LAST in state.columns else set()
+        state = state.withColumns({
+            c: F.when(F.col(DELETED), F.col(f"{LAST}.row.{c}")).otherwise(F.col(c))
+            for c in state.columns if c.lower() not in own and c in last
+        }).drop(LAST)
         state = state.withColumn(flag, F.when(F.col(DELETED), "Y").otherwise("N"))
         dropped = [c for c in dropped if c.lower() != flag.lower()]
     else:
@@ -126,6 +175,8 @@ def overlay_changes(
     ``merge_changes`` is cheaper. A state that is ``colocated``, bucketed by its keys, needs no shuffle for a batch
     of any size.
     """
+    if rules.soft_delete:  # a kept row is made of two, which only the merge of both sides sees
+        return merge_changes(state, changes, rules)
     keys = list(rules.keys)
     state, changes = stored_columns(state, rules), stored_columns(changes, rules)
     columns = [*state.columns, *[c for c in changes.columns if c not in state.columns]]
@@ -209,5 +260,5 @@ def apply_changes_from_snapshot(
     state: DataFrame, snapshot: DataFrame, rules: ChangeRules, version: int
 ) -> DataFrame:
     """New state after a full snapshot: rows missing from it are deleted, the others inserted or updated."""
-    held = state.where(~F.col(DELETED)).drop(SEQUENCE, DELETED)
+    held = state.where(~F.col(DELETED)).drop(SEQUENCE, DELETED, LAST)
     return merge_changes(state, snapshot_changes(held, snapshot, rules.keys, version), rules)

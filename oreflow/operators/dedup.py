@@ -31,6 +31,16 @@ def latest_by(
     The limit on the row number lets Spark cut every input partition to ``n`` rows per key before the
     shuffle, so a key that holds most of the rows costs no more than any other.
     """
+    return _ranked(df, partition_by, order_by).where(F.col("_rank") == n).drop("_rank")
+
+
+def best_by(
+    df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str | Column], n: int = 1
+) -> DataFrame:
+    """The first ``n`` rows of each key: all that ``latest_by`` over these and any further rows can need."""
+    return _ranked(df, partition_by, order_by).where(F.col("_rank") <= n).drop("_rank")
+
+
+def _ranked(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
     order = [c for item in order_by for c in (order_columns([item]) if isinstance(item, str) else [item])]
-    rank = F.row_number().over(Window.partitionBy(*partition_by).orderBy(*order))
-    return df.withColumn("_rank", rank).where(F.col("_rank") == n).drop("_rank")
+    return df.withColumn("_rank", F.row_number().over(Window.partitionBy(*partition_by).orderBy(*order)))

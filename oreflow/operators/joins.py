@@ -13,7 +13,18 @@ def join_master(log: DataFrame, master: DataFrame, log_key: str, master_key: str
 
     Every log row stays; rows whose master row is gone carry nulls. The master must be unique on its key.
     A key that dominates the log is split by adaptive skew handling, which may split the left side here.
+    Where both sides have the key under one name, the log's is renamed to ``S_<name>``, as the master's is null for
+    deletes; other columns that both have are refused, because one of them would be lost.
     """
+    have = {c.lower() for c in master.columns}
+    if log_key.lower() == master_key.lower():
+        renamed = f"S_{log_key}"
+        if renamed.lower() in {c.lower() for c in [*log.columns, *master.columns]}:
+            raise ValueError(f"the key {log_key!r} of the log cannot be renamed to {renamed!r}: there is such a column")
+        log, log_key = log.withColumnRenamed(log_key, renamed), renamed
+    clash = [c for c in log.columns if c.lower() in have]
+    if clash:
+        raise ValueError(f"log and master both have {', '.join(clash)}; select or rename before the join")
     return log.join(master, log[log_key] == master[master_key], "left")
 
 
@@ -21,10 +32,11 @@ def semi_join_allowlist(
     df: DataFrame,
     allow: DataFrame,
     column: str,
-    value_column: str = "filter_value",
-    type_column: str | None = "filter_type",
+    value_column: str,
+    type_column: str | None = None,
     type_value: str | None = None,
-    use_column: str | None = "use_yn",
+    use_column: str | None = None,
+    use_value: str = "Y",
 ) -> DataFrame:
     """Rows whose ``column`` is listed and in use.
 
@@ -33,7 +45,7 @@ def semi_join_allowlist(
     measured size allows and otherwise shuffles both sides.
     """
     if use_column:
-        allow = allow.where(F.upper(F.col(use_column)) == "Y")
+        allow = allow.where(F.upper(F.col(use_column)) == use_value.upper())
     if type_column and type_value is not None:
         allow = allow.where(F.col(type_column) == type_value)
     dtype = df.select(column).schema[0].dataType

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from oreflow.functions.clock import AsOf, moment
+from oreflow.functions.clock import AsOf
 from oreflow.functions.params import render
+from oreflow.functions.rows import row_hash
 from oreflow.operators.cdc import (
     DELETED,
     SEQUENCE,
@@ -20,15 +22,19 @@ from oreflow.operators.cdc import (
     apply_changes,
     change_rows,
     split_changes,
-    usable_change,
+    usable_row,
 )
-from oreflow.operators.dedup import latest_by
+from oreflow.operators.dedup import best_by, latest_by
 from oreflow.operators.filters import since
 from oreflow.operators.joins import join_master
 from oreflow.operators.project import add_metadata_columns, rtrim_strings, select_where
 from oreflow.operators.quality import Rule, fail_gate, keep, keep_condition, metrics, quarantine, rules_from_json
 
 
+FILE_FORMATS = ("parquet", "orc", "json", "csv", "text")
+TABLE_FORMATS = ("table", "delta", "iceberg", "hudi")
+
+
 @dataclass(frozen=True)
 class BronzeFlow:
     """Raw → bronze: filters and added columns, in the order they are declared."""
@@ -41,6 +47,15 @@ class BronzeFlow:
     transformations: Sequence[Mapping[str, Any]] = ()
     cluster_by: Sequence[str] = ()
 
+    def file_format(self) -> str:
+        """How the source's files are read; tables of any table format are folders of parquet files here."""
+        name = (self.source_format or "parquet").lower()
+        if name in TABLE_FORMATS:
+            return "parquet"
+        if name not in FILE_FORMATS:
+            raise ValueError(f"source format {self.source_format!r} of {self.dataflow_id!r} is not supported")
+        return name
+
 
 @dataclass(frozen=True)
 class SilverFlow:
@@ -110,43 +125,87 @@ def ingest(
     return add_metadata_columns(log, metadata_columns or {}, trigger_time, context) if metadata_columns else log
 
 
+_CLOCK = re.compile(r"\bcurrent_(date|timestamp)\s*\(\s*\)", re.IGNORECASE)
+
+
+def at_moment(sql: str, as_of: AsOf = None) -> str:
+    """SQL of a flow with its clock set: every ``current_date()`` and ``current_timestamp()`` becomes ``as_of``."""
+    if as_of is None:
+        return sql
+    if not isinstance(as_of, (dt.datetime, str)):
+        raise TypeError("a flow takes its moment as a datetime or as text")
+    text = as_of if isinstance(as_of, str) else as_of.isoformat(sep=" ")
+    return _CLOCK.sub(lambda m: f"CAST(TIMESTAMP '{text}' AS {m.group(1).upper()})", sql)
+
+
 def bronze(raw: DataFrame, flow: BronzeFlow, as_of: AsOf = None) -> DataFrame:
     """Bronze rows. A filter may hold an IN subquery on a table; Spark turns it into a semi join."""
     for step in flow.transformations:
         if step["type"] == "filter":
-            raw = raw.where(step["condition"])
+            raw = raw.where(at_moment(step["condition"], as_of))
         elif step["type"] == "add_column":
-            raw = raw.withColumns({
-                name: moment(as_of) if sql.strip() == "current_timestamp()" else F.expr(sql)
-                for name, sql in step["columns"].items()
-            })
+            raw = raw.withColumns({name: F.expr(at_moment(sql, as_of)) for name, sql in step["columns"].items()})
         else:
             raise ValueError(f"unknown transformation type {step['type']!r}")
     return raw
 
 
+def selected_rows(bronze_rows: DataFrame, flow: SilverFlow, as_of: dt.datetime | None = None) -> DataFrame:
+    """Rows selected, filtered and trimmed, each on its own."""
+    where = [render(clause, as_of, {}) for clause in flow.where] if as_of else flow.where
+    rows = select_where(bronze_rows, flow.select, [at_moment(clause, as_of) for clause in where])
+    return rtrim_strings(rows) if flow.rtrim else rows
+
+
+@dataclass(frozen=True)
+class Deduplication:
+    """Which row of each key a flow keeps. Rows that tie in its order are ordered by their hash, so that the choice
+    depends neither on partitions nor on batches."""
+
+    partition_by: Sequence[str]
+    order_by: Sequence[str]
+    n: int = 1
+
+    def order(self, rows: DataFrame) -> list[str | Column]:
+        return [*self.order_by, row_hash(rows).desc()]
+
+    def pick(self, rows: DataFrame) -> DataFrame:
+        return latest_by(rows, self.partition_by, self.order(rows), self.n)
+
+    def best(self, rows: DataFrame) -> DataFrame:
+        return best_by(rows, self.partition_by, self.order(rows), self.n)
+
+
+def deduplication_of(flow: SilverFlow) -> Deduplication | None:
+    given = flow.deduplication
+    if not given or not given.get("enabled"):
+        return None
+    return Deduplication(given["partition_by"], given["order_by"], int(given.get("row_number") or 1))
+
+
 def silver_rows(bronze_rows: DataFrame, flow: SilverFlow, as_of: dt.datetime | None = None) -> DataFrame:
     """Rows that the expectations see: selected, filtered, trimmed, deduplicated."""
-    where = [render(clause, as_of, {}) for clause in flow.where] if as_of else flow.where
-    rows = select_where(bronze_rows, flow.select, where)
-    if flow.rtrim:
-        rows = rtrim_strings(rows)
-    dedup = flow.deduplication
-    if dedup and dedup.get("enabled"):
-        rows = latest_by(rows, dedup["partition_by"], dedup["order_by"], int(dedup.get("row_number") or 1))
-    return rows
+    rows, dedup = selected_rows(bronze_rows, flow, as_of), deduplication_of(flow)
+    return dedup.pick(rows) if dedup else rows
 
 
 def checked_rows(rows: DataFrame, flow: SilverFlow) -> tuple[DataFrame, Sequence[Rule]]:
     """Rows and rules as the expectations evaluate them.
 
-    A delete has no key of its own; filling the key from the change log comes first, so that a not-null rule on
-    the key judges upserts and deletes alike instead of rejecting every delete.
+    A delete has no key of its own, so a rule that names a key column judges inserts and updates only, by the key
+    they came with. Deletes get their key afterwards, from the change log or not at all.
     """
     changes = flow.changes
-    if changes and changes.key_fallback:
-        rows = rows.withColumns({k: F.coalesce(F.col(k), F.col(o)) for k, o in changes.key_fallback.items()})
-    return rows, flow.rules
+    if not changes or not changes.delete_when:
+        return rows, flow.rules
+    names = "|".join(re.escape(k) for k in changes.keys)
+    of_key = re.compile(rf"(?<![\w.])`?(?:{names})`?(?!\w)", re.IGNORECASE)
+    upsert = f"NOT coalesce(({changes.delete_when}), false)"
+    rules = [
+        replace(r, constraint=f"CASE WHEN {upsert} THEN ({r.constraint}) ELSE true END") if of_key.search(r.constraint) else r
+        for r in flow.rules
+    ]
+    return rows, rules
 
 
 # Action of the metric that counts applicable rows; it is not an expectation.
@@ -173,7 +232,7 @@ def split_silver(rows: DataFrame, rules: Sequence[Rule], changes: ChangeRules |
         applied, rejected = split_changes(marked, changes)
         held = held.unionByName(rejected.select(*held.columns))
         kept = applied.drop(SEQUENCE, DELETED)
-        usable = usable_change(changes, F.expr(changes.sequence_by))
+        usable = usable_row(changes)
     counts = metrics(rows, [*rules], within=keep_condition(rules), extra={REJECT: usable})
     return SilverResult(kept, held, counts)
 
@@ -195,7 +254,14 @@ def silver(bronze_rows: DataFrame, flow: SilverFlow, as_of: dt.datetime | None =
     return apply_changes(kept, flow.changes) if flow.changes else kept
 
 
+def silver_of(rows: DataFrame, flow: SilverFlow) -> DataFrame:
+    """The silver table of rows that are selected and deduplicated already."""
+    kept = split_silver(*checked_rows(rows, flow), flow.changes).changes
+    return apply_changes(kept, flow.changes) if flow.changes else kept
+
+
 __all__ = [
-    "BronzeFlow", "SilverFlow", "SilverResult", "bronze", "bronze_flow_of", "change_rules_of",
-    "REJECT", "checked_rows", "ingest", "silver", "silver_changes", "silver_flow_of", "silver_rows", "split_silver",
+    "BronzeFlow", "Deduplication", "SilverFlow", "SilverResult", "at_moment", "bronze", "deduplication_of", "bronze_flow_of", "change_rules_of",
+    "REJECT", "checked_rows", "ingest", "silver", "silver_changes", "silver_flow_of", "selected_rows", "silver_of",
+    "silver_rows", "split_silver",
 ]

@@ -7,10 +7,10 @@ import uuid
 from collections.abc import Mapping
 from types import TracebackType
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from oreflow.functions.clock import AsOf, moment
+from oreflow.functions.clock import AsOf, moment, moment_like
 from oreflow.functions.schema import MapOf, struct
 from oreflow.operators.dedup import latest_by
 
@@ -30,10 +30,12 @@ METADATA_VERSIONS = struct({
     "change_description": "string", "created_by!": "string", "created_at!": "timestamp", "is_active": "boolean",
 })
 MONITORING_HISTORY = struct({
-    "monitoring_timestamp!": "timestamp", "monitoring_date!": "date", "monitoring_window_hours": "int",
+    "run_id": "string", "monitoring_timestamp!": "timestamp", "monitoring_date!": "date", "monitoring_window_hours": "int",
     "alert_count": "int", "critical_count": "int", "warning_count": "int", "alerts_json": "string",
     "created_at": "timestamp",
 })
+#: Day a run started on, which the stored run history is partitioned by.
+RUN_DATE = "run_date"
 TABLES = {
     "pipeline_execution_history": (RUN_HISTORY, ()),
     "data_lineage": (DATA_LINEAGE, ()),
@@ -112,7 +114,8 @@ class StageRun:
             self.execution_id, self.dataflow_id, self.dataflow_group, self.stage, self.status, self.start, end,
             self.duration, None if error else self.rows, str(error) if error else None, self.metadata, end,
         )
-        self.spark.createDataFrame([row], RUN_HISTORY).coalesce(1).write.mode("append").parquet(self.history_path)
+        record = self.spark.createDataFrame([row], RUN_HISTORY).withColumn(RUN_DATE, F.lit(self.start.date()))
+        record.coalesce(1).write.mode("append").partitionBy(RUN_DATE).parquet(self.history_path)
         return False
 
 
@@ -146,18 +149,56 @@ def lineage_edges(specs: DataFrame, execution_id: Column | str | None = None, as
     )
 
 
+def current_lineage(lineage: DataFrame) -> DataFrame:
+    """The newest row of each lineage id; every run may add rows, an edge counts once."""
+    order = [c for c in ("updated_at", "created_at") if c in lineage.columns]
+    return latest_by(lineage, ["lineage_id"], [f"{c} DESC" for c in order])
+
+
+def new_lineage(edges: DataFrame, stored: DataFrame | None) -> DataFrame:
+    """Edges that are not stored yet, or whose source or logic has changed; a known edge keeps its creation time."""
+    if stored is None:
+        return edges
+    known = current_lineage(stored).select(
+        F.col("lineage_id").alias("_id"), F.col("source_system").alias("_system"),
+        F.col("transformation_logic").alias("_logic"), F.col("created_at").alias("_created"))
+    pairs = edges.join(known, F.col("lineage_id") == F.col("_id"), "left")
+    same = F.col("source_system").eqNullSafe(F.col("_system")) & F.col("transformation_logic").eqNullSafe(F.col("_logic"))
+    changed = pairs.where(F.col("_id").isNull() | ~same)
+    return changed.withColumn("created_at", F.coalesce("_created", "created_at")).select(*edges.columns)
+
+
 def metadata_versions(
     specs: DataFrame, created_by: str, description: str | None = None, as_of: AsOf = None
 ) -> DataFrame:
-    """A version row per dataflow; the id is the hash of the content, so unchanged metadata keeps its version."""
+    """A version row per dataflow; the id is the hash of the content, so unchanged metadata keeps its version.
+
+    Which version is active follows from all of them (``with_active_flag``), so the stored flag is null.
+    """
     content = F.to_json(F.struct(*specs.columns))
     return specs.select(
         F.sha2(content, 256).alias("version_id"), "dataflow_id", content.alias("metadata_content"),
         F.lit(description).cast("string").alias("change_description"), F.lit(created_by).alias("created_by"),
-        moment(as_of).alias("created_at"), F.lit(True).alias("is_active"),
+        moment(as_of).alias("created_at"), F.lit(None).cast("boolean").alias("is_active"),
     )
 
 
+def new_versions(proposed: DataFrame, stored: DataFrame | None) -> DataFrame:
+    """Versions that differ from the active one, so going back to an earlier content is a version again."""
+    if stored is None:
+        return proposed
+    active = active_versions(stored).select(F.col("dataflow_id").alias("_flow"), F.col("version_id").alias("_version"))
+    same = (F.col("dataflow_id") == F.col("_flow")) & (F.col("version_id") == F.col("_version"))
+    return proposed.join(active, same, "left_anti")
+
+
+def changed_versions(proposed: DataFrame) -> DataFrame:
+    """Of versions proposed over time those that differ from the one before, per dataflow."""
+    before = F.lag("version_id").over(Window.partitionBy("dataflow_id").orderBy("created_at", "version_id"))
+    marked = proposed.withColumn("_before", before)
+    return marked.where(~F.col("version_id").eqNullSafe(F.col("_before"))).drop("_before")
+
+
 def with_active_flag(versions: DataFrame) -> DataFrame:
     """Mark the newest version of each dataflow.
 
@@ -177,17 +218,27 @@ def active_versions(versions: DataFrame) -> DataFrame:
     return newest.withColumn("is_active", F.lit(True))
 
 
-def latest_status(history: DataFrame) -> DataFrame:
+def until(history: DataFrame, as_of: AsOf = None) -> DataFrame:
+    """Runs that have started by ``as_of``; all without one."""
+    if as_of is None:
+        return history
+    runs = history.where(F.col("start_time") <= moment_like(history, "start_time", as_of))
+    return runs.where(F.col(RUN_DATE) <= moment(as_of).cast("date")) if RUN_DATE in history.columns else runs
+
+
+def latest_status(history: DataFrame, as_of: AsOf = None) -> DataFrame:
     """The latest run per dataflow and stage."""
-    newest = latest_by(history, ["dataflow_id", "stage"], ["start_time DESC", "execution_id DESC"])
+    newest = latest_by(until(history, as_of), ["dataflow_id", "stage"], ["start_time DESC", "execution_id DESC"])
     return newest.select(
+        # The columns of both views.
         "dataflow_id", "stage", "status", "start_time", "end_time", "duration_seconds", "rows_processed",
         "error_message",
     )
 
 
 def complete_dataflow(lineage: DataFrame, history: DataFrame) -> DataFrame:
-    """Lineage with the latest status: one row per lineage row and stage that ever ran."""
+    """Lineage with the latest status: one row per lineage id and stage that ever ran."""
+    lineage = current_lineage(lineage)
     status = latest_status(history).select("dataflow_id", "status", "start_time", "end_time", "rows_processed")
     return lineage.join(status, "dataflow_id", "left").select(
         "dataflow_id", "source_system", "source_table", "target_table", "status", "start_time", "end_time",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from oreflow.functions.clock import AsOf, moment_like
 from oreflow.operators.dedup import latest_by
+from oreflow.plans.history import RUN_DATE, until
 
 # Seconds a successful run of each stage may take.
 STAGE_LIMITS = {"rdb_ingestion": 900.0, "bronze": 600.0, "silver": 900.0}
@@ -39,7 +40,9 @@ def _hours(n: int) -> Column:
 def _within(history: DataFrame, first: Column, as_of: AsOf) -> DataFrame:
     """Runs that started from ``first`` on; a given ``as_of`` also hides runs that started after it."""
     runs = history.where(F.col("start_time") >= first)
-    return runs if as_of is None else runs.where(F.col("start_time") <= moment_like(history, "start_time", as_of))
+    if RUN_DATE in history.columns:  # stored by day, so only the days of the window are listed and opened
+        runs = runs.where(F.col(RUN_DATE) >= first.cast("date"))
+    return until(runs, as_of)
 
 
 def _recent(history: DataFrame, as_of: AsOf, hours: int) -> DataFrame:
@@ -139,9 +142,7 @@ def stale_pipelines(
     ``frequencies`` (dataflow_id, expected_seconds) replaces the limit for the dataflows it lists.
     """
     now = moment_like(history, "start_time", as_of)
-    done = history.where(F.col("status") == "success")
-    if as_of is not None:
-        done = done.where(F.col("start_time") <= now)
+    done = until(history.where(F.col("status") == "success"), as_of)
     last = done.groupBy("dataflow_id", "stage").agg(F.max("start_time").alias("last_run_time"))
     aged = last.withColumn("hours_since_last_run", F.timestamp_diff("HOUR", F.col("last_run_time"), now))
     if frequencies is None:

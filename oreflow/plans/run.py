@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -11,23 +12,27 @@ from urllib.parse import quote
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from oreflow.functions.clock import moment
 from oreflow.functions.params import query_values, render
 from oreflow.operators.quality import QualityResult, event_log, raise_offenders, reprocess
 from oreflow.operators.validation import TableChecks, validate
-from oreflow.plans.alerts import at_level, chat_payloads, monitoring_history, monitoring_status, run_checks
-from oreflow.plans.flows import BronzeFlow, SilverFlow, bronze_flow_of, ingest, silver_flow_of
-from oreflow.plans.history import StageRun, lineage_edges, metadata_versions
+from oreflow.plans.alerts import at_level, chat_payloads, monitoring_alerts, monitoring_history, monitoring_status, run_checks
+from oreflow.plans.flows import (
+    BronzeFlow, SilverFlow, bronze_flow_of, deduplication_of, ingest, silver_flow_of, silver_of,
+)
+from oreflow.plans.history import (
+    RUN_DATE, RUN_HISTORY, StageRun, lineage_edges, metadata_versions, new_lineage, new_versions,
+)
 from oreflow.plans.monitor import Thresholds
 from oreflow.plans.spec import SPEC_SCHEMA, bronze_specs, silver_specs
 from oreflow.sources.readers import open_table, read_jdbc, read_source
 from oreflow.sources.sinks import read_merged, write_table
-from oreflow.sources.target import BATCH, SOURCE, ChangeTarget
-from oreflow.streaming.flows import FLOW, SilverBatches, bronze_stream, observed_rows, silver_stream
+from oreflow.sources.target import BATCH, SOURCE, ChangeTarget, LatestRows
+from oreflow.streaming.flows import FLOW, SilverBatches, WrittenRows, bronze_stream, silver_stream
 
 LAYERS = {"bronze": ("bronze",), "silver": ("silver",), "bronze_silver": ("bronze", "silver")}
-REQUIRED_LOAD_COLUMNS = ("ingest_dt", "_source_system", "_dataflow_id")
 
 
 class Workspace:
@@ -56,7 +61,12 @@ class Workspace:
 
     def read_metadata(self, name: str) -> DataFrame | None:
         """A metadata table over all dataflows."""
-        held = open_table(self.spark, self.metadata(name), mergeSchema="true")
+        if name == "pipeline_execution_history":
+            # Its schema is fixed, so no file is opened to find it, and filters on the day leave out whole folders.
+            schema = T.StructType([*RUN_HISTORY.fields, T.StructField(FLOW, T.StringType()), T.StructField(RUN_DATE, T.DateType())])
+            held = open_table(self.spark, self.metadata(name), schema=schema)
+        else:
+            held = open_table(self.spark, self.metadata(name), mergeSchema="true")
         return None if held is None else held.drop(FLOW)
 
     def generation(self, dataflow_id: str, layer: str) -> int:
@@ -87,9 +97,12 @@ class Workspace:
     def checkpoint(self, flow: BronzeFlow | SilverFlow, layer: str) -> str:
         return f"{self.root}/checkpoints/{quote(flow.dataflow_id, safe='')}/{layer}/{self._version(flow, layer)}"
 
-    def silver_target(self, flow: SilverFlow) -> ChangeTarget | str:
-        """The change target of a silver table; without change rules just the path that batches are appended to."""
-        path = self.layer_path(flow, "silver")
+    def silver_target(self, flow: SilverFlow) -> ChangeTarget | LatestRows | str:
+        """What a silver table is kept in: with deduplication the best rows of each key, with change rules a change
+        target, else just the path that batches are appended to."""
+        path, dedup = self.layer_path(flow, "silver"), deduplication_of(flow)
+        if dedup:
+            return LatestRows(self.spark, f"{path}_latest", dedup.best, dedup.pick)
         return ChangeTarget(self.spark, path, flow.changes, self.buckets) if flow.changes else path
 
     def quarantine_path(self, flow: SilverFlow) -> str:
@@ -97,8 +110,12 @@ class Workspace:
 
     def table(self, flow: BronzeFlow | SilverFlow, layer: str) -> DataFrame | None:
         """The current rows of a layer, None before its first run."""
-        if layer == "silver" and flow.changes:
-            return self.silver_target(flow).current()
+        target = self.silver_target(flow) if layer == "silver" else None
+        if isinstance(target, LatestRows):
+            held = target.current()
+            return None if held is None else silver_of(held, flow)
+        if isinstance(target, ChangeTarget):
+            return target.current()
         held = open_table(self.spark, self.layer_path(flow, layer), mergeSchema="true")
         return held.drop(SOURCE, BATCH) if held is not None and layer == "silver" else held
 
@@ -106,10 +123,19 @@ class Workspace:
 @dataclass
 class RunResult:
     dataflow_id: str
-    rows: dict[str, int] = field(default_factory=dict)
+    rows: dict[str, int | None] = field(default_factory=dict)
     executions: dict[str, str] = field(default_factory=dict)
     quality: list[dict] = field(default_factory=list)
     validation: DataFrame | None = None
+    failed_checks: int | None = None
+
+    def to_json(self) -> str:
+        """The result as JSON text, for the caller of a job."""
+        status = None if self.failed_checks is None else "FAILED" if self.failed_checks else "PASSED"
+        return json.dumps({
+            "dataflow_id": self.dataflow_id, "rows": self.rows, "executions": self.executions, "quality": self.quality,
+            "validation_status": status, "failed_checks": self.failed_checks,
+        })
 
 
 def source_rows(
@@ -120,11 +146,16 @@ def source_rows(
     parameters = {k: v.asDict() for k, v in (extraction["parameters"] or {}).items()}
     if source["type"] == "rdb_jdbc":
         options = extraction["read_options"] or {}
-        prepare = extraction["prepare_query"]
+        prepare, predicates = extraction["prepare_query"], json.loads(options.get("predicates") or "null")
+        if not predicates and not options.get("partitionColumn") and options.get("numPartitions") != "1":
+            raise ValueError(
+                "this source would be read by one task: give partitionColumn or predicates (a JSON list), or ask for "
+                "numPartitions 1")
         return read_jdbc(
             spark,
             partition_column=options.get("partitionColumn"),
             num_partitions=int(options.get("numPartitions", 8)),
+            predicates=predicates,
             url=connection["jdbc_url"], driver=connection.get("driver"),
             db_type=connection.get("db_type", "mssql"),
             fetchsize=int(options.get("fetchsize", 1000)),
@@ -163,17 +194,21 @@ def run_ingestion(
         )
 
 
-def run_bronze(ws: Workspace, flow: BronzeFlow, result: RunResult, group: str = "", refresh: bool = False) -> None:
+def run_bronze(
+    ws: Workspace, flow: BronzeFlow, result: RunResult, group: str = "", refresh: bool = False,
+    as_of: dt.datetime | None = None,
+) -> None:
     if refresh:
         ws.next_generation(flow.dataflow_id, "bronze")
     with _stage(ws, flow.dataflow_id, group, "bronze", result) as run:
         source = ws.path({k.removeprefix("source_"): v for k, v in flow.source.items()})
         # Files appended later may have more columns; the stream takes the merged schema of all of them.
-        schema = read_merged(ws.spark, source).schema
-        raw = read_source(ws.spark, source, options=flow.reader_options, schema=schema, stream=True)
-        query = bronze_stream(raw, flow, ws.layer_path(flow, "bronze"), ws.checkpoint(flow, "bronze"))
-        query.awaitTermination()
-        run.rows = observed_rows(query)
+        schema = read_merged(ws.spark, source, flow.file_format()).schema
+        raw = read_source(ws.spark, source, flow.file_format(), flow.reader_options, schema, stream=True)
+        with WrittenRows(ws.spark) as written:
+            query = bronze_stream(raw, flow, ws.layer_path(flow, "bronze"), ws.checkpoint(flow, "bronze"), as_of)
+            query.awaitTermination()
+            run.rows = written.of(query)
 
 
 def run_silver(
@@ -215,6 +250,8 @@ def reprocess_quarantine(
     result = reprocess(held.drop(SOURCE, BATCH), corrections, flow.rules)
     raise_offenders(row.asDict() for row in result.metrics.collect())
     target = ws.silver_target(flow)
+    if isinstance(target, LatestRows):
+        raise ValueError("a deduplicated table takes corrections through its source only")
     if isinstance(target, ChangeTarget):
         target.append(result.kept, batch_id, "reprocessed")
     else:
@@ -234,7 +271,7 @@ class _RecordedStage(StageRun):
 
     def __exit__(self, kind, error, trace) -> bool:
         if error is None:
-            self.result.rows[self.stage] = self.rows or 0
+            self.result.rows[self.stage] = self.rows  # None: not known
         return super().__exit__(kind, error, trace)
 
 
@@ -243,25 +280,48 @@ def layer_checks(ws: Workspace, spec: Row, bronze_flow: BronzeFlow, silver_flow:
     keys = tuple(silver_flow.changes.keys) if silver_flow.changes else ()
     return {
         "raw_bronze": TableChecks(
-            open_table(ws.spark, ws.path(_raw_details(spec)), mergeSchema="true"), required=REQUIRED_LOAD_COLUMNS
+            open_table(ws.spark, ws.path(_raw_details(spec)), mergeSchema="true"), required=tuple(spec["raw_bronze"]["metadata_columns"] or ())
         ),
         "bronze": TableChecks(ws.table(bronze_flow, "bronze")),
         "silver": TableChecks(ws.table(silver_flow, "silver"), not_null=keys, unique=keys),
     }
 
 
+VALIDATION = "table string, check string, status string, message string"
+
+
+def run_validation(ws: Workspace, spec: Row, bronze_flow: BronzeFlow, silver_flow: SilverFlow, result: RunResult) -> None:
+    """The checks of all layers as a stage of its own: carried out once, stored, and recorded like any stage.
+
+    Checks that fail do not stop the run; they are in the result, which has one row per check of the spec.
+    """
+    with _stage(ws, spec["dataflow_id"], spec["dataflow_group"], "validate", result) as run:
+        rows = validate(ws.spark, layer_checks(ws, spec, bronze_flow, silver_flow)).collect()
+        result.validation = ws.spark.createDataFrame(rows, VALIDATION)
+        result.failed_checks = sum(r["status"] == "FAILED" for r in rows)
+        stored = result.validation.select(F.lit(run.execution_id).alias("execution_id"), "*")
+        stored.coalesce(1).write.mode("append").parquet(ws.metadata("validation_results", spec["dataflow_id"]))
+        run.metadata["failed_checks"] = str(result.failed_checks)
+        run.rows = len(rows)
+
+
 def record_metadata(ws: Workspace, dataflow_id: str, specs: DataFrame, execution_id: str, author: str = "oreflow") -> None:
-    """Append the lineage of a run, and a metadata version where the metadata is new."""
-    lineage_edges(specs, execution_id).write.mode("append").parquet(ws.metadata("data_lineage", dataflow_id))
-    versions = metadata_versions(specs, author)
-    known = open_table(ws.spark, ws.metadata("metadata_versions", dataflow_id))
-    if known is not None:
-        versions = versions.join(known.select("version_id"), "version_id", "left_anti").select(*versions.columns)
-    versions.write.mode("append").parquet(ws.metadata("metadata_versions", dataflow_id))
+    """Append the lineage edges that are new or changed, and a metadata version where the metadata differs from the
+    active one."""
+    found = {
+        "data_lineage": (lineage_edges(specs, execution_id), new_lineage),
+        "metadata_versions": (metadata_versions(specs, author), new_versions),
+    }
+    for name, (rows, new) in found.items():
+        path = ws.metadata(name, dataflow_id)
+        rows = new(rows, open_table(ws.spark, path))
+        if not rows.isEmpty():
+            rows.write.mode("append").parquet(path)
 
 
 @dataclass(frozen=True)
 class MonitoringRun:
+    run_id: str
     alerts: DataFrame
     payloads: DataFrame
     status: DataFrame
@@ -279,10 +339,13 @@ def run_monitoring(
     history = ws.read_metadata("pipeline_execution_history")
     if history is None:
         raise ValueError(f"no run history below {root}")
-    found = run_checks(history, f"{ws.metadata('alerts')}/run={uuid.uuid4().hex}", as_of, t)
-    rows = monitoring_history(found, as_of, t.window_hours)
+    run_id = uuid.uuid4().hex
+    found = run_checks(history, f"{ws.metadata('alerts')}/run={run_id}", as_of, t)
+    at = as_of or dt.datetime.now(dt.timezone.utc)
+    rows = monitoring_history(found, run_id, at, t.window_hours)
     write_table(rows, ws.metadata("monitoring_history"), "append", ["monitoring_date"])
-    return MonitoringRun(found, chat_payloads(at_level(found, level)), monitoring_status(found, as_of))
+    write_table(monitoring_alerts(found, run_id, at), ws.metadata("monitoring_alerts"), "append", ["monitoring_date"])
+    return MonitoringRun(run_id, found, chat_payloads(at_level(found, level)), monitoring_status(found, as_of))
 
 
 def run_dataflow(
@@ -299,10 +362,10 @@ def run_dataflow(
     silver_flow = silver_flow_of(silver_specs(specs).first())
     group = spec["dataflow_group"] or ""
     run_ingestion(ws, spec, trigger_time, result, credentials)
-    run_bronze(ws, bronze_flow, result, group, full_refresh)
+    run_bronze(ws, bronze_flow, result, group, full_refresh, as_of)
     run_silver(ws, silver_flow, result, group, full_refresh, as_of)
     record_metadata(ws, result.dataflow_id, specs, result.executions["silver"])
-    result.validation = validate(spark, layer_checks(ws, spec, bronze_flow, silver_flow))
+    run_validation(ws, spec, bronze_flow, silver_flow, result)
     return result
 
 

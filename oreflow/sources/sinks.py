@@ -7,6 +7,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from oreflow.functions.rows import comparable
+
 
 def balanced(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     """Even output files. The rebalance step merges small and splits large partitions at run time, so that a
@@ -15,8 +17,14 @@ def balanced(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
 
 
 def clustered(df: DataFrame, keys: Sequence[str], files: int | None = None) -> DataFrame:
-    """Rows range-partitioned and sorted by key, so that readers filtering on the key skip row groups."""
-    shuffled = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
+    """Rows range-partitioned and sorted by key, so that readers filtering on the key skip row groups.
+
+    A number that spreads rows stands behind the keys, so that a value with most of the rows is dealt out to several
+    tasks too.
+    """
+    spread = F.xxhash64(*[comparable(f) for f in df.schema.fields])
+    ranges = [*[F.col(k) for k in keys], spread]
+    shuffled = df.repartitionByRange(files, *ranges) if files else df.repartitionByRange(*ranges)
     return shuffled.sortWithinPartitions(*keys)
 
 

@@ -9,6 +9,7 @@ batches into a new base from time to time. Because merging change rows may be re
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,33 @@ from oreflow.operators.cdc import (
 from oreflow.sources.readers import open_table
 
 SOURCE, BATCH = "_source", "_batch"
+
+
+class LatestRows:
+    """The rows that a deduplication over a whole stream keeps, on plain files.
+
+    Each batch is cut to the best n rows of each key, which is all that later batches can leave of it, and written
+    below ``_source=S/_batch=N``; the same batch again replaces itself. Readers deduplicate the best rows of all
+    batches, so the result does not depend on how the rows were dealt out to batches. Files of earlier batches stay.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, best: Callable[[DataFrame], DataFrame], pick: Callable[[DataFrame], DataFrame]):
+        self.spark, self.path, self.best, self.pick = spark, path.rstrip("/"), best, pick
+
+    def append(self, rows: DataFrame, batch_id: int, source: str = "batch") -> None:
+        self.best(rows).write.mode("overwrite").parquet(f"{self.path}/{SOURCE}={source}/{BATCH}={batch_id}")
+
+    def candidates(self) -> DataFrame | None:
+        held = open_table(self.spark, self.path, mergeSchema="true")
+        return None if held is None else held.drop(SOURCE, BATCH)
+
+    def current(self, more: DataFrame | None = None) -> DataFrame | None:
+        """The kept rows of all batches, and of ``more`` that is not written yet."""
+        held = self.candidates()
+        rows = more if held is None else held if more is None else held.unionByName(more, allowMissingColumns=True)
+        return None if rows is None else self.pick(rows)
+
+
 LOG_SCHEMA = struct({"number": "bigint", "kind": "string", "source": "string", "batch": "bigint"})
 
 

@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
+from collections import defaultdict
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from oreflow.operators.cdc import change_rows, latest_changes
 from oreflow.operators.quality import raise_offenders
-from oreflow.plans.flows import REJECT, BronzeFlow, SilverFlow, bronze, checked_rows, silver_rows, split_silver
+from oreflow.functions.clock import AsOf
+from oreflow.plans.flows import REJECT, BronzeFlow, SilverFlow, bronze, checked_rows, selected_rows, silver_rows, split_silver
 from oreflow.sources.sinks import read_merged
-from oreflow.sources.target import BATCH, SOURCE, ChangeTarget
+from oreflow.sources.target import BATCH, SOURCE, ChangeTarget, LatestRows
 
 
 def append_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -65,21 +68,51 @@ FLOW = "_flow"
 WRITTEN = "rows_written"
 
 
-def bronze_stream(raw: DataFrame, flow: BronzeFlow, path: str, checkpoint: str) -> StreamingQuery:
-    """Raw → bronze as a stream; ``observed_rows`` tells afterwards how many rows were written."""
-    rows = bronze(raw, flow).observe(WRITTEN, F.count(F.lit(1)).alias("rows"))
+def bronze_stream(raw: DataFrame, flow: BronzeFlow, path: str, checkpoint: str, as_of: AsOf = None) -> StreamingQuery:
+    """Raw → bronze as a stream; a ``WrittenRows`` that listens tells afterwards how many rows were written."""
+    rows = bronze(raw, flow, as_of).observe(WRITTEN, F.count(F.lit(1)).alias("rows"))
     return append_stream(rows, path, checkpoint)
 
 
-def observed_rows(query: StreamingQuery) -> int | None:
-    """Rows that the micro-batches of a finished bronze stream wrote; None when the session, which keeps a limited
-    number of progress reports, may have dropped some of them."""
-    reports = query.recentProgress
-    kept = int(SparkSession.active().conf.get("spark.sql.streaming.numRecentProgressUpdates", "100"))
-    if len(reports) >= kept:
-        return None
-    seen = [(report["observedMetrics"] or {}).get(WRITTEN) for report in reports]
-    return sum(row["rows"] for row in seen if row)
+class WrittenRows(StreamingQueryListener):
+    """Counts what observed streams write: every report of every micro-batch, however many a query keeps.
+
+    Reports reach a listener in order, the end of a query last. Counts are kept by micro-batch, so one that is
+    reported again counts once.
+    """
+
+    PATIENCE = 60.0
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.batches: dict[str, dict[int, int]] = defaultdict(dict)
+        self.ended: dict[str, threading.Event] = defaultdict(threading.Event)
+
+    def __enter__(self) -> WrittenRows:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.spark.streams.removeListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        seen = event.progress.observedMetrics.get(WRITTEN)
+        if seen is not None:
+            self.batches[str(event.progress.runId)][event.progress.batchId] = seen["rows"]
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended[str(event.runId)].set()
+
+    def of(self, query: StreamingQuery) -> int | None:
+        """Rows of a finished query; None if its end was not reported, as the count may then be short."""
+        run = str(query.runId)
+        return sum(self.batches[run].values()) if self.ended[run].wait(self.PATIENCE) else None
 
 
 class SilverBatches:
@@ -93,13 +126,15 @@ class SilverBatches:
     """
 
     def __init__(
-        self, flow: SilverFlow, target: ChangeTarget | str, quarantine_path: str, as_of: dt.datetime | None = None
+        self, flow: SilverFlow, target: ChangeTarget | LatestRows | str, quarantine_path: str, as_of: dt.datetime | None = None
     ):
         self.flow, self.target, self.quarantine_path, self.as_of = flow, target, quarantine_path, as_of
         self.rows = 0
         self.metrics: dict[str, dict] = {}
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        if isinstance(self.target, LatestRows):
+            return self._deduplicated(batch, batch_id)
         changes = self.flow.changes
         rows, rules = checked_rows(silver_rows(batch, self.flow, self.as_of), self.flow)
         result = split_silver(rows, rules, changes)
@@ -116,6 +151,19 @@ class SilverBatches:
             result.quarantined.write.mode("overwrite").parquet(f"{self.quarantine_path}/{place}")
         self._count(counts)
 
+    def _deduplicated(self, batch: DataFrame, batch_id: int) -> None:
+        """With deduplication a batch may take back rows of earlier ones, so what is judged, counted and quarantined
+        are the rows that are left of all batches, this one included. Only the best rows of each key are read."""
+        rows = selected_rows(batch, self.flow, self.as_of)
+        result = split_silver(*checked_rows(self.target.current(rows), self.flow), self.flow.changes)
+        counts = [row.asDict() for row in result.metrics.collect()]
+        raise_offenders(counts)
+        self.target.append(rows, batch_id, stream_id(batch))
+        held = split_silver(*checked_rows(self.target.current(), self.flow), self.flow.changes).quarantined
+        held.write.mode("overwrite").parquet(f"{self.quarantine_path}/{SOURCE}=latest/{BATCH}=0")
+        self.rows, self.metrics = 0, {}
+        self._count(counts)
+
     def _count(self, counts: list[dict]) -> None:
         for row in counts:
             if row["action"] == REJECT:
@@ -131,6 +179,6 @@ def silver_stream(bronze_rows: DataFrame, batches: SilverBatches, checkpoint: st
 
 
 __all__ = [
-    "SilverBatches", "append_flow_streams", "append_stream", "apply_changes_stream", "batch_stream", "bronze_stream",
-    "observed_rows", "read_flows", "silver_stream",
+    "SilverBatches", "WrittenRows", "append_flow_streams", "append_stream", "apply_changes_stream", "batch_stream", "bronze_stream",
+    "read_flows", "silver_stream",
 ]

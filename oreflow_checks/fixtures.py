@@ -72,9 +72,9 @@ def silver_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def allow_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
-        F.lit("product_id").alias("filter_type"),
-        F.col("c_custkey").cast("string").alias("filter_value"),
-        F.when(F.col("c_mktsegment") == "BUILDING", "y").otherwise("N").alias("use_yn"),
+        F.lit("item").alias("kind"),
+        F.col("c_custkey").cast("string").alias("listed"),
+        F.when(F.col("c_mktsegment") == "BUILDING", "Yes").otherwise("No").alias("active"),
     )
 
 

@@ -207,20 +207,12 @@ CAST(to_json({{
     ]
   }}]
 }}) AS VARCHAR)"""
-STYLE = (
-    "body{font-family:sans-serif}.severity-critical{color:#FF0000;font-weight:bold}"
-    ".severity-warning{color:#FFA500;font-weight:bold}.severity-info{color:#0000FF;font-weight:bold}"
-)
-_ITEM = f"'<li><strong>' || {_escaped('e.k')} || ':</strong> ' || {_escaped('e.v')} || '</li>'"
+_ROW = "'<tr><th>' || {} || '</th><td>' || {} || '</td></tr>'"
 HTML = f"""
-'<html><head><style>{STYLE}</style></head><body><h2>Pipeline alert</h2><h3 class="severity-' || severity || '">'
-|| {_escaped('title')} || '</h3>'
-|| '<p><strong>Alert Type:</strong> ' || alert_type || '</p>'
-|| '<p><strong>Severity:</strong> ' || upper(severity) || '</p>'
-|| '<p><strong>Timestamp:</strong> ' || {_ISO} || '</p>'
-|| '<p><strong>Message:</strong> ' || {_escaped('message')} || '</p>'
-|| '<h4>Details:</h4><ul>' || array_to_string(list_transform(details, lambda e: {_ITEM}), '') || '</ul>'
-|| '</body></html>'"""
+'<table style="border-left:6px solid ' || CASE severity WHEN 'critical' THEN '#FF0000' WHEN 'warning' THEN '#FFA500' ELSE '#0000FF' END
+|| '"><caption>' || {_escaped('title')} || '</caption>' || {_ROW.format("'What'", "alert_type || ', ' || severity")}
+|| {_ROW.format("'When'", _ISO)} || {_ROW.format("'Why'", _escaped('message'))}
+|| array_to_string(list_transform(details, lambda e: {_ROW.format(_escaped('e.k'), _escaped('e.v'))}), '') || '</table>'"""
 
 SPECS = """
 specs AS (
@@ -300,9 +292,13 @@ ORACLE: dict[str, str] = {
     "scd1_bucketed": SCD1,
     "scd1_stream": SCD1,
     "scd1_from_snapshot": SCD1,
-    "scd1_soft_delete": f"""WITH {SILVER}
-SELECT item_key, item_group, price, label, changed_at, CASE WHEN op = 'D' THEN 'Y' ELSE 'N' END AS is_del
-FROM (SELECT *, row_number() OVER (PARTITION BY item_key ORDER BY seq DESC) AS rn FROM silver) WHERE rn = 1""",
+    "scd1_soft_delete": f"""WITH {SILVER},
+newest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY item_key ORDER BY seq DESC) AS rn FROM silver) WHERE rn = 1),
+living AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY item_key ORDER BY seq DESC) AS rn FROM silver WHERE op <> 'D') WHERE rn = 1
+)
+SELECT n.item_key, l.item_group, l.price, l.label, n.changed_at, CASE WHEN n.op = 'D' THEN 'Y' ELSE 'N' END AS is_del
+FROM newest n LEFT JOIN living l USING (item_key)""",
     "change_feed_diff": f"""WITH {SILVER}, a AS {_current('seq % 4 < 2')}, b AS {_current()}
 SELECT b.* , 'insert' AS change_type FROM b WHERE item_key NOT IN (SELECT item_key FROM a)
 UNION ALL SELECT a.*, 'delete' FROM a WHERE item_key NOT IN (SELECT item_key FROM b)
@@ -314,8 +310,8 @@ FROM feed LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 10 <> 0) ON src_ke
 WHERE captured_at >= TIMESTAMP '1998-01-01 00:00:00'""",
     "param_query": """SELECT o_orderkey, o_custkey, o_orderdate FROM orders
 WHERE o_orderdate >= TIMESTAMP '1998-05-16 12:30:15.250' AND o_orderdate < TIMESTAMP '1998-06-14 12:30:15.250'
-  AND o_orderstatus = 'O'""",
-    "bronze_flow": f"""WITH {FEED} SELECT *, {NOW} AS process_timestamp FROM feed
+  AND o_orderstatus = 'O' AND o_orderpriority LIKE '2-%'""",
+    "bronze_flow": f"""WITH {FEED} SELECT *, {NOW} AS bronze_at FROM feed
 WHERE item_key IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""",
     "silver_flow": f"""WITH {FEED},
 kept AS (
@@ -328,9 +324,9 @@ SELECT item_key, src_key, item_group, price, label, changed_at AS changed_at_ori
        source_system, flow_id, CASE WHEN op = 'D' THEN captured_at ELSE changed_at END AS changed_at,
        CASE WHEN op = 'D' THEN 'Y' ELSE 'N' END AS is_del
 FROM feed""",
-    "add_metadata_columns": f"""SELECT o_orderkey, o_orderdate, '1998-06-15T12:30:15.250000' AS ingest_dt,
-       TIMESTAMP '1998-06-14 12:30:15.250' AS loaded_from, 'items' AS _dataflow_id, 'shop_db' AS _source_system,
-       {NOW} AS _ingestion_timestamp FROM orders""",
+    "add_metadata_columns": f"""SELECT o_orderkey, o_orderdate, '1998-06-15T12:30:15.250000' AS loaded_for,
+       TIMESTAMP '1998-06-14 12:30:15.250' AS loaded_from, 'items' AS flow, 'shop_db' AS origin,
+       {NOW} AS loaded_at FROM orders""",
     "rtrim_strings": f"WITH {FEED} SELECT seq, rtrim(label) AS label, op FROM feed",
     "ingest_date_window": f"""WITH {FEED} SELECT seq, op, ingest_dt FROM feed
 WHERE CAST(ingest_dt AS DATE) > DATE '1998-06-14' AND CAST(ingest_dt AS DATE) <= DATE '1998-06-15'""",
@@ -376,8 +372,9 @@ SELECT version_id, dataflow_id, metadata_content, created_at, rn = 1 AS is_activ
     "metadata_current_version": f"""WITH {RANKED_VERSIONS}
 SELECT dataflow_id, version_id, created_at FROM ranked WHERE rn = 1""",
     "append_schema_merge": """SELECT o_orderkey, o_orderstatus, o_totalprice,
-       CASE WHEN o_orderstatus = 'P' THEN o_orderpriority END AS o_orderpriority
-FROM orders WHERE o_orderstatus IN ('O', 'P')""",
+       CASE WHEN o_orderstatus = 'O' THEN NULL ELSE o_orderpriority END AS o_orderpriority,
+       CASE WHEN o_orderstatus IN ('O', 'P') THEN NULL ELSE o_orderdate END AS o_orderdate
+FROM orders""",
     "append_flows": """SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'P' THEN o_totalprice END AS o_totalprice,
        CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS o_orderpriority
 FROM orders WHERE o_orderstatus IN ('O', 'P', 'F')""",
@@ -429,7 +426,9 @@ UNION ALL SELECT 'o_orderkey', count(*) FROM (SELECT o_orderkey FROM orders GROU
     "val_checks": f"WITH {SILVER}, {CHECKS} SELECT * FROM checks",
     "val_report": f"""WITH {SILVER}, {CHECKS}
 SELECT 'items' AS dataflow_id, {NOW} AS timestamp, 'FAILED' AS overall_status, count(*) AS total_checks,
-       count(*) FILTER (status = 'PASSED') AS passed_checks, count(*) FILTER (status = 'FAILED') AS failed_checks
+       count(*) FILTER (status = 'PASSED') AS passed_checks, count(*) FILTER (status = 'FAILED') AS failed_checks,
+       string_agg("table" || '|' || "check" || '|' || status || '|' || message, chr(10) ORDER BY "table", "check", status) AS listed,
+       'FAILED/' || count(*) || '/' || count(*) FILTER (status = 'PASSED') || '/' || count(*) FILTER (status = 'FAILED') AS counted
 FROM checks""",
     "mon_failures": f"WITH {HISTORY}, {FAILURES} SELECT * FROM failures",
     "mon_anomalies": f"WITH {HISTORY}, {_anomalies(3.0, False)} SELECT * FROM anomalies",
@@ -450,14 +449,36 @@ SELECT count(*) FILTER (severity = 'critical') AS critical_count, count(*) FILTE
     "mon_level_filter": f"WITH {ALERTS} SELECT alert_type, severity, title FROM alerts WHERE severity = 'critical'",
     "mon_alert_payload": f"WITH {ALERTS} SELECT alert_type, {PAYLOAD} AS payload FROM alerts",
     "mon_alert_html": f"WITH {ALERTS} SELECT alert_type, {HTML} AS html FROM alerts",
-    "mon_history_row": f"""WITH {ALERTS}
-SELECT DATE '2024-01-31' AS monitoring_date, 24 AS monitoring_window_hours, CAST(count(*) AS INT) AS alert_count,
+    "mon_history_row": f"""WITH {ALERTS}, t AS (SELECT alert_type, count(*) AS n FROM alerts GROUP BY 1)
+SELECT 'run_1' AS run_id, DATE '2024-01-31' AS monitoring_date, 24 AS monitoring_window_hours, CAST(count(*) AS INT) AS alert_count,
        CAST(count(*) FILTER (severity = 'critical') AS INT) AS critical_count,
-       CAST(count(*) FILTER (severity = 'warning') AS INT) AS warning_count, count(*) AS listed_alerts FROM alerts""",
+       CAST(count(*) FILTER (severity = 'warning') AS INT) AS warning_count,
+       (SELECT '{{' || string_agg('"' || alert_type || '":' || n, ',' ORDER BY alert_type) || '}}' FROM t) AS alerts_json FROM alerts""",
+    "mon_alert_rows": f"""WITH {ALERTS}
+SELECT 'run_1' AS run_id, DATE '2024-01-31' AS monitoring_date, alert_type, severity, title, message, {LINES} AS details,
+       {_ISO} AS timestamp, true AS same_type FROM alerts""",
+    "dedup_stream": f"""WITH {FEED}, ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY src_key ORDER BY op, seq DESC) AS rn FROM feed
+) SELECT CAST(rn AS INT) AS n, src_key, op, seq FROM ranked WHERE rn <= 2""",
+    "silver_key_gate": f"""WITH {FEED}, spoilt AS (
+  SELECT seq, op, src_key, CASE WHEN seq % 11 <> 0 THEN item_key END AS item_key FROM feed
+), cases AS (SELECT * FROM spoilt, (VALUES (true), (false)) AS f(fallback))
+SELECT fallback, CASE WHEN item_key IS NOT NULL OR (op = 'D' AND fallback) THEN 'applied' ELSE 'held' END AS what, seq, op,
+       CASE WHEN op = 'D' AND fallback THEN coalesce(item_key, src_key) ELSE item_key END AS item_key
+FROM cases""",
+    "metadata_rollback": """WITH proposed AS (
+  SELECT sha256(o_custkey || ':' || o_orderstatus) AS version_id, 'flow_' || o_custkey AS dataflow_id, o_orderstatus AS metadata_content,
+         o_orderdate + to_seconds(o_orderkey) AS created_at FROM orders
+), marked AS (
+  SELECT *, lag(version_id) OVER (PARTITION BY dataflow_id ORDER BY created_at, version_id) AS before FROM proposed
+), kept AS (SELECT * FROM marked WHERE version_id IS DISTINCT FROM before)
+SELECT version_id, dataflow_id, metadata_content, created_at,
+       row_number() OVER (PARTITION BY dataflow_id ORDER BY created_at DESC, version_id DESC) = 1 AS is_active FROM kept""",
     "dash_run_status": f"""WITH {HISTORY}
 SELECT dataflow_id, stage, count(*) AS total_runs, count(*) FILTER (status = 'success') AS success_count,
        round(avg(duration_seconds), 4) AS avg_duration, max(start_time) AS last_run
-FROM history WHERE start_time >= TIMESTAMP '2024-01-24 00:00:00' GROUP BY dataflow_id, stage""",
+FROM history WHERE start_time >= TIMESTAMP '2024-01-13 00:00:00' AND start_time <= TIMESTAMP '2024-01-20 12:00:00'
+GROUP BY dataflow_id, stage""",
     "recent_runs_top10": f"""WITH {HISTORY}
 SELECT execution_id, dataflow_id, stage, status, start_time, duration_seconds, rows_processed FROM history
 ORDER BY start_time DESC, execution_id DESC LIMIT 10""",

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreflow.functions import bind, render, resolve, row_hash
-from oreflow.functions.text import detail_lines, detail_list_html, thousands, truncated
+from oreflow.functions.text import detail_lines, thousands, truncated
 
 AT = dt.datetime(2024, 1, 31, 6, 30, 15, 123987)
 PARAMETERS = {
@@ -50,11 +50,8 @@ def test_text_forms(spark):
         thousands(F.lit(1234567)).alias("n"), thousands(F.lit(1234.5), 2).alias("d"),
         truncated(F.lit("x" * 300), 200, "none").alias("cut"), truncated(F.lit(""), 200, "none").alias("empty"),
         truncated(F.lit(None).cast("string"), 200, "none").alias("null"),
-        detail_lines(details).alias("lines"), detail_list_html(details).alias("html"),
-        detail_list_html(F.create_map().cast("map<string,string>")).alias("no_html"),
+        detail_lines(details).alias("lines"),
     ).first()
     assert (row["n"], row["d"]) == ("1,234,567", "1,234.50")
     assert (len(row["cut"]), row["empty"], row["null"]) == (200, "none", "none")
     assert row["lines"] == "• *A*: 1\n• *B*: <2>"
-    assert row["html"].endswith("<li><strong>B:</strong> &lt;2&gt;</li></ul>")
-    assert row["no_html"] == ""
