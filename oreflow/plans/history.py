@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from oreflow.functions.clock import AsOf, moment, moment_like
+from oreflow.functions.rows import row_hash
 from oreflow.functions.schema import MapOf, struct
 from oreflow.operators.dedup import latest_by
 
@@ -151,8 +152,9 @@ def lineage_edges(specs: DataFrame, execution_id: Column | str | None = None, as
 
 def current_lineage(lineage: DataFrame) -> DataFrame:
     """The newest row of each lineage id; every run may add rows, an edge counts once."""
-    order = [c for c in ("updated_at", "created_at") if c in lineage.columns]
-    return latest_by(lineage, ["lineage_id"], [f"{c} DESC" for c in order])
+    times = [f"{c} DESC" for c in ("updated_at", "created_at") if c in lineage.columns]
+    edge = ["lineage_id"] if "lineage_id" in lineage.columns else ["dataflow_id", "source_table", "target_table"]
+    return latest_by(lineage, edge, [*times, row_hash(lineage).desc()])
 
 
 def new_lineage(edges: DataFrame, stored: DataFrame | None) -> DataFrame:

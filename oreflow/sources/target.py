@@ -43,13 +43,18 @@ class LatestRows:
     def append(self, rows: DataFrame, batch_id: int, source: str = "batch") -> None:
         self.best(rows).write.mode("overwrite").parquet(f"{self.path}/{SOURCE}={source}/{BATCH}={batch_id}")
 
-    def candidates(self) -> DataFrame | None:
+    def candidates(self, without: tuple[str, int] | None = None) -> DataFrame | None:
+        """The best rows of all batches, or of all but one (source, id)."""
         held = open_table(self.spark, self.path, mergeSchema="true")
-        return None if held is None else held.drop(SOURCE, BATCH)
-
-    def current(self, more: DataFrame | None = None) -> DataFrame | None:
-        """The kept rows of all batches, and of ``more`` that is not written yet."""
-        held = self.candidates()
+        if held is None:
+            return None
+        if without:
+            held = held.where((F.col(SOURCE).cast("string") != without[0]) | (F.col(BATCH) != without[1]))
+        return held.drop(SOURCE, BATCH)
+
+    def current(self, more: DataFrame | None = None, batch: tuple[str, int] | None = None) -> DataFrame | None:
+        """The kept rows of all batches, with ``more`` in the place of what is written of a (source, id)."""
+        held = self.candidates(batch)
         rows = more if held is None else held if more is None else held.unionByName(more, allowMissingColumns=True)
         return None if rows is None else self.pick(rows)
 

@@ -155,7 +155,8 @@ class SilverBatches:
         """With deduplication a batch may take back rows of earlier ones, so what is judged, counted and quarantined
         are the rows that are left of all batches, this one included. Only the best rows of each key are read."""
         rows = selected_rows(batch, self.flow, self.as_of)
-        result = split_silver(*checked_rows(self.target.current(rows), self.flow), self.flow.changes)
+        whole = self.target.current(rows, (stream_id(batch), batch_id))
+        result = split_silver(*checked_rows(whole, self.flow), self.flow.changes)
         counts = [row.asDict() for row in result.metrics.collect()]
         raise_offenders(counts)
         self.target.append(rows, batch_id, stream_id(batch))

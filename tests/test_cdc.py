@@ -83,7 +83,23 @@ def test_soft_delete_keeps_and_flags_the_row(spark):
     rules = ChangeRules(keys=["k"], sequence_by="seq", delete_when="op = 'D'", except_columns=["op"], soft_delete=True)
     rows = [(1, 1, "I", "a"), (1, 2, "D", "last"), (2, 1, "I", "b")]
     result = cdc.apply_changes(spark.createDataFrame(rows, SCHEMA), rules)
-    assert {(r["k"], r["v"], r["is_del"]) for r in result.collect()} == {(1, "last", "Y"), (2, "b", "N")}
+    assert {(r["k"], r["v"], r["is_del"]) for r in result.collect()} == {(1, "a", "Y"), (2, "b", "N")}
+
+
+def test_soft_delete_by_key_alone_keeps_the_last_values(spark):
+    rules = ChangeRules(keys=["k"], sequence_by="seq", delete_when="op = 'D'", except_columns=["op"], soft_delete=True)
+    rows = [(1, 1, "I", "a"), (1, 2, "U", "b"), (1, 5, "D", None), (2, 1, "D", None), (3, 1, "I", "x"), (3, 2, "D", None), (3, 3, "I", "y")]
+    want = {(1, "b", "Y"), (2, None, "Y"), (3, "y", "N")}
+    whole = cdc.apply_changes(spark.createDataFrame(rows, SCHEMA), rules)
+    assert {(r["k"], r["v"], r["is_del"]) for r in whole.collect()} == want
+    for batches in (rows[:3], rows[3:]), (rows[2:], rows[:2]):
+        for small in (False, True):
+            state = None
+            for batch in batches:
+                state = cdc.apply_changes_incremental(state, spark.createDataFrame(batch, SCHEMA), rules, small)
+            assert {(r["k"], r["v"], r["is_del"]) for r in cdc.live_rows(state, rules).collect()} == want
+    late = cdc.apply_changes_incremental(state, spark.createDataFrame([(1, 4, "U", "c")], SCHEMA), rules)
+    assert {(r["k"], r["v"], r["is_del"]) for r in cdc.live_rows(late, rules).collect()} == {(1, "c", "Y"), (2, None, "Y"), (3, "y", "N")}
 
 
 def test_only_type_1_is_accepted():

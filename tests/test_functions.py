@@ -55,3 +55,10 @@ def test_text_forms(spark):
     assert (row["n"], row["d"]) == ("1,234,567", "1,234.50")
     assert (len(row["cut"]), row["empty"], row["null"]) == (200, "none", "none")
     assert row["lines"] == "• *A*: 1\n• *B*: <2>"
+
+
+def test_bind_inside_a_longer_literal(spark):
+    values = {"p": {"default": "ab'c"}, "q": {"default": "z"}}
+    sql, args = bind("SELECT 'x${p}y' AS a, 'k' LIKE '${q}%' AS no, 'zzz' LIKE '${q}%' AS yes, 'it''s ${q}' AS s, '${p}' AS p, '''${q}${q}''' AS t", AT, values)
+    row = spark.sql(sql, args=args).first()
+    assert (row["a"], row["no"], row["yes"], row["s"], row["p"], row["t"]) == ("xab'cy", False, True, "it's z", "ab'c", "'zz'")

@@ -260,30 +260,33 @@ class TestAlerts:
         payload = json.loads(al.chat_payloads(bare).first()["payload"])
         assert payload["text"].startswith("⚪") and payload["attachments"][0]["color"] == "#808080"
         assert len(payload["attachments"][0]["fields"]) == 4
-        assert "Details" not in al.html_bodies(bare).first()["html"]
+        assert al.html_bodies(bare).first()["html"].count("<tr>") == 3
 
     def test_html_is_escaped(self, history):
         html = al.html_bodies(al.alerts(history, NOW).where(F.col("alert_type") == al.FAILURE)).first()["html"]
-        assert "bad &quot;x&quot; &lt;y&gt;" in html and '<h3 class="severity-critical">' in html
+        assert "bad &quot;x&quot; &lt;y&gt;" in html and "border-left:6px solid #FF0000" in html
 
     def test_history_row(self, history):
-        rows = al.monitoring_history(al.alerts(history, NOW), NOW, 1).collect()
-        assert len(rows) == 1
+        rows = al.monitoring_history(al.alerts(history, NOW), "r", NOW, 1).collect()
+        assert len(rows) == 1 and rows[0]["run_id"] == "r"
         row = rows[0]
         assert (row["alert_count"], row["critical_count"], row["warning_count"], row["monitoring_date"]) == (3, 1, 2, NOW.date())
-        assert len(json.loads(row["alerts_json"])) == 3
+        assert sum(json.loads(row["alerts_json"]).values()) == 3
         assert [f.name for f in hi.MONITORING_HISTORY] == list(row.__fields__)
 
     def test_history_without_alerts(self, history):
-        row = al.monitoring_history(al.alerts(history, NOW).limit(0), NOW).collect()
-        assert [(r["alert_count"], r["alerts_json"]) for r in row] == [(0, "[]")]
+        row = al.monitoring_history(al.alerts(history, NOW).limit(0), "r", NOW).collect()
+        assert [(r["alert_count"], r["alerts_json"]) for r in row] == [(0, "{}")]
 
-    def test_many_alerts_are_spread_and_all_kept(self, spark):
-        history = runs(spark, [("hot", "bronze", "failed", NOW, 1.0, None, "same")] * 57)
+    def test_many_alerts_are_one_totals_row_and_a_row_each(self, spark):
+        history = runs(spark, [("hot", "bronze", "failed", NOW, 1.0, None, "same")] * 1500)
         found = al.failure_alerts(history, NOW, Thresholds(), F.lit(NOW)).repartition(3)
-        rows = al.monitoring_history(found, NOW, alerts_per_row=10).collect()
-        sizes = [len(json.loads(r["alerts_json"])) for r in rows]
-        assert sum(sizes) == 57 and max(sizes) <= 10 and {r["alert_count"] for r in rows} == {57}
+        rows = al.monitoring_history(found, "r", NOW).collect()
+        assert [(r["alert_count"], json.loads(r["alerts_json"])) for r in rows] == [(1500, {al.FAILURE: 1500})]
+        alerts = al.monitoring_alerts(found, "r", NOW).collect()
+        assert len(alerts) == 1500 and {r["run_id"] for r in alerts} == {"r"}
+        first = json.loads(alerts[0]["alert_json"])
+        assert first["details"]["Error"] == "same" and first["severity"] == "critical"
 
     def test_status(self, history):
         assert al.monitoring_status(al.alerts(history, NOW), NOW).first()["status"] == "warning"

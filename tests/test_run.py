@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import re
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -94,7 +95,7 @@ def test_dataflow_end_to_end(spark, tmp_path):
         [(1, "one  ", 1.0), (2, "two", 2.0), (3, None, 500.0), (50, "outside", 1.0)],
     )
     first = world.run()
-    assert first.rows == {"rdb_ingestion": 4, "bronze": 3, "silver": 2}
+    assert first.rows == {"rdb_ingestion": 4, "bronze": 3, "silver": 2, "validate": 9}
     assert world.silver_rows() == {(1, "one", 1.0), (2, "two", 2.0)}
     quality = {m["rule"]: m["failed"] for m in first.quality}
     assert quality == {"has_id": 0, "cheap": 1, "named": 1}
@@ -112,9 +113,9 @@ def test_dataflow_end_to_end(spark, tmp_path):
     assert world.silver_rows() == {(1, "uno", 1.5), (4, "four", 4.0)}
 
     history = {(r["stage"], r["status"]): r["rows_processed"] for r in world.metadata("pipeline_execution_history").collect()}
-    assert set(history) == {("rdb_ingestion", "success"), ("bronze", "success"), ("silver", "success")}
-    assert world.metadata("pipeline_execution_history").count() == 6
-    assert world.metadata("data_lineage").count() == 6
+    assert set(history) == {("rdb_ingestion", "success"), ("bronze", "success"), ("silver", "success"), ("validate", "success")}
+    assert world.metadata("pipeline_execution_history").count() == 8
+    assert world.metadata("data_lineage").count() == 3
     assert world.metadata("metadata_versions").count() == 2
     events = world.metadata("event_log").collect()
     assert len(events) == 6 and json.loads(events[0]["details"])["flow_progress"]
@@ -122,7 +123,7 @@ def test_dataflow_end_to_end(spark, tmp_path):
     # A full refresh rebuilds bronze and silver from all raw rows and gives the same table.
     world.sources([], [])
     third = world.run(cursor="2024-02-01", full_refresh=True)
-    assert third.rows == {"rdb_ingestion": 0, "bronze": 7, "silver": 5}
+    assert third.rows == {"rdb_ingestion": 0, "bronze": 7, "silver": 5, "validate": 9}
     assert world.silver_rows() == {(1, "uno", 1.5), (4, "four", 4.0)}
 
 
@@ -316,7 +317,7 @@ def test_dataflows_side_by_side(spark, tmp_path):
     history = rn.Workspace(spark, f"{tmp_path}/lake").read_metadata("pipeline_execution_history")
     found = history.groupBy("dataflow_id", "status").count().collect()
     assert {(r["dataflow_id"], r["status"], r["count"]) for r in found} == {
-        ("flow/1", "success", 3), ("flow/2", "success", 3), ("flow/3", "failed", 1),
+        ("flow/1", "success", 4), ("flow/2", "success", 4), ("flow/3", "failed", 1),
     }
 
 
@@ -330,3 +331,152 @@ def test_appending_silver_starts_anew_with_a_rebuilt_bronze(spark, tmp_path):
     rn.run_layer(spark, f"{tmp_path}/lake", "silver", **tables)
     flow = rn.silver_flow_of(tables["silver"].first())
     assert rn.Workspace(spark, f"{tmp_path}/lake").table(flow, "silver").count() == 1
+
+
+def test_bronze_counts_every_micro_batch(spark, tmp_path):
+    spark.range(0, 240, 1, 120).write.parquet(f"{tmp_path}/in")
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        raw = rn.read_source(spark, f"{tmp_path}/in", options={"maxFilesPerTrigger": "1"}, stream=True)
+        with st.WrittenRows(spark) as written:
+            query = st.bronze_stream(raw, rn.BronzeFlow(source={}, target={}), f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+            query.awaitTermination()
+            assert len(query.recentProgress) <= 3 and written.of(query) == 240
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+
+
+def test_an_unknown_count_is_not_zero(spark, tmp_path):
+    result = rn.RunResult("items")
+    ws = rn.Workspace(spark, str(tmp_path))
+    with rn._stage(ws, "items", "g", "bronze", result):
+        pass
+    assert result.rows == {"bronze": None}
+
+
+@pytest.mark.parametrize("n", [1, 2])
+def test_deduplication_does_not_depend_on_batches(spark, tmp_path, n):
+    rows = [(1, 1, "U", "a"), (1, 3, "U", "c"), (1, 2, "U", "b"), (2, 5, "U", "x"), (3, 1, "U", "t"), (3, 1, "U", "s")]
+    schema = "k bigint, seq bigint, op string, v string"
+    flow = rn.SilverFlow(
+        source={}, target={}, select=["*"], rules=[], changes=ChangeRules(keys=["k"], sequence_by="seq"),
+        deduplication={"enabled": True, "partition_by": ["k"], "order_by": ["seq DESC"], "row_number": n},
+    )
+    from oreflow.plans.flows import deduplication_of, silver, silver_of
+    from oreflow.sources.target import LatestRows
+    want = {tuple(r) for r in silver(spark.createDataFrame(rows, schema), flow).collect()}
+    for size in (1, 2, 6):
+        dedup = deduplication_of(flow)
+        target = LatestRows(spark, f"{tmp_path}/{size}", dedup.best, dedup.pick)
+        batches = st.SilverBatches(flow, target, f"{tmp_path}/{size}_held")
+        for i in range(0, len(rows), size):
+            batches(spark.createDataFrame(rows[i : i + size], schema), i)
+        batches(spark.createDataFrame(rows[:size], schema), 0)  # the first batch again
+        assert {tuple(r) for r in silver_of(target.current(), flow).collect()} == want
+        assert batches.rows == len(want)
+
+
+def test_a_deduplicated_dataflow(spark, tmp_path):
+    world = World(spark, tmp_path, deduplication={"enabled": True, "partition_by": ["key"], "order_by": ["seq DESC"], "row_number": 1})
+    world.sources([(1, 1, "I", day(1)), (2, 2, "I", day(1))], [(1, "one", 1.0), (2, "two", 2.0)])
+    world.run()
+    world.sources([(7, 1, "U", day(5)), (0, 2, "U", day(5))], [(1, "uno", 1.5), (2, "late", 9.0)])
+    world.run(cursor="2024-01-05")
+    assert world.silver_rows() == {(1, "uno", 1.5), (2, "two", 2.0)}
+
+
+def test_a_flow_without_fallback_lives_through_deletes(spark, tmp_path):
+    rules = {"keys": ["id"], "sequence_by": "seq", "scd_type": "1", "apply_as_deletes": "is_del = 'Y'", "except_column_list": ["seq", "op", "key", "ingest_dt", "is_del"]}
+    world = World(spark, tmp_path, cdc_apply_changes=rules)
+    world.sources([(1, 1, "I", day(1)), (2, 2, "I", day(1))], [(1, "one", 1.0), (2, "two", 2.0)])
+    world.run()
+    world.sources([(7, 1, "U", day(5)), (9, 2, "D", day(5))], [(1, "uno", 1.5)])
+    world.run(cursor="2024-01-05")
+    assert (1, "uno", 1.5) in world.silver_rows()
+
+
+def test_an_upsert_without_key_fails_its_rule_whatever_the_fallback(spark):
+    flow = rn.SilverFlow(
+        source={}, target={}, select=["*"], rules=[rn_rule()],
+        changes=ChangeRules(keys=["id"], key_fallback={"id": "key"}, sequence_by="seq", delete_when="op = 'D'"),
+    )
+    from oreflow.operators.quality import QualityError
+    from oreflow.plans.flows import silver_changes
+    schema = "id bigint, key bigint, seq bigint, op string"
+    deletes = spark.createDataFrame([(None, 1, 1, "D"), (2, 2, 2, "I")], schema)
+    assert {(r["id"], r["op"]) for r in silver_changes(deletes, flow).changes.collect()} == {(1, "D"), (2, "I")}
+    with pytest.raises(QualityError):
+        silver_changes(spark.createDataFrame([(None, 1, 1, "U")], schema), flow)
+
+
+def rn_rule():
+    from oreflow.operators.quality import Rule
+    return Rule("valid_key", "id IS NOT NULL", "fail")
+
+
+def test_repeated_runs_record_lineage_and_versions_once(spark, tmp_path):
+    world = World(spark, tmp_path)
+    world.sources([(1, 1, "I", day(1))], [(1, "one", 1.0)])
+    for _ in range(3):
+        result = world.run()
+    from oreflow.plans.history import active_versions, complete_dataflow, new_versions
+    lineage, versions = world.metadata("data_lineage"), world.metadata("metadata_versions")
+    assert lineage.count() == 3 and versions.count() == 1
+    ws = rn.Workspace(spark, f"{tmp_path}/lake")
+    history = ws.read_metadata("pipeline_execution_history")
+    assert complete_dataflow(ws.read_metadata("data_lineage"), history).count() == 3 * 4
+    assert {r["stage"] for r in history.collect()} == {"rdb_ingestion", "bronze", "silver", "validate"}
+    told = json.loads(result.to_json())
+    assert told["validation_status"] == "PASSED" and told["rows"]["validate"] == result.validation.count()
+    a = spark.createDataFrame([("a", "f", day(1)), ("b", "f", day(2))], "version_id string, dataflow_id string, created_at timestamp").withColumn("is_active", F.lit(None).cast("boolean"))
+    back = a.where("version_id = 'a'").withColumn("created_at", F.lit(day(3)))
+    assert new_versions(back, a).count() == 1 and active_versions(a.unionByName(back)).first()["version_id"] == "a"
+
+
+def test_failed_checks_are_in_the_result_and_the_history(spark, tmp_path):
+    world = World(spark, tmp_path, cdc_apply_changes=None)
+    world.sources([(1, 1, "I", day(1))], [(50, "outside", 1.0)])
+    spark.range(100, 101).select(F.col("id").alias("k")).createOrReplaceTempView("allowed_keys")
+    result = world.run()
+    assert result.failed_checks >= 1 and json.loads(result.to_json())["validation_status"] == "FAILED"
+    assert world.metadata("validation_results").where("status = 'FAILED'").count() == result.failed_checks
+
+
+def test_a_day_of_history_opens_its_own_days_only(spark, tmp_path):
+    from oreflow.plans import history as hi
+    from oreflow.plans.monitor import Thresholds, recent_failures
+    rows = [(str(i), "f", "g", "bronze", "failed", day(i), day(i), 1.0, None, "e", {}, day(i)) for i in range(1, 20)]
+    runs = spark.createDataFrame(rows, hi.RUN_HISTORY).withColumn(hi.RUN_DATE, F.col("start_time").cast("date"))
+    runs.write.partitionBy(hi.RUN_DATE).parquet(f"{tmp_path}/lake/metadata/pipeline_execution_history/_flow=f")
+    history = rn.Workspace(spark, f"{tmp_path}/lake").read_metadata("pipeline_execution_history")
+    found = recent_failures(history, day(19), Thresholds(window_hours=24))
+    assert found.count() == 2
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    filters = re.search(r"PartitionFilters: \[([^\]]*)\]", plan).group(1)
+    assert "run_date" in filters and "2024-01-18" in filters and "2024-01-19" in filters
+
+
+def test_sources_and_formats_that_cannot_be_carried_out_are_refused(spark, tmp_path):
+    source = {"type": "rdb_jdbc", "connection": {"jdbc_url": "jdbc:x"}, "extraction": {
+        "main_query": "SELECT 1", "read_options": {"fetchsize": "10", "numPartitions": "8"}}}
+    spec = sp.specs_frame(spark, [document(tmp_path) | {"source": source}]).first()
+    with pytest.raises(ValueError, match="one task"):
+        rn.source_rows(spark, spec["source"], AT)
+    with pytest.raises(ValueError, match="not supported"):
+        rn.BronzeFlow(source={}, target={}, source_format="avroz").file_format()
+    assert rn.BronzeFlow(source={}, target={}, source_format="delta").file_format() == "parquet"
+
+
+def test_the_clock_of_a_flow_is_the_moment_given(spark):
+    from oreflow.plans.flows import silver_rows
+    flow = rn.SilverFlow(source={}, target={}, select=["*"], where=["d >= date_sub(current_date(), 1)", "d < CURRENT_TIMESTAMP()"])
+    frame = spark.createDataFrame([(day(i),) for i in range(1, 30)], "d timestamp")
+    assert sorted(r["d"].day for r in silver_rows(frame, flow, dt.datetime(2024, 1, 9, 12)).collect()) == [8, 9]
+
+
+def test_a_heavy_value_is_spread_over_clustered_files(spark):
+    from oreflow.sources.sinks import clustered
+    heavy = spark.range(4000).select(F.lit(1).alias("k"), "id")
+    sizes = [r["count"] for r in clustered(heavy, ["k"], 4).groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 2000

@@ -67,8 +67,18 @@ def test_allowlist_keeps_rows_once_and_checks_use(spark):
         [("product_id", "1", "y"), ("product_id", "1", "Y"), ("product_id", "2", "N"), ("other", "3", "Y"), ("product_id", None, "Y")],
         "filter_type string, filter_value string, use_yn string",
     )
-    assert column(semi_join_allowlist(df, allow, "id", type_value="product_id"), "id") == [1]
-    assert sorted(column(semi_join_allowlist(df, allow, "id", type_column=None, use_column=None), "id")) == [1, 2, 3]
+    used = semi_join_allowlist(df, allow, "id", "filter_value", "filter_type", "product_id", "use_yn")
+    assert column(used, "id") == [1]
+    assert sorted(column(semi_join_allowlist(df, allow, "id", "filter_value"), "id")) == [1, 2, 3]
+
+
+def test_columns_that_log_and_master_share(spark, tmp_path):
+    log = spark.createDataFrame([(1, "I"), (2, "D")], "key int, op string")
+    joined = join_master(log, spark.createDataFrame([(1, "a")], "key int, name string"), "key", "key")
+    joined.write.parquet(f"{tmp_path}/joined")
+    assert {(r["S_key"], r["key"], r["name"]) for r in joined.collect()} == {(1, 1, "a"), (2, None, None)}
+    with pytest.raises(ValueError, match="both have op"):
+        join_master(log, spark.createDataFrame([(1, "x")], "id int, OP string"), "key", "id")
 
 
 def test_metadata_columns(spark):
