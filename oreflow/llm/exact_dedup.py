@@ -133,7 +133,8 @@ def exact_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "tex
     kind = documents.schema[key].dataType.simpleString()
     recipes = source.mapInArrow(_recipes(hash_bits), f"id {kind}, sha binary, recipe_key binary, recipe array<bigint>")
     recipes = stored(recipes.withColumn("row", F.monotonically_increasing_id()), "recipes")
-    repeated = recipes.groupBy("recipe_key").count().filter("count > 1").select("recipe_key")
+    # Written, like the groups below: then a join is dealt by its key alone and a hot group can be split.
+    repeated = stored(recipes.groupBy("recipe_key").count().filter("count > 1").select("recipe_key"), "repeated")
     wanted = recipes.join(repeated, "recipe_key").select(F.col("id").alias("wanted")).distinct()
     # The ids of repeated recipes grow with the corpus, so texts meet them by a merge at every size.
     texts = source.join(wanted.hint("merge"), source["id"].eqNullSafe(wanted["wanted"]), "left_semi").select("text")
@@ -145,7 +146,7 @@ def exact_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "tex
             "numbers", F.coalesce("numbers", F.array().cast("array<struct<seq:int,rank:int>>")))
     same = ["recipe_key", "recipe", "numbers"]
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row"))
-    groups = recipes.groupBy(*same).agg(first.alias("first"), F.count("*").alias("group_size"))
+    groups = stored(recipes.groupBy(*same).agg(first.alias("first"), F.count("*").alias("group_size")), "groups")
     return recipes.join(groups, same).select(
         F.col("id").alias(key), F.col("first.id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("first.row")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"),

@@ -285,7 +285,9 @@ class _Join:
         """(tile, node, lo): the tiles with more than one set, and the lowest number in each."""
         entries = self.source.select("text").mapInArrow(_entries(self.n, self.percent, self.clashes), "tile long, node long")
         shared = entries.groupBy("tile").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi")
-        return stored(entries.join(shared.select("tile", "lo"), "tile").distinct(), "tiles")
+        # Written, so that both sides of the join are dealt by it alone and adaptive execution can split a hot tile.
+        shared = stored(shared.select("tile", "lo"), "shared")
+        return stored(entries.join(shared, "tile").distinct(), "tiles")
 
     def likely(self, pairs: DataFrame) -> DataFrame:
         """Of distinct pairs (a, b) those that the bitmaps let through."""
@@ -379,7 +381,7 @@ def ngram_components(
     roots = join.roots()
     placed = join.profiles.distinct().join(roots, "node", "left")
     placed = rows.select("key", "d", "t").join(placed, ["d", "t"]).select("key", "n", F.coalesce("root", "node").alias("root"))
-    lowest = placed.filter("n > 0").groupBy("root").agg(F.min("key").alias("low"))
+    lowest = stored(placed.filter("n > 0").groupBy("root").agg(F.min("key").alias("low")), "lowest")
     low = F.when(F.col("n") > 0, F.col("low")).otherwise(F.col("key"))
     return placed.join(lowest, "root", "left").select(
         F.col("key").alias(key), F.col("n").alias("n_shingles"), low.alias("component_id"))
