@@ -31,6 +31,7 @@ class Thresholds:
     min_runs: int = 3
     stale_hours: int = 2
     stale_critical: int = 6
+    error_length: int = 200
 
 
 def _hours(n: int) -> Column:

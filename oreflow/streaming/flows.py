@@ -43,9 +43,21 @@ def stream_id(batch: DataFrame) -> str:
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
 
 
-def apply_changes_stream(stream: DataFrame, target: ChangeTarget, checkpoint: str) -> StreamingQuery:
-    """Type-1 changes from a stream of business rows into a target."""
-    return batch_stream(stream, lambda batch, n: target.append(batch, n, stream_id(batch)), checkpoint)
+def apply_changes_stream(
+    stream: DataFrame, target: ChangeTarget, checkpoint: str, compact_every: int = 20
+) -> StreamingQuery:
+    """Type-1 changes from a stream of business rows into a target, which is compacted every so many batches, so that
+    neither its readers nor its log entries since the last base grow without bound."""
+    done = 0
+
+    def each(batch: DataFrame, n: int) -> None:
+        nonlocal done
+        target.append(batch, n, stream_id(batch))
+        done += 1
+        if done % compact_every == 0:
+            target.compact()
+
+    return batch_stream(stream, each, checkpoint)
 
 
 def append_flow_streams(sources: Mapping[str, DataFrame], path: str, checkpoint: str) -> list[StreamingQuery]:

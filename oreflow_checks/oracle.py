@@ -147,7 +147,8 @@ _BRANCHES = [
     _alert(
         "failures", "Pipeline Failure", "'critical'", f"'Pipeline failed: ' || {_PIPE}", "'The pipeline run failed.'",
         [*_NAMES, ("Error", "CASE WHEN length(error_message) > 0 THEN left(error_message, 200) ELSE 'No error message' END"),
-         ("Timestamp", _time("start_time")), ("Duration (sec)", "CAST(duration_seconds AS VARCHAR)")],
+         ("Timestamp", _time("start_time")), ("Duration (sec)", "CAST(duration_seconds AS VARCHAR)"),
+         ("Execution ID", "execution_id")],
     ),
     _alert(
         "anomalies", "Data Quality Anomaly", "CASE WHEN abs(z_score) > 5 THEN 'critical' ELSE 'warning' END",
