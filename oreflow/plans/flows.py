@@ -35,6 +35,23 @@ FILE_FORMATS = ("parquet", "orc", "json", "csv", "text")
 TABLE_FORMATS = ("table", "delta", "iceberg", "hudi")
 
 
+def file_format(name: str | None) -> str:
+    """The file format that a spec names; tables of any table format are folders of parquet files here."""
+    known = (name or "parquet").lower()
+    if known in TABLE_FORMATS:
+        return "parquet"
+    if known not in FILE_FORMATS:
+        raise ValueError(f"format {name!r} is not supported")
+    return known
+
+
+def writer_options(properties: Mapping[str, str] | None) -> tuple[dict[str, str], list[str]]:
+    """Table properties as options of a parquet writer, and the names of those that mean nothing to it."""
+    given = dict(properties or {})
+    known = {k: v for k, v in given.items() if k == "compression" or k.startswith("parquet.")}
+    return known, sorted(set(given) - set(known))
+
+
 @dataclass(frozen=True)
 class BronzeFlow:
     """Raw → bronze: filters and added columns, in the order they are declared."""
@@ -48,13 +65,8 @@ class BronzeFlow:
     cluster_by: Sequence[str] = ()
 
     def file_format(self) -> str:
-        """How the source's files are read; tables of any table format are folders of parquet files here."""
-        name = (self.source_format or "parquet").lower()
-        if name in TABLE_FORMATS:
-            return "parquet"
-        if name not in FILE_FORMATS:
-            raise ValueError(f"source format {self.source_format!r} of {self.dataflow_id!r} is not supported")
-        return name
+        """How the source's files are read."""
+        return file_format(self.source_format)
 
 
 @dataclass(frozen=True)
@@ -91,7 +103,7 @@ def change_rules_of(text: str | None) -> ChangeRules | None:
     return ChangeRules(
         keys=given["keys"], sequence_by=given["sequence_by"], delete_when=given.get("apply_as_deletes"),
         except_columns=given.get("except_column_list") or (), key_fallback=given.get("key_fallback") or {},
-        soft_delete=bool(given.get("soft_delete")), scd_type=given.get("scd_type") or "1",
+        soft_delete=bool(given.get("soft_delete")), delete_columns=given.get("delete_columns") or (), scd_type=given.get("scd_type") or "1",
     )
 
 

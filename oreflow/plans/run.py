@@ -20,7 +20,8 @@ from oreflow.operators.quality import QualityResult, event_log, raise_offenders,
 from oreflow.operators.validation import TableChecks, validate
 from oreflow.plans.alerts import at_level, chat_payloads, monitoring_alerts, monitoring_history, monitoring_status, run_checks
 from oreflow.plans.flows import (
-    BronzeFlow, SilverFlow, bronze_flow_of, deduplication_of, ingest, silver_flow_of, silver_of,
+    BronzeFlow, SilverFlow, bronze_flow_of, deduplication_of, file_format, ingest, silver_flow_of, silver_of,
+    writer_options,
 )
 from oreflow.plans.history import (
     RUN_DATE, RUN_HISTORY, StageRun, lineage_edges, metadata_versions, new_lineage, new_versions,
@@ -188,9 +189,14 @@ def run_ingestion(
         rows = ingest(
             rows, metadata_columns=raw["metadata_columns"] or {}, trigger_time=trigger_time, context=context
         )
+        if file_format(raw["format"]) != "parquet":
+            raise ValueError(f"raw tables are kept in parquet, not in {raw['format']!r}")
+        options, ignored = writer_options(raw["table_properties"])
+        if ignored:  # properties of a table format; which ones had no effect stands in the history
+            run.metadata["ignored_table_properties"] = ", ".join(ignored)
         run.rows = write_table(
             rows, ws.path(_raw_details(spec)), raw["write_mode"] or "append", raw["partition_columns"] or (),
-            balance=bool(raw["partition_columns"]),
+            options=options, balance=bool(raw["partition_columns"]),
         )
 
 

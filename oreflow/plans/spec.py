@@ -50,6 +50,7 @@ SPEC_SCHEMA = struct({
         "cdc_apply_changes": {
             "keys": ["string"], "key_fallback": MapOf(), "sequence_by": "string", "scd_type": "string",
             "apply_as_deletes": "string", "except_column_list": ["string"], "soft_delete": "boolean",
+            "delete_columns": ["string"],
         },
         "string_transformations": {"rtrim": "boolean"},
         "table_properties": MapOf(), "cluster_by": ["string"],
@@ -58,18 +59,20 @@ SPEC_SCHEMA = struct({
 })
 
 # Columns of the two spec tables. The last one holds what the others have no place for.
-BRONZE_SPEC_COLUMNS = (
-    "dataFlowId dataFlowGroup sourceFormat sourceDetails readerConfigOptions targetFormat targetDetails "
-    "tableProperties schema partitionColumns cdcApplyChanges applyChangesFromSnapshot dataQualityExpectations "
-    "quarantineTargetDetails quarantineTableProperties appendFlows appendFlowsSchemas clusterBy sinks version "
-    "createDate createdBy updateDate updatedBy flowOptions"
-).split()
-SILVER_SPEC_COLUMNS = (
-    "dataFlowId dataFlowGroup sourceFormat sourceDetails readerConfigOptions targetFormat targetDetails "
-    "cdcApplyChanges tableProperties partitionColumns clusterBy selectExp whereClause applyChangesFromSnapshot "
-    "quarantineTargetDetails quarantineTableProperties appendFlows appendFlowsSchemas sinks "
-    "dataQualityExpectations version createDate createdBy updateDate updatedBy flowOptions"
-).split()
+BRONZE_SPEC_COLUMNS = [
+    "dataFlowId", "dataFlowGroup", "sourceFormat", "sourceDetails", "readerConfigOptions", "targetFormat",
+    "targetDetails", "tableProperties", "schema", "partitionColumns", "cdcApplyChanges", "applyChangesFromSnapshot",
+    "dataQualityExpectations", "quarantineTargetDetails", "quarantineTableProperties", "appendFlows",
+    "appendFlowsSchemas", "clusterBy", "sinks", "version", "createDate", "createdBy", "updateDate", "updatedBy",
+    "flowOptions",
+]
+SILVER_SPEC_COLUMNS = [
+    "dataFlowId", "dataFlowGroup", "sourceFormat", "sourceDetails", "readerConfigOptions", "targetFormat",
+    "targetDetails", "cdcApplyChanges", "tableProperties", "partitionColumns", "clusterBy", "selectExp",
+    "whereClause", "applyChangesFromSnapshot", "quarantineTargetDetails", "quarantineTableProperties", "appendFlows",
+    "appendFlowsSchemas", "sinks", "dataQualityExpectations", "version", "createDate", "createdBy", "updateDate",
+    "updatedBy", "flowOptions",
+]
 
 
 def load_metadata(source: str | Path | Mapping[str, Any]) -> dict[str, Any]:

@@ -15,7 +15,7 @@ from oreflow.operators.cdc import change_rows, latest_changes
 from oreflow.operators.quality import raise_offenders
 from oreflow.functions.clock import AsOf
 from oreflow.plans.flows import REJECT, BronzeFlow, SilverFlow, bronze, checked_rows, selected_rows, silver_rows, split_silver
-from oreflow.sources.sinks import read_merged
+from oreflow.sources.sinks import clustered, read_merged
 from oreflow.sources.target import BATCH, SOURCE, ChangeTarget, LatestRows
 
 
@@ -158,7 +158,8 @@ class SilverBatches:
             latest = latest_changes(change_rows(result.changes, changes), changes)
             self.target.append_reduced(latest, batch_id, source)
         else:
-            result.changes.write.mode("overwrite").parquet(f"{self.target}/{place}")
+            rows = clustered(result.changes, self.flow.cluster_by) if self.flow.cluster_by else result.changes
+            rows.write.mode("overwrite").parquet(f"{self.target}/{place}")
         if any(c["failed"] for c in counts if c["action"] in ("quarantine", REJECT)):
             result.quarantined.write.mode("overwrite").parquet(f"{self.quarantine_path}/{place}")
         self._count(counts)

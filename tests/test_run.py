@@ -480,3 +480,25 @@ def test_a_heavy_value_is_spread_over_clustered_files(spark):
     heavy = spark.range(4000).select(F.lit(1).alias("k"), "id")
     sizes = [r["count"] for r in clustered(heavy, ["k"], 4).groupBy(F.spark_partition_id().alias("p")).count().collect()]
     assert len(sizes) == 4 and max(sizes) < 2000
+
+
+def test_raw_properties_are_carried_out_or_told(spark, tmp_path):
+    world = World(spark, tmp_path)
+    world.sources([(1, 1, "I", day(1))], [(1, "one", 1.0)])
+    given = document(tmp_path)
+    given["raw_bronze"] |= {"format": "delta", "table_properties": {"compression": "gzip", "delta.autoOptimize": "true"}}
+    rn.run_dataflow(spark, sp.specs_frame(spark, [given]).first(), f"{tmp_path}/lake", AT)
+    assert list(tmp_path.glob("lake/c/s/raw/*.gz.parquet"))
+    told = [r["metadata"] for r in world.metadata("pipeline_execution_history").where("stage = 'rdb_ingestion'").collect()]
+    assert told == [{"ignored_table_properties": "delta.autoOptimize"}]
+    given["raw_bronze"]["format"] = "csv"
+    with pytest.raises(ValueError, match="parquet"):
+        rn.run_dataflow(spark, sp.specs_frame(spark, [given]).first(), f"{tmp_path}/lake", AT)
+
+
+def test_a_silver_table_without_changes_is_clustered(spark, tmp_path):
+    flow = rn.SilverFlow(source={}, target={}, select=["*"], cluster_by=["k"])
+    batches = st.SilverBatches(flow, f"{tmp_path}/out", f"{tmp_path}/held")
+    batches(spark.range(1000).select((F.col("id") % 7).alias("k")).repartition(5), 0)
+    files = [[r["k"] for r in spark.read.parquet(str(f)).collect()] for f in tmp_path.glob("out/*/*/*.parquet")]
+    assert sum(map(len, files)) == 1000 and all(f == sorted(f) for f in files)
