@@ -129,7 +129,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     return (
         both.filter("v > u").join(_lowest_neighbour(both), "u").filter("v <> m")
-        .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        .select(F.col("v").alias("u"), F.col("m").alias("v"))
     )
 
 

@@ -327,33 +327,17 @@ class _Join:
         both = pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
         return stored(both.mapInArrow(_verify(self.n, self.percent), "a long, b long"), "verified")
 
-    @staticmethod
-    def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-        """Pairs whose sets are not connected yet."""
-        a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
-        b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
-        root_a, root_b = F.coalesce("root_a", "a"), F.coalesce("root_b", "b")
-        return pairs.join(a, "a", "left").join(b, "b", "left").filter(root_a != root_b).select("a", "b")
-
     def roots(self) -> DataFrame:
         """(node, root) of all connected sets."""
         one = self.profiles.filter("n > 0").groupBy("node").agg(F.min(F.struct("d", "t", "n", "bits")).alias("one"))
         self.sets = stored(one.select("node", "one.*"), "one_per_set")
         tiled = self.survivors()
-        stars = tiled.filter("node <> lo").groupBy(F.col("node").alias("a"), F.col("lo").alias("b")).agg(F.count("*").alias("shared"))
-        stars = stored(stars, "stars")
-        likely = self.likely(stars.select("a", "b")).join(stars, ["a", "b"])
-        likely = stored(likely, "likely_shared")
-        texts = self.texts_of(likely)
-        # First each set against the one it shares most tiles with, then what that leaves apart.
-        best = likely.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
-        links = self.verified(best, texts)
+        # First each set against the lowest of each of its tiles.
+        stars = tiled.filter("node <> lo").select(F.col("node").alias("a"), F.col("lo").alias("b")).distinct()
+        likely = self.likely(stars)
+        links = self.verified(likely, self.texts_of(likely))
         roots = components(links, "a", "b")
-        rest = stored(self.apart(likely.select("a", "b").join(best, ["a", "b"], "left_anti"), roots), "rest")
-        if not rest.isEmpty():
-            links = links.unionByName(self.verified(rest, texts))
-            roots = components(links, "a", "b")
-        # Last the pairs in a tile of which neither is its lowest, again only across what is still apart.
+        # Then the pairs in a tile of which neither is its lowest, only across what is still apart.
         others = tiled.filter("node <> lo").join(roots, "node", "left").select("tile", "node", F.coalesce("root", "node").alias("root"))
         split = others.groupBy("tile").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"))
         split = stored(split.filter("low <> high").select("tile", "size"), "apart")
