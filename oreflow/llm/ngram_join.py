@@ -22,9 +22,11 @@ from oreflow.llm.common import as_bytes, components, keyed, mix, signed, stored,
 
 #: Set numbers that a task remembers before it starts anew; bytes of texts hashed at once; sets of a block of a tile.
 MEMORY, TOGETHER, BLOCK = 400_000, 1 << 20, 2048
-#: Bits of a bitmap: the next power of two above four times the set's size, within these. With fewer, differing
-#: n-grams often fall on one bit and cancel out, and sets just below the threshold pass.
+#: Bits of a bitmap: the next power of two above twice the set's size, within these. With fewer, differing n-grams
+#: often fall on one bit and cancel out, and sets just below the threshold pass; with more, rows grow.
 LEAST_BITS, MOST_BITS = 64, 16384
+#: Of so many tiles one is looked at first, for pairs that connect most of what can be connected.
+FIRST = 4
 #: Set numbers that two sets share; more than this would mean that the digest is broken.
 MOST_CLASHES = 100_000
 
@@ -133,7 +135,7 @@ def tiles(ngrams: np.ndarray, percent: int) -> np.ndarray:
 
 def bitmap(ngrams: np.ndarray) -> bytes:
     """Bit i tells whether an odd number of n-grams falls on i."""
-    bits = min(MOST_BITS, max(LEAST_BITS, 1 << int(4 * len(ngrams) - 1).bit_length()))
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << int(2 * len(ngrams) - 1).bit_length()))
     odd = np.bincount((ngrams & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -226,7 +228,25 @@ def _folded(bits: list[bytes]) -> np.ndarray:
     return out
 
 
-def _compare_blocks(percent: int):
+def _spanning(i: np.ndarray, j: np.ndarray, differ: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """Of pairs (i, j) those that, taken from the most alike on, connect two parts that were apart."""
+    _, part = np.unique(root, return_inverse=True)
+    above, taken = list(range(int(part.max()) + 1)), []
+
+    def top(x: int) -> int:
+        while above[x] != x:
+            above[x] = x = above[above[x]]
+        return x
+
+    for k in np.argsort(differ, kind="stable").tolist():
+        x, y = top(part[i[k]]), top(part[j[k]])
+        if x != y:
+            above[x] = y
+            taken.append(k)
+    return np.array(taken, np.int64)
+
+
+def _compare_blocks(percent: int, spanning: bool):
     def group(rows: pa.RecordBatch):
         node, root, n, block = (rows.column(c).to_numpy() for c in ("node", "root", "n", "block"))
         if (root == root[0]).all():
@@ -241,8 +261,12 @@ def _compare_blocks(percent: int):
             both = n[x] + n[right]
             fits = ((100 + percent) * (both - differ) >= 2 * percent * both) & (np.minimum(n[x], n[right]) * 100 >= percent * np.maximum(n[x], n[right]))
             i, j = np.nonzero(fits & (root[x] < root[right]) if one == two else fits & (root[x] != root[right]))
-            found.append((node[x[i, 0]], node[right[j]]))
-        a, b = (np.concatenate(x) for x in zip(*found))
+            found.append((x[i, 0], right[j], differ[i, j] * 1000 // both[i, j]))
+        i, j, differ = (np.concatenate(x) for x in zip(*found))
+        if spanning:
+            taken = _spanning(i, j, differ, root)
+            i, j = i[taken], j[taken]
+        a, b = node[i], node[j]
         return (np.minimum(a, b), np.maximum(a, b)) if len(a) else None
 
     def run(batches):
@@ -297,8 +321,9 @@ class _Join:
         both = pairs.join(a, "a").join(b, "b").select("a", "b", "n_a", "bits_a", "n_b", "bits_b")
         return stored(both.mapInArrow(_bitmap_filter(self.percent), "a long, b long"), "likely")
 
-    def within(self, members: DataFrame) -> DataFrame:
-        """Pairs of (tile, node, root, size) in one tile but apart that the bitmaps let through.
+    def within(self, members: DataFrame, spanning: bool) -> DataFrame:
+        """Pairs of (tile, node, root, size) in one tile but apart that the bitmaps let through; all of them, or as
+        many as would connect what they can connect in their tile.
 
         A tile is cut into blocks, and every pair of its blocks is compared in one go, in a task of its own if need
         be; only what passes leaves the task.
@@ -312,7 +337,7 @@ class _Join:
         parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         unit = ["tile", "b1", "b2"]
         found = whole.unionByName(cut).repartition(parts, *unit).sortWithinPartitions(*unit).mapInArrow(
-            _compare_blocks(self.percent), "a long, b long")
+            _compare_blocks(self.percent, spanning), "a long, b long")
         return stored(found.distinct(), "within")
 
     def texts_of(self, pairs: DataFrame) -> DataFrame:
@@ -337,15 +362,19 @@ class _Join:
         likely = self.likely(stars)
         links = self.verified(likely, self.texts_of(likely))
         roots = components(links, "a", "b")
-        # Then the pairs in a tile of which neither is its lowest, only across what is still apart.
-        others = tiled.filter("node <> lo").join(roots, "node", "left").select("tile", "node", F.coalesce("root", "node").alias("root"))
-        split = others.groupBy("tile").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"))
-        split = stored(split.filter("low <> high").select("tile", "size"), "apart")
-        if not split.isEmpty():
-            more = self.within(others.join(split, "tile"))
-            if not more.isEmpty():
-                links = links.unionByName(self.verified(more, self.texts_of(more)))
-                roots = components(links, "a", "b")
+        # Then the pairs in a tile of which neither is its lowest, only across what is still apart: first those that
+        # would connect some of the tiles, as most links of a family are spared once it is connected, then all.
+        for first in (True, False):
+            some = tiled.filter("node <> lo")
+            some = some.filter(F.pmod(F.xxhash64("tile"), F.lit(FIRST)) == 0) if first else some
+            some = some.join(roots, "node", "left").select("tile", "node", F.coalesce("root", "node").alias("root"))
+            split = some.groupBy("tile").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"))
+            split = stored(split.filter("low <> high").select("tile", "size"), "apart")
+            if not split.isEmpty():
+                more = self.within(some.join(split, "tile"), first)
+                if not more.isEmpty():
+                    links = links.unionByName(self.verified(more, self.texts_of(more)))
+                    roots = components(links, "a", "b")
         return roots
 
 
