@@ -18,8 +18,9 @@ from oreflow.llm.common import components, lowest_hash, stored, whole_groups
 #: Reference points (the sample the index is fitted on), length of a description, how many of its pivots have the
 #: vector in their lists, shared pivots that make a candidate, and vectors of a block.
 PIVOTS, DESCRIBED, LISTED, SHARED, BLOCK = 1024, 16, 12, 3, 256
-#: Vectors drawn for each pivot that is sought, and the cosine that two pivots must stay below.
-SAMPLE, APART = 4, 0.8
+#: Vectors drawn for each pivot that is sought, the cosine that two pivots must stay below, by how much it is raised
+#: while too few are found, and how many times as far apart as linked vectors pivots must be all the same.
+SAMPLE, APART, STEP, CROWD = 4, 0.8, 0.02, 4
 
 
 def usable(label: Column, vector: Column) -> Column:
@@ -28,10 +29,12 @@ def usable(label: Column, vector: Column) -> Column:
     return F.coalesce(label.isNotNull() & ~odd & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def choose_pivots(nodes: DataFrame, count: int) -> np.ndarray:
+def choose_pivots(nodes: DataFrame, count: int, least: float) -> np.ndarray:
     """Unit rows from a bounded sample, the SAMPLE * count vectors of lowest hash, none close to another.
 
-    Were a dense family to give many pivots, its members would be described by small differences among these.
+    Were a dense family to give many pivots, its members would be described by small differences among these. So the
+    bound is raised in steps while pivots are too few, but not up to `least`, from which on vectors link. Vectors that
+    stay too close for that have few pivots, up to a single one, and are then all compared.
     """
     rows = lowest_hash(nodes.select("vec"), ["vec"], SAMPLE * count).collect()
     width = max((len(r["vec"]) for r in rows), default=0)
@@ -40,12 +43,17 @@ def choose_pivots(nodes: DataFrame, count: int) -> np.ndarray:
         found[i, : len(r["vec"])] = r["vec"]
     found /= np.maximum(np.linalg.norm(found, axis=1, keepdims=True), np.finfo(float).tiny)
     kept = np.zeros((min(count, len(rows)), width))
-    n = 0
-    for v in found:
-        if n < len(kept) and (n == 0 or (kept[:n] @ v).max() < APART):
-            kept[n] = v
-            n += 1
-    return kept[:n]
+    n, apart = 0, APART
+    closest = np.full(len(rows), -np.inf)  # cosine to the nearest pivot so far
+    while True:
+        for i, v in enumerate(found):
+            if n < len(kept) and closest[i] < apart:
+                kept[n] = v
+                n += 1
+                closest = np.maximum(closest, found @ v)
+        apart += STEP
+        if n == len(kept) or apart > 1 - CROWD * (1 - least):
+            return kept[:n]
 
 
 def _vectors(column: pa.Array) -> list[np.ndarray]:
@@ -166,7 +174,8 @@ def near_duplicates(
         source, kind = source.withColumn("vec", F.col("vec").cast("array<double>")), "double"
     groups = source.filter("ok").groupBy("lab", "vec").agg(F.min("key").alias("low"), F.count("*").alias("mult"))
     nodes = stored(groups.withColumn("node", F.monotonically_increasing_id()), "vectors")
-    points = choose_pivots(nodes, pivots)
+    points = choose_pivots(nodes, pivots, least)
+    shared = min(shared, max(1, len(points)))
     rows = nodes.select("node", "lab", "vec", "mult").mapInArrow(
         _describe(points, described, listed),
         "lab string, size int, pivot int, node long, mult long, near binary, data binary")

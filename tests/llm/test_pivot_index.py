@@ -73,3 +73,18 @@ def test_pairs_meet_in_their_first_shared_list_only():
     assert [tuple(map(list, pivot_index.candidates(near, near, p, 128, 3, 2))) for p in (5, 9)][1] == ([], [])
     i, j = pivot_index.candidates(near, near, 5, 128, 3, 2)
     assert {(a, b) for a, b in zip(i, j) if a < b} == {(0, 1), (0, 2), (1, 2)}
+
+
+def test_few_pivots_lose_no_link(spark):
+    rng = np.random.default_rng(7)
+    close = [(1, [1.0, 0.0], 1), (2, [0.99, 0.141], 1)]
+    middle = rng.normal(size=32)
+    cones = {}
+    for noise in (0.1, 0.2, 0.35):  # mutual cosines of about 0.99, 0.96 and 0.89
+        alone = [middle + noise * rng.normal(size=32) for _ in range(300)]
+        copies = [v + 0.03 * rng.normal(size=32) for v in alone[:60] for _ in range(2)]
+        cones[noise] = [(i, v.astype(np.float32).tolist(), 1) for i, v in enumerate(alone + copies)]
+    for rows in (close, *cones.values()):
+        got = sorted((r.vec_id, r.n_links, r.component_id) for r in pivot_index.near_duplicates(vectors(spark, rows), 0.98).collect())
+        want = brute(rows, 0.98)
+        assert sum(n for _, n, _ in want) > 0 and got == sorted(want)
