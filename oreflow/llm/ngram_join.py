@@ -4,7 +4,8 @@ Sets are banded by size so that sets that can link stand in the same or neighbou
 n-grams two linked sets may differ in; the hash space is cut into two more parts than that, so linked sets agree in at
 least two whole parts, and in one that isn't empty. A tile is all sets of a band and its lower neighbour that have
 the same n-grams in one part. Within tiles, parity bitmaps bound the overlap from above; what passes is intersected
-exactly. Only links that can join two groups are sought: a pair whose members are already connected needs no test.
+exactly. To find the groups, only links that can join two are sought: a pair whose members are already connected needs
+no test. Every link lies within a group, so all links are then found by comparing all sets of each group exactly.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from oreflow.llm.common import as_bytes, components, keyed, mix, signed, stored,
 
 #: Set numbers that a task remembers before it starts anew; bytes of texts hashed at once; sets of a block of a tile.
 MEMORY, TOGETHER, BLOCK = 400_000, 1 << 20, 2048
+#: N-grams of a block of a group, and different n-grams that are compared at once.
+GRAMS, COLUMNS = 1 << 20, 1 << 15
 #: Bits of a bitmap: the next power of two above twice the set's size, within these. With fewer, differing n-grams
 #: often fall on one bit and cancel out, and sets just below the threshold pass; with more, rows grow.
 LEAST_BITS, MOST_BITS = 64, 16384
@@ -290,11 +293,63 @@ def _verify(n: int, percent: int):
     return run
 
 
+def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many n-grams each set of `left` has in common with each of `right`."""
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    shared = times > 1  # what one set alone has is common to none
+    some = shared[column]
+    owner, column = owner[some], (np.cumsum(shared) - 1)[column[some]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    found, width = np.zeros((len(left), len(right)), np.int32), int(shared.sum())
+    for begin in range(0, width, COLUMNS):
+        lo, hi = np.searchsorted(column, [begin, begin + COLUMNS])
+        place, words = column[lo:hi] - begin, -(-min(COLUMNS, width - begin) // 64)
+        bits = np.zeros((len(sets), words), np.uint64)
+        np.bitwise_or.at(bits, (owner[lo:hi], place >> 6), np.uint64(1) << (place & 63).astype(np.uint64))
+        step = max(1, (1 << 21) // max(1, len(right) * words))
+        for at in range(0, len(left), step):
+            both = bits[left[at : at + step]][:, None, :] & bits[right][None, :, :]
+            found[at : at + step] += np.bitwise_count(both).sum(axis=2, dtype=np.int32)
+    return found
+
+
+def _all_links(n: int, percent: int, pairs: bool):
+    """Of each pair of blocks of a group all linked pairs (a, b), or how many rows each set links with (a, b)."""
+    def group(rows: pa.RecordBatch):
+        node, mult, block = (rows.column(c).to_numpy() for c in ("node", "mult", "block"))
+        one, two = rows.column("b1")[0].as_py(), rows.column("b2")[0].as_py()
+        left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
+        if not len(left) or not len(right):
+            return None
+        sets = list(ngram_sets(list(as_bytes(rows.column("text"))), n))
+        size = np.array([len(x) for x in sets], np.int64)
+        common = _common(sets, left, right)
+        fits = 100 * common.astype(np.int64) >= percent * (size[left][:, None] + size[right][None, :] - common)
+        i, j = np.nonzero(fits)
+        i, j = left[i], right[j]
+        if one == two:
+            i, j = i[i < j], j[i < j]
+        if pairs:
+            return np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
+        links = (np.bincount(i, mult[j], rows.num_rows) + np.bincount(j, mult[i], rows.num_rows)).astype(np.int64)
+        some = np.flatnonzero(links)
+        return node[some], links[some]
+
+    def run(batches):
+        for rows, bounds in whole_groups(batches, ["root", "b1", "b2"], 256):
+            found = [x for lo, hi in bounds if hi - lo > 1 and (x := group(rows.slice(lo, hi - lo)))]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], ["a", "b"])
+    return run
+
+
 class _Join:
     """One run of the join over `source`: (d, t) tells rows apart, then text."""
 
     def __init__(self, source: DataFrame, n: int, percent: int):
-        self.source, self.n, self.percent = source, n, percent
+        self.source, self.n, self.percent, self.read = source, n, percent, []
         columns = "d long, t long, n long, node long, other long, bits binary"
         profiles = stored(source.mapInArrow(_profiles(n), columns), "sets")
         clash = profiles.groupBy("node").agg(F.min("other").alias("low"), F.max("other").alias("high")).filter("low <> high")
@@ -344,7 +399,8 @@ class _Join:
         """(node, text), one text for each set that stands in a pair."""
         nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         wanted = self.sets.join(nodes, "node", "left_semi").select("node", "d", "t")
-        return stored(self.source.join(wanted, ["d", "t"]).select("node", "text").dropDuplicates(["node"]), "texts")
+        self.read.append(stored(self.source.join(wanted, ["d", "t"]).select("node", "text").dropDuplicates(["node"]), "texts"))
+        return self.read[-1]
 
     def verified(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
         a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
@@ -354,8 +410,8 @@ class _Join:
 
     def roots(self) -> DataFrame:
         """(node, root) of all connected sets."""
-        one = self.profiles.filter("n > 0").groupBy("node").agg(F.min(F.struct("d", "t", "n", "bits")).alias("one"))
-        self.sets = stored(one.select("node", "one.*"), "one_per_set")
+        one = self.profiles.filter("n > 0").groupBy("node").agg(F.min(F.struct("d", "t", "n", "bits")).alias("one"), F.count("*").alias("mult"))
+        self.sets = stored(one.select("node", "one.*", "mult"), "one_per_set")
         tiled = self.survivors()
         # First each set against the lowest of each of its tiles.
         stars = tiled.filter("node <> lo").select(F.col("node").alias("a"), F.col("lo").alias("b")).distinct()
@@ -377,6 +433,27 @@ class _Join:
                     roots = components(links, "a", "b")
         return roots
 
+    def links(self, roots: DataFrame, pairs: bool) -> DataFrame:
+        """All links of different sets, as pairs (a, b), or for each pair of blocks (set a, rows it links with b).
+
+        Each set with a link is in a group and its text was read to verify one. Groups are cut into blocks, and every
+        pair of blocks of a group is compared in one go.
+        """
+        groups = roots.join(self.sets.select("node", "n", "mult"), "node")
+        sizes = groups.groupBy("root").agg(F.count("*").alias("size"), F.sum("n").alias("grams"))
+        blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("grams") / GRAMS)).cast("int")
+        groups = groups.join(stored(sizes.select("root", blocks.alias("blocks")), "groups"), "root")
+        texts = self.read[0]
+        for more in self.read[1:]:
+            texts = texts.unionByName(more)
+        placed = texts.dropDuplicates(["node"]).join(groups, "node").withColumn("block", F.pmod(F.hash("node"), "blocks"))
+        placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        unit = ["root", "b1", "b2"]
+        placed = placed.select("root", F.least("block", "with").alias("b1"), F.greatest("block", "with").alias("b2"), "block", "node", "mult", "text")
+        parts = int(roots.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        found = placed.repartition(parts, *unit).sortWithinPartitions(*unit).mapInArrow(_all_links(self.n, self.percent, pairs), "a long, b long")
+        return stored(found, "links")
+
 
 def ngram_components(
     documents: DataFrame, n: int = 3, percent: int = 90, key: str = "doc_id", text: str = "text",
@@ -387,14 +464,46 @@ def ngram_components(
     text have no n-grams and link with nothing. A null key counts as larger than any; a component of such rows only
     has a null component_id. Rows that repeat a key are documents of their own. Other columns are not read. Links are exact up to collisions of 64-bit n-gram hashes.
     """
+    return _placed(documents, n, percent, key, text, False).select(
+        F.col("key").alias(key), F.col("n").alias("n_shingles"), F.col("low").alias("component_id"))
+
+
+def ngram_links(
+    documents: DataFrame, n: int = 3, percent: int = 90, key: str = "doc_id", text: str = "text",
+) -> DataFrame:
+    """`ngram_components` with n_links after n_shingles: with how many other rows the row links, equal sets included."""
+    return _placed(documents, n, percent, key, text, True).select(
+        F.col("key").alias(key), F.col("n").alias("n_shingles"), "n_links", F.col("low").alias("component_id"))
+
+
+def ngram_pairs(
+    documents: DataFrame, n: int = 3, percent: int = 90, key: str = "doc_id", text: str = "text",
+) -> tuple[DataFrame, DataFrame]:
+    """All linked pairs (a, b), a < b, of different sets, and which rows have a set: (key, node). Rows without n-grams have none."""
+    rows, join = _join(documents, n, percent, key, text)
+    pairs = join.links(join.roots(), True)
+    members = rows.select("key", "d", "t").join(join.profiles.filter("n > 0").select("d", "t", "node").distinct(), ["d", "t"])
+    return pairs, members.select(F.col("key").alias(key), "node")
+
+
+def _join(documents: DataFrame, n: int, percent: int, key: str, text: str) -> tuple[DataFrame, _Join]:
     if not 1 <= percent <= 100:
         raise ValueError("percent must be within 1 and 100")
     rows = keyed(documents, key, text)
-    join = _Join(rows.select("d", "t", "text"), n, percent)
+    return rows, _Join(rows.select("d", "t", "text"), n, percent)
+
+
+def _placed(documents: DataFrame, n: int, percent: int, key: str, text: str, count: bool) -> DataFrame:
+    rows, join = _join(documents, n, percent, key, text)
     roots = join.roots()
-    placed = join.profiles.distinct().join(roots, "node", "left")
-    placed = rows.select("key", "d", "t").join(placed, ["d", "t"]).select("key", "n", F.coalesce("root", "node").alias("root"))
+    if count:
+        links = join.links(roots, False).groupBy("a").agg(F.sum("b").alias("links")).withColumnRenamed("a", "node")
+        number = F.col("mult") - 1 + F.coalesce("links", F.lit(0))
+        roots = join.sets.select("node", "mult").join(roots, "node", "left").join(links, "node", "left").select("node", "root", number.alias("n_links"))
+        roots = stored(roots, "numbers")
+    placed = join.profiles.select("d", "t", "n", "node").distinct().join(roots, "node", "left")
+    number = [F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")] if count else []
+    placed = rows.select("key", "d", "t").join(placed, ["d", "t"]).select("key", "n", *number, F.coalesce("root", "node").alias("root"))
     lowest = stored(placed.filter("n > 0").groupBy("root").agg(F.min("key").alias("low")), "lowest")
     low = F.when(F.col("n") > 0, F.col("low")).otherwise(F.col("key"))
-    return placed.join(lowest, "root", "left").select(
-        F.col("key").alias(key), F.col("n").alias("n_shingles"), low.alias("component_id"))
+    return placed.join(lowest, "root", "left").withColumn("low", low)

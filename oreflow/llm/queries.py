@@ -29,8 +29,8 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Size of each document's set of 3-word shingles, and its component by links of Jaccard 0.9 or more."""
-    return ngram_join.ngram_components(table(spark, sf_dir, "documents"), 3, 90)
+    """Size of each document's set of 3-word shingles, its links of Jaccard 0.9 or more, and its component by them."""
+    return ngram_join.ngram_links(table(spark, sf_dir, "documents"), 3, 90)
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -78,3 +78,28 @@ def test_bitmaps_never_reject_a_link():
 
 def test_an_empty_table(spark):
     assert ngram_join.ngram_components(documents(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("n,percent,block", [(3, 90, 2048), (5, 80, 4)])
+def test_all_links_are_found_and_counted(spark, monkeypatch, n, percent, block):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "COLUMNS", 64 * block)
+    rows = families(4, 15, 150, 2)
+    sets = [set(map(int, ngram_join.ngram_set((text or "").encode(), n))) for _, text in rows]
+    close = [[i != j and bool(a) and bool(b) and 100 * len(a & b) >= percent * len(a | b) for j, b in enumerate(sets)] for i, a in enumerate(sets)]
+    found = ngram_join.ngram_links(documents(spark, rows), n, percent).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found), key=repr) == brute(rows, n, percent)
+    assert sorted(((r.doc_id, r.n_links) for r in found), key=repr) == sorted(((key, sum(x)) for (key, _), x in zip(rows, close)), key=repr)
+    pairs, members = ngram_join.ngram_pairs(documents(spark, rows), n, percent)
+    keys = {}
+    for r in members.collect():
+        keys.setdefault(r.node, []).append(r.doc_id)
+    got = sorted(tuple(sorted((min(keys[r.a], key=str), min(keys[r.b], key=str)), key=str)) for r in pairs.collect())
+    first = {}
+    for (key, _), x in zip(rows, sets):
+        if x and str(key) < str(first.get(frozenset(x), "~")):
+            first[frozenset(x)] = key
+    names = list(first.items())
+    want = [tuple(sorted((names[i][1], names[j][1]), key=str)) for i in range(len(names)) for j in range(i)
+            if 100 * len(names[i][0] & names[j][0]) >= percent * len(names[i][0] | names[j][0])]
+    assert got == sorted(want) and len(want) > len(rows)
