@@ -163,8 +163,11 @@ def _posterior_matrix(column: pa.Array) -> np.ndarray:
 
 
 def fit_rates(judged: DataFrame, targets: np.ndarray, most: float) -> list[np.ndarray]:
-    """Misses of all steps; `judged` has tokens and posterior. Targets are token totals by domain."""
-    domains, errors, whole = len(targets), [], max(1.0, float(targets.sum()))
+    """Misses of all steps; `judged` has tokens and posterior. Targets are token totals by domain.
+
+    A miss is relative to the domain's own present or wanted total, the larger one, so rare domains weigh no less.
+    """
+    domains, errors, scale = len(targets), [], np.ones(len(targets))
 
     def totals(batches):
         sums = np.zeros(domains)
@@ -179,7 +182,9 @@ def fit_rates(judged: DataFrame, targets: np.ndarray, most: float) -> list[np.nd
         now = np.zeros(domains)
         for r in sums.collect():
             now[r["domain"]] = r["total"]
-        error = (now - targets) / whole
+        if not errors:  # all rates are 1
+            scale = np.maximum(np.maximum(now, targets), 1.0)
+        error = (now - targets) / scale
         if errors and np.abs(error - errors[-1]).max() < NEAR:
             break
         errors.append(error)

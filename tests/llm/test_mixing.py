@@ -63,3 +63,13 @@ def test_drawing_follows_the_rate(spark):
     frame = spark.range(4000).select(F.col("id").alias("doc_id"))
     assert frame.filter(mixing.drawn(F.col("doc_id"), F.lit(1.0))).count() == 4000
     assert abs(frame.filter(mixing.drawn(F.col("doc_id"), F.lit(0.3))).count() - 1200) < 150
+
+
+def test_rare_domains_reach_their_targets(spark):
+    rare = [(50, [0.01, 0.99]) if i % 500 == 0 else (50, [0.9999, 0.0001]) for i in range(4000)]
+    judged = spark.createDataFrame(rare, "tokens long, posterior array<double>")
+    tokens, posterior = np.array([t for t, _ in rare]), np.array([p for _, p in rare])
+    present = tokens @ posterior
+    targets = present * [1.0, 0.1]
+    found, _ = mixing.rates(posterior, mixing.fit_rates(judged, targets, 1.0), 1.0)
+    assert np.abs((found * tokens) @ posterior / present - [1.0, 0.1]).max() < 0.02
