@@ -6,10 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import bpe, exact_dedup, fixity, hmm_lm, mixing, ngram_join, pivot_index, quality_lm, suffix_dedup, url_rules
+from oreflow.llm import (
+    boundary_bpe, bpe, exact_dedup, fixity, hmm_lm, mixing, ngram_join, pivot_index, quality_lm, suffix_dedup, url_rules,
+)
 from oreflow.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+WORD_BPE = "word_bpe_49k.json"
 
 #: Rules of the URL query, fixed by its contract.
 HOST_RULES = [
@@ -133,6 +136,11 @@ def op10_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm_lm.hmm_scores(table(spark, sf_dir, "documents"))
 
 
+def op12_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts and digests of all documents under a vocabulary of lower-cased words, encoded and decoded again."""
+    return boundary_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+
+
 def _url_sql() -> str:
     rules = " UNION ALL ".join(f"SELECT '{r}' AS r, '{v}' AS v" for r, v in HOST_RULES)
     words = " UNION ALL ".join(f"SELECT '{w}' AS w" for w in HOST_WORDS)
@@ -169,5 +177,6 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_mixing": op9_mixing,
     "op10_hmm": op10_hmm,
+    "op12_boundary_bpe": op12_boundary_bpe,
 }
 ORACLE = {"op3_exact_dedup": EXACT_SQL, "op6_fixity": FIXITY_SQL, "op8_url_filters": _url_sql()}
