@@ -7,12 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.llm import (
-    boundary_bpe, bpe, exact_dedup, fixity, hmm_lm, mixing, ngram_join, pivot_index, quality_lm, suffix_dedup, url_rules,
+    boundary_bpe, bpe, exact_dedup, fixity, hmm_lm, mixing, ngram_join, pivot_index, quality_lm, suffix_dedup, token_alignment,
+    url_rules,
 )
 from oreflow.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-WORD_BPE = "word_bpe_49k.json"
+WORD_BPE, BYTE_BPE, PIECE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 #: Rules of the URL query, fixed by its contract.
 HOST_RULES = [
@@ -141,6 +142,12 @@ def op12_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boundary_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two vocabularies overlap in every document, and how often their pairs are linked in all."""
+    return token_alignment.alignment(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))
+
+
 def _url_sql() -> str:
     rules = " UNION ALL ".join(f"SELECT '{r}' AS r, '{v}' AS v" for r, v in HOST_RULES)
     words = " UNION ALL ".join(f"SELECT '{w}' AS w" for w in HOST_WORDS)
@@ -178,5 +185,6 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_hmm": op10_hmm,
     "op12_boundary_bpe": op12_boundary_bpe,
+    "op13_token_alignment": op13_token_alignment,
 }
 ORACLE = {"op3_exact_dedup": EXACT_SQL, "op6_fixity": FIXITY_SQL, "op8_url_filters": _url_sql()}
