@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.llm import (
-    boundary_bpe, bpe, exact_dedup, fixity, hmm_lm, mixing, ngram_join, pivot_index, quality_lm, suffix_dedup, token_alignment,
-    url_rules,
+    boundary_bpe, bpe, exact_dedup, fixity, hmm_lm, mixing, ngram_join, phrases, pivot_index, quality_lm, suffix_dedup,
+    token_alignment, url_rules,
 )
 from oreflow.llm.common import table
 
@@ -137,6 +137,46 @@ def op10_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm_lm.hmm_scores(table(spark, sf_dir, "documents"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of two to four words of each language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+PHRASES_SQL = f"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{url_rules.UPPER}', '{url_rules.LOWER}') AS t FROM documents
+), p AS (
+  SELECT lang, unnest(string_split_regex(t, '[.,;:!?
+-]')) AS piece FROM d
+), w AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[ 	]+'), lambda x: x <> '') AS w FROM p
+), g AS (
+  SELECT lang, w[s : s + k - 1] AS g, k, count(*) AS f
+  FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS s FROM w), (SELECT unnest([1, 2, 3, 4]) AS k)
+  WHERE s + k - 1 <= len(w) GROUP BY ALL
+), total AS (
+  SELECT lang, sum(f) AS n FROM g WHERE k = 1 GROUP BY lang
+), c AS (
+  SELECT * FROM g WHERE k > 1 AND f >= 30
+), held AS (
+  SELECT lang, q[s : s + m - 1] AS g, max(f) AS f
+  FROM (SELECT lang, g AS q, k, f, unnest(range(1, k + 1)) AS s FROM c), (SELECT unnest([2, 3]) AS m)
+  WHERE m < k AND s + m - 1 <= k GROUP BY ALL
+), kept AS (
+  SELECT c.* FROM c LEFT JOIN held USING (lang, g) WHERE held.f IS NULL OR 100 * held.f::hugeint < 80 * c.f::hugeint
+), cuts AS (
+  SELECT x.lang, x.g, x.f AS a, m, a.f AS l, b.f AS r, (2000000 * x.f::hugeint) // (a.f + b.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS m FROM kept) AS x
+  JOIN g AS a ON a.lang = x.lang AND a.g = x.g[1 : m] JOIN g AS b ON b.lang = x.lang AND b.g = x.g[m + 1 : x.k]
+), scored AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, m) = 1
+)
+SELECT lang, row_number() OVER w AS rank, array_to_string(g, ' ') AS phrase, a, l, r, n::bigint AS n, score::bigint AS score
+FROM scored JOIN total USING (lang)
+WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) QUALIFY rank <= 2000
+"""
+
+
 def op12_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of all documents under a vocabulary of lower-cased words, encoded and decoded again."""
     return boundary_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
@@ -184,7 +224,8 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_mixing": op9_mixing,
     "op10_hmm": op10_hmm,
+    "op11_phrases": op11_phrases,
     "op12_boundary_bpe": op12_boundary_bpe,
     "op13_token_alignment": op13_token_alignment,
 }
-ORACLE = {"op3_exact_dedup": EXACT_SQL, "op6_fixity": FIXITY_SQL, "op8_url_filters": _url_sql()}
+ORACLE = {"op3_exact_dedup": EXACT_SQL, "op6_fixity": FIXITY_SQL, "op8_url_filters": _url_sql(), "op11_phrases": PHRASES_SQL}
