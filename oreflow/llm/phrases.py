@@ -123,7 +123,7 @@ def transforms(ids: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         rank, known = words.astype(np.int64), 1
         order = np.argsort(rank, kind="stable")
         while known < depth:
-            keys = rank * len(words) + np.roll(rank, -known)
+            keys = rank * (int(rank.max()) + 1) + np.roll(rank, -known)
             order = np.argsort(keys, kind="stable")
             new = np.r_[0, np.cumsum(np.diff(keys[order]) != 0)]
             rank = np.empty(len(words), np.int64)
