@@ -3,11 +3,13 @@ from oreflow.operators.cdc import (
     apply_changes,
     apply_changes_from_snapshot,
     apply_changes_incremental,
+    change_entries,
     change_feed,
     change_rows,
     latest_changes,
     live_rows,
     merge_changes,
+    merge_with_changes,
     overlay_changes,
     snapshot_changes,
     split_changes,
@@ -21,9 +23,9 @@ from oreflow.operators.validation import TableChecks, validate, validation_repor
 
 __all__ = [
     "ChangeRules", "QualityError", "QualityResult", "Rule", "TableChecks", "add_metadata_columns",
-    "append_flows", "apply_changes", "apply_changes_from_snapshot", "apply_changes_incremental", "change_feed",
-    "change_rows", "check", "classify", "ingested_on", "join_master", "latest_by", "latest_changes",
-    "live_rows", "merge_changes", "order_columns", "overlay_changes", "reprocess", "rtrim_strings", "rules_from",
+    "append_flows", "apply_changes", "apply_changes_from_snapshot", "apply_changes_incremental", "change_entries",
+    "change_feed",     "change_rows", "check", "classify", "ingested_on", "join_master", "latest_by", "latest_changes",
+    "live_rows", "merge_changes", "merge_with_changes", "order_columns", "overlay_changes", "reprocess", "rtrim_strings", "rules_from",
     "select_where", "semi_join_allowlist", "since", "snapshot_changes", "split_changes", "valid_change",
     "validate", "validation_report",
 ]

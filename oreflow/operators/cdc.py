@@ -20,6 +20,7 @@ from oreflow.operators.dedup import latest_by
 SEQUENCE = "_sequence"
 DELETED = "_deleted"
 CHANGE_TYPE = "_change_type"
+CHANGES = "_changes"
 LAST = "_last"
 
 
@@ -112,44 +113,57 @@ def latest_changes(changes: DataFrame, rules: ChangeRules) -> DataFrame:
     """
     changes = stored_columns(changes, rules)
     if rules.soft_delete:
-        changes = with_last_values(changes, rules)
-    order = [F.col(SEQUENCE).desc(), F.col(DELETED).desc(), row_hash(changes, (SEQUENCE, DELETED, LAST)).desc()]
-    return latest_by(changes, list(rules.keys), order)
+        return latest_two(changes, rules)
+    return latest_by(changes, list(rules.keys), [F.col(SEQUENCE).desc(), F.col(DELETED).desc(), _hash(changes).desc()])
 
 
-def with_last_values(changes: DataFrame, rules: ChangeRules) -> DataFrame:
-    """Change rows with ``_last``: sequence and values of the last insert or update of their key, as far as known.
+def _hash(changes: DataFrame) -> Column:
+    return row_hash(changes, (SEQUENCE, DELETED, LAST))
 
-    They ride along with the state, because the delete itself may carry nothing but its key. The greatest of a key is
-    an aggregation that is partial before its shuffle, so a busy key costs one row per task.
+
+def latest_two(changes: DataFrame, rules: ChangeRules) -> DataFrame:
+    """One change row per key and, beside it in ``_last``, sequence and values of the key's last insert or update.
+
+    They ride along with the state, because the delete itself may carry nothing but its key. Both are maxima of one
+    aggregation that is partial before the only shuffle, so a busy key costs one row per task, and both merge like any
+    maximum: what a stored delete was given when it was merged is one more candidate.
     """
-    keys = list(rules.keys)
-    values = [c for c in changes.columns if c not in (*keys, SEQUENCE, DELETED, LAST)]
-    own = F.struct(F.col(SEQUENCE).alias("at"), row_hash(changes, (SEQUENCE, DELETED, LAST)).alias("hash"), F.struct(*values).alias("row"))
+    keys, columns = list(rules.keys), [c for c in changes.columns if c != LAST]
+    values = [c for c in columns if c not in (*keys, SEQUENCE, DELETED)]
+    own = F.struct(F.col(SEQUENCE).alias("at"), _hash(changes).alias("hash"), F.struct(*values).alias("row"))
     own = F.when(~F.col(DELETED), own)
     if LAST in changes.columns:
-        own = F.coalesce(own, F.col(LAST))  # of a stored delete, what it was given when it was merged
-    last = changes.select(*keys, own.alias(LAST)).where(F.col(LAST).isNotNull())
-    ranked = latest_by(last, keys, [F.col(f"{LAST}.at").desc(), F.col(f"{LAST}.hash").desc()])
-    return changes.drop(LAST).join(ranked, keys, "left")
+        own = F.coalesce(own, F.col(LAST))
+    rows = changes.select(
+        *keys, F.struct(*[c for c in columns if c not in keys]).alias("_row"),
+        F.struct(SEQUENCE, DELETED, _hash(changes).alias("_hash")).alias("_order"), own.alias(LAST))
+    # Without an insert or update there is no order either, and max_by passes over rows whose order is null.
+    last = F.when(F.col(LAST).isNotNull(), F.struct(F.col(f"{LAST}.at"), F.col(f"{LAST}.hash")))
+    newest = rows.groupBy(*keys).agg(F.max_by("_row", "_order").alias("_row"), F.max_by(LAST, last).alias(LAST))
+    return newest.select(*keys, "_row.*", LAST).select(*columns, LAST)
+
+
+def live_columns(state: DataFrame, rules: ChangeRules, prefix: str = "") -> dict[str, Column]:
+    """Columns of the target as readers see them, by name; ``prefix`` leads to the state's columns."""
+    dropped = {c.lower() for c in (SEQUENCE, DELETED, LAST, CHANGES, *rules.except_columns)}
+    deleted, flag, last = F.col(f"{prefix}{DELETED}"), rules.soft_delete_column.lower(), set()
+    if rules.soft_delete:
+        dropped.add(flag)
+        if LAST in state.columns:
+            last = {f.name for f in state.schema[LAST].dataType["row"].dataType.fields}
+    own = {c.lower() for c in (*rules.keys, *rules.delete_columns)}
+    columns = {
+        c: F.when(deleted, F.col(f"{prefix}{LAST}.row.{c}")).otherwise(F.col(f"{prefix}{c}"))
+        if c in last and c.lower() not in own else F.col(f"{prefix}{c}")
+        for c in state.columns if c.lower() not in dropped
+    }
+    return columns | ({rules.soft_delete_column: F.when(deleted, "Y").otherwise("N")} if rules.soft_delete else {})
 
 
 def live_rows(state: DataFrame, rules: ChangeRules) -> DataFrame:
     """The target table seen by readers: no tombstones, no bookkeeping, no excepted columns."""
-    dropped = [SEQUENCE, DELETED, *rules.except_columns]
-    if rules.soft_delete:
-        flag = rules.soft_delete_column
-        own = {c.lower() for c in (*rules.keys, *rules.delete_columns, SEQUENCE, DELETED, LAST)}
-        last = {f.name for f in state.schema[LAST].dataType["row"].dataType.fields} if LAST in state.columns else set()
-        state = state.withColumns({
-            c: F.when(F.col(DELETED), F.col(f"{LAST}.row.{c}")).otherwise(F.col(c))
-            for c in state.columns if c.lower() not in own and c in last
-        }).drop(LAST)
-        state = state.withColumn(flag, F.when(F.col(DELETED), "Y").otherwise("N"))
-        dropped = [c for c in dropped if c.lower() != flag.lower()]
-    else:
-        state = state.where(~F.col(DELETED))
-    return state.drop(*dropped)
+    rows = state if rules.soft_delete else state.where(~F.col(DELETED))
+    return rows.select(*[c.alias(name) for name, c in live_columns(state, rules).items()])
 
 
 def apply_changes(df: DataFrame, rules: ChangeRules) -> DataFrame:
@@ -164,16 +178,59 @@ def merge_changes(state: DataFrame, changes: DataFrame, rules: ChangeRules) -> D
     return latest_changes(stored_columns(state, rules).unionByName(changes, allowMissingColumns=True), rules)
 
 
-def overlay_changes(
-    state: DataFrame, changes: DataFrame, rules: ChangeRules, reduced: bool = False, colocated: bool = False
-) -> DataFrame:
-    """Same result as ``merge_changes`` for a batch that is small against the state.
+def merge_with_changes(state: DataFrame, changes: DataFrame, rules: ChangeRules, reduced: bool = False) -> DataFrame:
+    """State after ``changes`` (as ``merge_changes``), each row with what the merge changed of it for readers.
+
+    One outer join of the state and the reduced batch: each is read once, and a state that is bucketed by its keys stays
+    where it is for a batch of any size. ``_changes`` holds the entries of ``change_feed`` for the key, before and after
+    being the readers' views; it is null for keys that the batch does not touch, or touches without effect. Stored with
+    the state it is the feed of this merge (``change_entries``) and costs other readers nothing.
+    """
+    keys = list(rules.keys)
+    state, changes = stored_columns(state, rules).drop(CHANGES), stored_columns(changes, rules)
+    latest = changes if reduced else latest_changes(changes, rules)
+    columns = [*state.columns, *[c for c in latest.columns if c not in state.columns]]
+    state = state.unionByName(latest.limit(0), allowMissingColumns=True).select(*columns)
+    latest = latest.unionByName(state.limit(0), allowMissingColumns=True).select(*columns)
+
+    def side(frame: DataFrame, name: str) -> DataFrame:
+        order = F.struct(F.col(SEQUENCE), F.col(DELETED), _hash(frame).alias("_hash"))
+        return frame.select(*keys, F.struct(*columns).alias(f"_{name}"), order.alias(f"_{name}_order"))
+
+    pairs = side(state, "held").join(side(latest, "given"), keys, "full_outer")
+    newer = F.col("_held").isNull() | F.coalesce(F.col("_given_order") > F.col("_held_order"), F.lit(False))
+    kept = F.when(newer, F.col("_given")).otherwise(F.col("_held"))
+    if rules.soft_delete:
+        held, given = F.col(f"_held.{LAST}"), F.col(f"_given.{LAST}")
+        later = held.isNull() | (F.struct(given["at"], given["hash"]) > F.struct(held["at"], held["hash"]))
+        kept = kept.withField(LAST, F.when(given.isNotNull() & later, given).otherwise(held))
+    pairs = pairs.select("_held", kept.alias("_kept"), F.col("_given").isNotNull().alias("_touched"))
+    seen = pairs.select("_kept", "_touched", _seen(pairs, "_held", rules).alias("_old"), _seen(pairs, "_kept", rules).alias("_new"))
+    changed = F.col("_touched") & ~_compared(seen, "_old").eqNullSafe(_compared(seen, "_new"))
+    return seen.select("_kept.*", F.when(changed, _entries("_old", "_new")).alias(CHANGES))
+
+
+def _seen(pairs: DataFrame, name: str, rules: ChangeRules) -> Column:
+    """Readers' view of the state row in column ``name``; null where they see none."""
+    row = pairs.select(f"{name}.*")
+    shown, deleted = live_columns(row, rules, f"{name}."), F.col(f"{name}.{DELETED}")
+    visible = F.col(name).isNotNull() if rules.soft_delete else F.col(name).isNotNull() & ~deleted
+    return F.when(visible, F.struct(*[c.alias(n) for n, c in shown.items()]))
+
+
+def change_entries(merged: DataFrame) -> DataFrame:
+    """The change feed that ``merge_with_changes`` left in a state."""
+    entries = merged.where(F.col(CHANGES).isNotNull()).select(F.explode(CHANGES).alias("_entry"))
+    return entries.select("_entry.row.*", F.col("_entry.kind").alias(CHANGE_TYPE))
+
+
+def overlay_changes(state: DataFrame, changes: DataFrame, rules: ChangeRules, reduced: bool = False) -> DataFrame:
+    """Same result as ``merge_changes`` for a batch that is small against a state that is not bucketed.
 
     The batch is reduced first, unless it is known to be, and joined to the state twice. Adaptive execution
     broadcasts it when its measured size allows, and then the state is scanned without being shuffled; the second
-    scan reads the key columns only. A batch too large for that falls back to shuffled joins, where
-    ``merge_changes`` is cheaper. A state that is ``colocated``, bucketed by its keys, needs no shuffle for a batch
-    of any size.
+    scan reads the key columns only, which costs less than to shuffle all rows for the one outer join of
+    ``merge_with_changes``. A batch too large for that falls back to shuffled joins, where ``merge_changes`` is cheaper.
     """
     if rules.soft_delete:  # a kept row is made of two, which only the merge of both sides sees
         return merge_changes(state, changes, rules)
@@ -185,7 +242,7 @@ def overlay_changes(
     latest = latest.unionByName(state.limit(0), allowMissingColumns=True).select(*columns)
 
     def order(frame: DataFrame) -> Column:
-        return F.struct(F.col(SEQUENCE), F.col(DELETED), row_hash(frame, (SEQUENCE, DELETED)).alias("_hash"))
+        return F.struct(F.col(SEQUENCE), F.col(DELETED), _hash(frame).alias("_hash"))
 
     held = state.select(*keys, F.struct(*columns).alias("_held"), order(state).alias("_held_order"))
     given = latest.select(*keys, F.struct(*columns).alias("_given"), order(latest).alias("_given_order"))
@@ -193,10 +250,8 @@ def overlay_changes(
     kept = held.join(given, keys, "left").select(
         F.when(F.coalesce(newer, F.lit(False)), F.col("_given")).otherwise(F.col("_held")).alias("_row")
     )
-    known = state.select(*keys)
-    if not colocated:
-        # Only the right side of an anti join can be broadcast, so the state's keys are cut to those of the batch.
-        known = known.join(latest.select(*keys), keys, "left_semi")
+    # Only the right side of an anti join can be broadcast, so the state's keys are cut to those of the batch.
+    known = state.select(*keys).join(latest.select(*keys), keys, "left_semi")
     added = latest.join(known, keys, "left_anti").select(*columns)
     return kept.select("_row.*").unionByName(added)
 
@@ -226,25 +281,29 @@ def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> Dat
     def side(frame: DataFrame, name: str) -> DataFrame:
         return frame.select(*keys, F.struct(*columns).alias(name))
 
-    def values(frame: DataFrame, name: str) -> Column:
-        """The row of one side in comparable form; null when that side has no row."""
-        fields = [comparable(f, f"{name}.").alias(f.name) for f in frame.schema.fields]
-        return F.when(F.col(name).isNotNull(), F.struct(*fields))
-
     pairs = side(before, "_old").join(side(after, "_new"), list(keys), "full_outer")
+    changed = pairs.where(~_compared(pairs, "_old").eqNullSafe(_compared(pairs, "_new")))
+    return (
+        changed.select(F.explode(_entries("_old", "_new")).alias("_entry"))
+        .select("_entry.row.*", F.col("_entry.kind").alias(CHANGE_TYPE))
+    )
 
-    def entry(kind: str, side_name: str) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), F.col(side_name).alias("row"))
 
-    entries = (
-        F.when(F.col("_old").isNull(), F.array(entry("insert", "_new")))
-        .when(F.col("_new").isNull(), F.array(entry("delete", "_old")))
-        .otherwise(F.array(entry("update_preimage", "_old"), entry("update_postimage", "_new")))
-    )
-    changed = pairs.where(~values(before, "_old").eqNullSafe(values(after, "_new")))
+def _compared(pairs: DataFrame, name: str) -> Column:
+    """The row of one side in comparable form; null when that side has no row."""
+    fields = [comparable(f, f"{name}.").alias(f.name) for f in pairs.schema[name].dataType.fields]
+    return F.when(F.col(name).isNotNull(), F.struct(*fields))
+
+
+def _entries(old: str, new: str) -> Column:
+    """The change entries of a key whose row was ``old`` and is ``new``; either may be missing."""
+    def entry(kind: str, name: str) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), F.col(name).alias("row"))
+
     return (
-        changed.select(F.explode(entries).alias("_entry"))
-        .select("_entry.row.*", F.col("_entry.kind").alias(CHANGE_TYPE))
+        F.when(F.col(old).isNull(), F.array(entry("insert", new)))
+        .when(F.col(new).isNull(), F.array(entry("delete", old)))
+        .otherwise(F.array(entry("update_preimage", old), entry("update_postimage", new)))
     )
 
 

@@ -16,11 +16,14 @@ from pyspark.sql import functions as F
 
 from oreflow.functions.schema import struct
 from oreflow.operators.cdc import (
+    CHANGES,
     ChangeRules,
+    change_entries,
     change_rows,
     latest_changes,
     live_rows,
     merge_changes,
+    merge_with_changes,
     overlay_changes,
     split_changes,
 )
@@ -71,13 +74,16 @@ class ChangeTarget:
     files are complete. One writer at a time.
     """
 
-    def __init__(self, spark: SparkSession, path: str, rules: ChangeRules, buckets: int | None = None):
+    def __init__(self, spark: SparkSession, path: str, rules: ChangeRules, buckets: int | None = None, feed: bool = False):
         """With ``buckets`` the base is a bucketed external table of the session catalog: merging shuffles the
-        batches only, to the buckets of the base, whatever their size. The number of buckets stays for good."""
+        batches only, to the buckets of the base, whatever their size. The number of buckets stays for good.
+
+        With ``feed`` a compaction stores, beside each row, what it changed of it; see ``change_feed``."""
         self.spark = spark
         self.path = path.rstrip("/")
         self.rules = rules
         self.buckets = buckets
+        self.feed = feed
 
     def append(self, changes: DataFrame, batch_id: int, source: str = "batch") -> None:
         """Apply a batch of business rows. The same batch of the same source again replaces the first.
@@ -152,17 +158,38 @@ class ChangeTarget:
         return self.spark.table(name)
 
     def _state(self, folded: int | None, entries: list[Row], small_batches: bool) -> DataFrame | None:
-        base = None if folded is None else self._base(folded)
+        base = None if folded is None else self._base(folded).drop(CHANGES)
         if not entries:
             return base
-        places = dict.fromkeys(f"{self.path}/changes/{self._place(e['source'], e['batch'])}" for e in entries)
-        pending = self.spark.read.option("mergeSchema", "true").parquet(*places)
-        reduced = len(places) == 1
+        pending, reduced = self._changes(entries)
         if base is None:
             return pending if reduced else latest_changes(pending, self.rules)
-        if small_batches or self.buckets:
-            return overlay_changes(base, pending, self.rules, reduced, colocated=self.buckets is not None)
-        return merge_changes(base, pending, self.rules)
+        if self.buckets:
+            return merge_with_changes(base, pending, self.rules, reduced).drop(CHANGES)
+        return overlay_changes(base, pending, self.rules, reduced) if small_batches else merge_changes(base, pending, self.rules)
+
+    def _changes(self, entries: list[Row]) -> tuple[DataFrame, bool]:
+        """The changes of the batches, and whether they have one row per key."""
+        places = dict.fromkeys(f"{self.path}/changes/{self._place(e['source'], e['batch'])}" for e in entries)
+        pending = self.spark.read.option("mergeSchema", "true").parquet(*places)
+        return pending, len(places) == 1
+
+    def _merged(self, folded: int | None, entries: list[Row]) -> DataFrame:
+        """The next base with what becomes of each row; without a base before it, every live row is new."""
+        pending, reduced = self._changes(entries)
+        base = pending.limit(0) if folded is None else self._base(folded)
+        return merge_with_changes(base, pending, self.rules, reduced)
+
+    def change_feed(self, number: int | None = None) -> DataFrame | None:
+        """What the compaction up to ``number``, the last one by default, changed for readers: insert, delete,
+        update_preimage and update_postimage. None before the first compaction; others read no more than before."""
+        number = self._pending()[0] if number is None else number
+        if number is None:
+            return None
+        base = self._base(number)
+        if CHANGES not in base.columns:
+            raise ValueError(f"the compaction up to {number} was made without feed")
+        return change_entries(base)
 
     def current(self, small_batches: bool = False) -> DataFrame | None:
         """The rows readers see. Directly after a compaction this is a plain scan."""
@@ -179,7 +206,7 @@ class ChangeTarget:
         if not entries:
             return folded
         last = entries[-1]["number"]
-        state, keys = self._state(folded, entries, small_batches), list(self.rules.keys)
+        state, keys = self._merged(folded, entries) if self.feed else self._state(folded, entries, small_batches), list(self.rules.keys)
         location = f"{self.path}/base/upto={last}"
         if self.buckets is None:
             state.sortWithinPartitions(*keys).write.mode("overwrite").parquet(location)

@@ -36,6 +36,12 @@ def _current(condition: str = "true", rows: str = "silver") -> str:
 
 SCD1 = f"WITH {SILVER} SELECT * FROM {_current()}"
 
+FEED_DIFF = f"""WITH {SILVER}, a AS {_current('seq % 4 < 2')}, b AS {_current()}
+SELECT b.* , 'insert' AS change_type FROM b WHERE item_key NOT IN (SELECT item_key FROM a)
+UNION ALL SELECT a.*, 'delete' FROM a WHERE item_key NOT IN (SELECT item_key FROM b)
+UNION ALL SELECT a.*, 'update_preimage' FROM a JOIN b ON a.item_key = b.item_key WHERE a IS DISTINCT FROM b
+UNION ALL SELECT b.*, 'update_postimage' FROM a JOIN b ON a.item_key = b.item_key WHERE a IS DISTINCT FROM b"""
+
 HISTORY = """
 history AS (
   SELECT CAST(event_id AS VARCHAR) AS execution_id,
@@ -300,11 +306,8 @@ living AS (
 )
 SELECT n.item_key, l.item_group, l.price, l.label, n.changed_at, CASE WHEN n.op = 'D' THEN 'Y' ELSE 'N' END AS is_del
 FROM newest n LEFT JOIN living l USING (item_key)""",
-    "change_feed_diff": f"""WITH {SILVER}, a AS {_current('seq % 4 < 2')}, b AS {_current()}
-SELECT b.* , 'insert' AS change_type FROM b WHERE item_key NOT IN (SELECT item_key FROM a)
-UNION ALL SELECT a.*, 'delete' FROM a WHERE item_key NOT IN (SELECT item_key FROM b)
-UNION ALL SELECT a.*, 'update_preimage' FROM a JOIN b ON a.item_key = b.item_key WHERE a IS DISTINCT FROM b
-UNION ALL SELECT b.*, 'update_postimage' FROM a JOIN b ON a.item_key = b.item_key WHERE a IS DISTINCT FROM b""",
+    "change_feed_diff": FEED_DIFF,
+    "merge_change_feed": FEED_DIFF,
     "ingest_incremental": f"""WITH {FEED}
 SELECT seq, src_key, op, captured_at, c_custkey, c_name, c_mktsegment
 FROM feed LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 10 <> 0) ON src_key = c_custkey

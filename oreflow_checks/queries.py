@@ -123,6 +123,18 @@ def change_feed_diff(spark, sf_dir):
     return cdc.change_feed(before, after, ["item_key"]).withColumnRenamed(cdc.CHANGE_TYPE, "change_type")
 
 
+@query
+def merge_change_feed(spark, sf_dir):
+    """What the second compaction of a stored target changed, as the merge itself has told it."""
+    feed = fx.silver_input(spark, sf_dir)
+    target = ChangeTarget(spark, fresh_dir(spark, "merge-feed"), fx.RULES, feed=True)
+    target.append(feed.where(F.col("seq") % 4 < 2), 0)
+    target.compact()
+    target.append(feed.where(F.col("seq") % 4 >= 2), 1)
+    target.compact()
+    return target.change_feed().withColumnRenamed(cdc.CHANGE_TYPE, "change_type")
+
+
 @query
 def scd1_from_snapshot(spark, sf_dir):
     before, after = _snapshots(spark, sf_dir)

@@ -102,6 +102,97 @@ def test_soft_delete_by_key_alone_keeps_the_last_values(spark):
     assert {(r["k"], r["v"], r["is_del"]) for r in cdc.live_rows(late, rules).collect()} == {(1, "c", "Y"), (2, None, "Y"), (3, "y", "N")}
 
 
+SOFT = ChangeRules(keys=["k"], sequence_by="seq", delete_when="op = 'D'", except_columns=["op"], soft_delete=True, delete_columns=["seq"])
+
+
+def soft_state_of(rows):
+    """Per key the newest row's delete flag and sequence, and the values of the newest insert or update."""
+    found = {}
+    for k in {r[0] for r in rows if r[0] is not None and r[1] is not None}:
+        mine = [r for r in rows if r[0] == k and r[1] is not None]
+        newest = max(mine, key=lambda r: (r[1], r[2] == "D"))
+        upserts = [r for r in mine if r[2] != "D"]
+        values = max(upserts, key=lambda r: r[1])[3] if upserts else None
+        found[k] = (k, newest[1], values, "Y" if newest[2] == "D" else "N")
+    return set(found.values())
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_soft_deletes_in_one_shuffle_whatever_the_split(spark, seed):
+    """A key with a third of all rows, changes dealt out to batches at random; deletes carry no values."""
+    rows = [(k, seq, op, None if op == "D" else v) for k, seq, op, v in feed(seed)]
+    whole = cdc.apply_changes(spark.createDataFrame(rows, SCHEMA), SOFT)
+    plan = plan_of(whole)
+    assert {tuple(r) for r in whole.collect()} == soft_state_of(rows)
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert "partial_max_by" in plan[plan.index("Exchange hashpartitioning"):]
+    rnd, state, parts = random.Random(seed), None, [[], [], []]
+    for row in rows:
+        parts[rnd.randrange(3)].append(row)
+    for part in parts:
+        state = cdc.apply_changes_incremental(state, spark.createDataFrame(part, SCHEMA), SOFT)
+    assert {tuple(r) for r in cdc.live_rows(state, SOFT).collect()} == soft_state_of(rows)
+
+
+def test_a_busy_key_of_soft_deletes_is_one_row_per_task(spark):
+    rows = spark.range(0, 30_000, 1, 4).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS k", "id AS seq", "CASE WHEN id % 9 = 0 THEN 'D' ELSE 'U' END AS op", "concat('v', id) AS v")
+    reduced = cdc.latest_changes(cdc.change_rows(rows, SOFT), SOFT)
+    found = reduced.where("k = 0").first()
+    assert found["_sequence"] == 29_997 and found["_deleted"] == (29_997 % 9 == 0) and found["_last"]["at"] == max(i for i in range(0, 30_000, 3) if i % 9)
+    reduced.collect()
+    plan = reduced._jdf.queryExecution().executedPlan()
+    rows_out = written_rows(spark, plan)
+    assert reduced.count() == 20_001 and rows_out == 20_000 + 4
+
+
+def written_rows(spark, plan) -> int:
+    """Rows that the exchange of an executed plan has written."""
+    while plan.nodeName() != "Exchange":
+        name = plan.nodeName()
+        plan = plan.executedPlan() if name == "AdaptiveSparkPlan" else plan.plan() if "QueryStage" in name else plan.children().apply(0)
+    return plan.metrics().apply("shuffleRecordsWritten").value()
+
+
+def both_ways(state, changes, rules):
+    """The merged state with its feed, and the diff of the states before and after."""
+    merged = cdc.merge_with_changes(state, changes, rules)
+    after = cdc.merge_changes(state, changes, rules)
+    diff = cdc.change_feed(cdc.live_rows(state, rules), cdc.live_rows(after, rules), rules.keys)
+    return merged, after, cdc.change_entries(merged), diff
+
+
+@pytest.mark.parametrize("rules", [RULES, SOFT], ids=["hard", "soft"])
+@pytest.mark.parametrize("seed", range(3))
+def test_the_merge_tells_its_changes(spark, rules, seed):
+    rows = feed(seed)
+    old, new = rows[: len(rows) // 2], rows[len(rows) // 2 :] + rows[:20]
+    state = cdc.apply_changes_incremental(None, spark.createDataFrame(old, SCHEMA), rules)
+    usable, _ = cdc.split_changes(cdc.change_rows(spark.createDataFrame(new, SCHEMA), rules), rules)
+    merged, after, entries, diff = both_ways(state, usable, rules)
+    assert sorted(map(repr, merged.drop(cdc.CHANGES).select(*after.columns).collect())) == sorted(map(repr, after.collect()))
+    assert sorted(map(repr, entries.select(*diff.columns).collect())) == sorted(map(repr, diff.collect())) and diff.count() > 20
+    assert live(cdc.live_rows(merged, rules)) == live(cdc.live_rows(after, rules))
+
+
+def test_changes_without_effect_are_not_told(spark):
+    def batch(*rows):
+        return cdc.change_rows(spark.createDataFrame(list(rows), SCHEMA), RULES)
+
+    state = cdc.latest_changes(batch((1, 5, "I", "a"), (2, 5, "I", "b"), (3, 5, "D", None), (4, 5, "I", "d")), RULES)
+    given = batch((1, 4, "U", "late"), (2, 6, "U", "b"), (3, 6, "D", None), (5, 1, "D", None), (4, 6, "D", None), (6, 1, "I", "new"))
+    entries = cdc.change_entries(cdc.merge_with_changes(state, given, RULES))
+    assert {(r["k"], r["v"], r["_change_type"]) for r in entries.collect()} == {(4, "d", "delete"), (6, "new", "insert")}
+
+
+def test_the_merge_with_changes_reads_each_side_once(spark, tmp_path):
+    cdc.apply_changes_incremental(None, spark.createDataFrame(feed(2), SCHEMA), RULES).write.parquet(f"{tmp_path}/state")
+    cdc.apply_changes_incremental(None, spark.createDataFrame(feed(3), SCHEMA), RULES).write.parquet(f"{tmp_path}/batch")
+    merged = cdc.merge_with_changes(spark.read.parquet(f"{tmp_path}/state"), spark.read.parquet(f"{tmp_path}/batch"), RULES, reduced=True)
+    plan = plan_of(merged)
+    assert plan.count("FileScan") == 2 and plan.count("Join") == 1
+
+
 def test_only_type_1_is_accepted():
     with pytest.raises(ValueError):
         ChangeRules(keys=["k"], sequence_by="seq", scd_type="2")
@@ -285,6 +376,29 @@ class TestChangeTarget:
             found = {(r["k"], r["v"], r["extra"]) for r in target.current(small).collect()}
             assert found == {(1, "c", 5), (2, "b", None)}
 
+    @pytest.mark.parametrize("buckets", [None, 4])
+    def test_compactions_tell_their_changes(self, spark, tmp_path, buckets):
+        rows, batches = self.batches(spark)
+        target = ChangeTarget(spark, f"{tmp_path}/t", RULES, buckets=buckets, feed=True)
+        assert target.change_feed() is None
+        seen, replayed = {None: set()}, set()
+        for number, batch in enumerate(batches):
+            target.append(batch, number)
+            before, last = live(target.current()), target.compact()
+            assert live(target.current()) == before and cdc.CHANGES not in target.state().columns
+            entries = [(r["_change_type"], (r["k"], r["v"])) for r in target.change_feed().collect()]
+            replayed -= {row for kind, row in entries if kind in ("delete", "update_preimage")}
+            replayed |= {row for kind, row in entries if kind in ("insert", "update_postimage")}
+            assert replayed == before
+            seen[last] = before
+        assert replayed == state_of(rows)
+        assert {(r["k"], r["v"]) for r in target.change_feed(1).collect()} == seen[1]
+        plain = ChangeTarget(spark, f"{tmp_path}/plain", RULES)
+        plain.append(batches[0], 0)
+        plain.compact()
+        with pytest.raises(ValueError):
+            plain.change_feed()
+
     def test_bucketed_base_is_never_shuffled(self, spark, tmp_path):
         rows, batches = self.batches(spark)
         target = ChangeTarget(spark, f"{tmp_path}/t", RULES, buckets=8)
@@ -294,7 +408,7 @@ class TestChangeTarget:
             target.append(batches[2], 0)
             target.compact()
             target.append(batches[0], 1)
-            assert exchanges_above(plan_of(target.state()), "Bucketed: true") == [0, 0]
+            assert exchanges_above(plan_of(target.state()), "Bucketed: true") == [0]
             target.compact()
             target.append(batches[1], 2)
             # Another session knows the files only; the table is declared again from them.
@@ -302,7 +416,7 @@ class TestChangeTarget:
                 spark.sql(f"DROP TABLE {name}")
             again = ChangeTarget(spark, f"{tmp_path}/t", RULES, buckets=8)
             assert live(again.current()) == state_of(rows)
-            assert exchanges_above(plan_of(again.state()), "Bucketed: true") == [0, 0]
+            assert exchanges_above(plan_of(again.state()), "Bucketed: true") == [0]
             again.compact()
             assert live(ChangeTarget(spark, f"{tmp_path}/t", RULES).current()) == state_of(rows)
         finally:

@@ -19,7 +19,8 @@ def oracle():
 
 
 def test_every_query_has_a_counterpart():
-    assert set(ORACLE) == set(QUERIES) == set(entry.queries()) == set(entry.oracle_sql())
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):
