@@ -35,6 +35,8 @@ MONITORING_HISTORY = struct({
     "alert_count": "int", "critical_count": "int", "warning_count": "int", "alerts_json": "string",
     "created_at": "timestamp",
 })
+#: Days that a run may take before it counts as late: its day may have been folded by then.
+SETTLE = 2
 #: Day a run started on, which the stored run history is partitioned by.
 RUN_DATE = "run_date"
 TABLES = {
@@ -92,9 +94,9 @@ class StageRun:
 
     def __init__(
         self, spark: SparkSession, history_path: str, dataflow_id: str, stage: str, dataflow_group: str = "",
-        metadata: Mapping[str, str] | None = None,
+        metadata: Mapping[str, str] | None = None, late_path: str | None = None,
     ):
-        self.spark, self.history_path = spark, history_path
+        self.spark, self.history_path, self.late_path = spark, history_path, late_path
         self.dataflow_id, self.stage, self.dataflow_group = dataflow_id, stage, dataflow_group
         self.metadata = dict(metadata or {})
         self.execution_id = str(uuid.uuid4())
@@ -117,6 +119,8 @@ class StageRun:
         )
         record = self.spark.createDataFrame([row], RUN_HISTORY).withColumn(RUN_DATE, F.lit(self.start.date()))
         record.coalesce(1).write.mode("append").partitionBy(RUN_DATE).parquet(self.history_path)
+        if self.late_path and (end.date() - self.start.date()).days > SETTLE:
+            record.coalesce(1).write.mode("append").parquet(self.late_path)  # its day may have been folded by now
         return False
 
 

@@ -26,6 +26,7 @@ from oreflow.plans.flows import (
 from oreflow.plans.history import (
     RUN_DATE, RUN_HISTORY, StageRun, lineage_edges, metadata_versions, new_lineage, new_versions,
 )
+from oreflow.plans.moments import FoldedHistory
 from oreflow.plans.monitor import Thresholds
 from oreflow.plans.spec import SPEC_SCHEMA, bronze_specs, silver_specs
 from oreflow.sources.readers import open_table, read_jdbc, read_source
@@ -266,7 +267,8 @@ def reprocess_quarantine(
 
 
 def _stage(ws: Workspace, dataflow_id: str, group: str, stage: str, result: RunResult) -> StageRun:
-    run = _RecordedStage(ws.spark, ws.metadata("pipeline_execution_history", dataflow_id), dataflow_id, stage, group or "")
+    late = f"{ws.metadata('history_days')}/late"
+    run = _RecordedStage(ws.spark, ws.metadata("pipeline_execution_history", dataflow_id), dataflow_id, stage, group or "", late_path=late)
     run.result = result
     result.executions[stage] = run.execution_id
     return run
@@ -346,7 +348,9 @@ def run_monitoring(
     if history is None:
         raise ValueError(f"no run history below {root}")
     run_id = uuid.uuid4().hex
-    found = run_checks(history, f"{ws.metadata('alerts')}/run={run_id}", as_of, t)
+    folded = FoldedHistory(spark, ws.metadata("history_days"))
+    folded.fold(history, as_of)
+    found = run_checks(history, f"{ws.metadata('alerts')}/run={run_id}", as_of, t, folded=folded)
     at = as_of or dt.datetime.now(dt.timezone.utc)
     rows = monitoring_history(found, run_id, at, t.window_hours)
     write_table(rows, ws.metadata("monitoring_history"), "append", ["monitoring_date"])

@@ -291,6 +291,9 @@ checks AS (
   UNION ALL SELECT 'keyless', 'duplicates', 'FAILED', 'duplicate keys: ' || n FROM key_dups
 )"""
 
+ALL_ALERTS = f"""WITH {ALERTS}
+SELECT alert_type, severity, title, message, {LINES} AS details, timestamp FROM alerts"""
+
 ORACLE: dict[str, str] = {
     "scd1_apply_changes": SCD1,
     "scd1_incremental": SCD1,
@@ -445,8 +448,14 @@ expected AS (SELECT dataflow_id FROM history GROUP BY 1 HAVING max(duration_seco
 SELECT dataflow_id, stage, last_run_time, hours_since_last_run FROM ages
 WHERE CASE WHEN dataflow_id IN (SELECT dataflow_id FROM expected)
            THEN date_sub('second', last_run_time, {NOW}) > 36000 ELSE hours_since_last_run > 2 END""",
-    "mon_alerts": f"""WITH {ALERTS}
-SELECT alert_type, severity, title, message, {LINES} AS details, timestamp FROM alerts""",
+    "mon_alerts": ALL_ALERTS,
+    "mon_alerts_folded": ALL_ALERTS,
+    "mon_day_moments": f"""WITH {HISTORY}
+SELECT dataflow_id, stage, count(*) AS runs, count(*) FILTER (status = 'success') AS succeeded, count(*) FILTER (status = 'failed') AS failed,
+       count(rows_processed) FILTER (status = 'success') AS n, round(avg(rows_processed) FILTER (status = 'success'), 6) AS mean,
+       round(stddev_samp(rows_processed) FILTER (status = 'success'), 6) AS spread,
+       max(start_time) FILTER (status = 'success') AS last_success
+FROM history GROUP BY ALL""",
     "mon_alert_summary": f"""WITH {ALERTS}
 SELECT count(*) FILTER (severity = 'critical') AS critical_count, count(*) FILTER (severity = 'warning') AS warning_count,
        count(*) FILTER (severity = 'info') AS info_count, count(*) AS alert_count FROM alerts""",

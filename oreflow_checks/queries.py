@@ -17,7 +17,7 @@ from oreflow.operators import cdc, joins, project, quality, validation
 from oreflow.operators.dedup import latest_by
 from oreflow.operators.filters import ingested_on, valid_change
 from oreflow.plans import alerts as al
-from oreflow.plans import flows, history, monitor, reports, spec
+from oreflow.plans import flows, history, moments, monitor, reports, spec
 from oreflow.plans.monitor import Thresholds
 from oreflow.session import fresh_dir
 from oreflow.sources.sinks import read_merged, write_table
@@ -686,6 +686,35 @@ def mon_history_row(spark, sf_dir):
         "run_id", "monitoring_date", "monitoring_window_hours", "alert_count", "critical_count", "warning_count", "alerts_json")
 
 
+def _stored_history(spark, sf_dir):
+    """The run history in folders by day, as the runner keeps it, its days folded up to some before the monitored ones."""
+    root = fresh_dir(spark, "history")
+    runs = fx.run_history(spark, sf_dir)
+    runs.withColumn(history.RUN_DATE, F.to_date("start_time")).write.partitionBy(history.RUN_DATE).parquet(f"{root}/runs")
+    stored = spark.read.parquet(f"{root}/runs")
+    folded = moments.FoldedHistory(spark, f"{root}/days")
+    folded.fold(stored, "2024-01-10 00:00:00")
+    folded.fold(stored, "2024-01-30 00:00:00")
+    return stored, folded
+
+
+@query
+def mon_alerts_folded(spark, sf_dir):
+    """All checks from the runs of the last days and the moments of the days before them."""
+    stored, folded = _stored_history(spark, sf_dir)
+    found = al.run_checks(stored, fresh_dir(spark, "alerts"), fx.AS_OF, DAY, folded=folded)
+    return found.withColumn("details", detail_lines(F.col("details")))
+
+
+@query
+def mon_day_moments(spark, sf_dir):
+    """Moments of all runs, merged from those of the days."""
+    merged = moments.merged_moments(moments.day_moments(fx.run_history(spark, sf_dir)))
+    spread = F.sqrt(F.col("m2") / F.nullif(F.col("n") - 1, F.lit(0)))
+    return merged.select(
+        "dataflow_id", "stage", "runs", "succeeded", "failed", "n", F.round("mean", 6).alias("mean"), F.round(spread, 6).alias("spread"), "last_success")
+
+
 @query
 def mon_alert_rows(spark, sf_dir):
     """The alerts of a monitoring run, one row each, read back from their JSON."""
