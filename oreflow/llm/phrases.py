@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from oreflow.llm.common import list_column, stored
+from oreflow.session import fresh_dir
 
 #: Words after which a task closes its shards, and bytes of a text that are split into words at once.
 SHARD, SLICE = 2_000_000, 1_000_000
@@ -41,6 +42,17 @@ class _Numbers(dict):
         return number
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers of 32 bits compressed, their bytes of equal weight together."""
+    planes = numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return len(planes).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+    return np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view("<i4").ravel()
+
+
 class _Shard:
     def __init__(self, lang: str, words: list[bytes] = ()):
         self.lang, self.numbers, self.parts, self.size = lang, _Numbers({b".": 0}), [], 0
@@ -86,7 +98,7 @@ def shards(documents: DataFrame, lang: str, text: str, depth: int) -> DataFrame:
             pa.array([n for n, _, _ in found], pa.int64()), pa.array([s.lang for _, s, _ in found]), pa.array([x for _, _, x in found], pa.int32()),
             pa.array([list(s.numbers)[1:] for _, s, _ in found], pa.list_(pa.binary())),
             list_column(np.concatenate(counts), np.array([len(c) for c in counts]), pa.int64()),
-            pa.array([i.astype("<i4").tobytes() for i in ids], pa.binary())], names)
+            pa.array([packed(i) for i in ids], pa.binary())], names)
 
     def run(batches):
         task, made, now = TaskContext.get().partitionId(), 0, {}
@@ -148,6 +160,18 @@ class BiIndex:
         """The phrases of one word, separator left out."""
         return self.first[1:], self.first[1:], self.counts[1:]
 
+    def backward(self, rows: np.ndarray, size: int) -> np.ndarray:
+        """First rows in the backward index of phrases of `size` words, by their first rows in the forward one."""
+        words, at = [], rows
+        for _ in range(size):
+            # The row at a place begins with the symbol, and its row there is that of the words behind it.
+            words.append(self.occurrences[0][at] // self.size)
+            at = self.occurrences[0][at] % self.size
+        back = self.first[words[0]]
+        for word in words[1:]:
+            back = np.searchsorted(self.occurrences[1], word * self.size + back)
+        return back
+
     def extend(self, side: int, rows: tuple[np.ndarray, np.ndarray], n: np.ndarray):
         """Every phrase longer by one word on the left (side 0) or right (1): which phrase, its rows and numbers."""
         source = np.repeat(np.arange(len(n)), n)
@@ -177,13 +201,13 @@ def grow(index: BiIndex, side: int, ids: np.ndarray, rows: tuple[np.ndarray, np.
     return ids[left], ids[right], (new[0][good], new[1][good]), many[good]
 
 
-_ROWS = "code long, back int, n int, left long, right long"
+_ROWS = "code long, n int, left long, right long"
 
 
 def _grown(shard: int, sign: int, index: BiIndex, side: int, ids, rows, n) -> pa.Table:
     left, right, new, many = grow(index, side, ids, rows, n)
     return pa.table({
-        "code": pa.array((shard << PLACE) + new[0], pa.int64()), "back": pa.array(new[1], pa.int32()), "n": pa.array(many * sign, pa.int32()),
+        "code": pa.array((shard << PLACE) + new[0], pa.int64()), "n": pa.array(many * sign, pa.int32()),
         "left": pa.array(left, pa.int64()), "right": pa.array(right, pa.int64())})
 
 
@@ -194,12 +218,20 @@ def _together(rows: DataFrame, keys: list[str], least: int, name: str, *more) ->
     return stored(rows.filter(F.col("f") >= least).select("code", *more, "id", "f"), name)
 
 
-def _indexes(cut: DataFrame, words: DataFrame, depth: int) -> DataFrame:
-    """One index per shard over its frequent words; all others separate. Words alone between separators are left out."""
+_INDEX = "shard long, sign int, symbols array<long>, forward binary, backward binary"
+
+
+def _indexes(cut: DataFrame, words: DataFrame, depth: int) -> tuple[DataFrame, str]:
+    """One index per shard over its frequent words; all others separate. Words alone between separators are left out.
+
+    Written in buckets by shard, so that later levels move only phrases to the indexes. The name is that of the table.
+    """
     def run(shard: pa.Table, found: pa.Table) -> pa.Table:
-        ids = np.frombuffer(shard.column("ids")[0].as_py(), "<i4")
+        if not shard.num_rows or not found.num_rows:
+            return pa.table([pa.array([], t) for t in (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary())], [c.split()[0] for c in _INDEX.split(", ")])
+        ids = unpacked(shard.column("ids")[0].as_py())
         place = found.column("code").to_numpy() & ((1 << PLACE) - 1)
-        number = np.zeros(len(shard.column("words")[0]) + 1, np.int32)
+        number = np.zeros(shard.column("known")[0].as_py() + 1, np.int32)
         number[place] = np.arange(1, len(place) + 1)
         ids = number[ids]
         lone = (np.r_[0, ids[:-1]] == 0) & (np.r_[ids[1:], 0] == 0)
@@ -208,23 +240,20 @@ def _indexes(cut: DataFrame, words: DataFrame, depth: int) -> DataFrame:
         forward, backward = transforms(ids, depth)
         return pa.table({
             "shard": shard.column("shard"), "sign": shard.column("sign"), "symbols": pa.array([found.column("id").to_numpy()], pa.list_(pa.int64())),
-            "forward": pa.array([forward.tobytes()], pa.binary()), "backward": pa.array([backward.tobytes()], pa.binary())})
+            "forward": pa.array([packed(forward)], pa.binary()), "backward": pa.array([packed(backward)], pa.binary())})
 
+    spark = cut.sparkSession
+    texts = cut.select("shard", "sign", F.size("words").alias("known"), "ids")
     mine = words.select(F.shiftright("code", PLACE).alias("shard"), "code", "id")
-    whole = cut.groupBy("shard").cogroup(mine.groupBy("shard")).applyInArrow(
-        lambda a, b: run(a, b) if a.num_rows and b.num_rows else _none(),
-        "shard long, sign int, symbols array<long>, forward binary, backward binary")
-    return stored(whole, "indexes")
-
-
-def _none() -> pa.Table:
-    return pa.table({
-        "shard": pa.array([], pa.int64()), "sign": pa.array([], pa.int32()), "symbols": pa.array([], pa.list_(pa.int64())),
-        "forward": pa.array([], pa.binary()), "backward": pa.array([], pa.binary())})
+    whole = texts.groupBy("shard").cogroup(mine.groupBy("shard")).applyInArrow(run, _INDEX)
+    path = fresh_dir(spark, "indexes")
+    name, buckets = f"indexes_{path.rsplit('-', 1)[-1]}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    whole.write.format("parquet").bucketBy(buckets, "shard").option("path", path).option("compression", "zstd").saveAsTable(name)
+    return spark.table(name), name
 
 
 def _index_of(forward: bytes, backward: bytes) -> BiIndex:
-    return BiIndex(np.frombuffer(forward, "<i4"), np.frombuffer(backward, "<i4"))
+    return BiIndex(unpacked(forward), unpacked(backward))
 
 
 def _pairs(indexes: DataFrame) -> DataFrame:
@@ -241,20 +270,25 @@ def _pairs(indexes: DataFrame) -> DataFrame:
     return indexes.select("shard", "sign", "symbols", "forward", "backward").mapInArrow(run, _ROWS)
 
 
-def _longer(indexes: DataFrame, level: DataFrame, side: int) -> DataFrame:
-    """All phrases of each shard that are one word longer than the frequent ones in `level`."""
+def _longer(indexes: DataFrame, level: DataFrame, size: int) -> DataFrame:
+    """All phrases of `size` words of each shard that extend the frequent ones in `level` by one word.
+
+    Sides alternate: three words grow to the left, four to the right, and so on.
+    """
+    side = size % 2 == 0
+
     def run(shard: pa.Table, found: pa.Table) -> pa.Table:
         if not shard.num_rows or not found.num_rows:
-            return pa.table([pa.array([], t) for t in (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64())], ["code", "back", "n", "left", "right"])
-        code = found.column("code").to_numpy()
-        rows = code & ((1 << PLACE) - 1), found.column("back").to_numpy().astype(np.int64)
+            return pa.table([pa.array([], t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int64())], [c.split()[0] for c in _ROWS.split(", ")])
+        first = found.column("code").to_numpy() & ((1 << PLACE) - 1)
         index = _index_of(shard.column("forward")[0].as_py(), shard.column("backward")[0].as_py())
         return _grown(
-            shard.column("shard")[0].as_py(), shard.column("sign")[0].as_py(), index, side,
-            found.column("id").to_numpy(), rows, np.abs(found.column("n").to_numpy().astype(np.int64)))
+            shard.column("shard")[0].as_py(), shard.column("sign")[0].as_py(), index, int(side), found.column("id").to_numpy(),
+            (first, index.backward(first, size - 1)), np.abs(found.column("n").to_numpy().astype(np.int64)))
 
-    mine = level.select(F.shiftright("code", PLACE).alias("shard"), "code", "back", "n", "id")
-    return indexes.groupBy("shard").cogroup(mine.groupBy("shard")).applyInArrow(run, _ROWS)
+    mine = level.select(F.shiftright("code", PLACE).alias("shard"), "code", "n", "id")
+    texts = indexes.select("shard", "sign", "forward", "backward")
+    return texts.groupBy("shard").cogroup(mine.groupBy("shard")).applyInArrow(run, _ROWS)
 
 
 def ngrams(documents: DataFrame, depth: int = 4, least: int = 30, lang: str = "lang", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -276,14 +310,13 @@ def ngrams(documents: DataFrame, depth: int = 4, least: int = 30, lang: str = "l
         (F.shiftleft("shard", PLACE) + F.col("at") + 1).alias("code"), "lang", F.col("x.words").alias("word"), (F.col("x.counts") * F.col("sign")).alias("n"))
     totals = stored(found.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     words = _together(found, ["lang", "word"], least, "words", "lang", "word")
-    indexes = _indexes(cut, words, depth)
+    indexes, name = _indexes(cut, words, depth)
     known = [stored(words.filter("code = id").select(
         "id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", F.array("f").alias("heads"), F.array("f").alias("tails")), "known")]
     level, whole = None, []
     for size in range(2, depth + 1):
-        # Sides alternate: to the right, to the left, to the right.
-        rows = _pairs(indexes) if size == 2 else _longer(indexes, level, size % 2 == 0)
-        level = _together(rows, ["left", "right"], least, "level", "back", "n", "left", "right")
+        rows = _pairs(indexes) if size == 2 else _longer(indexes, level, size)
+        level = _together(rows, ["left", "right"], least, "level", "n", "left", "right")
         mine = level.filter("code = id").select("id", "left", "right", "f")
         a = known[-1].select(F.col("id").alias("left"), "lang", F.col("phrase").alias("head"), "heads")
         b = known[-1].select(F.col("id").alias("right"), "last", "tails")
@@ -292,6 +325,7 @@ def ngrams(documents: DataFrame, depth: int = 4, least: int = 30, lang: str = "l
             F.concat("heads", F.array("f")).alias("heads"), F.concat("tails", F.array("f")).alias("tails"), "left", "right"), "known")
         whole.append(_with_extensions(known[-1], mine).withColumn("words", F.lit(size - 1)))
         known.append(mine)
+    cut.sparkSession.sql(f"DROP TABLE {name}")  # all levels are written by now, and its files stay where they are
     whole.append(known[-1].withColumns({"before": F.lit(None).cast("long"), "behind": F.lit(None).cast("long"), "words": F.lit(depth)}))
     columns = ["lang", F.col("phrase").cast("string").alias("phrase"), "words", "f", "before", "behind", "heads", "tails"]
     out = whole[0].select(*columns)
