@@ -179,7 +179,7 @@ class Deduplication:
     n: int = 1
 
     def order(self, rows: DataFrame) -> list[str | Column]:
-        return [*self.order_by, row_hash(rows).desc()]
+        return [*self.order_by, row_hash(rows, ("_origin",)).desc()]  # which batch a row came in makes no difference
 
     def pick(self, rows: DataFrame) -> DataFrame:
         return latest_by(rows, self.partition_by, self.order(rows), self.n)

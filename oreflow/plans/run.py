@@ -231,6 +231,7 @@ def run_silver(
         target = ws.silver_target(flow)
         batches = SilverBatches(flow, target, ws.quarantine_path(flow), as_of)
         silver_stream(rows, batches, ws.checkpoint(flow, "silver")).awaitTermination()
+        batches.finish()
         if isinstance(target, ChangeTarget) and target.pending_batches() >= ws.compact_every:
             target.compact()
         run.rows = batches.rows

@@ -9,7 +9,7 @@ batches into a new base from time to time. Because merging change rows may be re
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -32,32 +32,91 @@ from oreflow.sources.readers import open_table
 SOURCE, BATCH = "_source", "_batch"
 
 
+FOLD_SCHEMA = struct({"number": "bigint"})
+
+
 class LatestRows:
     """The rows that a deduplication over a whole stream keeps, on plain files.
 
-    Each batch is cut to the best n rows of each key, which is all that later batches can leave of it, and written
-    below ``_source=S/_batch=N``; the same batch again replaces itself. Readers deduplicate the best rows of all
-    batches, so the result does not depend on how the rows were dealt out to batches. Files of earlier batches stay.
+    Each batch is cut to the best n rows of each key, which is all that later batches can leave of it. Such sets merge to
+    the best n rows of both, in any order, so after ``fold_every`` batches they are folded into one state; readers see the
+    state and the batches since then, and open no more files than that however long the stream has run.
+
+    Batches lie below ``epoch=K/_source=S/_batch=N``, the state of fold K, which begins epoch K, below ``state/number=K``.
+    State rows remember their batch. So the same batch again replaces itself, even if it has been folded: readers leave
+    out of the state what the epoch has anew. One writer at a time; files of earlier epochs stay.
     """
 
-    def __init__(self, spark: SparkSession, path: str, best: Callable[[DataFrame], DataFrame], pick: Callable[[DataFrame], DataFrame]):
-        self.spark, self.path, self.best, self.pick = spark, path.rstrip("/"), best, pick
+    def __init__(
+        self, spark: SparkSession, path: str, best: Callable[[DataFrame], DataFrame], pick: Callable[[DataFrame], DataFrame],
+        fold_every: int = 20,
+    ):
+        self.spark, self.path, self.best, self.pick, self.fold_every = spark, path.rstrip("/"), best, pick, fold_every
+
+    def epoch(self) -> int:
+        folds = open_table(self.spark, f"{self.path}/folds", schema=FOLD_SCHEMA)
+        return 0 if folds is None else folds.agg(F.max("number")).first()[0] or 0
 
     def append(self, rows: DataFrame, batch_id: int, source: str = "batch") -> None:
-        self.best(rows).write.mode("overwrite").parquet(f"{self.path}/{SOURCE}={source}/{BATCH}={batch_id}")
+        epoch = self.epoch()
+        if len(self._batches(epoch)) >= self.fold_every:
+            epoch = self.fold((source, batch_id))
+        self.best(rows).write.mode("overwrite").parquet(f"{self.path}/epoch={epoch}/{SOURCE}={source}/{BATCH}={batch_id}")
+
+    def fold(self, without: tuple[str, int] | None = None) -> int:
+        """Begin the next epoch with one state of all that is written, but for a batch that is about to come again."""
+        number = self.epoch() + 1
+        held = self._held(without)
+        if held is None:
+            return number - 1
+        self.best_of(held).write.mode("overwrite").parquet(f"{self.path}/state/number={number}")
+        self.spark.range(0, 1, 1, 1).select(F.lit(number).cast("long").alias("number")).write.mode("append").parquet(f"{self.path}/folds")
+        return number
+
+    def best_of(self, held: DataFrame) -> DataFrame:
+        """The best rows of each key with the batch they came in; the order must not see that."""
+        origin = F.struct(SOURCE, BATCH).alias("_origin")
+        rows = held.drop(SOURCE, BATCH)
+        packed = held.select(*[F.col(f"`{c}`") for c in rows.columns], origin)
+        return self.best(packed).select(*[F.col(f"`{c}`") for c in rows.columns], "_origin.*")
+
+    def _batches(self, epoch: int) -> set[str]:
+        """The batches of an epoch; there are not many more than ``fold_every``."""
+        held = open_table(self.spark, f"{self.path}/epoch={epoch}", mergeSchema="true")
+        return set() if held is None else {file.rsplit("/", 1)[0] for file in held.inputFiles()}
+
+    def _held(self, without: tuple[str, int] | None = None) -> DataFrame | None:
+        """All rows that count, with the batch they came in."""
+        epoch = self.epoch()
+        new = open_table(self.spark, f"{self.path}/epoch={epoch}", mergeSchema="true")
+        if new is not None:
+            new = new.withColumns({SOURCE: F.col(SOURCE).cast("string"), BATCH: F.col(BATCH).cast("long")})
+        if epoch:
+            state = self.spark.read.parquet(f"{self.path}/state/number={epoch}")
+            if new is not None:
+                state = state.join(new.select(SOURCE, BATCH).distinct(), [SOURCE, BATCH], "left_anti")
+                new = state.unionByName(new, allowMissingColumns=True)
+            else:
+                new = state
+        if new is not None and without:
+            new = new.where(~(F.col(SOURCE).eqNullSafe(without[0]) & F.col(BATCH).eqNullSafe(without[1])))
+        return new
 
     def candidates(self, without: tuple[str, int] | None = None) -> DataFrame | None:
         """The best rows of all batches, or of all but one (source, id)."""
-        held = open_table(self.spark, self.path, mergeSchema="true")
-        if held is None:
-            return None
-        if without:
-            held = held.where((F.col(SOURCE).cast("string") != without[0]) | (F.col(BATCH) != without[1]))
-        return held.drop(SOURCE, BATCH)
+        held = self._held(without)
+        return None if held is None else held.drop(SOURCE, BATCH)
 
-    def current(self, more: DataFrame | None = None, batch: tuple[str, int] | None = None) -> DataFrame | None:
-        """The kept rows of all batches, with ``more`` in the place of what is written of a (source, id)."""
+    def current(
+        self, more: DataFrame | None = None, batch: tuple[str, int] | None = None, touched: tuple[DataFrame, Sequence[str]] | None = None
+    ) -> DataFrame | None:
+        """The kept rows of all batches, with ``more`` in the place of what is written of a (source, id). With ``touched``,
+        a frame and key columns, those of its keys only."""
         held = self.candidates(batch)
+        if held is not None and touched:
+            keys = list(touched[1])
+            given = touched[0].select(*[F.col(f"`{k}`").alias(f"_{i}") for i, k in enumerate(keys)]).distinct()
+            held = held.join(given, [F.col(f"`{k}`").eqNullSafe(F.col(f"_{i}")) for i, k in enumerate(keys)], "left_semi")
         rows = more if held is None else held if more is None else held.unionByName(more, allowMissingColumns=True)
         return None if rows is None else self.pick(rows)
 

@@ -14,7 +14,9 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from oreflow.operators.cdc import change_rows, latest_changes
 from oreflow.operators.quality import raise_offenders
 from oreflow.functions.clock import AsOf
-from oreflow.plans.flows import REJECT, BronzeFlow, SilverFlow, bronze, checked_rows, selected_rows, silver_rows, split_silver
+from oreflow.plans.flows import (
+    REJECT, BronzeFlow, SilverFlow, bronze, checked_rows, deduplication_of, selected_rows, silver_rows, split_silver,
+)
 from oreflow.sources.sinks import clustered, read_merged
 from oreflow.sources.target import BATCH, SOURCE, ChangeTarget, LatestRows
 
@@ -143,6 +145,9 @@ class SilverBatches:
         self.flow, self.target, self.quarantine_path, self.as_of = flow, target, quarantine_path, as_of
         self.rows = 0
         self.metrics: dict[str, dict] = {}
+        #: Whether the quarantine of a deduplicated table is older than the table; it may be from an earlier run.
+        self.stale = isinstance(target, LatestRows) and target.candidates() is not None
+        self.counted = False
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if isinstance(self.target, LatestRows):
@@ -165,27 +170,41 @@ class SilverBatches:
         self._count(counts)
 
     def _deduplicated(self, batch: DataFrame, batch_id: int) -> None:
-        """With deduplication a batch may take back rows of earlier ones, so what is judged, counted and quarantined
-        are the rows that are left of all batches, this one included. Only the best rows of each key are read."""
+        """With deduplication a batch may take back rows of earlier ones. So the rows that its keys had and have are
+        judged, and the totals changed by the difference; rows of other keys stay as they were judged before."""
+        place, keys = (stream_id(batch), batch_id), deduplication_of(self.flow).partition_by
         rows = selected_rows(batch, self.flow, self.as_of)
-        whole = self.target.current(rows, (stream_id(batch), batch_id))
-        result = split_silver(*checked_rows(whole, self.flow), self.flow.changes)
-        counts = [row.asDict() for row in result.metrics.collect()]
-        raise_offenders(counts)
-        self.target.append(rows, batch_id, stream_id(batch))
-        held = split_silver(*checked_rows(self.target.current(), self.flow), self.flow.changes).quarantined
-        held.write.mode("overwrite").parquet(f"{self.quarantine_path}/{SOURCE}=latest/{BATCH}=0")
-        self.rows, self.metrics = 0, {}
-        self._count(counts)
-
-    def _count(self, counts: list[dict]) -> None:
+        after = self._judged(self.target.current(rows, place, (rows, keys)))
+        raise_offenders(after)
+        # What is written already counts, an earlier try of this batch included; its keys are the same.
+        before = self._judged(self.target.current(touched=(rows, keys)))
+        whole = [] if self.counted else self._judged(self.target.current())
+        self.target.append(rows, *place[::-1])
+        self.stale = self.counted = True
+        self._count(whole)
+        self._count(before, -1)
+        self._count(after)
+
+    def finish(self) -> None:
+        """After the last batch: with deduplication, write anew which of the kept rows are held back."""
+        if self.stale:
+            held = split_silver(*checked_rows(self.target.current(), self.flow), self.flow.changes).quarantined
+            held.write.mode("overwrite").parquet(f"{self.quarantine_path}/{SOURCE}=latest/{BATCH}=0")
+            self.stale = False
+
+    def _judged(self, rows: DataFrame | None) -> list[dict]:
+        if rows is None:
+            return []
+        return [row.asDict() for row in split_silver(*checked_rows(rows, self.flow), self.flow.changes).metrics.collect()]
+
+    def _count(self, counts: list[dict], sign: int = 1) -> None:
         for row in counts:
             if row["action"] == REJECT:
-                self.rows += row["passed"]
+                self.rows += sign * row["passed"]
                 continue
             known = self.metrics.setdefault(row["rule"], {**row, "passed": 0, "failed": 0, "total": 0})
             for name in ("passed", "failed", "total"):
-                known[name] += row[name]
+                known[name] += sign * row[name]
 
 
 def silver_stream(bronze_rows: DataFrame, batches: SilverBatches, checkpoint: str) -> StreamingQuery:

@@ -264,13 +264,13 @@ def dedup_second_row(spark, sf_dir):
 
 
 def _dedup_stream(spark, sf_dir, n):
-    """The orders in several batches, cut across their keys."""
+    """The orders in batches that are cut across their keys and folded in between."""
     root = fresh_dir(spark, "dedup-stream")
-    parts = fx.table(spark, sf_dir, "orders").withColumn("_part", F.col("o_orderkey") % 5)
+    parts = fx.table(spark, sf_dir, "orders").withColumn("_part", F.col("o_orderkey") % 12)
     parts.write.partitionBy("_part").parquet(f"{root}/in")
     stream = spark.readStream.schema(parts.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in").drop("_part")
     dedup = flows.Deduplication(["src_key"], ["op", "seq DESC"], n)
-    target = LatestRows(spark, f"{root}/latest", dedup.best, dedup.pick)
+    target = LatestRows(spark, f"{root}/latest", dedup.best, dedup.pick, fold_every=4)
     batch_stream(fx.feed_of(stream), lambda b, i: target.append(b, i, stream_id(b)), f"{root}/checkpoint").awaitTermination()
     return target.current().select(F.lit(n).alias("n"), "src_key", "op", "seq")
 

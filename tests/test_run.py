@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import random
 import re
 
 import pytest
@@ -375,6 +376,10 @@ def test_deduplication_does_not_depend_on_batches(spark, tmp_path, n):
         batches(spark.createDataFrame(rows[:size], schema), 0)  # the first batch again
         assert {tuple(r) for r in silver_of(target.current(), flow).collect()} == want
         assert batches.rows == len(want)
+        later = st.SilverBatches(flow, target, f"{tmp_path}/{size}_held")
+        later(spark.createDataFrame([(1, 9, "U", "z"), (9, 1, "U", "new")][: 3 - n], schema), 99)
+        later.finish()
+        assert later.rows == silver_of(target.current(), flow).count()
 
 
 def test_a_deduplicated_dataflow(spark, tmp_path):
@@ -502,3 +507,31 @@ def test_a_silver_table_without_changes_is_clustered(spark, tmp_path):
     batches(spark.range(1000).select((F.col("id") % 7).alias("k")).repartition(5), 0)
     files = [[r["k"] for r in spark.read.parquet(str(f)).collect()] for f in tmp_path.glob("out/*/*/*.parquet")]
     assert sum(map(len, files)) == 1000 and all(f == sorted(f) for f in files)
+
+
+@pytest.mark.parametrize("n", [1, 2])
+def test_sixty_batches_are_folded_and_few_files_read(spark, tmp_path, n):
+    from oreflow.plans.flows import Deduplication
+    from oreflow.sources.target import LatestRows
+
+    rnd = random.Random(n)
+    rows = [(0 if rnd.random() < 0.34 else rnd.randrange(15), rnd.randrange(40), f"v{i % 50}") for i in range(360)]
+    dedup = Deduplication(["k"], ["seq DESC"], n)
+    target = LatestRows(spark, f"{tmp_path}/latest", dedup.best, dedup.pick, fold_every=8)
+    frames = [spark.createDataFrame(rows[i * 6 : i * 6 + 6], "k int, seq int, v string").coalesce(1) for i in range(60)]
+    for number, frame in enumerate(frames):
+        target.append(frame, number, "a" if number % 3 else "b")
+        if number in (7, 30, 59):  # the batch comes again, also right after the fold that it has brought about
+            target.append(frame, number, "a" if number % 3 else "b")
+    assert target.epoch() >= 6 and len(target._batches(target.epoch())) <= 9
+    read = target.candidates().inputFiles()
+    assert len(read) <= 9 + spark.sparkContext.defaultParallelism and not any("epoch=0/" in file for file in read)
+    whole = dedup.pick(spark.createDataFrame(rows, "k int, seq int, v string"))
+    assert sorted(map(tuple, target.current().collect())) == sorted(map(tuple, whole.collect()))
+    # A batch that was folded long ago comes again from a stream that had stopped: nothing is doubled or displaced.
+    target.append(frames[58], 58, "a")
+    target.append(frames[0], 0, "b")
+    assert sorted(map(tuple, target.current().select("k", "seq", "v").collect())) == sorted(map(tuple, whole.collect()))
+    few = target.current(touched=(frames[0], ["k"]))
+    keys = {r["k"] for r in frames[0].collect()}
+    assert sorted(map(tuple, few.select("k", "seq", "v").collect())) == sorted(t for t in map(tuple, whole.collect()) if t[0] in keys)
