@@ -5,6 +5,7 @@ from __future__ import annotations
 import shutil
 import tempfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -46,6 +47,25 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def cleared(spark: SparkSession, *paths: str) -> None:
+    """Delete written intermediates that nothing reads any more: what was made of them is written itself."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def shuffles_end_with_writes(spark: SparkSession) -> Iterator[None]:
+    """Within it, shuffle files go when the write that needed them is done, not when the driver next collects garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def lowest_hash(frame: DataFrame, columns: list[str], most: int) -> DataFrame:
     """At most `most` rows, those of lowest hash: a bounded sample that does not depend on partitions or on size.
 

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import list_column, stored
+from oreflow.llm.common import cleared, list_column, shuffles_end_with_writes, stored
 from oreflow.session import fresh_dir
 
 #: Words after which a task closes its shards, and bytes of a text that are split into words at once.
@@ -305,6 +305,12 @@ def ngrams(documents: DataFrame, depth: int = 4, least: int = 30, lang: str = "l
     """
     if depth < 2:
         raise ValueError("phrases have two words at least")
+    with shuffles_end_with_writes(documents.sparkSession):
+        return _levels(documents, depth, least, lang, text)
+
+
+def _levels(documents: DataFrame, depth: int, least: int, lang: str, text: str) -> tuple[DataFrame, DataFrame]:
+    spark = documents.sparkSession
     cut = shards(documents, lang, text, depth)
     found = cut.select("shard", "lang", "sign", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "x")).select(
         (F.shiftleft("shard", PLACE) + F.col("at") + 1).alias("code"), "lang", F.col("x.words").alias("word"), (F.col("x.counts") * F.col("sign")).alias("n"))
@@ -313,9 +319,10 @@ def ngrams(documents: DataFrame, depth: int = 4, least: int = 30, lang: str = "l
     indexes, name = _indexes(cut, words, depth)
     known = [stored(words.filter("code = id").select(
         "id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", F.array("f").alias("heads"), F.array("f").alias("tails")), "known")]
+    cleared(spark, *_places(cut, words))
     level, whole = None, []
     for size in range(2, depth + 1):
-        rows = _pairs(indexes) if size == 2 else _longer(indexes, level, size)
+        rows, last = _pairs(indexes) if size == 2 else _longer(indexes, level, size), level
         level = _together(rows, ["left", "right"], least, "level", "n", "left", "right")
         mine = level.filter("code = id").select("id", "left", "right", "f")
         a = known[-1].select(F.col("id").alias("left"), "lang", F.col("phrase").alias("head"), "heads")
@@ -323,9 +330,12 @@ def ngrams(documents: DataFrame, depth: int = 4, least: int = 30, lang: str = "l
         mine = stored(mine.join(a, "left").join(b, "right").select(
             "id", "lang", F.concat("head", F.encode(F.lit(" "), "utf-8"), "last").alias("phrase"), "last", "f",
             F.concat("heads", F.array("f")).alias("heads"), F.concat("tails", F.array("f")).alias("tails"), "left", "right"), "known")
+        cleared(spark, *(_places(last) if last else []))
         whole.append(_with_extensions(known[-1], mine).withColumn("words", F.lit(size - 1)))
         known.append(mine)
-    cut.sparkSession.sql(f"DROP TABLE {name}")  # all levels are written by now, and its files stay where they are
+    # Every level is written by now.
+    cleared(spark, *_places(level, indexes))
+    spark.sql(f"DROP TABLE {name}")
     whole.append(known[-1].withColumns({"before": F.lit(None).cast("long"), "behind": F.lit(None).cast("long"), "words": F.lit(depth)}))
     columns = ["lang", F.col("phrase").cast("string").alias("phrase"), "words", "f", "before", "behind", "heads", "tails"]
     out = whole[0].select(*columns)
@@ -334,6 +344,11 @@ def ngrams(documents: DataFrame, depth: int = 4, least: int = 30, lang: str = "l
     return out, totals
 
 
+def _places(*frames: DataFrame) -> list[str]:
+    """The folders that written tables lie in."""
+    return sorted({file.rsplit("/", 1)[0] for frame in frames for file in frame.inputFiles()})
+
+
 def _with_extensions(phrases: DataFrame, longer: DataFrame) -> DataFrame:
     behind = longer.groupBy(F.col("left").alias("id")).agg(F.max("f").alias("behind"))
     before = longer.groupBy(F.col("right").alias("id")).agg(F.max("f").alias("before"))
