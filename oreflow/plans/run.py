@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from urllib.parse import quote
@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from oreflow.functions.clock import moment
 from oreflow.functions.params import query_values, render
+from oreflow.functions.schema import struct
 from oreflow.operators.quality import QualityResult, event_log, raise_offenders, reprocess
 from oreflow.operators.validation import TableChecks, validate
 from oreflow.plans.alerts import at_level, chat_payloads, monitoring_alerts, monitoring_history, monitoring_status, run_checks
@@ -34,6 +35,8 @@ from oreflow.sources.sinks import read_merged, write_table
 from oreflow.sources.target import BATCH, SOURCE, ChangeTarget, LatestRows
 from oreflow.streaming.flows import FLOW, SilverBatches, WrittenRows, bronze_stream, silver_stream
 
+#: Folders of a raw table, one for each chain of stages that appended to it.
+CHAIN = "_chain"
 LAYERS = {"bronze": ("bronze",), "silver": ("silver",), "bronze_silver": ("bronze", "silver")}
 
 
@@ -71,6 +74,11 @@ class Workspace:
             held = open_table(self.spark, self.metadata(name), mergeSchema="true")
         return None if held is None else held.drop(FLOW)
 
+    def raw_table(self, spec: Row) -> DataFrame | None:
+        """The raw rows of a dataflow, None before its first run."""
+        held = open_table(self.spark, self.path(_raw_details(spec)), mergeSchema="true")
+        return None if held is None else held.drop(CHAIN)
+
     def generation(self, dataflow_id: str, layer: str) -> int:
         known = open_table(self.spark, self.metadata("generations", dataflow_id))
         if known is None:
@@ -130,6 +138,8 @@ class RunResult:
     quality: list[dict] = field(default_factory=list)
     validation: DataFrame | None = None
     failed_checks: int | None = None
+    #: Stages that an earlier, failed run of the same trigger time had done.
+    resumed: list[str] = field(default_factory=list)
 
     def to_json(self) -> str:
         """The result as JSON text, for the caller of a job."""
@@ -140,6 +150,49 @@ class RunResult:
         })
 
 
+class StageLedger:
+    """Which stages of a dataflow are done for a trigger time, so that a run repeated after a failure goes on where it
+    stopped.
+
+    A chain is closed when all its stages are done; the same trigger time after that is a new chain. Raw rows are
+    appended below a folder of the chain, which a repeated ingestion replaces, so a run that dies after the write and
+    before its entry here appends nothing twice. One run of a dataflow at a time.
+    """
+
+    SCHEMA = struct({
+        "trigger_time": "timestamp", "chain": "bigint", "stage": "string", "execution_id": "string", "rows": "bigint",
+    })
+    CLOSED = "closed"
+
+    def __init__(self, ws: Workspace, dataflow_id: str, trigger_time: dt.datetime):
+        self.ws, self.path, self.trigger_time = ws, ws.metadata("stage_ledger", dataflow_id), trigger_time
+        held = open_table(ws.spark, self.path, schema=self.SCHEMA)
+        # As many rows as the chains of this one trigger time have stages.
+        rows = [] if held is None else held.where(F.col("trigger_time") == F.lit(trigger_time)).collect()
+        self.chain = sum(r["stage"] == self.CLOSED for r in rows)
+        self.done = {r["stage"]: r for r in rows if r["chain"] == self.chain}
+
+    def stamp(self) -> str:
+        """A folder name of the chain."""
+        return f"{self.trigger_time:%Y%m%dT%H%M%S%f}-{self.chain}"
+
+    def run(self, stage: str, result: RunResult, work: Callable[[], None]) -> None:
+        """Carry out a stage, or take its outcome from the run that has done it."""
+        if stage in self.done:
+            result.rows[stage], result.executions[stage] = self.done[stage]["rows"], self.done[stage]["execution_id"]
+            result.resumed.append(stage)
+            return
+        work()
+        self._enter(stage, result.executions.get(stage), result.rows.get(stage))
+
+    def close(self) -> None:
+        self._enter(self.CLOSED)
+
+    def _enter(self, stage: str, execution_id: str | None = None, rows: int | None = None) -> None:
+        row = self.ws.spark.createDataFrame([(self.trigger_time, self.chain, stage, execution_id, rows)], self.SCHEMA)
+        row.coalesce(1).write.mode("append").parquet(self.path)
+
+
 def source_rows(
     spark: SparkSession, source: Row, trigger_time: dt.datetime, credentials: Mapping[str, str] | None = None
 ) -> DataFrame:
@@ -181,8 +234,10 @@ def _raw_details(spec: Row) -> dict[str, str]:
 
 def run_ingestion(
     ws: Workspace, spec: Row, trigger_time: dt.datetime, result: RunResult,
-    credentials: Mapping[str, str] | None = None,
+    credentials: Mapping[str, str] | None = None, chain: str | None = None,
 ) -> None:
+    """Extract rows and write them to the raw table; with ``chain`` an append goes to a folder of that name, which the
+    same chain replaces when it comes again."""
     raw = spec["raw_bronze"]
     with _stage(ws, spec["dataflow_id"], spec["dataflow_group"], "rdb_ingestion", result) as run:
         rows = source_rows(ws.spark, spec["source"], trigger_time, credentials)
@@ -195,9 +250,11 @@ def run_ingestion(
         options, ignored = writer_options(raw["table_properties"])
         if ignored:  # properties of a table format; which ones had no effect stands in the history
             run.metadata["ignored_table_properties"] = ", ".join(ignored)
+        path, mode = ws.path(_raw_details(spec)), raw["write_mode"] or "append"
+        if mode == "append" and chain:
+            path, mode = f"{path}/{CHAIN}={chain}", "overwrite"
         run.rows = write_table(
-            rows, ws.path(_raw_details(spec)), raw["write_mode"] or "append", raw["partition_columns"] or (),
-            options=options, balance=bool(raw["partition_columns"]),
+            rows, path, mode, raw["partition_columns"] or (), options=options, balance=bool(raw["partition_columns"]),
         )
 
 
@@ -211,7 +268,7 @@ def run_bronze(
         source = ws.path({k.removeprefix("source_"): v for k, v in flow.source.items()})
         # Files appended later may have more columns; the stream takes the merged schema of all of them.
         schema = read_merged(ws.spark, source, flow.file_format()).schema
-        raw = read_source(ws.spark, source, flow.file_format(), flow.reader_options, schema, stream=True)
+        raw = read_source(ws.spark, source, flow.file_format(), flow.reader_options, schema, stream=True).drop(CHAIN)
         with WrittenRows(ws.spark) as written:
             query = bronze_stream(raw, flow, ws.layer_path(flow, "bronze"), ws.checkpoint(flow, "bronze"), as_of)
             query.awaitTermination()
@@ -289,7 +346,7 @@ def layer_checks(ws: Workspace, spec: Row, bronze_flow: BronzeFlow, silver_flow:
     keys = tuple(silver_flow.changes.keys) if silver_flow.changes else ()
     return {
         "raw_bronze": TableChecks(
-            open_table(ws.spark, ws.path(_raw_details(spec)), mergeSchema="true"), required=tuple(spec["raw_bronze"]["metadata_columns"] or ())
+            ws.raw_table(spec), required=tuple(spec["raw_bronze"]["metadata_columns"] or ())
         ),
         "bronze": TableChecks(ws.table(bronze_flow, "bronze")),
         "silver": TableChecks(ws.table(silver_flow, "silver"), not_null=keys, unique=keys),
@@ -363,7 +420,8 @@ def run_dataflow(
     spark: SparkSession, spec: Row, root: str, trigger_time: dt.datetime, full_refresh: bool = False,
     credentials: Mapping[str, str] | None = None, as_of: dt.datetime | None = None, **workspace,
 ) -> RunResult:
-    """All stages of one dataflow, in order. A stage that fails is recorded, and the error is raised.
+    """All stages of one dataflow, in order. A stage that fails is recorded, and the error is raised; the same run again
+    skips the stages that were done (see ``StageLedger``), unless a full refresh asks for them anew.
 
     ``workspace`` takes the options of ``Workspace``.
     """
@@ -372,11 +430,15 @@ def run_dataflow(
     bronze_flow = bronze_flow_of(bronze_specs(specs).first())
     silver_flow = silver_flow_of(silver_specs(specs).first())
     group = spec["dataflow_group"] or ""
-    run_ingestion(ws, spec, trigger_time, result, credentials)
-    run_bronze(ws, bronze_flow, result, group, full_refresh, as_of)
-    run_silver(ws, silver_flow, result, group, full_refresh, as_of)
+    ledger = StageLedger(ws, result.dataflow_id, trigger_time)
+    if full_refresh:  # of the raw rows, which a refresh does not fetch again, what is done stays done
+        ledger.done = {k: v for k, v in ledger.done.items() if k == "rdb_ingestion"}
+    ledger.run("rdb_ingestion", result, lambda: run_ingestion(ws, spec, trigger_time, result, credentials, ledger.stamp()))
+    ledger.run("bronze", result, lambda: run_bronze(ws, bronze_flow, result, group, full_refresh, as_of))
+    ledger.run("silver", result, lambda: run_silver(ws, silver_flow, result, group, full_refresh, as_of))
     record_metadata(ws, result.dataflow_id, specs, result.executions["silver"])
     run_validation(ws, spec, bronze_flow, silver_flow, result)
+    ledger.close()
     return result
 
 

@@ -535,3 +535,48 @@ def test_sixty_batches_are_folded_and_few_files_read(spark, tmp_path, n):
     few = target.current(touched=(frames[0], ["k"]))
     keys = {r["k"] for r in frames[0].collect()}
     assert sorted(map(tuple, few.select("k", "seq", "v").collect())) == sorted(t for t in map(tuple, whole.collect()) if t[0] in keys)
+
+
+def lake_rows(spark, world, layer):
+    return sorted((r["seq"], r["id"]) for r in spark.read.option("mergeSchema", "true").parquet(f"{world.root}/lake/c/s/{layer}").collect())
+
+
+@pytest.mark.parametrize("stage", ["run_bronze", "run_silver", "run_validation"])
+def test_a_run_that_failed_goes_on_where_it_stopped(spark, tmp_path, monkeypatch, stage):
+    """Without change rules nothing would hide rows that were taken in twice."""
+    world = World(spark, tmp_path, cdc_apply_changes=None)
+    world.sources([(1, 1, "I", day(1)), (2, 2, "I", day(1))], [(1, "one", 1.0), (2, "two", 2.0)])
+    real, calls = getattr(rn, stage), []
+
+    def failing(*args, **kwargs):
+        calls.append(stage)
+        if len(calls) == 1:
+            raise RuntimeError("lost")
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(rn, stage, failing)
+    with pytest.raises(RuntimeError):
+        world.run()
+    result = world.run()
+    stages = ["rdb_ingestion", "bronze", "silver"]
+    assert result.resumed == stages[: {"run_bronze": 1, "run_silver": 2, "run_validation": 3}[stage]]
+    assert result.rows["rdb_ingestion"] == 2 and set(result.executions) >= set(stages)
+    assert len(lake_rows(spark, world, "raw")) == len(lake_rows(spark, world, "bronze/g0")) == 2
+    specs = sp.specs_frame(spark, [document(world.root, **world.silver)])
+    flow = rn.silver_flow_of(sp.silver_specs(specs).first())
+    assert rn.Workspace(spark, f"{world.root}/lake").table(flow, "silver").count() == 2
+    runs = [r["stage"] for r in world.metadata("pipeline_execution_history").collect() if r["status"] == "success"]
+    assert sorted(runs) == sorted([*stages, "validate"])
+    # The chain is closed: the same trigger time again is a new one, and appends.
+    assert world.run().resumed == [] and len(lake_rows(spark, world, "raw")) == 4
+
+
+def test_raw_rows_written_before_the_run_died_are_replaced(spark, tmp_path, monkeypatch):
+    world = World(spark, tmp_path)
+    world.sources([(1, 1, "I", day(1)), (2, 2, "I", day(1))], [(1, "one", 1.0), (2, "two", 2.0)])
+    with monkeypatch.context() as patch:
+        patch.setattr(rn.StageLedger, "_enter", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            world.run()
+    assert len(lake_rows(spark, world, "raw")) == 2
+    assert world.run().resumed == [] and len(lake_rows(spark, world, "raw")) == 2 == len(lake_rows(spark, world, "bronze/g0"))
