@@ -218,17 +218,19 @@ def _together(rows: DataFrame, keys: list[str], least: int, name: str, *more) ->
     return stored(rows.filter(F.col("f") >= least).select("code", *more, "id", "f"), name)
 
 
-_INDEX = "shard long, sign int, symbols array<long>, forward binary, backward binary"
+_INDEX = "shard long, sign int, symbols array<long>, ids binary"
 
 
-def _indexes(cut: DataFrame, words: DataFrame, depth: int) -> tuple[DataFrame, str]:
-    """One index per shard over its frequent words; all others separate. Words alone between separators are left out.
+def _indexes(cut: DataFrame, words: DataFrame) -> tuple[DataFrame, str]:
+    """Each shard's frequent words, over which its index is built; all others separate. Words alone between separators
+    are left out.
 
-    Written in buckets by shard, so that later levels move only phrases to the indexes. The name is that of the table.
+    Written in buckets by shard, so that later levels move only phrases to them. The transforms are made anew where they
+    are used, which takes a second for a million words; stored, both would be twice as large. The name is the table's.
     """
     def run(shard: pa.Table, found: pa.Table) -> pa.Table:
         if not shard.num_rows or not found.num_rows:
-            return pa.table([pa.array([], t) for t in (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary())], [c.split()[0] for c in _INDEX.split(", ")])
+            return pa.table([pa.array([], t) for t in (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary())], [c.split()[0] for c in _INDEX.split(", ")])
         ids = unpacked(shard.column("ids")[0].as_py())
         place = found.column("code").to_numpy() & ((1 << PLACE) - 1)
         number = np.zeros(shard.column("known")[0].as_py() + 1, np.int32)
@@ -237,10 +239,9 @@ def _indexes(cut: DataFrame, words: DataFrame, depth: int) -> tuple[DataFrame, s
         lone = (np.r_[0, ids[:-1]] == 0) & (np.r_[ids[1:], 0] == 0)
         ids = np.r_[np.where(lone, 0, ids), 0]
         ids = ids[(ids > 0) | (np.r_[1, ids[:-1]] > 0)]
-        forward, backward = transforms(ids, depth)
         return pa.table({
             "shard": shard.column("shard"), "sign": shard.column("sign"), "symbols": pa.array([found.column("id").to_numpy()], pa.list_(pa.int64())),
-            "forward": pa.array([packed(forward)], pa.binary()), "backward": pa.array([packed(backward)], pa.binary())})
+            "ids": pa.array([packed(ids)], pa.binary())})
 
     spark = cut.sparkSession
     texts = cut.select("shard", "sign", F.size("words").alias("known"), "ids")
@@ -252,25 +253,20 @@ def _indexes(cut: DataFrame, words: DataFrame, depth: int) -> tuple[DataFrame, s
     return spark.table(name), name
 
 
-def _index_of(forward: bytes, backward: bytes) -> BiIndex:
-    return BiIndex(unpacked(forward), unpacked(backward))
-
-
-def _pairs(indexes: DataFrame) -> DataFrame:
+def _pairs(indexes: DataFrame, depth: int) -> DataFrame:
     """All phrases of two words of each shard."""
     def run(batches):
         for batch in batches:
             for row in range(batch.num_rows):
-                shard, sign, symbols, forward, backward = (c[row].as_py() for c in batch.columns)
-                index = _index_of(forward, backward)
+                shard, sign, symbols, ids = (c[row].as_py() for c in batch.columns)
+                index = BiIndex(*transforms(unpacked(ids), depth))
                 a, b, n = index.words()
-                ids = np.array(symbols, np.int64)[: len(n)]
-                yield from _grown(shard, sign, index, 1, ids, (a, b), n).to_batches()
+                yield from _grown(shard, sign, index, 1, np.array(symbols, np.int64)[: len(n)], (a, b), n).to_batches()
 
-    return indexes.select("shard", "sign", "symbols", "forward", "backward").mapInArrow(run, _ROWS)
+    return indexes.select("shard", "sign", "symbols", "ids").mapInArrow(run, _ROWS)
 
 
-def _longer(indexes: DataFrame, level: DataFrame, size: int) -> DataFrame:
+def _longer(indexes: DataFrame, level: DataFrame, size: int, depth: int) -> DataFrame:
     """All phrases of `size` words of each shard that extend the frequent ones in `level` by one word.
 
     Sides alternate: three words grow to the left, four to the right, and so on.
@@ -281,13 +277,13 @@ def _longer(indexes: DataFrame, level: DataFrame, size: int) -> DataFrame:
         if not shard.num_rows or not found.num_rows:
             return pa.table([pa.array([], t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int64())], [c.split()[0] for c in _ROWS.split(", ")])
         first = found.column("code").to_numpy() & ((1 << PLACE) - 1)
-        index = _index_of(shard.column("forward")[0].as_py(), shard.column("backward")[0].as_py())
+        index = BiIndex(*transforms(unpacked(shard.column("ids")[0].as_py()), depth))
         return _grown(
             shard.column("shard")[0].as_py(), shard.column("sign")[0].as_py(), index, int(side), found.column("id").to_numpy(),
             (first, index.backward(first, size - 1)), np.abs(found.column("n").to_numpy().astype(np.int64)))
 
     mine = level.select(F.shiftright("code", PLACE).alias("shard"), "code", "n", "id")
-    texts = indexes.select("shard", "sign", "forward", "backward")
+    texts = indexes.select("shard", "sign", "ids")
     return texts.groupBy("shard").cogroup(mine.groupBy("shard")).applyInArrow(run, _ROWS)
 
 
@@ -316,13 +312,13 @@ def _levels(documents: DataFrame, depth: int, least: int, lang: str, text: str)
         (F.shiftleft("shard", PLACE) + F.col("at") + 1).alias("code"), "lang", F.col("x.words").alias("word"), (F.col("x.counts") * F.col("sign")).alias("n"))
     totals = stored(found.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     words = _together(found, ["lang", "word"], least, "words", "lang", "word")
-    indexes, name = _indexes(cut, words, depth)
+    indexes, name = _indexes(cut, words)
     known = [stored(words.filter("code = id").select(
         "id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", F.array("f").alias("heads"), F.array("f").alias("tails")), "known")]
     cleared(spark, *_places(cut, words))
     level, whole = None, []
     for size in range(2, depth + 1):
-        rows, last = _pairs(indexes) if size == 2 else _longer(indexes, level, size), level
+        rows, last = _pairs(indexes, depth) if size == 2 else _longer(indexes, level, size, depth), level
         level = _together(rows, ["left", "right"], least, "level", "n", "left", "right")
         mine = level.filter("code = id").select("id", "left", "right", "f")
         a = known[-1].select(F.col("id").alias("left"), "lang", F.col("phrase").alias("head"), "heads")
