@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def join_master(log: DataFrame, master: DataFrame, log_key: str, master_key: str) -> DataFrame:
@@ -53,6 +54,22 @@ def semi_join_allowlist(
     return df.join(listed, df[column] == listed["_listed"], "left_semi")
 
 
+def conform(df: DataFrame, contract: str | T.StructType) -> DataFrame:
+    """Rows in the columns of a contract (DDL text or a type): columns of another type are cast, missing ones are null.
+
+    Columns that the contract lacks and types that cannot be cast are refused before anything is read; a value that does
+    not fit its type stops the query that reads it.
+    """
+    fields = (T.StructType.fromDDL(contract) if isinstance(contract, str) else contract).fields
+    held = {c.lower(): c for c in df.columns}
+    unknown = sorted(set(held) - {f.name.lower() for f in fields})
+    if unknown:
+        raise ValueError(f"columns outside the contract: {', '.join(unknown)}")
+    return df.select(*[
+        (F.col(f"`{held[f.name.lower()]}`") if f.name.lower() in held else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields
+    ])
+
+
 def append_flows(sources: Sequence[DataFrame]) -> DataFrame:
     """Several sources into one target; columns that a source lacks are null."""
     result = sources[0]

@@ -63,6 +63,8 @@ class BronzeFlow:
     reader_options: Mapping[str, str] = field(default_factory=dict)
     transformations: Sequence[Mapping[str, Any]] = ()
     cluster_by: Sequence[str] = ()
+    append_flows: Sequence[Mapping[str, Any]] = ()
+    append_schemas: Mapping[str, str] = field(default_factory=dict)
 
     def file_format(self) -> str:
         """How the source's files are read."""
@@ -83,6 +85,7 @@ class SilverFlow:
     rules: Sequence[Rule] = ()
     changes: ChangeRules | None = None
     cluster_by: Sequence[str] = ()
+    sinks: Sequence[Mapping[str, Any]] = ()
 
 
 def bronze_flow_of(row: Row) -> BronzeFlow:
@@ -92,6 +95,7 @@ def bronze_flow_of(row: Row) -> BronzeFlow:
         source=row["sourceDetails"], target=row["targetDetails"], dataflow_id=row["dataFlowId"],
         source_format=row["sourceFormat"], reader_options=row["readerConfigOptions"] or {},
         transformations=extra.get("transformations") or (), cluster_by=row["clusterBy"] or (),
+        append_flows=json.loads(row["appendFlows"] or "[]"), append_schemas=row["appendFlowsSchemas"] or {},
     )
 
 
@@ -114,7 +118,7 @@ def silver_flow_of(row: Row) -> SilverFlow:
         source=row["sourceDetails"], target=row["targetDetails"], dataflow_id=row["dataFlowId"],
         select=row["selectExp"] or (), where=row["whereClause"] or (), rtrim=bool(extra.get("rtrim")),
         deduplication=extra.get("deduplication"), rules=rules_from_json(row["dataQualityExpectations"]),
-        changes=change_rules_of(row["cdcApplyChanges"]), cluster_by=row["clusterBy"] or (),
+        changes=change_rules_of(row["cdcApplyChanges"]), cluster_by=row["clusterBy"] or (), sinks=json.loads(row["sinks"] or "[]"),
     )
 
 

@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from typing import Any
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -17,11 +18,12 @@ from pyspark.sql import types as T
 from oreflow.functions.clock import moment
 from oreflow.functions.params import query_values, render
 from oreflow.functions.schema import struct
+from oreflow.operators.joins import conform
 from oreflow.operators.quality import QualityResult, event_log, raise_offenders, reprocess
 from oreflow.operators.validation import TableChecks, validate
 from oreflow.plans.alerts import at_level, chat_payloads, monitoring_alerts, monitoring_history, monitoring_status, run_checks
 from oreflow.plans.flows import (
-    BronzeFlow, SilverFlow, bronze_flow_of, deduplication_of, file_format, ingest, silver_flow_of, silver_of,
+    BronzeFlow, SilverFlow, bronze, bronze_flow_of, deduplication_of, file_format, ingest, silver_flow_of, silver_of,
     writer_options,
 )
 from oreflow.plans.history import (
@@ -33,10 +35,12 @@ from oreflow.plans.spec import SPEC_SCHEMA, bronze_specs, silver_specs
 from oreflow.sources.readers import open_table, read_jdbc, read_source
 from oreflow.sources.sinks import read_merged, write_table
 from oreflow.sources.target import BATCH, SOURCE, ChangeTarget, LatestRows
-from oreflow.streaming.flows import FLOW, SilverBatches, WrittenRows, bronze_stream, silver_stream
+from oreflow.streaming.flows import FLOW, SilverBatches, WrittenRows, append_flow_streams, bronze_stream, observed, silver_stream
 
 #: Folders of a raw table, one for each chain of stages that appended to it.
 CHAIN = "_chain"
+#: Name of a bronze table's own source among those appended to it.
+MAIN_FLOW = "main"
 LAYERS = {"bronze": ("bronze",), "silver": ("silver",), "bronze_silver": ("bronze", "silver")}
 
 
@@ -127,7 +131,7 @@ class Workspace:
         if isinstance(target, ChangeTarget):
             return target.current()
         held = open_table(self.spark, self.layer_path(flow, layer), mergeSchema="true")
-        return held.drop(SOURCE, BATCH) if held is not None and layer == "silver" else held
+        return held if held is None else held.drop(SOURCE, BATCH) if layer == "silver" else held.drop(FLOW, BATCH)
 
 
 @dataclass
@@ -269,10 +273,28 @@ def run_bronze(
         # Files appended later may have more columns; the stream takes the merged schema of all of them.
         schema = read_merged(ws.spark, source, flow.file_format()).schema
         raw = read_source(ws.spark, source, flow.file_format(), flow.reader_options, schema, stream=True).drop(CHAIN)
+        path, checkpoint = ws.layer_path(flow, "bronze"), ws.checkpoint(flow, "bronze")
         with WrittenRows(ws.spark) as written:
-            query = bronze_stream(raw, flow, ws.layer_path(flow, "bronze"), ws.checkpoint(flow, "bronze"), as_of)
-            query.awaitTermination()
-            run.rows = written.of(query)
+            if flow.append_flows:
+                streams = {MAIN_FLOW: raw} | {f["name"]: _appended(ws, flow, f) for f in flow.append_flows}
+                if len(streams) != 1 + len(flow.append_flows):
+                    raise ValueError(f"the sources of {flow.dataflow_id} need names of their own, other than {MAIN_FLOW}")
+                queries = append_flow_streams({name: observed(bronze(s, flow, as_of)) for name, s in streams.items()}, path, checkpoint)
+            else:
+                queries = [bronze_stream(raw, flow, path, checkpoint, as_of)]
+            for query in queries:
+                query.awaitTermination()
+            counts = [written.of(query) for query in queries]
+            run.rows = None if None in counts else sum(counts)
+
+
+def _appended(ws: Workspace, flow: BronzeFlow, given: Mapping[str, Any]) -> DataFrame:
+    """A further source of a bronze table as a stream, in the columns of its contract if it has one."""
+    fmt = file_format(given.get("format") or "parquet")
+    schema = read_merged(ws.spark, given["source"], fmt).schema
+    rows = read_source(ws.spark, given["source"], fmt, given.get("reader_options"), schema, stream=True)
+    contract = flow.append_schemas.get(given["name"])
+    return conform(rows, contract) if contract else rows
 
 
 def run_silver(
@@ -284,7 +306,7 @@ def run_silver(
     with _stage(ws, flow.dataflow_id, group, "silver", result) as run:
         source = f"{ws.path(flow.source)}/g{ws.generation(flow.dataflow_id, 'bronze')}"
         schema = read_merged(ws.spark, source).schema
-        rows = read_source(ws.spark, source, schema=schema, stream=True)
+        rows = read_source(ws.spark, source, schema=schema, stream=True).drop(FLOW, BATCH)
         target = ws.silver_target(flow)
         batches = SilverBatches(flow, target, ws.quarantine_path(flow), as_of)
         silver_stream(rows, batches, ws.checkpoint(flow, "silver")).awaitTermination()

@@ -37,6 +37,7 @@ SPEC_SCHEMA = struct({
         "source_format": "string", "reader_options": MapOf(),
         "transformations": [{"type": "string", "condition": "string", "columns": MapOf()}],
         "table_properties": MapOf(), "cluster_by": ["string"],
+        "append_flows": [{"name": "string", "source": "string", "format": "string", "reader_options": MapOf(), "schema": "string"}],
     },
     "silver": {
         "catalog": "string", "schema": "string", "table": "string", "table_comment": "string",
@@ -55,6 +56,7 @@ SPEC_SCHEMA = struct({
         "string_transformations": {"rtrim": "boolean"},
         "table_properties": MapOf(), "cluster_by": ["string"],
         "data_quality": {"expectations": [{"name": "string", "constraint": "string", "action": "string"}]},
+        "sinks": [{"name": "string", "path": "string", "format": "string", "options": MapOf()}],
     },
 })
 
@@ -239,6 +241,9 @@ def bronze_specs(specs: DataFrame, as_of: AsOf = None, author: str = "oreflow",
         "clusterBy": F.coalesce(F.col("bronze.cluster_by"), F.array().cast("array<string>")),
         "flowOptions": F.to_json(F.struct(F.col("bronze.transformations").alias("transformations"))),
         **_unused(), **_audit(as_of, author),
+        "appendFlows": _as_json(F.transform("bronze.append_flows", lambda f: f.dropFields("schema"))),
+        "appendFlowsSchemas": F.coalesce(F.map_from_entries(F.transform(
+            F.filter("bronze.append_flows", lambda f: f["schema"].isNotNull()), lambda f: F.struct(f["name"], f["schema"]))), _empty_map()),
     }
     return specs.select(*[columns[name].alias(name) for name in BRONZE_SPEC_COLUMNS])
 
@@ -269,6 +274,7 @@ def silver_specs(specs: DataFrame, as_of: AsOf = None, author: str = "oreflow",
             F.col("silver.string_transformations.rtrim").alias("rtrim"),
         )),
         **_unused(), **_audit(as_of, author),
+        "sinks": _as_json(F.col("silver.sinks")),
     }
     return specs.select(*[columns[name].alias(name) for name in SILVER_SPEC_COLUMNS])
 

@@ -63,14 +63,9 @@ def read_merged(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     return spark.read.format(fmt).option("mergeSchema", "true").load(path)
 
 
-def write_all(df: DataFrame, sinks: Sequence[Callable[[DataFrame], None]]) -> None:
-    """One result into several sinks. It is kept for the first write to be reused by the others."""
-    if len(sinks) == 1:
-        sinks[0](df)
-        return
-    held = df.persist()
-    try:
-        for sink in sinks:
-            sink(held)
-    finally:
-        held.unpersist()
+def write_all(df: DataFrame, path: str, sinks: Sequence[Callable[[DataFrame], None]] = ()) -> None:
+    """One result into several sinks: it is written to ``path``, replacing what is there, and the others are fed from
+    what was written, so nothing is computed twice or held in memory."""
+    df.write.mode("overwrite").parquet(path)
+    for sink in sinks:
+        sink(df.sparkSession.read.schema(df.schema).parquet(path))

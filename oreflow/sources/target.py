@@ -52,16 +52,22 @@ class LatestRows:
         fold_every: int = 20,
     ):
         self.spark, self.path, self.best, self.pick, self.fold_every = spark, path.rstrip("/"), best, pick, fold_every
+        #: Epoch and its batches, as this writer has left them; read once.
+        self._now: tuple[int, set[str]] | None = None
 
     def epoch(self) -> int:
         folds = open_table(self.spark, f"{self.path}/folds", schema=FOLD_SCHEMA)
         return 0 if folds is None else folds.agg(F.max("number")).first()[0] or 0
 
     def append(self, rows: DataFrame, batch_id: int, source: str = "batch") -> None:
-        epoch = self.epoch()
-        if len(self._batches(epoch)) >= self.fold_every:
-            epoch = self.fold((source, batch_id))
-        self.best(rows).write.mode("overwrite").parquet(f"{self.path}/epoch={epoch}/{SOURCE}={source}/{BATCH}={batch_id}")
+        if self._now is None:
+            epoch = self.epoch()
+            self._now = epoch, self._batches(epoch)
+        if len(self._now[1]) >= self.fold_every:
+            self._now = self.fold((source, batch_id)), set()
+        place = f"{SOURCE}={source}/{BATCH}={batch_id}"
+        self.best(rows).write.mode("overwrite").parquet(f"{self.path}/epoch={self._now[0]}/{place}")
+        self._now[1].add(place)
 
     def fold(self, without: tuple[str, int] | None = None) -> int:
         """Begin the next epoch with one state of all that is written, but for a batch that is about to come again."""
@@ -83,7 +89,7 @@ class LatestRows:
     def _batches(self, epoch: int) -> set[str]:
         """The batches of an epoch; there are not many more than ``fold_every``."""
         held = open_table(self.spark, f"{self.path}/epoch={epoch}", mergeSchema="true")
-        return set() if held is None else {file.rsplit("/", 1)[0] for file in held.inputFiles()}
+        return set() if held is None else {"/".join(file.split("/")[-3:-1]) for file in held.inputFiles()}
 
     def _held(self, without: tuple[str, int] | None = None) -> DataFrame | None:
         """All rows that count, with the batch they came in."""

@@ -6,6 +6,7 @@ import datetime as dt
 import threading
 from collections import defaultdict
 from collections.abc import Callable, Mapping
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from oreflow.functions.clock import AsOf
 from oreflow.plans.flows import (
     REJECT, BronzeFlow, SilverFlow, bronze, checked_rows, deduplication_of, selected_rows, silver_rows, split_silver,
 )
-from oreflow.sources.sinks import clustered, read_merged
+from oreflow.sources.sinks import clustered, read_merged, write_all
 from oreflow.sources.target import BATCH, SOURCE, ChangeTarget, LatestRows
 
 
@@ -84,8 +85,12 @@ WRITTEN = "rows_written"
 
 def bronze_stream(raw: DataFrame, flow: BronzeFlow, path: str, checkpoint: str, as_of: AsOf = None) -> StreamingQuery:
     """Raw → bronze as a stream; a ``WrittenRows`` that listens tells afterwards how many rows were written."""
-    rows = bronze(raw, flow, as_of).observe(WRITTEN, F.count(F.lit(1)).alias("rows"))
-    return append_stream(rows, path, checkpoint)
+    return append_stream(observed(bronze(raw, flow, as_of)), path, checkpoint)
+
+
+def observed(rows: DataFrame) -> DataFrame:
+    """A stream whose rows are counted as they are written."""
+    return rows.observe(WRITTEN, F.count(F.lit(1)).alias("rows"))
 
 
 class WrittenRows(StreamingQueryListener):
@@ -142,6 +147,8 @@ class SilverBatches:
     def __init__(
         self, flow: SilverFlow, target: ChangeTarget | LatestRows | str, quarantine_path: str, as_of: dt.datetime | None = None
     ):
+        if flow.sinks and isinstance(target, LatestRows):
+            raise ValueError("a deduplicated table takes rows back, so it can feed no further sinks")
         self.flow, self.target, self.quarantine_path, self.as_of = flow, target, quarantine_path, as_of
         self.rows = 0
         self.metrics: dict[str, dict] = {}
@@ -162,13 +169,25 @@ class SilverBatches:
         if isinstance(self.target, ChangeTarget):
             latest = latest_changes(change_rows(result.changes, changes), changes)
             self.target.append_reduced(latest, batch_id, source)
+            written = batch.sparkSession.read.schema(latest.schema).parquet(f"{self.target.path}/changes/{place}")
+            for sink in self.flow.sinks:
+                self._sink(sink, place)(written)
         else:
             rows = clustered(result.changes, self.flow.cluster_by) if self.flow.cluster_by else result.changes
-            rows.write.mode("overwrite").parquet(f"{self.target}/{place}")
+            write_all(rows, f"{self.target}/{place}", [self._sink(s, place) for s in self.flow.sinks])
         if any(c["failed"] for c in counts if c["action"] in ("quarantine", REJECT)):
             result.quarantined.write.mode("overwrite").parquet(f"{self.quarantine_path}/{place}")
         self._count(counts)
 
+    @staticmethod
+    def _sink(sink: Mapping[str, Any], place: str) -> Callable[[DataFrame], None]:
+        """A further sink of a batch, in a folder named by its stream and id like the first: again replaces itself."""
+        def write(rows: DataFrame) -> None:
+            writer = rows.write.format(sink.get("format") or "parquet").options(**(sink.get("options") or {}))
+            writer.mode("overwrite").save(f"{sink['path'].rstrip('/')}/{place}")
+
+        return write
+
     def _deduplicated(self, batch: DataFrame, batch_id: int) -> None:
         """With deduplication a batch may take back rows of earlier ones. So the rows that its keys had and have are
         judged, and the totals changed by the difference; rows of other keys stay as they were judged before."""

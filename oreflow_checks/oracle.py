@@ -382,6 +382,9 @@ SELECT dataflow_id, version_id, created_at FROM ranked WHERE rn = 1""",
        CASE WHEN o_orderstatus = 'O' THEN NULL ELSE o_orderpriority END AS o_orderpriority,
        CASE WHEN o_orderstatus IN ('O', 'P') THEN NULL ELSE o_orderdate END AS o_orderdate
 FROM orders""",
+    "append_flows_contract": """SELECT o_orderkey, CASE WHEN o_orderstatus <> 'F' THEN o_totalprice END AS o_totalprice,
+       CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS o_orderpriority
+FROM orders WHERE o_orderstatus IN ('O', 'P', 'F')""",
     "append_flows": """SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'P' THEN o_totalprice END AS o_totalprice,
        CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS o_orderpriority
 FROM orders WHERE o_orderstatus IN ('O', 'P', 'F')""",

@@ -22,7 +22,7 @@ from oreflow.plans.monitor import Thresholds
 from oreflow.session import fresh_dir
 from oreflow.sources.sinks import read_merged, write_table
 from oreflow.sources.target import ChangeTarget, LatestRows
-from oreflow.streaming.flows import apply_changes_stream, batch_stream, stream_id
+from oreflow.streaming.flows import append_flow_streams, apply_changes_stream, batch_stream, read_flows, stream_id
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -423,6 +423,25 @@ def append_flows(spark, sf_dir):
     ])
 
 
+@query
+def append_flows_contract(spark, sf_dir):
+    """Streams of the orders by status, each with other columns and types, into one table under one contract."""
+    root, columns = fresh_dir(spark, "flows"), ["o_orderkey", "o_totalprice", "o_orderpriority"]
+    given = {
+        "O": ["o_orderkey", "o_totalprice", "o_orderpriority"], "P": ["cast(o_orderkey as string) as o_orderkey", "o_totalprice"],
+        "F": ["o_orderpriority", "cast(o_orderkey as decimal(20,0)) as o_orderkey"],
+    }
+    streams = {}
+    for status, kept in given.items():
+        rows = _by_status(spark, sf_dir, status).selectExpr(*kept)
+        rows.write.parquet(f"{root}/in/{status}")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/in/{status}")
+        streams[status] = joins.conform(stream, "o_orderkey long, o_totalprice double, o_orderpriority string")
+    for query_ in append_flow_streams(streams, f"{root}/table", f"{root}/checkpoints"):
+        query_.awaitTermination()
+    return read_flows(spark, f"{root}/table").select(*columns)
+
+
 @query
 def partitioned_roundtrip(spark, sf_dir):
     """A partitioned table of which one partition is then overwritten."""

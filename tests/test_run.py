@@ -580,3 +580,61 @@ def test_raw_rows_written_before_the_run_died_are_replaced(spark, tmp_path, monk
             world.run()
     assert len(lake_rows(spark, world, "raw")) == 2
     assert world.run().resumed == [] and len(lake_rows(spark, world, "raw")) == 2 == len(lake_rows(spark, world, "bronze/g0"))
+
+
+@pytest.mark.parametrize("changes", [True, False])
+def test_a_sink_that_fails_once_neither_doubles_nor_loses_rows(spark, tmp_path, monkeypatch, changes):
+    sinks = [{"name": n, "path": f"{tmp_path}/{n}", "format": "parquet"} for n in ("first", "second")]
+    more = {} if changes else {"cdc_apply_changes": None}
+    world = World(spark, tmp_path, sinks=sinks, **more)
+    world.sources([(1, 1, "I", day(1)), (2, 2, "I", day(1))], [(1, "one", 1.0), (2, "two", 2.0)])
+    real, calls = st.SilverBatches._sink, []
+
+    def failing(sink, place):
+        def write(rows):
+            calls.append(sink["name"])
+            if calls.count("second") == 1 and sink["name"] == "second":
+                raise RuntimeError("lost")
+            real(sink, place)(rows)
+        return write
+
+    monkeypatch.setattr(st.SilverBatches, "_sink", staticmethod(failing))
+    with pytest.raises(StreamingQueryException):
+        world.run()
+    assert world.run().resumed == ["rdb_ingestion", "bronze"]
+    for name in ("first", "second"):
+        assert sorted(r["id"] for r in spark.read.parquet(f"{tmp_path}/{name}").collect()) == [1, 2]
+    assert len(world.silver_rows()) == 2
+
+
+def test_several_sources_of_a_bronze_table_from_its_spec(spark, tmp_path):
+    """One source has the table's columns, one lacks some, one has a column of another type."""
+    base = "seq long, key long, op string, at timestamp, id long, name string, price double"
+    spark.createDataFrame([(20, 3, "I", day(2), 3, "three", 3.0)], base).write.parquet(f"{tmp_path}/in/a")
+    spark.createDataFrame([(21, 4, "I", 4)], "seq long, key long, op string, id long").write.parquet(f"{tmp_path}/in/b")
+    spark.createDataFrame([("22", 5, "I", 5, "7.5")], "seq string, key long, op string, id long, price string").write.parquet(f"{tmp_path}/in/c")
+    flows = [{"name": n, "source": f"{tmp_path}/in/{n}", "format": "parquet", "schema": None if n == "a" else base} for n in "abc"]
+    doc = document(str(tmp_path), "2024-01-01")
+    doc["bronze"]["append_flows"] = flows
+    world = World(spark, tmp_path)
+    world.sources([(1, 1, "I", day(1))], [(1, "one", 1.0)])
+    spec = sp.specs_frame(spark, [doc]).first()
+    row = sp.bronze_specs(spark.createDataFrame([spec], sp.SPEC_SCHEMA)).first()
+    assert [f["name"] for f in json.loads(row["appendFlows"])] == ["a", "b", "c"] and set(row["appendFlowsSchemas"]) == {"b", "c"}
+    result = rn.run_dataflow(spark, spec, f"{tmp_path}/lake", AT)
+    assert result.rows["bronze"] == 4 and world.silver_rows() >= {(1, "one", 1.0), (3, "three", 3.0), (5, None, 7.5)}
+    # Each source has its own checkpoint: only what is new is taken in.
+    spark.createDataFrame([(23, 6, "I", 6)], "seq long, key long, op string, id long").write.mode("append").parquet(f"{tmp_path}/in/b")
+    assert rn.run_dataflow(spark, spec, f"{tmp_path}/lake", AT).rows["bronze"] == 2
+
+
+def test_what_a_contract_refuses(spark):
+    from oreflow.operators.joins import conform
+
+    rows = spark.createDataFrame([(1, "x")], "A int, b string")
+    assert conform(rows, "a long, b string, c date").dtypes == [("a", "bigint"), ("b", "string"), ("c", "date")]
+    with pytest.raises(ValueError, match="outside the contract: b"):
+        conform(rows, "a long")
+    with pytest.raises(Exception, match="CAST"):
+        conform(rows, "a date, b string").collect()
+    assert conform(rows.limit(0), "a long, b string").count() == 0
