@@ -20,7 +20,7 @@ from oreflow.session import build_session  # noqa: E402
 
 HEADLINE = [
     "scd1_apply_changes", "scd1_incremental", "scd1_overlay", "scd1_stored", "scd1_bucketed", "scd1_stream",
-    "change_feed_diff",
+    "change_feed_diff", "merge_change_feed", "scd1_soft_delete",
     "ingest_incremental", "bronze_flow", "silver_flow", "ingest_date_window", "allowlist_semi_join",
     "dedup_row_number", "append_schema_merge", "partitioned_roundtrip", "dq_metrics", "dq_quarantine", "val_checks",
     "latest_status", "mon_failures", "mon_anomalies", "mon_sla", "mon_success_rate", "mon_freshness", "mon_alerts",
