@@ -14,13 +14,18 @@ from oreflow.functions.text import thousands
 
 @dataclass(frozen=True)
 class TableChecks:
-    """What one table must satisfy. ``frame`` is None when the table does not exist."""
+    """What one table must satisfy. ``frame`` is None when the table does not exist.
+
+    ``measured`` has the counts of ``measure`` for the table, if they are known already (see ``touched_measure``); the
+    table is not read then.
+    """
 
     frame: DataFrame | None
     min_rows: int | None = 1
     required: Sequence[str] = ()
     not_null: Sequence[str] = ()
     unique: Sequence[str] = ()
+    measured: DataFrame | None = None
 
 
 def _present(df: DataFrame, names: Sequence[str]) -> list[str]:
@@ -56,7 +61,7 @@ def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
     return [c for c in required if c.lower() not in have]
 
 
-def _measure(checks: TableChecks) -> DataFrame:
+def measure(checks: TableChecks) -> DataFrame:
     """All counts a table needs in one row and one scan.
 
     With a uniqueness check the scan is grouped by the key first; row and null counts ride along as partial
@@ -77,6 +82,42 @@ def _measure(checks: TableChecks) -> DataFrame:
     )
 
 
+def touched_measure(before: DataFrame, batch: DataFrame, checks: TableChecks) -> DataFrame:
+    """What appending ``batch`` to the table ``before`` adds to the counts of ``measure``: one row of differences.
+
+    Only keys of the batch can become, or be anything but what they were. So of the table the key columns are read, cut to
+    those keys (null being a key like others), and grouped with the batch: a busy key is a row per task on both sides.
+    Sums of these rows from the first batch on are the counts of the whole table; ``added_measures`` adds them.
+    """
+    keys, nullable = list(checks.unique), _present(batch, checks.not_null)
+    if not keys or len(_present(batch, keys)) < len(keys):
+        raise ValueError("the keys of the batch are needed")
+    columns = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    names = [f"_k{i}" for i in range(len(keys))]
+    new = batch.select(*columns, *[F.col(c).isNull().alias(f"_is_null_{i}") for i, c in enumerate(nullable)])
+    new = new.groupBy(*names).agg(
+        F.count(F.lit(1)).alias("_new"), *[F.count_if(f"_is_null_{i}").alias(f"_null_{i}") for i in range(len(nullable))])
+    given = new.select(*[F.col(n).alias(f"_g{n}") for n in names])
+    same = [F.col(n).eqNullSafe(F.col(f"_g{n}")) for n in names]
+    old = before.select(*columns).join(given, same, "left_semi").groupBy(*names).agg(F.count(F.lit(1)).alias("_old"))
+    old = old.select("_old", *[F.col(n).alias(f"_o{n}") for n in names])
+    both = new.join(old, [F.col(n).eqNullSafe(F.col(f"_o{n}")) for n in names], "left")
+    held = F.coalesce(F.col("_old"), F.lit(0))
+    return both.agg(
+        F.coalesce(F.sum("_new"), F.lit(0)).alias("_rows"),
+        *[F.coalesce(F.sum(f"_null_{i}"), F.lit(0)).alias(f"_null_{i}") for i in range(len(nullable))],
+        (F.count_if(held + F.col("_new") > 1) - F.count_if(held > 1)).alias("_duplicates"),
+    )
+
+
+def added_measures(measures: Sequence[DataFrame]) -> DataFrame:
+    """The counts of a table from those of its batches."""
+    whole = measures[0]
+    for more in measures[1:]:
+        whole = whole.unionByName(more)
+    return whole.agg(*[F.sum(c).alias(c) for c in whole.columns])
+
+
 def _entry(check: str, passed: Column, ok: Column, bad: Column) -> Column:
     return F.struct(
         F.lit(check).alias("check"),
@@ -96,7 +137,7 @@ def check_table(spark: SparkSession, name: str, checks: TableChecks) -> DataFram
     if checks.frame is None:
         source = spark.range(1)
     else:
-        df, source = checks.frame, _measure(checks)
+        df, source = checks.frame, measure(checks) if checks.measured is None else checks.measured
         if checks.min_rows is not None:
             rows = F.col("_rows")
             entries.append(_entry(

@@ -434,6 +434,10 @@ UNION ALL SELECT 'seq', count(*) FILTER (seq IS NULL) FROM feed""",
 FROM (SELECT o_custkey FROM orders GROUP BY 1 HAVING count(*) > 1)
 UNION ALL SELECT 'o_orderkey', count(*) FROM (SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1)""",
     "val_checks": f"WITH {SILVER}, {CHECKS} SELECT * FROM checks",
+    "val_touched": "\nUNION ALL\n".join(
+        f"SELECT {n} AS batch, sum(c)::bigint AS rows, sum(m)::bigint AS nulls, count(*) FILTER (c > 1) AS duplicates FROM ("
+        f"SELECT count(*) AS c, count(*) FILTER (o_orderpriority IS NULL) AS m FROM orders WHERE o_orderkey % 4 <= {n} "
+        "GROUP BY o_custkey, o_orderpriority)" for n in range(4)),
     "val_report": f"""WITH {SILVER}, {CHECKS}
 SELECT 'items' AS dataflow_id, {NOW} AS timestamp, 'FAILED' AS overall_status, count(*) AS total_checks,
        count(*) FILTER (status = 'PASSED') AS passed_checks, count(*) FILTER (status = 'FAILED') AS failed_checks,

@@ -604,6 +604,20 @@ def val_checks(spark, sf_dir):
     return validation.validate(spark, _layer_plan(spark, sf_dir))
 
 
+@query
+def val_touched(spark, sf_dir):
+    """Counts of a table after each of four batches, of which each looks at its own keys only."""
+    orders, part = fx.table(spark, sf_dir, "orders"), F.col("o_orderkey") % 4
+    checks = validation.TableChecks(orders, not_null=["o_orderpriority"], unique=["o_custkey", "o_orderpriority"])
+    added = [validation.touched_measure(orders.where(part < n), orders.where(part == n), checks) for n in range(4)]
+    rows = [
+        validation.added_measures(added[: n + 1]).select(
+            F.lit(n).alias("batch"), F.col("_rows").alias("rows"), F.col("_null_0").alias("nulls"), F.col("_duplicates").alias("duplicates"))
+        for n in range(4)
+    ]
+    return joins.append_flows(rows)
+
+
 @query
 def val_report(spark, sf_dir):
     results = validation.validate(spark, _layer_plan(spark, sf_dir))

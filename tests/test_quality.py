@@ -116,3 +116,36 @@ def test_validation_report(spark, rows):
     report = v.validation_report(v.validate(spark, plan), "items", "2024-01-31 00:00:00").first()
     assert (report["overall_status"], report["total_checks"], report["failed_checks"]) == ("FAILED", 3, 1)
     assert '"dataflow_id":"items"' in report["report_json"] and '"check":"record_count"' in report["report_json"]
+
+
+def test_counts_of_batches_add_up_to_those_of_the_table(spark):
+    """Keys that repeat within a batch, across batches and not at all, null keys, and one with a third of all rows."""
+    import random
+
+    from oreflow.operators import validation as va
+
+    rnd = random.Random(3)
+    rows = [(0 if rnd.random() < 0.34 else rnd.choice([None, *range(1, 60)]), rnd.choice(["a", "b", None]), i) for i in range(240)]
+    batches = [rows[:5], rows[5:120], [], rows[120:200], rows[200:]]
+    schema, seen, added = "k int, l string, v int", [], []
+    for batch in batches:
+        before, new = spark.createDataFrame(seen, schema), spark.createDataFrame(batch, schema)
+        checks = va.TableChecks(new, not_null=["l", "k"], unique=["k", "l"])
+        added.append(va.touched_measure(before, new, checks))
+        seen += batch
+        whole = va.TableChecks(spark.createDataFrame(seen, schema), not_null=["l", "k"], unique=["k", "l"])
+        total = va.added_measures(added)
+        assert total.select("_rows", "_null_0", "_null_1", "_duplicates").first() == va.measure(whole).select("_rows", "_null_0", "_null_1", "_duplicates").first()
+    known = va.TableChecks(whole.frame, not_null=["l", "k"], unique=["k", "l"], measured=total)
+    assert sorted(va.check_table(spark, "t", known).collect()) == sorted(va.check_table(spark, "t", whole).collect())
+    with pytest.raises(ValueError):
+        va.touched_measure(whole.frame, whole.frame, va.TableChecks(whole.frame))
+
+
+def test_a_batch_reads_the_keys_of_the_table_only(spark, tmp_path):
+    from oreflow.operators import validation as va
+
+    spark.range(100).selectExpr("id as k", "'x' as wide").write.parquet(f"{tmp_path}/t")
+    found = va.touched_measure(spark.read.parquet(f"{tmp_path}/t"), spark.range(3).selectExpr("id as k"), va.TableChecks(None, unique=["k"]))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "wide" not in plan and found.first()["_duplicates"] == 3
