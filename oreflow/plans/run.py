@@ -240,8 +240,8 @@ def run_ingestion(
     ws: Workspace, spec: Row, trigger_time: dt.datetime, result: RunResult,
     credentials: Mapping[str, str] | None = None, chain: str | None = None,
 ) -> None:
-    """Extract rows and write them to the raw table; with ``chain`` an append goes to a folder of that name, which the
-    same chain replaces when it comes again."""
+    """Extract rows and write them to the raw table. An append goes to a folder named by its chain, which the same chain
+    replaces when it comes again; without one to a folder of its own."""
     raw = spec["raw_bronze"]
     with _stage(ws, spec["dataflow_id"], spec["dataflow_group"], "rdb_ingestion", result) as run:
         rows = source_rows(ws.spark, spec["source"], trigger_time, credentials)
@@ -255,8 +255,8 @@ def run_ingestion(
         if ignored:  # properties of a table format; which ones had no effect stands in the history
             run.metadata["ignored_table_properties"] = ", ".join(ignored)
         path, mode = ws.path(_raw_details(spec)), raw["write_mode"] or "append"
-        if mode == "append" and chain:
-            path, mode = f"{path}/{CHAIN}={chain}", "overwrite"
+        if mode == "append":
+            path, mode = f"{path}/{CHAIN}={chain or run.execution_id}", "overwrite"
         run.rows = write_table(
             rows, path, mode, raw["partition_columns"] or (), options=options, balance=bool(raw["partition_columns"]),
         )
