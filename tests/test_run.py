@@ -493,7 +493,7 @@ def test_raw_properties_are_carried_out_or_told(spark, tmp_path):
     given = document(tmp_path)
     given["raw_bronze"] |= {"format": "delta", "table_properties": {"compression": "gzip", "delta.autoOptimize": "true"}}
     rn.run_dataflow(spark, sp.specs_frame(spark, [given]).first(), f"{tmp_path}/lake", AT)
-    assert list(tmp_path.glob("lake/c/s/raw/*.gz.parquet"))
+    assert list(tmp_path.glob("lake/c/s/raw/*/*.gz.parquet"))
     told = [r["metadata"] for r in world.metadata("pipeline_execution_history").where("stage = 'rdb_ingestion'").collect()]
     assert told == [{"ignored_table_properties": "delta.autoOptimize"}]
     given["raw_bronze"]["format"] = "csv"
