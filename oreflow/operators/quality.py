@@ -78,6 +78,16 @@ def failed_rules(rules: Sequence[Rule]) -> Column:
     return F.array_compact(F.array(*[F.when(~r.holds, F.lit(r.name)) for r in rules]))
 
 
+def count_columns(
+    rules: Sequence[Rule], within: Column | None = None, extra: Mapping[str, Column] | None = None
+) -> list[Column]:
+    """The counts behind ``metrics`` as aggregates: total, violations per rule, and what ``extra`` conditions give."""
+    among, extra = F.lit(True) if within is None else within, extra or {}
+    failed = [F.count_if(~r.holds) for r in rules] + [F.count_if(among & ~holds) for holds in extra.values()]
+    passed = [F.count_if(among & holds).alias(f"p{i}") for i, holds in enumerate(extra.values())]
+    return [F.count(F.lit(1)).alias("total"), *[count.alias(f"f{i}") for i, count in enumerate(failed)], *passed]
+
+
 def metrics(
     df: DataFrame, rules: Sequence[Rule], within: Column | None = None, extra: Mapping[str, Column] | None = None
 ) -> DataFrame:
@@ -85,12 +95,8 @@ def metrics(
 
     ``extra`` conditions, named by their action, are counted in the same pass among the rows that meet ``within``.
     """
-    among = F.lit(True) if within is None else within
     extra = extra or {}
-    total = F.count(F.lit(1)).alias("total")
-    failed = [F.count_if(~r.holds) for r in rules] + [F.count_if(among & ~holds) for holds in extra.values()]
-    passed = [F.count_if(among & holds).alias(f"p{i}") for i, holds in enumerate(extra.values())]
-    counts = df.agg(total, *[count.alias(f"f{i}") for i, count in enumerate(failed)], *passed)
+    counts = df.agg(*count_columns(rules, within, extra))
 
     def entry(name: str, action: str, passed: Column, number: int) -> Column:
         return F.struct(
@@ -104,6 +110,19 @@ def metrics(
     return counts.select("total", F.inline(listed)).select("rule", "action", "passed", "failed", "total")
 
 
+def metric_entries(counts: Mapping[str, int], rules: Sequence[Rule], extra: Sequence[str] = ()) -> list[dict]:
+    """The rows of ``metrics`` from counts that were taken otherwise, as dicts."""
+    total = counts["total"]
+    rows = [
+        {"rule": r.name, "action": r.action, "passed": total - counts[f"f{i}"], "failed": counts[f"f{i}"]}
+        for i, r in enumerate(rules)
+    ] + [
+        {"rule": name, "action": name, "passed": counts[f"p{i}"], "failed": counts[f"f{len(rules) + i}"]}
+        for i, name in enumerate(extra)
+    ]
+    return [{**row, "total": total} for row in rows]
+
+
 def violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Offending fail rules with their row counts; empty when the gate is open."""
     gate = _with_action(rules, "fail")

@@ -28,7 +28,9 @@ from oreflow.operators.dedup import best_by, latest_by
 from oreflow.operators.filters import since
 from oreflow.operators.joins import join_master
 from oreflow.operators.project import add_metadata_columns, rtrim_strings, select_where
-from oreflow.operators.quality import Rule, fail_gate, keep, keep_condition, metrics, quarantine, rules_from_json
+from oreflow.operators.quality import (
+    Rule, count_columns, fail_gate, keep, keep_condition, metric_entries, metrics, quarantine, rules_from_json,
+)
 
 
 FILE_FORMATS = ("parquet", "orc", "json", "csv", "text")
@@ -242,17 +244,29 @@ def split_silver(rows: DataFrame, rules: Sequence[Rule], changes: ChangeRules |
     ``REJECT``, tells how many of the kept rows can be applied.
     """
     kept, held = keep(rows, rules), quarantine(rows, rules)
-    usable = F.lit(True)
     if changes:
         marked = change_rows(kept, changes)
         applied, rejected = split_changes(marked, changes)
         held = held.unionByName(rejected.select(*held.columns))
         kept = applied.drop(SEQUENCE, DELETED)
-        usable = usable_row(changes)
-    counts = metrics(rows, [*rules], within=keep_condition(rules), extra={REJECT: usable})
+    counts = metrics(rows, [*rules], within=keep_condition(rules), extra=_usable(changes))
     return SilverResult(kept, held, counts)
 
 
+def _usable(changes: ChangeRules | None) -> dict[str, Column]:
+    return {REJECT: usable_row(changes) if changes else F.lit(True)}
+
+
+def silver_counts(rules: Sequence[Rule], changes: ChangeRules | None) -> list[Column]:
+    """The counts of ``split_silver`` as aggregates, for a ``Tally``."""
+    return count_columns(rules, keep_condition(rules), _usable(changes))
+
+
+def silver_entries(counts: Mapping[str, int], rules: Sequence[Rule]) -> list[dict]:
+    """The metrics of ``split_silver`` from these counts."""
+    return metric_entries(counts, rules, (REJECT,))
+
+
 def silver_changes(
     bronze_rows: DataFrame, flow: SilverFlow, as_of: dt.datetime | None = None, gate: bool = True
 ) -> SilverResult:
@@ -279,5 +293,5 @@ def silver_of(rows: DataFrame, flow: SilverFlow) -> DataFrame:
 __all__ = [
     "BronzeFlow", "Deduplication", "SilverFlow", "SilverResult", "at_moment", "bronze", "deduplication_of", "bronze_flow_of", "change_rules_of",
     "REJECT", "checked_rows", "ingest", "silver", "silver_changes", "silver_flow_of", "selected_rows", "silver_of",
-    "silver_rows", "split_silver",
+    "silver_counts", "silver_entries", "silver_rows", "split_silver",
 ]

@@ -76,7 +76,7 @@ class Workspace:
             held = open_table(self.spark, self.metadata(name), schema=schema)
         else:
             held = open_table(self.spark, self.metadata(name), mergeSchema="true")
-        return None if held is None else held.drop(FLOW)
+        return None if held is None else held.drop(FLOW, SOURCE, BATCH)
 
     def raw_table(self, spec: Row) -> DataFrame | None:
         """The raw rows of a dataflow, None before its first run."""
@@ -308,19 +308,22 @@ def run_silver(
         schema = read_merged(ws.spark, source).schema
         rows = read_source(ws.spark, source, schema=schema, stream=True).drop(FLOW, BATCH)
         target = ws.silver_target(flow)
-        batches = SilverBatches(flow, target, ws.quarantine_path(flow), as_of)
+        def store(counts: list[dict], place: str) -> None:
+            """The event of a batch, in a folder of its own, so that one that comes again replaces it."""
+            if counts:
+                seen = ws.spark.createDataFrame(counts, "rule string, action string, passed bigint, failed bigint, total bigint")
+                log = event_log(seen, flow.dataflow_id, moment(as_of))
+                log.coalesce(1).write.mode("overwrite").parquet(f"{ws.metadata('event_log', flow.dataflow_id)}/{place}")
+
+        batches = SilverBatches(flow, target, ws.quarantine_path(flow), as_of, store)
         silver_stream(rows, batches, ws.checkpoint(flow, "silver")).awaitTermination()
         batches.finish()
         if isinstance(target, ChangeTarget) and target.pending_batches() >= ws.compact_every:
             target.compact()
         run.rows = batches.rows
         result.quality = list(batches.metrics.values())
-        if result.quality:
-            seen = ws.spark.createDataFrame(
-                result.quality, "rule string, action string, passed bigint, failed bigint, total bigint"
-            )
-            log = event_log(seen, flow.dataflow_id, moment(as_of))
-            log.coalesce(1).write.mode("append").parquet(ws.metadata("event_log", flow.dataflow_id))
+        if isinstance(target, LatestRows):  # counts of a batch are differences here; the run has the whole
+            store(result.quality, f"{SOURCE}={run.execution_id}/{BATCH}=0")
 
 
 def reprocess_quarantine(

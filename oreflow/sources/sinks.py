@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from py4j.protocol import Py4JError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.functions.rows import comparable
@@ -28,6 +29,40 @@ def clustered(df: DataFrame, keys: Sequence[str], files: int | None = None) -> D
     return shuffled.sortWithinPartitions(*keys)
 
 
+class Tally:
+    """Counts of rows taken by the write that they go into, even ahead of its shuffles.
+
+    A task before a shuffle that runs again, because an executor was lost or was slow, counts its rows again. So the
+    tasks are counted too, as first rows and as different partitions. Where these differ, or the optimizer left the
+    counts out of a plan without rows, ``counts`` is None, and the caller counts in a pass of its own.
+    """
+
+    PARTITION, FIRST = "__tally_partition", "__tally_first"
+    #: Bits that ``monotonically_increasing_id`` leaves for the rows of a partition.
+    ROW_BITS = (1 << 33) - 1
+
+    def __init__(self, columns: Sequence[Column]):
+        self.columns, self.seen = list(columns), Observation()
+
+    def over(self, df: DataFrame) -> DataFrame:
+        """The same rows, counted when something is written from them. Once per tally."""
+        marked = df.withColumns({
+            self.PARTITION: F.spark_partition_id(),
+            self.FIRST: F.monotonically_increasing_id().bitwiseAND(F.lit(self.ROW_BITS)) == 0,
+        })
+        tasks = F.count_if(F.col(self.FIRST)).alias(self.FIRST)
+        partitions = F.size(F.collect_set(self.PARTITION)).alias(self.PARTITION)
+        return marked.observe(self.seen, *self.columns, tasks, partitions).drop(self.PARTITION, self.FIRST)
+
+    def counts(self) -> dict[str, int] | None:
+        """After the write: the counts by name, None if they may be wrong."""
+        try:
+            values = dict(self.seen.get)
+        except Py4JError:  # the plan had no rows and lost its observation
+            return None
+        return values if values and values.pop(self.FIRST) == values.pop(self.PARTITION) else None
+
+
 def write_table(
     df: DataFrame,
     path: str,

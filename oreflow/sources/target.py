@@ -159,12 +159,24 @@ class ChangeTarget:
         rejected.write.mode("overwrite").parquet(f"{self.path}/rejected/{self._place(source, batch_id)}")
         self.append_reduced(latest_changes(usable, self.rules), batch_id, source)
 
-    def append_reduced(self, latest: DataFrame, batch_id: int, source: str = "batch") -> None:
+    def append_reduced(
+        self, latest: DataFrame, batch_id: int, source: str = "batch", gate: Callable[[], None] | None = None
+    ) -> None:
+        """Apply rows that are change rows already, one per key. ``gate`` is called when they are written and readers
+        do not see them yet; what it raises keeps them unseen."""
         latest.write.mode("overwrite").parquet(f"{self.path}/changes/{self._place(source, batch_id)}")
+        if gate:
+            gate()
         log = self._read_log()
         last = log.agg(F.max("number")).first()[0] if log is not None else None
         self._log((last or 0) + 1, "changes", source, batch_id)
 
+    def applied(self, batch_id: int, source: str = "batch") -> bool:
+        """Whether readers see the batch already, as when it comes again after a failure."""
+        log = self._read_log()
+        same = (F.col("kind") == "changes") & (F.col("source") == source) & (F.col("batch") == batch_id)
+        return log is not None and not log.where(same).isEmpty()
+
     def rejected(self) -> DataFrame | None:
         """Rows that ``append`` could not apply."""
         held = open_table(self.spark, f"{self.path}/rejected", mergeSchema="true")

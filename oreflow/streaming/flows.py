@@ -16,9 +16,10 @@ from oreflow.operators.cdc import change_rows, latest_changes
 from oreflow.operators.quality import raise_offenders
 from oreflow.functions.clock import AsOf
 from oreflow.plans.flows import (
-    REJECT, BronzeFlow, SilverFlow, bronze, checked_rows, deduplication_of, selected_rows, silver_rows, split_silver,
+    REJECT, BronzeFlow, SilverFlow, bronze, checked_rows, deduplication_of, selected_rows, silver_counts, silver_entries,
+    silver_rows, split_silver,
 )
-from oreflow.sources.sinks import clustered, read_merged, write_all
+from oreflow.sources.sinks import Tally, clustered, read_merged, write_all
 from oreflow.sources.target import BATCH, SOURCE, ChangeTarget, LatestRows
 
 
@@ -138,18 +139,21 @@ class SilverBatches:
     """Micro-batches of a silver flow: expectations, quarantine, then the target or, without change rules, a plain
     table at ``path``.
 
-    One narrow pass counts everything before anything is written: the fail rules decide whether the batch may be
-    written, and the other counts whether there is anything to quarantine. Counting apart from the write keeps the
-    numbers exact when a stage of the write has to run again. Every output of a batch goes to a folder named by
-    its stream and id, so a repeated batch replaces itself.
+    Rules are counted by the write of the batch itself (see ``Tally``), and the quarantine is written only if these
+    counts say that it gets rows. Fail rules keep a batch from being seen: a change target logs a batch after its
+    write, so they are judged in between. Where a write is seen at once, in a plain table or in the place of a batch
+    that is logged already, a flow with fail rules counts in a narrow pass ahead of it. Every output of a batch goes to
+    a folder named by its stream and id, so a repeated batch replaces itself; ``store`` gets its counts with that place.
     """
 
     def __init__(
-        self, flow: SilverFlow, target: ChangeTarget | LatestRows | str, quarantine_path: str, as_of: dt.datetime | None = None
+        self, flow: SilverFlow, target: ChangeTarget | LatestRows | str, quarantine_path: str, as_of: dt.datetime | None = None,
+        store: Callable[[list[dict], str], None] | None = None,
     ):
         if flow.sinks and isinstance(target, LatestRows):
             raise ValueError("a deduplicated table takes rows back, so it can feed no further sinks")
         self.flow, self.target, self.quarantine_path, self.as_of = flow, target, quarantine_path, as_of
+        self.store = store
         self.rows = 0
         self.metrics: dict[str, dict] = {}
         #: Whether the quarantine of a deduplicated table is older than the table; it may be from an earlier run.
@@ -159,25 +163,38 @@ class SilverBatches:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if isinstance(self.target, LatestRows):
             return self._deduplicated(batch, batch_id)
-        changes = self.flow.changes
-        rows, rules = checked_rows(silver_rows(batch, self.flow, self.as_of), self.flow)
-        result = split_silver(rows, rules, changes)
-        counts = [row.asDict() for row in result.metrics.collect()]
-        raise_offenders(counts)
-        source = stream_id(batch)
+        changes, source = self.flow.changes, stream_id(batch)
         place = f"{SOURCE}={source}/{BATCH}={batch_id}"
+        rows, rules = checked_rows(silver_rows(batch, self.flow, self.as_of), self.flow)
+        whole = split_silver(rows, rules, changes)
+        tally = Tally(silver_counts(rules, changes))
+        written = split_silver(tally.over(rows), rules, changes).changes
+        counts: list[dict] = []
+
+        def judge(counted: bool = True) -> None:
+            found = tally.counts() if counted else None
+            counts[:] = silver_entries(found, rules) if found else [row.asDict() for row in whole.metrics.collect()]
+            raise_offenders(counts)
+
+        hidden = isinstance(self.target, ChangeTarget) and not self.target.applied(batch_id, source)
+        if not hidden and any(rule.action == "fail" for rule in rules):
+            judge(counted=False)
         if isinstance(self.target, ChangeTarget):
-            latest = latest_changes(change_rows(result.changes, changes), changes)
-            self.target.append_reduced(latest, batch_id, source)
-            written = batch.sparkSession.read.schema(latest.schema).parquet(f"{self.target.path}/changes/{place}")
+            latest = latest_changes(change_rows(written, changes), changes)
+            self.target.append_reduced(latest, batch_id, source, None if counts else judge)
+            applied = batch.sparkSession.read.schema(latest.schema).parquet(f"{self.target.path}/changes/{place}")
             for sink in self.flow.sinks:
-                self._sink(sink, place)(written)
+                self._sink(sink, place)(applied)
         else:
-            rows = clustered(result.changes, self.flow.cluster_by) if self.flow.cluster_by else result.changes
+            rows = clustered(written, self.flow.cluster_by) if self.flow.cluster_by else written
             write_all(rows, f"{self.target}/{place}", [self._sink(s, place) for s in self.flow.sinks])
+            if not counts:
+                judge()
         if any(c["failed"] for c in counts if c["action"] in ("quarantine", REJECT)):
-            result.quarantined.write.mode("overwrite").parquet(f"{self.quarantine_path}/{place}")
+            whole.quarantined.write.mode("overwrite").parquet(f"{self.quarantine_path}/{place}")
         self._count(counts)
+        if self.store:
+            self.store([c for c in counts if c["action"] != REJECT], place)
 
     @staticmethod
     def _sink(sink: Mapping[str, Any], place: str) -> Callable[[DataFrame], None]:

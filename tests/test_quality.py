@@ -1,9 +1,17 @@
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
+from oreflow.operators import cdc
 from oreflow.operators import quality as q
 from oreflow.operators import validation as v
 from oreflow.operators.quality import Rule
+from oreflow.plans import flows
+from oreflow.sources import sinks
+from oreflow.sources.readers import open_table
+from oreflow.sources.target import ChangeTarget
+from oreflow.streaming import flows as st
 
 ROWS = [(1, 5.0, "a@b"), (2, -1.0, "c@d"), (3, None, "e"), (None, 2.0, None)]
 RULES = [
@@ -149,3 +157,66 @@ def test_a_batch_reads_the_keys_of_the_table_only(spark, tmp_path):
     found = va.touched_measure(spark.read.parquet(f"{tmp_path}/t"), spark.range(3).selectExpr("id as k"), va.TableChecks(None, unique=["k"]))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and "wide" not in plan and found.first()["_duplicates"] == 3
+
+
+class TestCountedByTheWrite:
+    def flow(self, *rules, changes=True):
+        given = cdc.ChangeRules(keys=["k"], sequence_by="seq") if changes else None
+        return flows.SilverFlow(source={}, target={}, rules=rules, changes=given)
+
+    def frame(self, spark, n=200, dear=0):
+        k = F.when(F.col("id") % 3 == 0, F.lit(0)).when(F.col("id") % 10 == 1, None).otherwise(F.col("id"))
+        return spark.range(n).select(k.alias("k"), F.col("id").alias("seq"), F.when(F.col("id") % 7 != 0, F.col("id") + dear).alias("v"))
+
+    RULES = (q.Rule("v_set", "v IS NOT NULL", "quarantine"), q.Rule("low", "v < 150"), q.Rule("not_5", "v <> 5", "drop"))
+
+    @pytest.mark.parametrize("changes", [True, False])
+    def test_counts_equal_those_of_a_pass(self, spark, tmp_path, monkeypatch, changes):
+        flow, rows, used, stored = self.flow(*self.RULES, changes=changes), self.frame(spark).repartition(5), [], {}
+        real = st.silver_entries
+        monkeypatch.setattr(st, "silver_entries", lambda *a: used.append(1) or real(*a))
+        target = ChangeTarget(spark, f"{tmp_path}/t", flow.changes) if changes else f"{tmp_path}/t"
+        batches = st.SilverBatches(flow, target, f"{tmp_path}/q", store=lambda counts, place: stored.update({place: counts}))
+        batches(rows, 0)
+        batches(rows, 0)
+        whole = flows.split_silver(rows, flow.rules, flow.changes)
+        expected = {r["rule"]: r.asDict() for r in whole.metrics.collect()}
+        assert len(used) == 2 and list(stored) == ["_source=batch/_batch=0"]
+        assert {c["rule"]: c for c in stored["_source=batch/_batch=0"]} == {k: v for k, v in expected.items() if k != "reject"}
+        assert batches.rows == 2 * expected["reject"]["passed"]
+        assert spark.read.parquet(f"{tmp_path}/q").count() == whole.quarantined.count()
+
+    def test_empty_batches(self, spark, tmp_path):
+        flow = self.flow(*self.RULES)
+        batches = st.SilverBatches(flow, ChangeTarget(spark, f"{tmp_path}/t", flow.changes), f"{tmp_path}/q")
+        empty = self.frame(spark).limit(0)
+        batches(empty, 0)
+        batches(spark.createDataFrame([], empty.schema), 1)
+        assert batches.rows == 0 and {(m["total"], m["failed"]) for m in batches.metrics.values()} == {(0, 0)}
+
+    def test_tasks_that_ran_twice_are_noticed(self, spark):
+        tally = sinks.Tally([F.count(F.lit(1)).alias("total")])
+        tally.over(self.frame(spark).repartition(3)).groupBy("k").count().collect()
+        assert tally.counts() == {"total": 200}
+        tally.seen = SimpleNamespace(get={"total": 260, tally.FIRST: 4, tally.PARTITION: 3})
+        assert tally.counts() is None
+
+    def test_a_violated_fail_rule_keeps_the_batch_unseen(self, spark, tmp_path):
+        flow = self.flow(q.Rule("cheap", "coalesce(v, 0) < 500", "fail"))
+        target = ChangeTarget(spark, f"{tmp_path}/t", flow.changes)
+        batches = st.SilverBatches(flow, target, f"{tmp_path}/q")
+        with pytest.raises(q.QualityError, match="cheap"):
+            batches(self.frame(spark, dear=1000), 0)
+        assert target.current() is None
+        batches(self.frame(spark), 0)
+        seen = sorted(map(tuple, target.current().collect()), key=str)
+        # The batch is logged now: when it comes again, it is judged before it takes its own place.
+        with pytest.raises(q.QualityError):
+            batches(self.frame(spark, dear=1000), 0)
+        assert sorted(map(tuple, target.current().collect()), key=str) == seen and batches.rows > 0
+
+    def test_a_plain_table_is_judged_before_it_is_written(self, spark, tmp_path):
+        flow = self.flow(q.Rule("cheap", "coalesce(v, 0) < 500", "fail"), changes=False)
+        with pytest.raises(q.QualityError):
+            st.SilverBatches(flow, f"{tmp_path}/t", f"{tmp_path}/q")(self.frame(spark, dear=1000), 0)
+        assert open_table(spark, f"{tmp_path}/t") is None
