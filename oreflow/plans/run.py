@@ -33,7 +33,7 @@ from oreflow.plans.moments import FoldedHistory
 from oreflow.plans.monitor import Thresholds
 from oreflow.plans.spec import SPEC_SCHEMA, bronze_specs, silver_specs
 from oreflow.sources.readers import open_table, read_jdbc, read_source
-from oreflow.sources.sinks import read_merged, write_table
+from oreflow.sources.sinks import ClusterRanges, read_merged, write_table
 from oreflow.sources.target import BATCH, SOURCE, ChangeTarget, LatestRows
 from oreflow.streaming.flows import FLOW, SilverBatches, WrittenRows, append_flow_streams, bronze_stream, observed, silver_stream
 
@@ -41,6 +41,8 @@ from oreflow.streaming.flows import FLOW, SilverBatches, WrittenRows, append_flo
 CHAIN = "_chain"
 #: Name of a bronze table's own source among those appended to it.
 MAIN_FLOW = "main"
+#: Folder in which a file sink lists its files; readers of a table that has one see no others.
+SINK_LOG = "_spark_metadata"
 LAYERS = {"bronze": ("bronze",), "silver": ("silver",), "bronze_silver": ("bronze", "silver")}
 
 
@@ -274,12 +276,22 @@ def run_bronze(
         schema = read_merged(ws.spark, source, flow.file_format()).schema
         raw = read_source(ws.spark, source, flow.file_format(), flow.reader_options, schema, stream=True).drop(CHAIN)
         path, checkpoint = ws.layer_path(flow, "bronze"), ws.checkpoint(flow, "bronze")
+        streams = {MAIN_FLOW: raw} | {f["name"]: _appended(ws, flow, f) for f in flow.append_flows}
+        if len(streams) != 1 + len(flow.append_flows):
+            raise ValueError(f"the sources of {flow.dataflow_id} need names of their own, other than {MAIN_FLOW}")
+        rows = {name: bronze(stream, flow, as_of) for name, stream in streams.items()}
+        if flow.cluster_by:
+            if open_table(ws.spark, f"{path}/{SINK_LOG}/*", "binaryFile") is not None:
+                raise ValueError(f"the bronze table of {flow.dataflow_id} is not clustered yet: cluster_by needs a full refresh")
+            counted: dict[tuple[str, int], int] = {}
+            ranges = ClusterRanges(ws.spark, f"{path}_ranges", flow.cluster_by)
+            for query in append_flow_streams(rows, path, checkpoint, ranges, counted):
+                query.awaitTermination()
+            run.rows = sum(counted.values())
+            return
         with WrittenRows(ws.spark) as written:
             if flow.append_flows:
-                streams = {MAIN_FLOW: raw} | {f["name"]: _appended(ws, flow, f) for f in flow.append_flows}
-                if len(streams) != 1 + len(flow.append_flows):
-                    raise ValueError(f"the sources of {flow.dataflow_id} need names of their own, other than {MAIN_FLOW}")
-                queries = append_flow_streams({name: observed(bronze(s, flow, as_of)) for name, s in streams.items()}, path, checkpoint)
+                queries = append_flow_streams({name: observed(s) for name, s in rows.items()}, path, checkpoint)
             else:
                 queries = [bronze_stream(raw, flow, path, checkpoint, as_of)]
             for query in queries:

@@ -19,7 +19,7 @@ from oreflow.plans.flows import (
     REJECT, BronzeFlow, SilverFlow, bronze, checked_rows, deduplication_of, selected_rows, silver_counts, silver_entries,
     silver_rows, split_silver,
 )
-from oreflow.sources.sinks import Tally, clustered, read_merged, write_all
+from oreflow.sources.sinks import ClusterRanges, Tally, clustered, read_merged, write_all, write_table
 from oreflow.sources.target import BATCH, SOURCE, ChangeTarget, LatestRows
 
 
@@ -64,13 +64,27 @@ def apply_changes_stream(
     return batch_stream(stream, each, checkpoint)
 
 
-def append_flow_streams(sources: Mapping[str, DataFrame], path: str, checkpoint: str) -> list[StreamingQuery]:
+def append_flow_streams(
+    sources: Mapping[str, DataFrame], path: str, checkpoint: str, ranges: ClusterRanges | None = None,
+    written: dict[tuple[str, int], int] | None = None,
+) -> list[StreamingQuery]:
     """Several streams into one table, each with a checkpoint of its own.
 
     A file sink takes one query only, so every flow writes below its own folder; ``read_flows`` reads them as one.
+    With ``ranges`` every batch is clustered by them; ``written`` gets its rows by flow and batch then, as the write
+    counts them: a stream that is observed would count the rows that are read ahead as well.
     """
     def writer(name: str) -> Callable[[DataFrame, int], None]:
-        return lambda batch, n: batch.write.mode("overwrite").parquet(f"{path}/{FLOW}={name}/{BATCH}={n}")
+        def each(batch: DataFrame, n: int) -> None:
+            place = f"{path}/{FLOW}={name}/{BATCH}={n}"
+            if ranges is None:
+                batch.write.mode("overwrite").parquet(place)
+                return
+            rows = write_table(ranges.arranged(batch, n, name), place, "overwrite")
+            if written is not None:
+                written[name, n] = rows
+
+        return each
 
     return [batch_stream(stream, writer(name), f"{checkpoint}/{name}") for name, stream in sources.items()]
 

@@ -1,5 +1,7 @@
 import datetime as dt
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -35,6 +37,66 @@ def test_clustered_files_hold_key_ranges(spark, tmp_path):
     assert all(a[1] < b[0] for a, b in zip(edges, edges[1:]))
 
 
+class TestClusterRanges:
+    """Files of different batches of a clustered table line up."""
+
+    def write(self, spark, path, batches, **options):
+        ranges = sinks.ClusterRanges(spark, f"{path}_ranges", ["k", "id"], **options)
+        for number, batch in enumerate(batches):
+            sinks.write_table(ranges.arranged(batch, number), f"{path}/_batch={number}", "overwrite")
+        return ranges
+
+    def groups(self, path):
+        """(batch, smallest key, largest key, rows) of every row group."""
+        found = []
+        for file in Path(path).rglob("*.parquet"):
+            footer = pq.ParquetFile(file).metadata
+            for i in range(footer.num_row_groups):
+                group = footer.row_group(i)
+                stats = next(group.column(c).statistics for c in range(group.num_columns) if group.column(c).path_in_schema == "k")
+                found.append((file.parent.name, stats.min, stats.max, group.num_rows))
+        return found
+
+    def keys(self, spark, n, key):
+        return spark.range(n).select(key.alias("k"), "id").repartition(6)
+
+    def test_a_key_filter_reads_few_row_groups_of_every_batch(self, spark, tmp_path):
+        path = f"{tmp_path}/t"
+        batches = [self.keys(spark, 20_000, F.hash("id", F.lit(i)) % 50_000) for i in range(3)]
+        self.write(spark, path, batches, file_rows=500)
+        groups = self.groups(path)
+        assert sum(rows for *_, rows in groups) == 60_000
+        for key in (-49_000, -7, 123, 31_000):
+            for batch in range(3):
+                mine = [g for g in groups if g[0] == f"_batch={batch}"]
+                assert len(mine) > 30 and sum(low <= key <= high for _, low, high, _ in mine) <= 2
+        # The bounds of the first batch part the others too.
+        edges = sinks.ClusterRanges(spark, f"{path}_ranges", ["k"]).bounds()
+        assert len(edges) <= 70
+
+    def test_heavy_and_null_keys_and_keys_that_grow(self, spark, tmp_path):
+        path, n = f"{tmp_path}/t", 12_000
+        heavy = F.when(F.col("id") % 3 == 0, 3).when(F.col("id") % 3 == 1, None).otherwise(F.col("id"))
+        self.write(spark, path, [self.keys(spark, n, heavy), self.keys(spark, n, F.col("id") + 10**6)], file_rows=100)
+        by_batch = {b: [rows for batch, *_, rows in self.groups(path) if batch == f"_batch={b}"] for b in (0, 1)}
+        for sizes in by_batch.values():
+            assert sum(sizes) == n and len(sizes) > 30 and max(sizes) < n / 12
+        held = spark.read.parquet(path)
+        assert held.where("k = 3").count() == held.where("k IS NULL").count() == n // 3
+
+    def test_small_empty_and_repeated_batches(self, spark, tmp_path):
+        path = f"{tmp_path}/t"
+        small = spark.createDataFrame([(k, i) for i, k in enumerate(["b", None, "a", "b", "é", ""])], "k string, id int")
+        ranges = self.write(spark, path, [small, small.limit(0), small])
+        before = ranges.bounds()
+        sinks.write_table(ranges.arranged(small, 2), f"{path}/_batch=2", "overwrite")
+        assert ranges.bounds() == before
+        held = sinks.read_merged(spark, path)
+        assert held.count() == 12 and len([g for g in self.groups(path) if g[3]]) == 2
+        nan = spark.createDataFrame([(float("nan"), 1), (None, 2), (1.0, 3)], "k double, id int")
+        assert sinks.ClusterRanges(spark, f"{tmp_path}/nan", ["k"], file_rows=1).arranged(nan, 0).count() == 3
+
+
 def test_a_heavy_partition_value_is_written_by_several_tasks(spark, tmp_path):
     plan = sinks.balanced(spark.range(10).withColumn("p", F.lit(1)), ["p"])._jdf.queryExecution().executedPlan().toString()
     assert "REBALANCE_PARTITIONS_BY_COL" in plan

@@ -1,3 +1,4 @@
+import dataclasses
 import datetime as dt
 import json
 import random
@@ -638,3 +639,32 @@ def test_what_a_contract_refuses(spark):
     with pytest.raises(Exception, match="CAST"):
         conform(rows, "a date, b string").collect()
     assert conform(rows.limit(0), "a long, b string").count() == 0
+
+
+@pytest.mark.parametrize("appended", [False, True])
+def test_a_bronze_table_is_clustered_by_its_key(spark, tmp_path, appended):
+    def place(table):
+        return {"catalog": "c", "database": "s", "table": table}
+
+    more = [{"name": "more", "source": f"{tmp_path}/more"}] if appended else []
+    plain = rn.BronzeFlow({f"source_{k}": v for k, v in place("raw").items()}, place("bronze"), "items")
+    flow = dataclasses.replace(plain, cluster_by=["k"], append_flows=more)
+    ws, total = rn.Workspace(spark, f"{tmp_path}/lake"), 0
+    spark.range(5).select((F.col("id") * 100).alias("k"), F.lit("m").alias("name")).write.parquet(f"{tmp_path}/more")
+    for number in (1, 2):
+        rows = spark.range(300).select((F.col("id") * 37 % 300).alias("k"), F.lit(number).alias("n"))
+        rows.write.mode("append").parquet(ws.path(place("raw")))
+        result = rn.RunResult("items")
+        rn.run_bronze(ws, flow, result)
+        new = 300 + 5 * (appended and number == 1)
+        total += new
+        assert result.rows == {"bronze": new} and ws.table(flow, "bronze").count() == total
+    assert set(ws.table(flow, "bronze").columns) == {"k", "n", *(["name"] if appended else [])}
+    # A table written without clustering takes it with a full refresh; before, its readers would not see the new files.
+    other = dataclasses.replace(plain, target=place("old"), dataflow_id="other")
+    rn.run_bronze(ws, other, rn.RunResult("other"))
+    clustered = dataclasses.replace(other, cluster_by=["k"])
+    with pytest.raises(ValueError, match="full refresh"):
+        rn.run_bronze(ws, clustered, rn.RunResult("other"))
+    rn.run_bronze(ws, clustered, rn.RunResult("other"), refresh=True)
+    assert ws.table(clustered, "bronze").count() == 600
