@@ -471,9 +471,9 @@ def ngram_components(
 def ngram_links(
     documents: DataFrame, n: int = 3, percent: int = 90, key: str = "doc_id", text: str = "text",
 ) -> DataFrame:
-    """`ngram_components` with n_links after n_shingles: with how many other rows the row links, equal sets included."""
+    """`ngram_components` with n_links after its columns: with how many other rows the row links, equal sets included."""
     return _placed(documents, n, percent, key, text, True).select(
-        F.col("key").alias(key), F.col("n").alias("n_shingles"), "n_links", F.col("low").alias("component_id"))
+        F.col("key").alias(key), F.col("n").alias("n_shingles"), F.col("low").alias("component_id"), "n_links")
 
 
 def ngram_pairs(

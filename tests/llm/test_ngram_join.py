@@ -89,6 +89,7 @@ def test_all_links_are_found_and_counted(spark, monkeypatch, n, percent, block):
     close = [[i != j and bool(a) and bool(b) and 100 * len(a & b) >= percent * len(a | b) for j, b in enumerate(sets)] for i, a in enumerate(sets)]
     found = ngram_join.ngram_links(documents(spark, rows), n, percent).collect()
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found), key=repr) == brute(rows, n, percent)
+    assert ngram_join.ngram_links(documents(spark, rows)).columns == ["doc_id", "n_shingles", "component_id", "n_links"]
     assert sorted(((r.doc_id, r.n_links) for r in found), key=repr) == sorted(((key, sum(x)) for (key, _), x in zip(rows, close)), key=repr)
     pairs, members = ngram_join.ngram_pairs(documents(spark, rows), n, percent)
     keys = {}
