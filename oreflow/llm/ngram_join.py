@@ -257,6 +257,8 @@ def _compare_blocks(percent: int, spanning: bool):
         bits = _folded(rows.column("bits").to_pylist())
         one, two = rows.column("b1")[0].as_py(), rows.column("b2")[0].as_py()
         left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
+        if not len(left):  # a block that got no rows has no pairs
+            return None
         found, step = [], max(1, (1 << 21) // max(1, len(right) * bits.shape[1]))
         for lo in range(0, len(left), step):
             x = left[lo : lo + step, None]
