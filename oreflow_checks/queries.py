@@ -264,11 +264,13 @@ def dedup_second_row(spark, sf_dir):
 
 
 def _dedup_stream(spark, sf_dir, n):
-    """The orders in batches that are cut across their keys and folded in between."""
+    """The orders in eight batches that are cut across their keys and folded in between; larger orders, larger batches."""
     root = fresh_dir(spark, "dedup-stream")
     parts = fx.table(spark, sf_dir, "orders").withColumn("_part", F.col("o_orderkey") % 8)
     parts.write.partitionBy("_part").parquet(f"{root}/in")
-    stream = spark.readStream.schema(parts.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in").drop("_part")
+    # Each task that writes has a file of every part, so files grow in number with the orders.
+    files = len(spark.read.schema(parts.schema).parquet(f"{root}/in").inputFiles())
+    stream = spark.readStream.schema(parts.schema).option("maxFilesPerTrigger", max(1, -(-files // 8))).parquet(f"{root}/in").drop("_part")
     dedup = flows.Deduplication(["src_key"], ["op", "seq DESC"], n)
     target = LatestRows(spark, f"{root}/latest", dedup.best, dedup.pick, fold_every=3)
     batch_stream(fx.feed_of(stream), lambda b, i: target.append(b, i, stream_id(b)), f"{root}/checkpoint").awaitTermination()

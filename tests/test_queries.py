@@ -30,3 +30,17 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, oracle, name):
     assert difference(spark, oracle, name, SF_DIR) is None
+
+
+def test_dedup_stream_has_no_more_batches_for_orders_in_more_files(spark, tmp_path, monkeypatch):
+    """Every batch costs its own jobs, so their number must not follow that of the tasks that write the orders."""
+    import oreflow.sources.target as target
+    sizes = []
+    append = target.LatestRows.append
+    monkeypatch.setattr(target.LatestRows, "append", lambda self, rows, *place: (sizes.append(rows.count()), append(self, rows, *place)))
+    orders = spark.read.parquet(f"{SF_DIR}/orders.parquet")
+    orders.repartition(5).write.parquet(f"{tmp_path}/orders.parquet")
+    found = QUERIES["dedup_stream"](spark, str(tmp_path))
+    want = QUERIES["dedup_row_number"](spark, SF_DIR)
+    assert sorted(map(tuple, found.where("n = 1").drop("n").collect())) == sorted(map(tuple, want.collect()))
+    assert 4 <= len(sizes) <= 16 and sum(sizes) == 2 * orders.count()
