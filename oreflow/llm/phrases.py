@@ -20,11 +20,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import cleared, list_column, shuffles_end_with_writes, stored
+from oreflow.llm.common import cleared, list_column, places, shuffles_end_with_writes, stored
 from oreflow.session import fresh_dir
 
-#: Words after which a task closes its shards, and bytes of a text that are split into words at once.
-SHARD, SLICE = 2_000_000, 1_000_000
+#: Words after which a task closes a language's shard, so many times as many close all; bytes of a text split at once.
+SHARD, HELD, SLICE = 2_000_000, 2, 1_000_000
 #: A phrase's number within its shard takes this many bits, the shard's number in its task that many.
 PLACE, SHARDS = 28, 15
 
@@ -113,10 +113,12 @@ def shards(documents: DataFrame, lang: str, text: str, depth: int) -> DataFrame:
         for batch in batches:
             for lang_, text_ in zip(batch.column(0).to_pylist(), batch.column(1)):
                 for at, part in enumerate(_slices(text_.as_py() or b"", SLICE)):
-                    if sum(s.size for s in now.values()) >= SHARD:
-                        tail = now[lang_].tail(depth - 1) if at and lang_ in now else []
-                        yield rows([(number(), s, 1) for s in now.values()] + [(number(), _Shard(lang_, tail), -1)] * bool(tail))
-                        now = {lang_: _Shard(lang_, tail)} if tail else {}
+                    full = list(now) if sum(s.size for s in now.values()) >= HELD * SHARD else [lang_] if lang_ in now and now[lang_].size >= SHARD else []
+                    if full:
+                        tail = now[lang_].tail(depth - 1) if at and lang_ in full else []
+                        yield rows([(number(), now.pop(x), 1) for x in full] + [(number(), _Shard(lang_, tail), -1)] * bool(tail))
+                        if tail:
+                            now[lang_] = _Shard(lang_, tail)
                     if lang_ not in now:
                         now[lang_] = _Shard(lang_)
                     now[lang_].add(split_words(part))
@@ -128,19 +130,33 @@ def shards(documents: DataFrame, lang: str, text: str, depth: int) -> DataFrame:
         run, "shard long, lang string, sign int, words array<binary>, counts array<long>, ids binary"), "shards")
 
 
+def sorted_order(keys: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The stable order of non-negative keys below `most`, and the keys in it.
+
+    Plain numbers sort many times faster than their places do, so places are packed below the keys where both fit.
+    """
+    bits = (len(keys) - 1).bit_length()
+    if (most - 1).bit_length() + bits > 63:
+        order = np.argsort(keys, kind="stable")
+        return order, keys[order]
+    both = np.sort(keys << bits | np.arange(len(keys)))
+    return both & ((1 << bits) - 1), both >> bits
+
+
 def transforms(ids: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """The words' transform and that of the words backwards, rows sorted by `depth` words. Words end with a separator."""
     out = []
     for words in (ids, ids[::-1]):
-        rank, known = words.astype(np.int64), 1
-        order = np.argsort(rank, kind="stable")
+        rank, known, count = words.astype(np.int64), 1, int(words.max()) + 1
+        order = None if depth > 1 else sorted_order(rank, count)[0]
         while known < depth:
-            keys = rank * (int(rank.max()) + 1) + np.roll(rank, -known)
-            order = np.argsort(keys, kind="stable")
-            new = np.r_[0, np.cumsum(np.diff(keys[order]) != 0)]
-            rank = np.empty(len(words), np.int64)
-            rank[order] = new
+            order, keys = sorted_order(rank * count + np.roll(rank, -known), count * count)
             known *= 2
+            if known < depth:
+                new = np.cumsum(np.r_[False, keys[1:] != keys[:-1]])
+                count = int(new[-1]) + 1
+                rank = np.empty(len(words), np.int64)
+                rank[order] = new
         out.append(words[order - 1].astype("<i4"))
     return out[0], out[1]
 
@@ -315,7 +331,7 @@ def _levels(documents: DataFrame, depth: int, least: int, lang: str, text: str)
     indexes, name = _indexes(cut, words)
     known = [stored(words.filter("code = id").select(
         "id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", F.array("f").alias("heads"), F.array("f").alias("tails")), "known")]
-    cleared(spark, *_places(cut, words))
+    cleared(spark, *places(cut, words))
     level, whole = None, []
     for size in range(2, depth + 1):
         rows, last = _pairs(indexes, depth) if size == 2 else _longer(indexes, level, size, depth), level
@@ -326,11 +342,11 @@ def _levels(documents: DataFrame, depth: int, least: int, lang: str, text: str)
         mine = stored(mine.join(a, "left").join(b, "right").select(
             "id", "lang", F.concat("head", F.encode(F.lit(" "), "utf-8"), "last").alias("phrase"), "last", "f",
             F.concat("heads", F.array("f")).alias("heads"), F.concat("tails", F.array("f")).alias("tails"), "left", "right"), "known")
-        cleared(spark, *(_places(last) if last else []))
+        cleared(spark, *(places(last) if last else []))
         whole.append(_with_extensions(known[-1], mine).withColumn("words", F.lit(size - 1)))
         known.append(mine)
     # Every level is written by now.
-    cleared(spark, *_places(level, indexes))
+    cleared(spark, *places(level, indexes))
     spark.sql(f"DROP TABLE {name}")
     whole.append(known[-1].withColumns({"before": F.lit(None).cast("long"), "behind": F.lit(None).cast("long"), "words": F.lit(depth)}))
     columns = ["lang", F.col("phrase").cast("string").alias("phrase"), "words", "f", "before", "behind", "heads", "tails"]
@@ -340,11 +356,6 @@ def _levels(documents: DataFrame, depth: int, least: int, lang: str, text: str)
     return out, totals
 
 
-def _places(*frames: DataFrame) -> list[str]:
-    """The folders that written tables lie in."""
-    return sorted({file.rsplit("/", 1)[0] for frame in frames for file in frame.inputFiles()})
-
-
 def _with_extensions(phrases: DataFrame, longer: DataFrame) -> DataFrame:
     behind = longer.groupBy(F.col("left").alias("id")).agg(F.max("f").alias("behind"))
     before = longer.groupBy(F.col("right").alias("id")).agg(F.max("f").alias("before"))

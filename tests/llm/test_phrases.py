@@ -103,3 +103,20 @@ def test_products_beyond_64_bits(spark):
     """The score's arithmetic at counts whose product with the factor passes 64 bits."""
     row = spark.sql("select 2000000 * cast(9000000000000000000 as decimal(28,0)) div (9000000000000000000 + 1L) as s").first()
     assert row.s == 1999999
+
+
+def test_a_language_has_a_shard_of_its_own_size(spark, monkeypatch):
+    """Shards that close because other languages have many words are small, and their phrases more rows."""
+    monkeypatch.setattr(phrases, "SHARD", 1000)
+    rows = [(i, "a b c d e f g h i", ["en", "fr"][i % 2]) for i in range(180)]  # ten numbers a text, the separator's included
+    cut = phrases.shards(documents(spark, rows).coalesce(1), "lang", "text", 4)
+    assert sorted(r["lang"] for r in cut.select("lang").collect()) == ["en", "fr"]
+
+
+def test_the_order_of_packed_keys_is_stable():
+    rng = np.random.default_rng(5)
+    for most in (7, 1 << 20, 1 << 58):  # the last does not leave room for places
+        keys = rng.integers(0, most, 300)
+        keys[100:200] = keys[:100]
+        order, found = phrases.sorted_order(keys, most)
+        assert (order == np.argsort(keys, kind="stable")).all() and (found == keys[order]).all()
