@@ -60,3 +60,14 @@ def test_every_stage_does_its_part(spark, sf_dir):
     encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks.rank, special_tokens={})
     assert {r.doc_id: r.n_tokens for r in seen["tokens"][1]} == {r.doc_id: len(encoding.encode_ordinary(r.text or "")) for r in after}
     assert sorted(r.doc_id for r in corpus_pipeline.run(spark, sf_dir).collect()) == sorted(ids["tokens"])
+
+
+def test_the_quality_stage_learns_from_all_trusted_documents(spark, tmp_path, monkeypatch):
+    """More than the 20,000 that were drawn before."""
+    from oreflow.llm import quality_lm
+    docs = spark.range(21_000).selectExpr("id as doc_id", "concat('t', id) as text", "'en' as lang")
+    docs.selectExpr("doc_id", "1 as quality", "0 as toxic").write.parquet(f"{tmp_path}/labels.parquet")
+    trained, real = [], quality_lm.train
+    monkeypatch.setattr(quality_lm, "train", lambda texts: (trained.append(texts.count()), real(texts))[1])
+    assert corpus_pipeline.quality(spark, docs, str(tmp_path)).columns == docs.columns
+    assert trained == [docs.where(f"pmod(hash(doc_id), {quality_lm.HELD}) <> 0").count()]
