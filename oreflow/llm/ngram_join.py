@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import as_bytes, components, keyed, mix, signed, stored, whole_groups
+from oreflow.llm.common import as_bytes, cleared, components, keyed, mix, places, shuffles_end_with_writes, signed, stored, whole_groups
 
 #: Set numbers that a task remembers before it starts anew; bytes of texts hashed at once; sets of a block of a tile.
 MEMORY, TOGETHER, BLOCK = 400_000, 1 << 20, 2048
@@ -368,7 +368,9 @@ class _Join:
         shared = entries.groupBy("tile").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi")
         # Written, so that both sides of the join are dealt by it alone and adaptive execution can split a hot tile.
         shared = stored(shared.select("tile", "lo"), "shared")
-        return stored(entries.join(shared, "tile").distinct(), "tiles")
+        tiled = stored(entries.join(shared, "tile").distinct(), "tiles")
+        cleared(shared.sparkSession, *places(shared))
+        return tiled
 
     def likely(self, pairs: DataFrame) -> DataFrame:
         """Of distinct pairs (a, b) those that the bitmaps let through."""
@@ -433,6 +435,8 @@ class _Join:
                 if not more.isEmpty():
                     links = links.unionByName(self.verified(more, self.texts_of(more)))
                     roots = components(links, "a", "b")
+        # The groups are written by now.
+        cleared(tiled.sparkSession, *places(tiled))
         return roots
 
     def links(self, roots: DataFrame, pairs: bool) -> DataFrame:
@@ -482,8 +486,9 @@ def ngram_pairs(
     documents: DataFrame, n: int = 3, percent: int = 90, key: str = "doc_id", text: str = "text",
 ) -> tuple[DataFrame, DataFrame]:
     """All linked pairs (a, b), a < b, of different sets, and which rows have a set: (key, node). Rows without n-grams have none."""
-    rows, join = _join(documents, n, percent, key, text)
-    pairs = join.links(join.roots(), True)
+    with shuffles_end_with_writes(documents.sparkSession):
+        rows, join = _join(documents, n, percent, key, text)
+        pairs = join.links(join.roots(), True)
     members = rows.select("key", "d", "t").join(join.profiles.filter("n > 0").select("d", "t", "node").distinct(), ["d", "t"])
     return pairs, members.select(F.col("key").alias(key), "node")
 
@@ -496,6 +501,11 @@ def _join(documents: DataFrame, n: int, percent: int, key: str, text: str) -> tu
 
 
 def _placed(documents: DataFrame, n: int, percent: int, key: str, text: str, count: bool) -> DataFrame:
+    with shuffles_end_with_writes(documents.sparkSession):
+        return _grouped(documents, n, percent, key, text, count)
+
+
+def _grouped(documents: DataFrame, n: int, percent: int, key: str, text: str, count: bool) -> DataFrame:
     rows, join = _join(documents, n, percent, key, text)
     roots = join.roots()
     if count:

@@ -104,3 +104,20 @@ def test_all_links_are_found_and_counted(spark, monkeypatch, n, percent, block):
     want = [tuple(sorted((names[i][1], names[j][1]), key=str)) for i in range(len(names)) for j in range(i)
             if 100 * len(names[i][0] & names[j][0]) >= percent * len(names[i][0] | names[j][0])]
     assert got == sorted(want) and len(want) > len(rows)
+
+
+def test_tiles_go_when_the_groups_are_written(spark, monkeypatch):
+    """They and the shuffle files of earlier steps otherwise lie on disk until the job ends."""
+    from pathlib import Path
+    cleanup, real, written = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", ngram_join.stored, {}
+
+    def stored(frame, name):
+        written[name] = spark.conf.get(cleanup, None), (out := real(frame, name)).inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        return out
+
+    monkeypatch.setattr(ngram_join, "stored", stored)
+    words = [f"w{i}" for i in range(40)]
+    found = ngram_join.ngram_components(documents(spark, [(1, " ".join(words)), (2, " ".join(words + ["x"])), (3, "other text altogether")]), 3, 80)
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == {1: 1, 2: 1, 3: 3}
+    assert all(on == "true" for on, _ in written.values())
+    assert [Path(written[x][1]).exists() for x in ("shared", "tiles", "lowest")] == [False, False, True]
