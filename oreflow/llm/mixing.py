@@ -1,6 +1,7 @@
 """Mixing to target weights with soft membership.
 
-A classifier fitted on a bounded sample of labelled documents gives every document a posterior over the domains. Then
+A classifier fitted on all labelled documents gives every document a posterior over the domains. Its vocabulary is one
+count over them, each step of its fit one aggregation, so the driver holds weights only, whose number is fixed. Then
 projected gradient steps fit a nonnegative rate for each document, so that the expected token totals of the domains,
 summed over documents as rate times tokens times posterior, come as near to the targets as the bounds allow. A step
 needs only the totals of the step before: these are one aggregation over all documents, and a document's rate follows
@@ -9,19 +10,22 @@ from its posterior and the totals so far, so nothing per document is kept betwee
 
 from __future__ import annotations
 
+import operator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oreflow.llm.common import as_bytes, lowest_hash, stored, words
+from oreflow.llm.common import as_bytes, list_column, shuffles_end_with_writes, stored, words
 
-#: Labelled documents drawn per domain at most, words that are features, and in how many of the sample they must stand.
-LABELLED, FEATURES, LEAST = 4_000, 4_096, 8
-#: Passes of the classifier's fit, its ridge, the pull of rates towards 1, and the bounds of the fit of rates.
+#: Words that are features, and in how many labelled documents they must stand.
+FEATURES, LEAST = 4_096, 8
+#: Steps of the classifier's fit at most, its ridge (on features of unit variance), the pull of rates towards 1, and the bounds of the fit of rates.
 FIT, RIDGE, PULL, STEPS, NEAR = 120, 3e-4, 0.002, 60, 1e-5
 #: Features that are not words: shares of the 256 bytes, the share of distinct words and of immediate repeats, the size.
 DENSE = 256 + 3
@@ -37,11 +41,11 @@ class Features:
     def of(self, text: bytes) -> tuple[np.ndarray, np.ndarray, int]:
         tokens = words(text)
         distinct = set(tokens)
-        present = sorted(n for w in distinct if (n := self.number.get(w)) is not None)
+        present = sorted(map(self.number.__getitem__, distinct & self.number.keys()))
         dense = np.empty(DENSE)
         dense[:256] = np.bincount(np.frombuffer(text, np.uint8), minlength=256) * (10 / max(1, len(text)))
         n = max(1, len(tokens))
-        dense[256:] = len(distinct) / n, sum(map(bytes.__eq__, tokens[1:], tokens)) / n, np.log10(n)
+        dense[256:] = len(distinct) / n, sum(map(operator.eq, tokens[1:], tokens)) / n, np.log10(n)
         some = np.flatnonzero(dense)
         return np.concatenate([some, np.array(present, np.int64)]), np.concatenate([dense[some], np.ones(len(present))]), len(tokens)
 
@@ -66,69 +70,57 @@ def softmax(scores: np.ndarray) -> np.ndarray:
     return powers / powers.sum(axis=1, keepdims=True)
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, size: int, shares: np.ndarray) -> np.ndarray:
-    """Accelerated gradient descent on the sample; intercepts are moved from its shares of the domains to the true ones."""
-    domains = len(shares)
-    numbers, values = (np.concatenate([r[i] for r in rows]) for i in (0, 1))
-    lengths = np.array([len(r[0]) for r in rows])
-    numbers = np.insert(numbers, np.cumsum(lengths), size).astype(np.int64)  # the intercept
-    values = np.insert(values, np.cumsum(lengths), 1.0)
-    starts = np.concatenate(([0], np.cumsum(lengths + 1)[:-1]))
-    owner = np.repeat(np.arange(len(rows)), lengths + 1)
-    target = np.eye(domains)[labels]
-    weights = ahead = np.zeros((size + 1, domains))
-    rate = 2.0 / np.mean(np.add.reduceat(values * values, starts))
-    for step in range(FIT):
-        wrong = softmax(np.add.reduceat(values[:, None] * ahead[numbers], starts)) - target
-        slope = np.stack([np.bincount(numbers, values * wrong[owner, k], size + 1) for k in range(domains)], axis=1) / len(rows)
-        new = ahead - rate * (slope + RIDGE * ahead)
-        ahead, weights = new + step / (step + 3) * (new - weights), new
-    drawn = np.bincount(labels, minlength=domains) / len(labels)
-    seen = (drawn > 0) & (shares > 0)
-    weights[-1, seen] += np.log(shares[seen] / drawn[seen])
-    weights[-1, ~seen] -= 30  # a domain without a document here
-    return weights
-
-
-def _distinct_words(batches):
+def _word_counts(batches):
     for batch in batches:
-        found = [w for text in as_bytes(batch.column(0)) for w in set(words(text))]
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["word"])
+        found = pa.array([w for text in as_bytes(batch.column(0)) for w in set(words(text))], pa.binary()).value_counts()
+        yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], ["word", "n"])
 
 
 def _featured(features: Features):
+    """Labels and sparse vectors, as Spark's own classifiers read them."""
     def run(batches):
         for batch in batches:
             rows = [features.of(text)[:2] for text in as_bytes(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([r[0].astype(np.int32) for r in rows], pa.list_(pa.int32())),
-                pa.array([r[1].astype(np.float32) for r in rows], pa.list_(pa.float32()))], ["domain", "numbers", "values"])
+            if not rows:
+                continue
+            numbers, values = (np.concatenate([r[i] for r in rows]) for i in (0, 1))
+            lengths = [len(r[0]) for r in rows]
+            vectors = pa.StructArray.from_arrays([
+                pa.array(np.zeros(len(rows), np.int8)), pa.array(np.full(len(rows), features.size, np.int32)),
+                list_column(numbers.astype(np.int32), lengths, pa.int32()), list_column(values, lengths, pa.float64())],
+                ["type", "size", "indices", "values"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), vectors], ["label", "features"])
     return run
 
 
-def train(documents: DataFrame, labels: DataFrame, domains: list[str], most: int) -> Classifier:
-    """From at most `most` documents of each domain, those of lowest hash. `labels` is (doc_id, domain)."""
-    labels = labels.filter(F.col("doc_id").isNotNull() & F.col("domain").isin(domains)).dropDuplicates(["doc_id"])
-    counts = {r["domain"]: r["count"] for r in labels.groupBy("domain").count().collect()}
-    drawn = None
-    for number, name in enumerate(domains):
-        some = lowest_hash(labels.filter(F.col("domain") == name), ["doc_id", "domain"], most)
-        some = some.select(F.col("doc_id").alias("t_id"), F.lit(number).alias("domain"))
-        drawn = some if drawn is None else drawn.unionByName(some)
-    sample = documents.join(F.broadcast(drawn), F.col("key") == F.col("t_id"))  # bounded by `most`
-    sample = stored(sample.select("domain", "text"), "labelled")
-    common = sample.select("text").mapInArrow(_distinct_words, "word binary").groupBy("word").count()
-    common = common.filter(F.col("count") >= LEAST).orderBy(F.desc("count"), "word").limit(FEATURES).collect()
+def fit(labelled: DataFrame, features: Features, seen: list[int], domains: int) -> np.ndarray:
+    """Softmax regression on all rows of `labelled`, (domain, text), whose domains are `seen`."""
+    weights = np.zeros((features.size + 1, domains))
+    if len(seen) > 1:  # the labels are places in `seen`
+        place = F.array_position(F.lit(seen), F.col("domain")) - 1
+        schema = T.StructType([T.StructField("label", T.DoubleType()), T.StructField("features", VectorUDT())])
+        rows = stored(labelled.select(place.cast("double"), "text").mapInArrow(_featured(features), schema), "features")
+        model = LogisticRegression(family="multinomial", maxIter=FIT, regParam=RIDGE).fit(rows)
+        weights[:-1, seen] = model.coefficientMatrix.toArray().T
+        weights[-1, seen] = model.interceptVector.toArray()
+    if seen:
+        weights[-1, [d for d in range(domains) if d not in seen]] = -30 + weights[-1, seen].min()  # no document here
+    return weights
+
+
+def train(documents: DataFrame, labels: DataFrame, domains: list[str]) -> Classifier:
+    """From all documents with a label. `labels` is (doc_id, domain); of an id's domains the first in `domains` counts."""
+    number = F.array_position(F.lit(domains), F.col("domain")) - 1
+    labels = labels.filter(F.col("doc_id").isNotNull() & F.col("domain").isin(domains))
+    labels = labels.groupBy(F.col("doc_id").alias("t_id")).agg(F.min(number).cast("int").alias("domain"))
+    picked = stored(labels, "labels")  # written, so that Spark knows whether it can be broadcast
+    with shuffles_end_with_writes(documents.sparkSession):
+        labelled = stored(documents.join(picked, F.col("key") == F.col("t_id")).select("domain", "text"), "labelled")
+    seen = sorted(r["domain"] for r in labelled.select("domain").distinct().collect())
+    common = labelled.select("text").mapInArrow(_word_counts, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    common = common.filter(F.col("n") >= LEAST).orderBy(F.desc("n"), "word").limit(FEATURES).collect()
     features = Features([bytes(r["word"]) for r in common])
-    table = sample.mapInArrow(_featured(features), "domain int, numbers array<int>, values array<float>").toArrow()
-    if table.num_rows == 0:
-        return Classifier(features, np.zeros((features.size + 1, len(domains))))
-    rows = [(np.array(n), np.array(v, np.float64)) for n, v in zip(table.column("numbers").to_pylist(), table.column("values").to_pylist())]
-    # Of the labelled documents of a domain, as large a part is taken to be here as of those drawn.
-    number = table.column("domain").to_numpy()
-    labelled = np.array([counts.get(d, 0) for d in domains], float)
-    shares = labelled * np.bincount(number, minlength=len(domains)) / np.maximum(1, np.minimum(labelled, most))
-    return Classifier(features, fit(rows, number, features.size, shares / shares.sum()))
+    return Classifier(features, fit(labelled, features, seen, len(domains)))
 
 
 def with_posteriors(frame: DataFrame, classifier: Classifier, text: str) -> DataFrame:
@@ -193,19 +185,19 @@ def fit_rates(judged: DataFrame, targets: np.ndarray, most: float) -> list[np.nd
 
 def soft_mix(
     documents: DataFrame, labels: DataFrame, weights: dict[str, float], key: str = "doc_id", text: str = "text",
-    most_rate: float = 4.0, relative: bool = False, most: int = LABELLED,
+    most_rate: float = 4.0, relative: bool = False,
 ) -> DataFrame:
     """Per row: key, tokens, rate, and p_<domain> for each domain of `weights`.
 
     `labels` is (doc_id, domain). The targets are `weights` as shares of all tokens, or, with `relative`, as factors
     of the domains' present expected totals. Null, empty and blank texts have no tokens, so they weigh nothing and
     get the rate that their posterior gives. Repeated rows count as often as they occur. Without labels all domains
-    are equally likely; without documents the result is empty. Ids that labels repeat or lack do no harm, and other
-    columns are not read. `most` bounds the sample of each domain.
+    are equally likely; without documents the result is empty. Ids that labels repeat or lack do no harm (of
+    several domains the first in `weights` counts), and other columns are not read.
     """
     domains = list(weights)
     source = documents.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("text"))
-    judged = stored(with_posteriors(source, train(source, labels, domains, most), "text"), "posteriors")
+    judged = stored(with_posteriors(source, train(source, labels, domains), "text"), "posteriors")
     present = judged.agg(*(F.sum(F.col("tokens") * F.col("posterior")[i]).alias(f"t{i}") for i in range(len(domains)))).first()
     present = np.array([x or 0.0 for x in present])
     factors = np.array([weights[d] for d in domains])

@@ -73,3 +73,24 @@ def test_rare_domains_reach_their_targets(spark):
     targets = present * [1.0, 0.1]
     found, _ = mixing.rates(posterior, mixing.fit_rates(judged, targets, 1.0), 1.0)
     assert np.abs((found * tokens) @ posterior / present - [1.0, 0.1]).max() < 0.02
+
+
+def test_the_classifier_learns_from_all_labelled_documents(spark):
+    """More than the 4,000 of a domain that were drawn before: its mean posteriors are those of all labels, and a word in eight of them counts."""
+    rng, rows = random.Random(4), []
+    for i in range(12_000):
+        low = rng.random() < 0.4
+        own = " seldom" if i % 1500 == 7 else ""
+        rows.append((i, " ".join(f"w{min(rng.randrange(20), rng.randrange(20)) + 3 * low}" for _ in range(4)) + own, "low" if low or own else "good"))
+    named = spark.createDataFrame([(i, d) for i, _, d in rows], "doc_id long, domain string")
+    more = [(20_000, "w5 w5"), (20_001, "w5 seldom")]
+    found = mixing.soft_mix(documents(spark, [r[:2] for r in rows] + more), named, {"good": 0.5, "low": 0.5}).toPandas().set_index("doc_id")
+    assert abs(found.p_low[found.index < 20_000].sum() - sum(d == "low" for _, _, d in rows)) < 5
+    assert found.p_low[20_001] > found.p_low[20_000] + 0.1
+
+
+def test_of_several_domains_of_an_id_the_first_counts(spark):
+    rows = [(i, "river stone" if i % 2 else "click buy") for i in range(40)]
+    named = [(i, "good" if i % 2 else "low") for i in range(40)] + [(i, "low") for i in range(1, 40, 2)]
+    found = mixing.soft_mix(documents(spark, rows), spark.createDataFrame(named, "doc_id long, domain string"), {"good": 0.5, "none": 0.1, "low": 0.4}).toPandas()
+    assert (found.p_good[found.doc_id % 2 == 1] > 0.8).all() and (found.p_low[found.doc_id % 2 == 0] > 0.8).all() and (found.p_none < 1e-9).all()

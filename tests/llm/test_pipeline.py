@@ -71,3 +71,14 @@ def test_the_quality_stage_learns_from_all_trusted_documents(spark, tmp_path, mo
     monkeypatch.setattr(quality_lm, "train", lambda texts: (trained.append(texts.count()), real(texts))[1])
     assert corpus_pipeline.quality(spark, docs, str(tmp_path)).columns == docs.columns
     assert trained == [docs.where(f"pmod(hash(doc_id), {quality_lm.HELD}) <> 0").count()]
+
+
+def test_the_mix_stage_learns_from_all_labelled_documents(spark, tmp_path, monkeypatch):
+    """More than the 4,000 of a domain that were drawn before."""
+    from oreflow.llm import mixing
+    docs = spark.range(9_000).selectExpr("id as doc_id", "concat('t', id % 50, if(id % 9 = 0, ' buy', ' stone')) as text")
+    docs.selectExpr("doc_id", "if(doc_id % 9 = 0, 0, 1) as quality", "0 as toxic").where("doc_id % 3 < 2").write.parquet(f"{tmp_path}/labels.parquet")
+    learnt, real = [], mixing.fit
+    monkeypatch.setattr(mixing, "fit", lambda rows, *rest: (learnt.append(len(rows) if isinstance(rows, list) else rows.count()), real(rows, *rest))[1])
+    assert corpus_pipeline.mix(spark, docs, str(tmp_path)).columns == docs.columns
+    assert learnt == [6_000]
