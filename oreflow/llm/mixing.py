@@ -27,6 +27,8 @@ from oreflow.llm.common import as_bytes, list_column, shuffles_end_with_writes,
 FEATURES, LEAST = 4_096, 8
 #: Steps of the classifier's fit at most, its ridge (on features of unit variance), the pull of rates towards 1, and the bounds of the fit of rates.
 FIT, RIDGE, PULL, STEPS, NEAR = 120, 3e-4, 0.002, 60, 1e-5
+#: Rows that a step's tasks have, as every step starts them anew: about that many in a file, one or a few files in a task.
+ROWS = 1 << 17
 #: Features that are not words: shares of the 256 bytes, the share of distinct words and of immediate repeats, the size.
 DENSE = 256 + 3
 
@@ -154,26 +156,39 @@ def _posterior_matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy().reshape(len(column), -1)
 
 
+def _packed(batches):
+    """Of each batch one row with the bytes of its numbers, so that a step does nothing row by row."""
+    for batch in batches:
+        if batch.num_rows:
+            columns = batch.column(0).to_numpy(), _posterior_matrix(batch.column(1))
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in columns], ["tokens", "posterior"])
+
+
+def packed(judged: DataFrame) -> DataFrame:
+    """Tokens and posteriors of all rows of `judged`, written in files of about ROWS rows."""
+    files = judged.select("tokens", "posterior").coalesce(max(1, -(-judged.count() // ROWS)))
+    return stored(files.mapInArrow(_packed, "tokens binary, posterior binary"), "packed")
+
+
 def fit_rates(judged: DataFrame, targets: np.ndarray, most: float) -> list[np.ndarray]:
     """Misses of all steps; `judged` has tokens and posterior. Targets are token totals by domain.
 
     A miss is relative to the domain's own present or wanted total, the larger one, so rare domains weigh no less.
     """
-    domains, errors, scale = len(targets), [], np.ones(len(targets))
+    domains, errors, scale, names = len(targets), [], np.ones(len(targets)), [f"t{i}" for i in range(len(targets))]
+    blocks = packed(judged)
 
     def totals(batches):
         sums = np.zeros(domains)
         for batch in batches:
-            if batch.num_rows:
-                posterior = _posterior_matrix(batch.column(1))
-                sums += (rates(posterior, errors, most)[1] * batch.column(0).to_numpy()) @ posterior
-        yield pa.RecordBatch.from_arrays([pa.array(range(domains), pa.int32()), pa.array(sums)], ["domain", "total"])
+            for tokens, posterior in zip(as_bytes(batch.column(0)), as_bytes(batch.column(1))):
+                posterior = np.frombuffer(posterior).reshape(-1, domains)
+                sums += (rates(posterior, errors, most)[1] * np.frombuffer(tokens, np.int64)) @ posterior
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in sums], names)
 
     for _ in range(STEPS):
-        sums = judged.select("tokens", "posterior").mapInArrow(totals, "domain int, total double").groupBy("domain").agg(F.sum("total").alias("total"))
-        now = np.zeros(domains)
-        for r in sums.collect():
-            now[r["domain"]] = r["total"]
+        sums = blocks.mapInArrow(totals, ", ".join(f"{n} double" for n in names)).agg(*(F.sum(n) for n in names)).first()
+        now = np.array([x or 0.0 for x in sums])
         if not errors:  # all rates are 1
             scale = np.maximum(np.maximum(now, targets), 1.0)
         error = (now - targets) / scale

@@ -94,3 +94,24 @@ def test_of_several_domains_of_an_id_the_first_counts(spark):
     named = [(i, "good" if i % 2 else "low") for i in range(40)] + [(i, "low") for i in range(1, 40, 2)]
     found = mixing.soft_mix(documents(spark, rows), spark.createDataFrame(named, "doc_id long, domain string"), {"good": 0.5, "none": 0.1, "low": 0.4}).toPandas()
     assert (found.p_good[found.doc_id % 2 == 1] > 0.8).all() and (found.p_low[found.doc_id % 2 == 0] > 0.8).all() and (found.p_none < 1e-9).all()
+
+
+def test_a_step_reads_few_packed_rows(spark, monkeypatch):
+    """Before, each step of the fit of rates started a task for every file or so and read every row in it."""
+    rng = np.random.default_rng(3)
+    rows = [(int(n), p.tolist()) for n, p in zip(rng.integers(0, 90, 3000), rng.dirichlet([1, 1, 1], 3000))]
+    judged = spark.createDataFrame(rows, "tokens long, posterior array<double>").repartition(24)
+    for most, files in ((1 << 17, 1), (1000, 3)):
+        monkeypatch.setattr(mixing, "ROWS", most)
+        blocks = mixing.packed(judged)
+        assert len(blocks.inputFiles()) == files
+        found = [(t, tuple(p)) for r in blocks.collect() for t, p in zip(np.frombuffer(r.tokens, np.int64), np.frombuffer(r.posterior).reshape(-1, 3))]
+        assert sorted(found) == sorted((n, tuple(p)) for n, p in rows)
+    tokens, posterior = np.array([n for n, _ in rows]), np.array([p for _, p in rows])
+    errors, targets, present = [], tokens @ posterior * [1.0, 0.4, 0.1], tokens @ posterior
+    for error in mixing.fit_rates(judged, targets, 1.0):
+        _, ahead = mixing.rates(posterior, errors, 1.0)
+        assert np.allclose(error, ((ahead * tokens) @ posterior - targets) / present)
+        errors.append(error)
+    none = mixing.fit_rates(judged.filter("tokens < 0"), np.zeros(3), 1.0)
+    assert not np.any(none)
