@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from oreflow.llm.common import kept
+
 #: Words held per Python worker before its memory of pieces is emptied, and the longest piece that is remembered.
 MEMORY, REMEMBERED = 500_000, 48
 #: Pieces of up to this many bytes work out prefixes only as the search needs them.
@@ -226,15 +228,9 @@ class EncodedText:
         return [i for _, _, ids in self.pieces for i in ids]
 
 
-_loaded: dict[int, tuple[Ranks, regex.Pattern]] = {}
-
-
 def _worker(lines: bytes, pattern: str) -> tuple[Ranks, regex.Pattern]:
-    """The vocabulary, read once per Python worker."""
-    key = hash((lines, pattern))
-    if key not in _loaded:
-        _loaded[key] = Ranks(lines), regex.compile(pattern)
-    return _loaded[key]
+    """The vocabulary, read once per Python worker as long as that does nothing else (`regex` itself keeps patterns)."""
+    return kept(("ranks", hash(lines)), lambda: Ranks(lines)), regex.compile(pattern)
 
 
 #: A blank between a visible character and a letter begins a piece, whatever stands around it.
@@ -276,9 +272,9 @@ def encode(frame: DataFrame, ranks_path: str, pattern: str, text: str = "text",
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("__text"))
             out = [[i for s in _slices(_text(t.as_py())) for p in split.findall(s) for i in ranks.encode_piece(p)] for t in texts]
-            kept = [batch.column(i) for i, f in enumerate(batch.schema) if f.name != "__text"]
+            others = [batch.column(i) for i, f in enumerate(batch.schema) if f.name != "__text"]
             names = [f.name for f in batch.schema if f.name != "__text"]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(out, pa.list_(pa.int32()))], [*names, name])
+            yield pa.RecordBatch.from_arrays([*others, pa.array(out, pa.list_(pa.int32()))], [*names, name])
 
     return base.withColumn("__text", F.col(text).cast("binary")).mapInArrow(run, schema)
 

@@ -15,8 +15,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -97,6 +95,10 @@ def _featured(features: Features):
 
 def fit(labelled: DataFrame, features: Features, seen: list[int], domains: int) -> np.ndarray:
     """Softmax regression on all rows of `labelled`, (domain, text), whose domains are `seen`."""
+    # Imported here, as workers that import this module would hold pandas and all of Spark's learners.
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import VectorUDT
+
     weights = np.zeros((features.size + 1, domains))
     if len(seen) > 1:  # the labels are places in `seen`
         place = F.array_position(F.lit(seen), F.col("domain")) - 1

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from oreflow.llm.common import as_bytes, cleared, components, keyed, mix, places, shuffles_end_with_writes, signed, stored, whole_groups
 
 #: Set numbers that a task remembers before it starts anew; bytes of texts hashed at once; sets of a block of a tile.
-MEMORY, TOGETHER, BLOCK = 400_000, 1 << 20, 2048
+MEMORY, TOGETHER, BLOCK = 400_000, 1 << 18, 2048
 #: N-grams of a block of a group, and different n-grams that are compared at once.
 GRAMS, COLUMNS = 1 << 20, 1 << 15
 #: Bits of a bitmap: the next power of two above twice the set's size, within these. With fewer, differing n-grams
