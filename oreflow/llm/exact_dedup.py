@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import as_bytes, mix, stored
+from oreflow.llm.common import as_bytes, mix, stored, tidied
 
 #: Bytes the rolling hash looks back over, mean and bounds of a chunk, and bytes hashed at a time.
 LOOK_BACK, MEAN, LEAST, MOST, BLOCK = 32, 2048, 256, 16384, 1 << 20
@@ -76,6 +76,7 @@ def _hash(chunk: bytes, bits: int) -> int:
 
 def _recipes(bits: int):
     def run(batches):
+        tidied()
         for batch in batches:
             shas, keys, lists = [], [], []
             for text in as_bytes(batch.column(1)):

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oreflow.llm.common import as_bytes, list_column, shuffles_end_with_writes, stored, words
+from oreflow.llm.common import as_bytes, list_column, shuffles_end_with_writes, stored, tidied, words
 
 #: Words that are features, and in how many labelled documents they must stand.
 FEATURES, LEAST = 4_096, 8
@@ -71,6 +71,7 @@ def softmax(scores: np.ndarray) -> np.ndarray:
 
 
 def _word_counts(batches):
+    tidied()
     for batch in batches:
         found = pa.array([w for text in as_bytes(batch.column(0)) for w in set(words(text))], pa.binary()).value_counts()
         yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], ["word", "n"])
@@ -79,6 +80,7 @@ def _word_counts(batches):
 def _featured(features: Features):
     """Labels and sparse vectors, as Spark's own classifiers read them."""
     def run(batches):
+        tidied()
         for batch in batches:
             rows = [features.of(text)[:2] for text in as_bytes(batch.column(1))]
             if not rows:
@@ -133,6 +135,7 @@ def with_posteriors(frame: DataFrame, classifier: Classifier, text: str) -> Data
     schema = T.StructType([*base.schema.fields, T.StructField("tokens", T.LongType()), T.StructField("posterior", T.ArrayType(T.DoubleType()))])
 
     def run(batches):
+        tidied()
         for batch in batches:
             posterior, tokens = classifier.posteriors(list(as_bytes(batch.column(batch.num_columns - 1))))
             yield pa.RecordBatch.from_arrays(

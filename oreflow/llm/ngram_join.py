@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import as_bytes, cleared, components, keyed, mix, places, shuffles_end_with_writes, signed, stored, whole_groups
+from oreflow.llm.common import as_bytes, cleared, components, keyed, mix, places, shuffles_end_with_writes, signed, stored, tidied, whole_groups
 
 #: Set numbers that a task remembers before it starts anew; bytes of texts hashed at once; sets of a block of a tile.
 MEMORY, TOGETHER, BLOCK = 400_000, 1 << 18, 2048
@@ -169,6 +169,7 @@ def _set_numbers(ngrams: np.ndarray) -> tuple[int, int]:
 
 def _profiles(n: int):
     def run(batches):
+        tidied()
         for batch in batches:
             rows = []
             for found in ngram_sets(list(as_bytes(batch.column(2))), n):
@@ -182,6 +183,7 @@ def _profiles(n: int):
 def _entries(n: int, percent: int, clashes: frozenset[int]):
     """(tile, node) of each set; a set that a worker has just seen is not sent again."""
     def run(batches):
+        tidied()
         seen: set[int] = set()
         for batch in batches:
             out, nodes, lengths = [], [], []
